@@ -1,0 +1,282 @@
+import hashlib
+from collections import Counter, defaultdict
+
+import brute
+import pytest
+from fixture import SCHEMA, documents
+from pyspark.sql import functions as F
+
+from kinetrace.llm import common, exact_dedup, langid, minhash, packing, secrets, sharding, suffix_dedup, topk
+
+ROWS = documents()
+TEXT = {r[0]: r[1] for r in ROWS}
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(ROWS, SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Null and repeated ids, repeated rows."""
+    long = " ".join(f"w{i}" for i in range(200))
+    rows = [(None, long), (None, None), (1, long), (1, long), (1, "other text"), (2, None), (2, None), (3, ""), (4, long + " x")]
+    return spark.createDataFrame([(*r, "aa", None, None, None, None, None) for r in rows], SCHEMA)
+
+
+def test_sharding(spark, docs, none, odd):
+    got = sharding.shard_documents(spark, docs, 8).collect()
+    assert sorted(r.doc_id for r in got) == sorted(TEXT)
+    load, places, home = Counter(), defaultdict(list), {}
+    for r in got:
+        raw = (TEXT[r.doc_id] or "").encode()
+        assert r["size"] == len(raw) + 1 and r.text_crc32 == brute.crc(TEXT[r.doc_id])
+        load[r.shard] += r["size"]
+        places[r.shard].append(r.position)
+        home.setdefault(TEXT[r.doc_id], set()).add(r.shard)
+    assert set(load) == set(range(8)) and max(load.values()) < 1.35 * min(load.values())
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    assert all(len(s) == 1 for s in home.values())
+    assert sharding.shard_documents(spark, none).count() == 0
+    assert sharding.shard_documents(spark, odd, 2).count() == odd.count()
+
+
+def test_sharding_splits_a_hot_group_and_rebalances(spark):
+    rows = [(i, "same text" if i % 3 else f"text {i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sharding.shard_documents(spark, df, 4)
+    load = {r.shard: r.n for r in got.groupBy("shard").agg(F.sum("size").alias("n")).collect()}
+    assert max(load.values()) < 1.1 * min(load.values())
+    narrow = sharding.records(df).cache()
+    loads = sharding.slot_loads(narrow, 4).cache()
+    first = sharding.balanced_map(loads, 4).cache()
+    second = sharding.rebalanced_map(first, loads, 5).cache()
+    a = {(r.slot, r.part): r.shard for r in first.collect()}
+    b = {(r.slot, r.part): r.shard for r in second.collect()}
+    assert set(a) == set(b) and {r.version for r in second.collect()} == {2}
+    moved = [k for k in a if a[k] != b[k]]
+    assert 0 < len(moved) < len(a) and {b[k] for k in moved} == {4}
+
+
+def test_exact_dedup(spark, docs, none, odd):
+    groups = defaultdict(list)
+    for d, t in TEXT.items():
+        groups[brute.lower(t)].append(d)
+    out, _ = exact_dedup.group_report(spark, docs)
+    for r in out.collect():
+        own = groups[brute.lower(TEXT[r.doc_id])]
+        assert (r.keep_id, r.group_size, r.kept) == (max(own), len(own), r.doc_id == max(own))
+        assert r.sha == hashlib.sha256(brute.lower(TEXT[r.doc_id]).encode()).hexdigest()
+    kept = exact_dedup.drop_duplicates(spark, docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(max(g) for g in groups.values())
+    assert exact_dedup.group_report(spark, none)[0].count() == 0 and exact_dedup.drop_duplicates(spark, none).count() == 0
+    got = sorted((r.doc_id or 0, r.text or "") for r in exact_dedup.drop_duplicates(spark, odd).collect())
+    assert [(d, t[:5]) for d, t in got] == [(1, "other"), (1, "w0 w1"), (3, ""), (4, "w0 w1")]
+
+
+@pytest.mark.parametrize("words", [2, 5])
+def test_minhash(spark, docs, words):
+    want = brute.near([(d, t) for d, t in TEXT.items()], words)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(spark, docs, words).collect()}
+    assert got == want
+    kept = {r.doc_id for r in minhash.drop_near_duplicates(spark, docs, words).collect()}
+    assert kept == {d for d, (_, c) in want.items() if c == d}
+
+
+def test_minhash_edge_cases(spark, none, odd):
+    assert minhash.near_duplicates(spark, none).count() == 0
+    got = Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(spark, odd, 2).collect())
+    assert got == Counter({(None, 199, None, True): 1, (None, 0, None, True): 1, (1, 199, 1, True): 2, (1, 1, 1, True): 1, (2, 0, 2, True): 2, (3, 0, 3, True): 1, (4, 200, 1, False): 1})
+
+
+def test_minhash_large_group_of_near_copies(spark):
+    import random
+
+    rng = random.Random(5)
+    base = [f"b{i}" for i in range(60)]
+    rows = []
+    for i in range(1500):
+        own = list(base)
+        for _ in range(rng.randint(0, 4)):
+            own[rng.randrange(60)] = f"r{rng.randrange(10**6)}"
+        rows.append((i, " ".join(own)))
+    want = brute.near(rows, 2)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()}
+    assert got == want
+
+
+def test_odd_sketch_estimates():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    for share in (0.8, 0.9, 0.95):
+        a = rng.integers(0, 2**63, 2000, dtype=np.uint64)
+        n = int(2000 * 2 * share / (1 + share))
+        b = np.concatenate([a[:n], rng.integers(0, 2**63, 2000 - n, dtype=np.uint64)])
+        maps = minhash.odd_sketches(np.stack([minhash.samples_of(a), minhash.samples_of(b)]))
+        assert abs(minhash.similarity_estimate(maps[0], maps[1]) - share) < 0.15
+
+
+@pytest.mark.parametrize("hot", [20000, 2])
+def test_suffix_dedup(spark, docs, hot):
+    want = dict(zip(TEXT, brute.repeats(list(TEXT.values()), 400)))
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.remove_repeats(spark, docs, hot_contexts=hot).collect()}
+    assert got == want
+    assert sum(x[1] > 0 for x in want.values()) > 30
+
+
+def test_suffix_dedup_edge_cases(spark, none, odd):
+    assert suffix_dedup.remove_repeats(spark, none).count() == 0
+    rows = odd.collect()
+    want = Counter((r.doc_id, *w) for r, w in zip(rows, brute.repeats([r.text for r in rows], 400)))
+    assert Counter(tuple(r) for r in suffix_dedup.remove_repeats(spark, odd).collect()) == want
+    texts = [(0, "ab" * 600), (1, "c" * 900), (2, "q" * 399), (3, "q" * 399)]
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.remove_repeats(spark, spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got == dict(zip(range(4), brute.repeats([t for _, t in texts], 400)))
+
+
+def test_suffix_dedup_long_text_in_parts(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    raw = rng.integers(97, 123, 60_000).astype(np.uint8)
+    raw[50_000:50_500] = raw[9_700:10_200]
+    whole = suffix_dedup.anchors_of(raw, np.array([0, len(raw)]), 400, 64)
+    tokens = Counter(whole[1].tolist())
+    assert sum(n > 1 for n in tokens.values()) >= 1 and whole[4].sum() == len(raw) - 399
+    parts = [suffix_dedup.anchors_of(raw[a : a + 10_000 + 399], np.array([0, len(raw[a : a + 10_399])]), 400, 64) for a in range(0, len(raw) - 399, 10_000)]
+    assert sum(p[4].sum() for p in parts) == len(raw) - 399
+
+
+def test_secrets(spark, docs, none):
+    for r in secrets.report(spark, docs).collect():
+        base = brute.base_spans(TEXT[r.doc_id])
+        line = ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in base)
+        assert r.base_sha256 == hashlib.sha256(line.encode()).hexdigest()
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == i for _, k, _ in base) for i in range(3)]
+        assert set(line.split(",")) - {""} <= set(r.spans.split(","))
+    assert secrets.report(spark, none).count() == 0
+    out = secrets.redact(spark, docs)
+    assert out.columns == docs.columns and out.count() == len(ROWS)
+    assert all(not brute.base_spans(r.text) for r in out.collect())
+
+
+def test_secrets_network():
+    net = secrets.trained()
+    x, y = secrets.examples(1500, 77)
+    hit = net.probability(x) >= net.threshold
+    assert hit[y == 1].mean() > 0.95 and hit[y == 0].mean() < 0.03
+    tok = "ghp_A9fK2mQ7xLz8PqRs3TuVwXyZ0aBcDeF"
+    found = secrets.scan_texts([f"the ké {tok} is here", "see mail5.example.com or 4839175520193847"], net)
+    assert found == [[(7, 3, 7 + len(tok))], []]
+    x, y = x[:6], y[:6]
+    for name, g in net.gradients(x, y).items():  # against finite differences
+        flat = net.p[name].reshape(-1)
+        k = int(abs(g).reshape(-1).argmax())
+        loss = lambda: float((__import__("numpy").logaddexp(0, net.forward(x)[-1]) - y * net.forward(x)[-1]).mean())
+        old, eps = flat[k], 1e-6
+        flat[k] = old + eps
+        up = loss()
+        flat[k] = old - eps
+        down = loss()
+        flat[k] = old
+        assert abs((up - down) / (2 * eps) - g.reshape(-1)[k]) < 1e-5
+
+
+def test_langid(spark, none):
+    import random
+
+    rng = random.Random(4)
+    rows = []
+    for i in range(400):
+        lang = "aa" if i % 2 else "bb"
+        words = "alpha aqua arma" if lang == "aa" else "büro blüte böse"
+        rows.append((i, " ".join(rng.choice(words.split()) for _ in range(30)), lang))
+    rows += [(400, None, "aa"), (401, "12 !?", "bb"), (402, "", None), (None, "alpha alpha arma", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df)
+    out = {r.doc_id: r for r in langid.identify(spark, df, model).withColumn("held_out", langid.held_out_column()).collect()}
+    assert all(out[i]["__lang_pred"] == lang for i, _, lang in rows[:400])
+    assert [out[i]["__lang_pred"] for i in (400, 401, 402)] == ["und"] * 3 and out[None]["__lang_pred"] == "aa"
+    assert all(r.held_out == (brute.crc("" if r.doc_id is None else str(r.doc_id)) % 4 == 2) for r in out.values())
+    assert all(0 <= r["__score"] <= 1 for r in out.values())
+    few = langid.fit(df, train_docs=40)
+    assert few.langs == ["aa", "bb"]
+    empty = langid.fit(none)
+    assert langid.identify(spark, none, empty).count() == 0
+    assert empty.predict(["abc"]) [0] == ["und"]
+
+
+def test_langid_long_text_scores_like_its_parts():
+    import numpy as np
+
+    table = np.random.default_rng(0).normal(size=(1 << langid.BUCKET_BITS, 2)).astype(np.float32)
+    text = "abc déf " * 1000
+    one = langid.sums_by_row([text], table)
+    old, langid.SEGMENT = langid.SEGMENT, 777
+    try:
+        two = langid.sums_by_row([text, "x"], table)
+    finally:
+        langid.SEGMENT = old
+    assert abs(one[1][0] - two[1][0]) < 60  # parts repeat two characters of context
+
+
+def test_topk(spark):
+    import random
+
+    rng = random.Random(9)
+    rows = [(i, [float(rng.randrange(-3, 4)) for _ in range(4)]) for i in range(300)]
+    rows += [(300, None), (301, [1.0, None, 0.0, 0.0]), (302, [float("nan")] * 4), (303, [float("inf")] * 4), (304, [1.0]), (400, [5.0, 5.0, 5.0, 5.0]), (400, [5.0, 5.0, 5.0, 5.0]), (None, [9.0] * 4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    live = [(i, [int(x * 1024) for x in v]) for i, v in rows if v and None not in v and all(abs(x) < 1e9 for x in v)]
+    want = []
+    for at, (q, v) in enumerate(live):
+        if q is not None and q % 100 == 0:
+            own = [(-sum(a * b for a, b in zip(v, w)), c if c is not None else 10**9, c) for j, (c, w) in enumerate(live) if j != at and len(w) == len(v)]
+            want += [(q, k + 1, c, -s) for k, (s, _, c) in enumerate(sorted(own)[:10])]
+    for tile in (8192, 30):
+        got = topk.top_k(spark, df, F.col("vec_id") % 100 == 0, tile_rows=tile, tile_queries=3)
+        assert Counter((r.query_id, r.rank, r.vec_id, r.score) for r in got.collect()) == Counter(want)
+    assert topk.top_k(spark, df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
+
+
+def test_packing(spark, docs, none, odd):
+    got = packing.pack(spark, docs, capacity=500, group_rows=64).collect()
+    source = {r[0]: r[3] for r in ROWS}
+    bins, pieces = defaultdict(list), defaultdict(list)
+    for r in got:
+        bins[r.group_id, r.bin_id].append(r)
+        pieces[r.doc_id].append((r.start, r.length))
+    for d, t in TEXT.items():
+        at = 0
+        for start, length in sorted(pieces[d]):
+            assert start == at
+            at += length
+        assert at == len(t or "")
+    for own in bins.values():
+        assert sum(r.length for r in own) + own[0].bin_room == 500
+        named = [source[r.doc_id] for r in own if source[r.doc_id]]
+        texts = [brute.lower(TEXT[r.doc_id]) for r in own]
+        assert len(named) == len(set(named)) and len(texts) == len(set(texts))
+    assert packing.pack(spark, none).count() == 0 and packing.pack(spark, odd).count() == odd.count()
+
+
+def test_best_fit_takes_the_tightest_compatible_bin():
+    bins = packing.best_fit([(7, "a", 1), (6, "b", 2), (3, "b", 3), (3, "c", 2)], 10)
+    # The piece (3, c) fits the bin of 6 with its cluster in it, so the full search goes on to none.
+    assert [[p[:2] for p in b[3]] for b in bins] == [[(7, "a"), (3, "b")], [(6, "b")], [(3, "c")]]
+
+
+def test_join_groups_hot_and_cold(spark):
+    rows = spark.createDataFrame([(1, i) for i in range(500)] + [(2, 1), (3, 1), (None, 1)], "k int, v int")
+    groups = spark.createDataFrame([(1, 500, "hot"), (2, 1, "cold")], "k int, n long, tag string")
+    got = Counter((r.k, r.tag) for r in common.join_groups(rows, groups, ["k"], "n", 500).collect())
+    assert got == Counter({(1, "hot"): 500, (2, "cold"): 1, (3, None): 1, (None, None): 1})
+    assert common.join_groups(rows, groups, ["k"], "n", 500, "inner").count() == 501
