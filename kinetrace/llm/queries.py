@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact_dedup, langid, minhash, packing, secrets, sharding, suffix_dedup, token_counts, topk
-from .common import Scratch, read_table
+from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,10 +74,10 @@ QUERIES: dict[str, Query] = {
 ORACLE_SQL: dict[str, str] = {
     "op6_topk": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS e
+            SELECT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS e
             FROM embeddings
             WHERE embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
         ), s AS (
             SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
                    CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
