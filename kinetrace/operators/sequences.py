@@ -180,12 +180,13 @@ def done_episodes(df: DataFrame, by: Sequence[str], order: Sequence[str], done:
     return rows.withColumn(name, F.sum("__before").over(w.rowsBetween(W.unboundedPreceding, 0))).drop("__before")
 
 
-def activity_interval(speeds: DataFrame, ranges: DataFrame, by: Sequence[str], threshold: float, width: int, padding: int, t: str = "t_mid", value: str = "speed", stream: str = "stream") -> DataFrame:
-    """Per key the span of times whose windowed mean speed on any stream exceeds the threshold,
-    clipped to the common range (start, stop), and that span padded and clipped again. Keys without
+def activity_interval(speeds: DataFrame, ranges: DataFrame, by: Sequence[str], threshold: float | str, width: int, padding: int, t: str = "t_mid", value: str = "speed", stream: str = "stream") -> DataFrame:
+    """Per key the span of times whose windowed mean speed on any stream reaches the threshold (a number,
+    or the name of a column), clipped to the common range (start, stop), and that span padded and clipped again. Keys without
     such a time, or whose span is empty, have no row."""
     mean = windowed_mean(speeds.withColumn("__t", F.col(t).cast("long")), [*by, stream], "__t", value, width, "__mean")
-    active = mean.where(F.col("__mean") > threshold).groupBy(*by).agg(F.min("__t").alias("__a"), F.max("__t").alias("__b"))
+    limit = F.col(threshold) if isinstance(threshold, str) else F.lit(threshold)
+    active = mean.where(F.col("__mean") >= limit).groupBy(*by).agg(F.min("__t").alias("__a"), F.max("__t").alias("__b"))
     j = active.join(ranges.select(*by, "start", "stop"), list(by))
     a, b = F.greatest("__a", "start"), F.least("__b", "stop")
     j = j.withColumn("active_start", a).withColumn("active_stop", b)

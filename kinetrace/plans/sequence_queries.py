@@ -39,7 +39,7 @@ def speed_windowed_mean(spark, sf):
 @query(SPEED + f""", m AS (SELECT *, CAST(floor(t_mid) AS BIGINT) AS x, avg(speed) OVER (PARTITION BY user_id ORDER BY CAST(floor(t_mid) AS BIGINT)
         RANGE BETWEEN {12 * HOUR} PRECEDING AND {12 * HOUR} FOLLOWING) AS mean FROM v),
     r AS (SELECT user_id, event_type, min(t) AS lo, max(t) AS hi FROM e GROUP BY ALL), w AS (SELECT user_id, max(lo) AS start, min(hi) AS stop FROM r GROUP BY user_id),
-    a AS (SELECT user_id, min(x) AS a, max(x) AS b FROM m WHERE mean > 30 GROUP BY user_id), j AS (SELECT *, greatest(a, start) AS s, least(b, stop) AS f FROM a JOIN w USING (user_id))
+    a AS (SELECT user_id, min(x) AS a, max(x) AS b FROM m WHERE mean >= 30 GROUP BY user_id), j AS (SELECT *, greatest(a, start) AS s, least(b, stop) AS f FROM a JOIN w USING (user_id))
     SELECT user_id, s AS active_start, f AS active_stop, greatest(s - {HOUR}, start) AS padded_start, least(f + {HOUR}, stop) AS padded_stop FROM j WHERE s < f""")
 def activity_interval(spark, sf):
     v = speeds(spark, sf).withColumn("stream", F.lit("all"))
