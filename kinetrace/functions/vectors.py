@@ -201,7 +201,7 @@ def action_group(chunk: ColumnLike, params: Mapping[str, ColumnLike], mode: str,
     one = min_max if mode == "min_max" else mean_std
     a, b = ("min", "max") if mode == "min_max" else ("mean", "std")
     out = F.transform(rows, lambda v: one(v, params[a], params[b]))
-    return F.transform(out, clipped) if clip else out
+    return F.transform(out, lambda v: clipped(v)) if clip else out
 
 
 def action_group_back(chunk: ColumnLike, params: Mapping[str, ColumnLike], mode: str, reference: ColumnLike | None = None) -> Column:

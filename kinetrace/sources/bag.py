@@ -16,6 +16,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
 
 from .config import ConfigError, load_yaml
@@ -233,5 +234,6 @@ def read(spark: SparkSession, root: str, topics: list[str] | None = None, timest
 def topic_times(spark: SparkSession, root: str, topic: str) -> DataFrame:
     """(bag, seconds) of a topic's messages since the bag's first message of any kind."""
     rows = spark.read.format("bag").load(root).select("bag", "topic", "bag_time_ns")
-    first = rows.groupBy("bag").agg(F.min("bag_time_ns").alias("origin"))
-    return rows.where(F.col("topic") == topic).join(first, "bag").select("bag", ((F.col("bag_time_ns") - F.col("origin")) / 1e9).alias("seconds"))
+    first = F.min("bag_time_ns").over(W.partitionBy("bag"))
+    rows = rows.withColumn("seconds", (F.col("bag_time_ns") - first) / 1e9)
+    return rows.where(F.col("topic") == topic).select("bag", "seconds")
