@@ -159,11 +159,11 @@ def aligned(samples: DataFrame, states: DataFrame, frames: DataFrame, profile: P
 
 def gates(rows: DataFrame, profile: Profile, settings: Settings) -> DataFrame:
     """(episode, frames, reason, warning): the first gate an episode fails, by the gates' order."""
-    streams = list(profile.streams)
-    ns = lambda f: by_stream(streams, lambda s: to_ns(f(s)) if f(s) else None).cast("long")
-    lo, hi = (by_stream(streams, lambda s, f=f: getattr(s, f)).cast("double") for f in ("low", "high"))
-    state, action = F.col("stream").isin(list(settings.state)), F.col("stream").isin(list(settings.action))
-    x = rows.withColumn("max_gap", ns(lambda s: s.max_gap_s)).withColumn("max_age", ns(lambda s: s.max_age_s)).withColumn("lo", lo).withColumn("hi", hi)
+    ns = lambda x: to_ns(x) if x else None
+    table = [(s.key, s.key in settings.state, s.key in settings.action, ns(s.max_gap_s), ns(s.max_age_s), s.low, s.high) for s in profile.streams]
+    limits = rows.sparkSession.createDataFrame(table, "stream string, is_state boolean, is_action boolean, max_gap long, max_age long, lo double, hi double")
+    x = rows.join(F.broadcast(limits), "stream")  # one row per stream of the profile
+    state, action = F.col("is_state"), F.col("is_action")
     rules = (
         (audit.OUT_OF_RANGE, state & F.col("v").isNull()),
         (audit.BRACKET_GAP, state & (F.col("gap") > F.col("max_gap"))),
@@ -213,7 +213,7 @@ def convert(messages: DataFrame, profile: Profile, settings: Settings) -> dict[s
     bounds = activity(samples, profile, settings).persist()
     limit = by_stream(list(profile.streams), lambda s: to_ns(s.max_gap_s) if s.max_gap_s and s.semantic != "image" else None).cast("long")
     gaps = audit.gaps_in_interval(samples, bounds.select(*BY, F.col("active_start").alias("start"), F.col("active_stop").alias("stop")), [*BY, "stream"], "t", 0)
-    holes = gaps.withColumn("limit", limit).where(F.col("gap_stop") - F.col("gap_start") > F.col("limit")).select(*BY).distinct()
+    holes = gaps.withColumn("limit", limit).where(F.col("gap_stop") - F.col("gap_start") > F.col("limit")).select(*BY).distinct().persist()
     whole = bounds.join(holes, BY, "left_anti")
     states = smoothed(samples, whole, profile, settings)
     rows = aligned(samples, states, anchors(samples, whole, profile, settings), profile, settings).persist()
@@ -222,6 +222,6 @@ def convert(messages: DataFrame, profile: Profile, settings: Settings) -> dict[s
     verdict = everyone.join(bounds.select(*BY, F.lit(True).alias("moves")), BY, "left").join(holes.withColumn("hole", F.lit(True)), BY, "left").join(decided, BY, "left")
     reason = F.coalesce("raw", F.when(F.col("moves").isNull(), audit.NO_MOTION), F.when(F.col("hole"), audit.GAP), "reason", F.when(F.col("frames").isNull(), audit.TOO_SHORT))
     verdict = verdict.select(*BY, "frames", reason.alias("reason"), "warning")
-    verdict = verdict.withColumn("status", F.when(F.col("reason").isNotNull(), "REJECT").when(F.col("warning").isNotNull(), "PASS_WITH_WARNING").otherwise("PASS"))
+    verdict = verdict.withColumn("status", F.when(F.col("reason").isNotNull(), "REJECT").when(F.col("warning").isNotNull(), "PASS_WITH_WARNING").otherwise("PASS")).persist()
     frames = vectors(rows, settings).join(verdict.where("status != 'REJECT'").select(*BY), BY, "left_semi")
     return {"audit": report, "activity": bounds, "gates": verdict, "frames": frames, "aligned": rows}
