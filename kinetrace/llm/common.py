@@ -7,8 +7,10 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -35,31 +37,66 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+#: Input bytes for each file of a stored table, and the least number of files.
+FILE_BYTES, MIN_FILES = 32 << 20, 12
+
+
+def width_of(source: DataFrame) -> int:
+    """Partitions enough for tables made from `source`, by the size its plan knows. Large inputs have
+    fewer partitions than that; small ones in many partitions would give as many tiny files."""
+    size = int(str(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return min(max(MIN_FILES, -(-size // FILE_BYTES)), 1_000_000)
+
+
+def dense(docs: DataFrame) -> DataFrame:
+    """docs with tiny partitions put together, without a shuffle."""
+    return docs.coalesce(width_of(docs))
+
+
 class Scratch:
-    """Tables of one operator run, written to the shared folder: they cut lineage, survive lost
-    executors, and are read by several later plans without computing them again."""
+    """Intermediate tables of one operator run, and its result.
+
+    `keep` holds a table on the executors' disks, where it is computed again if an executor is lost;
+    `store` writes it to the shared folder, which cuts lineage and plan, as iterations need. `source` is
+    the operator's input; tables get no more partitions than its size calls for.
+    """
 
-    def __init__(self, spark: SparkSession, name: str):
+    def __init__(self, spark: SparkSession, name: str, source: DataFrame):
         self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+        self.width = width_of(source)
+        self.kept: dict[str, DataFrame] = {}
 
-    def path(self, table: str) -> str:
-        return f"{self.root}/{table}"
+    def pack(self, df: DataFrame, rows: int | None = None) -> DataFrame:
+        """df in fewer partitions, without a shuffle; `rows` is a known bound of its narrow rows."""
+        return df.coalesce(self.width if rows is None else min(self.width, max(4, rows // 250_000)))
 
-    def keep(self, df: DataFrame, table: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(table))
-        return self.spark.read.schema(df.schema).parquet(self.path(table))
+    def keep(self, df: DataFrame, table: str, rows: int | None = None) -> DataFrame:
+        """df, computed now and read from disk by what follows."""
+        out = self.pack(df, rows).persist(StorageLevel.DISK_ONLY)
+        out.count()
+        self.kept[table] = out
+        return out
 
     def drop(self, *tables: str) -> None:
-        """Delete tables that no later plan reads."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        """Free tables that no later plan reads."""
         for table in tables:
-            path = jvm.org.apache.hadoop.fs.Path(self.path(table))
-            path.getFileSystem(conf).delete(path, True)
+            if table in self.kept:
+                self.kept.pop(table).unpersist()
+
+    def store(self, df: DataFrame, table: str, rows: int | None = None) -> DataFrame:
+        """df as a table in the shared folder."""
+        self.pack(df, rows).write.mode("overwrite").parquet(f"{self.root}/{table}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{table}").coalesce(self.width)
+
+    def finish(self, df: DataFrame, table: str = "result") -> DataFrame:
+        """The result as a stored table; all intermediates are freed."""
+        out = self.store(df, table)
+        self.drop(*list(self.kept))
+        return out
 
 
 #: Rows of narrow keys that may be broadcast; beyond it the same join is made by a shuffle.
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 1_000_000
 
 
 def small(df: DataFrame) -> DataFrame:
@@ -82,7 +119,9 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], size: s
     limit = max(total // HOT_SHARE, 64)
     keys = list(keys)
     names = [c for c in groups.columns if c not in keys]
-    hot = groups.where(F.col(size) > limit)
+    # A row that matches nothing keeps the plan the same with and without hot groups.
+    nothing = groups.sparkSession.createDataFrame([tuple(None for _ in groups.columns)], StructType([StructField(f.name, f.dataType) for f in groups.schema]))
+    hot = groups.where(F.col(size) > limit).unionByName(nothing)
     cold = groups.where(F.col(size) <= limit).select(*keys, *[F.col(c).alias(f"__cold_{c}") for c in names])
     first = rows.join(F.broadcast(hot), keys, "left")
     # A row that found its hot group must not be dealt by that key again.

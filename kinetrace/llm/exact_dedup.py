@@ -37,9 +37,9 @@ def survivors(narrow: DataFrame) -> DataFrame:
 
 def group_report(spark: SparkSession, docs: DataFrame, all_digests: bool = True) -> tuple[DataFrame, Scratch]:
     """(doc_id, keep_id, group_size, kept, sha): sha is null where refinement ended before the full
-    hash, unless all_digests asks for every text's. Narrow rows are written once; texts aren't moved.
+    hash, unless all_digests asks for every text's. Narrow rows are computed once; texts aren't moved.
     """
-    scratch = Scratch(spark, "exact-dedup")
+    scratch = Scratch(spark, "exact-dedup", docs)
     if all_digests:
         narrow = scratch.keep(fingerprints(docs, True), "narrow")
         alive = survivors(narrow)
@@ -65,15 +65,14 @@ def group_report(spark: SparkSession, docs: DataFrame, all_digests: bool = True)
     size = F.coalesce("group_size", F.lit(1)).cast("long")
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     out = out.select("doc_id", keep.alias("keep_id"), size.alias("group_size"), keep.eqNullSafe(F.col("doc_id")).alias("kept"), "sha", "len")
-    return out, scratch
+    return scratch.finish(out), scratch
 
 
 def drop_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """docs without the rows that exact deduplication drops, all columns as they were."""
     report, scratch = group_report(spark, docs, all_digests=False)
-    report = scratch.keep(report, "report")
     lost = report.where(~F.col("kept")).select(F.col("doc_id").alias("__lost"), F.col("len").alias("__len"), F.col("sha").alias("__sha")).distinct()
-    lost = scratch.keep(lost, "lost")
+    lost = scratch.store(lost, "lost")
     repeats = report.where("kept and group_size > 1").groupBy("doc_id", "sha").agg(F.count("*").alias("n")).where("n > 1")
     clash = not report.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("kept").alias("a"), F.max("kept").alias("b")).where("n > 1 and a != b").isEmpty()
     if clash:  # an id that names several texts: decide by id and text

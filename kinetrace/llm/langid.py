@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import dense
+
 BUCKET_BITS = 14
 SIZES = (1, 2, 3)
 #: Documents that train the model, about, at most.
@@ -175,4 +177,4 @@ def identify(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
                 langs, scores = shared.value.predict(part.column(at).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*names, "__lang_pred", "__score"])
 
-    return docs.mapInArrow(run, schema)
+    return dense(docs).mapInArrow(run, schema)

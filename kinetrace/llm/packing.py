@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, dense
 
 CAPACITY = 8192
 GROUP_ROWS = 4096
@@ -68,7 +68,7 @@ def items(docs: DataFrame, capacity: int) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS) -> DataFrame:
     """One row per piece (see RESULT): the pieces of a document, in order, cover its text once."""
-    rows = items(docs, capacity)
+    rows = items(dense(docs), capacity)
     total = docs.count()
     n_groups = max(1, -(-total // group_rows))
     rows = rows.withColumn("group_id", F.pmod(F.xxhash64("doc_id", "cluster", F.lit(3)), F.lit(n_groups)).cast("int"))

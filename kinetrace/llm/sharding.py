@@ -113,8 +113,8 @@ def numbered(placed: DataFrame) -> DataFrame:
 def shard_documents(spark: SparkSession, docs: DataFrame, n_shards: int = 8, n_slots: int = N_SLOTS) -> DataFrame:
     """Rows (doc_id, size, text_crc32, shard, position, virtual_slot, part, version), with the map
     written as version 1 beside them in the shared folder."""
-    scratch = Scratch(spark, "sharding")
+    scratch = Scratch(spark, "sharding", docs)
     rows = scratch.keep(records(docs, n_slots), "records")
-    slot_map = scratch.keep(balanced_map(slot_loads(rows, n_shards), n_shards).coalesce(1), "map-v1")
+    slot_map = scratch.store(balanced_map(slot_loads(rows, n_shards), n_shards), "map-v1", rows=0)
     out = numbered(place(rows, slot_map))
-    return out.select("doc_id", "size", "text_crc32", "shard", "position", F.col("slot").alias("virtual_slot"), "part", "version")
+    return scratch.finish(out.select("doc_id", "size", "text_crc32", "shard", "position", F.col("slot").alias("virtual_slot"), "part", "version"))

@@ -188,8 +188,8 @@ def counted_repeats(contexts: DataFrame, length: int, scratch: Scratch) -> DataF
             t = np.arange(len(prints)) - np.repeat(np.cumsum(n) - n, n)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(t.astype(np.int32)), pa.array(prints.view(np.int64))], names=["token", "ctx", "t", "print"])
 
-    each = scratch.keep(contexts.select("token", "ctx", "text").mapInArrow(windows, "token long, ctx long, t int, print long"), "hot-windows")
-    counts = scratch.keep(each.groupBy("print").agg(F.count("*").alias("times")).where("times > 1"), "hot-counts")
+    each = scratch.store(contexts.select("token", "ctx", "text").mapInArrow(windows, "token long, ctx long, t int, print long"), "hot-windows")
+    counts = scratch.store(each.groupBy("print").agg(F.count("*").alias("times")).where("times > 1"), "hot-counts")
     again = join_groups(each, counts, ["print"], "times", each.count(), "inner")
     runs = again.groupBy("token", "ctx").agg(F.array_sort(F.collect_list("t")).alias("t"))
     return runs.select("token", "ctx", F.transform("t", lambda t: F.struct(t.alias("a"), (t + 1).alias("b"))).alias("runs"))
@@ -276,46 +276,46 @@ def without(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) per document."""
-    scratch = Scratch(spark, "suffix-dedup")
+    scratch = Scratch(spark, "suffix-dedup", docs)
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    scanned = scratch.keep(scan(docs, length, gram), "scan")
+    scanned = scratch.store(scan(docs, length, gram), "scan")
     total = scanned.count()
     texts = scanned.groupBy("ka", "kb").agg(F.count("*").alias("copies"), F.min("doc_id").alias("rep"), F.first("n_bytes").alias("n_bytes"), F.first("anchors").alias("anchors"))
-    texts = scratch.keep(texts, "texts")
+    texts = scratch.store(texts, "texts")
     anchors = texts.select("ka", "kb", "rep", "copies", F.explode("anchors").alias("x")).select("ka", "kb", "rep", "copies", "x.*")
     contexts = anchors.groupBy("token", "ctx").agg(F.sum("copies").alias("c"), F.min(F.struct("rep", "ka", "kb", "start", "n")).alias("at"))
-    contexts = scratch.keep(contexts, "contexts")
+    contexts = scratch.store(contexts, "contexts")
     n_contexts = contexts.count()
     n_places = contexts.agg(F.sum("c")).first()[0] or 0
-    tokens = scratch.keep(contexts.groupBy("token").agg(F.count("*").alias("n_ctx")).where("n_ctx > 1"), "tokens")
+    tokens = scratch.store(contexts.groupBy("token").agg(F.count("*").alias("n_ctx")).where("n_ctx > 1"), "tokens", n_contexts)
     needed = join_groups(contexts, tokens, ["token"], "n_ctx", n_contexts, "inner").select("token", "ctx", "n_ctx", "at.*")
-    needed = scratch.keep(needed, "needed")
-    bodies = scratch.keep(contexts_of(needed, docs, length), "bodies")
+    needed = scratch.store(needed, "needed", n_contexts)
+    bodies = scratch.store(contexts_of(needed, docs, length), "bodies")
     runs = bucket_repeats(bodies.where(F.col("n_ctx") <= hot_contexts), length, parts)
     hot = bodies.where(F.col("n_ctx") > hot_contexts)
     if not hot.isEmpty():
         runs = runs.unionByName(counted_repeats(hot, length, scratch))
-    runs = scratch.keep(runs, "runs")
+    runs = scratch.store(runs, "runs", n_contexts)
     # A context that occurs twice is covered whole; for others the runs found in the buckets count.
     whole = contexts.where("c > 1").select("token", "ctx", "c", F.array(F.struct(F.lit(0).alias("a"), F.col("at.n").alias("b"))).alias("runs"))
     once = contexts.where("c = 1").select("token", "ctx", "c").join(runs, ["token", "ctx"])
-    result = scratch.keep(whole.unionByName(once), "result")
+    result = scratch.store(whole.unionByName(once), "result", n_contexts)
     single = anchors.where("copies = 1")
     hits = join_groups(single, result, ["token", "ctx"], "c", n_places, "inner")
     spans = hits.select("rep", "ka", "kb", "start", F.explode("runs").alias("r"))
     covers = spans.groupBy("rep", "ka", "kb").agg(F.collect_list(F.struct((F.col("start") + F.col("r.a")).alias("lo"), (F.col("start") + F.col("r.b") - 1 + length).alias("hi"))).alias("ranges"))
-    covers = scratch.keep(covers, "covers")
-    changed = scratch.keep(removed_from(covers, docs), "changed")
-    scratch.drop("contexts", "tokens", "needed", "bodies", "runs", "result", "covers", "hot-windows", "hot-counts")
+    covers = scratch.store(covers, "covers", total)
+    changed = scratch.store(removed_from(covers, docs), "changed", total)
     verdict = texts.select("ka", "kb", "copies", "n_bytes").join(changed, ["ka", "kb"], "left").drop("n_bytes").where(F.col("n_removed").isNotNull() | (F.col("copies") > 1))
-    verdict = scratch.keep(verdict, "verdict")
+    verdict = scratch.store(verdict, "verdict", total)
     out = join_groups(scanned.drop("anchors"), verdict, ["ka", "kb"], "copies", total)
     gone = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
     pick = lambda full, else_: F.when(gone, full).otherwise(else_)
-    return out.select(
+    out = out.select(
         "doc_id",
         "n_bytes",
         pick(F.col("n_bytes"), F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         pick(F.lit(1), F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         pick(F.lit(SHA_OF_NOTHING), F.coalesce("kept_sha", "sha")).alias("kept_sha256"),
     )
+    return scratch.finish(out)

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import dense
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the public pre-token pattern of this vocabulary.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -153,7 +155,7 @@ def with_trees(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
             kind = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chars, kind), pa.array(tokens, kind), pa.array([sum(t) for t in tokens], pa.int64())], names=[*names, "leaf_chars", "leaf_tokens", "n_tokens"])
 
-    return docs.mapInArrow(run, schema)
+    return dense(docs).mapInArrow(run, schema)
 
 
 EDITED = "doc_id long, n_chars long, n_leaves int, n_tokens long, edited_chars long, edited_tokens long, chars_encoded long"

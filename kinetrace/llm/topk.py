@@ -84,10 +84,10 @@ def top_k(spark: SparkSession, table: DataFrame, is_query, k: int = 10, tile_row
     Both sides are cut into blocks by a hash of vec_id; a tile is a pair of blocks, and each side is
     dealt to its tiles by an equi-join on the tile. A task holds one tile.
     """
-    scratch = Scratch(spark, "topk")
+    scratch = Scratch(spark, "topk", table)
     vectors = scratch.keep(integer_vectors(table), "vectors")
     queries = vectors.where(is_query).withColumn("copy", F.row_number().over(W.partitionBy("vec_id").orderBy("v")) - 1)
-    queries = scratch.keep(queries, "queries")
+    queries = scratch.store(queries, "queries")  # also gives its columns names of their own
     n, m = vectors.count(), queries.count()
     n_blocks, q_blocks = max(1, -(-n // tile_rows)), max(1, -(-m // tile_queries))
     # Rows of one vec_id may be many, so they are dealt by vector too; a query's own row has both.
@@ -112,4 +112,4 @@ def top_k(spark: SparkSession, table: DataFrame, is_query, k: int = 10, tile_row
         tops = tops.withColumn("cb", node)
         tops = tops.withColumn("rank", F.row_number().over(W.partitionBy("query_id", "copy", "cb").orderBy(*best))).where(F.col("rank") <= k).drop("rank")
     tops = tops.withColumn("rank", F.row_number().over(W.partitionBy("query_id", "copy").orderBy(*best))).where(F.col("rank") <= k)
-    return tops.select("query_id", "copy", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return scratch.finish(tops.select("query_id", "copy", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
