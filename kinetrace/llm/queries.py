@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, minhash, packing, secrets, sharding, suffix_dedup, token_counts, topk
+from . import exact_dedup, langid, minhash, packing, pieces, secrets, sharding, suffix_dedup, token_counts, topk
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,10 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_documents(spark, read_table(spark, sf_dir, "documents"), pieces.Model(spark))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(spark, read_table(spark, sf_dir, "documents"))
 
@@ -67,6 +71,7 @@ QUERIES: dict[str, Query] = {
     "op5_langid": op5_langid,
     "op6_topk": op6_topk,
     "op7_secrets": op7_secrets,
+    "op8_pieces": op8_pieces,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
