@@ -27,3 +27,24 @@ def micros(ts: str | Column) -> Column:
     """Microseconds since 1970 of a timestamp without zone, whatever the session's zone."""
     ts = F.col(ts) if isinstance(ts, str) else ts
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), ts)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, for those that can't import it."""
+    import tempfile
+    import zipfile
+    from pathlib import Path
+
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="kinetrace-")) / "kinetrace_package.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted((root / "kinetrace").rglob("*.py")):
+            z.write(f, f.relative_to(root))
+    sc.addPyFile(str(target))
+    _shipped.add(sc.applicationId)
