@@ -125,8 +125,10 @@ def chunks(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, h
     """The value of each row and the horizon - 1 after it; padded with the key's last value, or cut.
     With `every`, rows whose position is a multiple of it only."""
     w = ordered(by, *order)
-    got = F.collect_list(value).over(w.rowsBetween(0, horizon - 1))
-    rows = df.withColumn("__got", got).withColumn("__pos", F.row_number().over(w) - 1)
+    # A struct is null beyond the end alone, whatever the value.
+    one = F.struct(F.col(value).alias("x"))
+    ahead = F.array(one, *[F.lead(one, k).over(w) for k in range(1, horizon)])
+    rows = df.withColumn("__ahead", ahead).withColumn("__pos", F.row_number().over(w) - 1).withColumn("__got", F.array_compact("__ahead").getField("x")).drop("__ahead")
     if pad:
         rows = rows.withColumn(name, F.concat("__got", F.array_repeat(F.element_at("__got", -1), F.lit(horizon) - F.size("__got"))))
     else:
