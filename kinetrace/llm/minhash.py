@@ -1,11 +1,13 @@
 """Near-duplicate detection: banded MinHash, odd sketches, exact confirmation, components.
 
-1. Each text becomes the set of fingerprints of its distinct word shingles. 96 MinHash samples give
-   24 band keys, and are folded into a parity bitmap (odd sketch): each sample toggles one bit.
+1. Each text becomes the set of fingerprints of its distinct word shingles. Of 512 MinHash samples 96
+   give 24 band keys, and all are folded into a parity bitmap (odd sketch): each toggles one bit.
 2. Texts of equal sets are one class with a representative; classes meet in band buckets.
-3. Round 1 pairs each member of a bucket with the bucket's smallest id. Round 2 takes buckets that
-   still hold several components and pairs all members of different components, in tiles. So every
-   pair that shares a bucket is linked, found unlike, or already connected; groups are never
+3. The first round pairs each member of a bucket with the bucket's smallest id. Two more rounds take
+   buckets that still hold several components and compare sketches there tile by tile: one pairs each
+   member with its few nearest in other components, in a share of the buckets, which joins most of
+   what belongs together; the last one takes all buckets and every pair that passes the sketch test.
+   So every pair that shares a bucket is linked, found unlike, or already connected; groups are never
    expanded into all pairs.
 4. The population count of two sketches' XOR estimates a pair's similarity; pairs far below the
    threshold end there. The others are confirmed on the full sets.
@@ -28,15 +30,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, join_groups, mix, prefix_hash, range_hash, small, spans_of, utf8
+from .common import BROADCAST_ROWS, Scratch, join_groups, mix, prefix_hash, range_hash, small, spans_of, utf8
 
 BANDS, ROWS = 24, 4
-SAMPLES = BANDS * ROWS
-SKETCH_BITS = 512
+SAMPLES = 512
+SKETCH_BITS = 2048
 WORDS = 5
 #: Per cent.
 THRESHOLD = 80
-TILE = 512
+TILE = 2048
+#: Nearest members that a member is paired with in the second round, in one bucket of so many.
+NEAREST, ONE_IN = 8, 4
 #: Members of one centre that are confirmed together.
 CONFIRM_ROWS = 256
 BLOCK = 1 << 20
@@ -52,12 +56,11 @@ LOWER[65:91] += 32
 
 
 def sketch_limit(threshold: int) -> int:
-    """The largest XOR count of a pair that may reach the threshold: six standard deviations of the
-    number of differing samples above its mean, then four of the bits."""
+    """The largest XOR count of a pair that may reach the threshold: 3.5 standard deviations of the
+    number of differing samples above its mean, and the bits that so many samples leave odd."""
     s = threshold / 100
-    differ = SAMPLES * (1 - s) + 6 * np.sqrt(SAMPLES * s * (1 - s))
-    odd = SKETCH_BITS / 2 * (1 - (1 - 2 / SKETCH_BITS) ** (2 * differ))
-    return int(np.ceil(odd + 4 * np.sqrt(SKETCH_BITS / 4 * (1 - (1 - 2 / SKETCH_BITS) ** (4 * differ)))))
+    differ = SAMPLES * (1 - s) + 3.5 * np.sqrt(SAMPLES * s * (1 - s))
+    return int(np.ceil(SKETCH_BITS / 2 * (1 - (1 - 2 / SKETCH_BITS) ** (2 * differ))))
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -97,10 +100,10 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> Iterator[
             own = np.sort(acc[a : b - words + 1])
             yield own[np.concatenate([[True], own[1:] != own[:-1]])]
         elif b > a:
-            one = np.uint64(b - a)
+            one = np.array([b - a], np.uint64)
             for h in hashes[a:b]:
                 one = one * step + h
-            yield mix(np.array([one], np.uint64))
+            yield mix(one)
         else:
             yield np.zeros(0, np.uint64)
 
@@ -117,7 +120,7 @@ def samples_of(shingles: np.ndarray) -> np.ndarray:
 
 def band_keys(samples: np.ndarray) -> np.ndarray:
     """Texts x bands, from texts x samples."""
-    part = samples.reshape(len(samples), BANDS, ROWS).astype(np.uint64)
+    part = samples[:, : BANDS * ROWS].reshape(len(samples), BANDS, ROWS).astype(np.uint64)
     key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), part.shape[:2]).copy()
     for k in range(ROWS):
         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + part[:, :, k])
@@ -214,6 +217,9 @@ def confirmed(spark: SparkSession, pairs: DataFrame, docs: DataFrame, words: int
     centres = members.select("g", "centre").distinct().select("g", "centre", F.lit(0).alias("role"), F.col("centre").alias("doc_id"))
     asked = members.unionByName(centres)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    ids = asked.select("doc_id").distinct()
+    if ids.count() <= BROADCAST_ROWS:  # then only the texts asked for are dealt
+        texts = texts.join(F.broadcast(ids), "doc_id", "left_semi")
     rows = asked.join(texts, "doc_id").select("g", "centre", "role", "doc_id", "text")
     rows = rows.repartition("g").sortWithinPartitions("g", "centre", "role", "doc_id")
 
@@ -242,80 +248,88 @@ def confirmed(spark: SparkSession, pairs: DataFrame, docs: DataFrame, words: int
     return rows.mapInArrow(run, "a long, b long")
 
 
-def components(spark: SparkSession, edges: DataFrame, scratch: Scratch) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(doc_id, component_id) of every id on an edge (a, b), the smallest id it reaches."""
-    now = scratch.keep(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc-0")
+    total = edges.count()
+    now = edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    now = scratch.store(now, f"{name}-0", total)
     turn, before = 0, None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-        low = scratch.keep(low.withColumn("m", F.least("u", "m")), f"low-{turn}")
-        total = now.count()
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("u", "m"))
         large = join_groups(both.where("v > u"), low, ["u"], "n", 2 * total).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = scratch.keep(large, f"large-{turn}")
-        low2 = scratch.keep(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), f"low2-{turn}")
-        few = join_groups(large, low2, ["u"], "n", total)
-        following = few.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low2.select("u", F.col("m").alias("v"))).distinct()
-        following = scratch.keep(following, f"cc-{turn + 1}")
-        mark = following.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        scratch.drop(f"low-{turn}", f"large-{turn}", f"low2-{turn}", f"cc-{turn}")
-        now, turn = following, turn + 1
+        large = scratch.store(large, f"{name}-large-{turn}", total)
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        few = join_groups(large, low, ["u"], "n", total)
+        following = few.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct()
+        turn += 1
+        now = scratch.store(following, f"{name}-{turn}", total)
+        mark = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         if mark == before:
             break
-        before = mark
+        before, total = mark, mark.n
     out = now.select(F.col("u").alias("doc_id"), F.col("v").alias("component_id"))
     return out.unionByName(now.select(F.col("v").alias("doc_id"), F.col("v").alias("component_id")).distinct())
 
 
-def second_round(bands: DataFrame, labels: DataFrame, sketches: DataFrame, scratch: Scratch, limit: int) -> DataFrame:
-    """Pairs (a, b) of different components in one bucket that pass the sketch test. A bucket's
-    members of its smallest member's component (A) meet the others (B) only, tile by tile."""
-    marked = bands.join(labels, "doc_id", "left").withColumn("comp", F.coalesce("component_id", "doc_id")).select("key", "doc_id", "comp")
+def unlinked_pairs(members: DataFrame, labels: DataFrame, sketches: DataFrame, scratch: Scratch, limit: int, nearest: int | None) -> DataFrame:
+    """Pairs (a, b) of different components in one bucket that pass the sketch test: all, or of each
+    member the `nearest` in a tile. A member looks among those of smaller components. Small buckets are one tile; of large ones,
+    tiles of the smallest member's component (A) meet tiles of the others (B), and these each other."""
+    scratch.drop("marked", "mixed", "mixed-rows")
+    marked = members.join(labels, "doc_id", "left").select("key", "doc_id", F.coalesce("component_id", "doc_id").alias("comp"))
     marked = scratch.keep(marked, "marked")
     stats = marked.groupBy("key").agg(F.count("*").alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min_by("comp", "doc_id").alias("main"))
-    stats = scratch.keep(stats.where("m > 2 and lo != hi").select("key", "m", "main"), "mixed")
+    stats = scratch.keep(stats.where("lo != hi").select("key", "m", "main"), "mixed")
     rows = join_groups(marked, stats, ["key"], "m", marked.count(), "inner")
-    rows = scratch.keep(rows.withColumn("is_a", F.col("comp") == F.col("main")), "mixed-rows")
-    sizes = rows.groupBy("key").agg(F.count("*").alias("m"), F.ceil(F.sum(F.col("is_a").cast("int")) / TILE).cast("int").alias("na"), F.ceil(F.sum((~F.col("is_a")).cast("int")) / TILE).cast("int").alias("nb"))
-    sizes = scratch.keep(sizes, "mixed-sizes")
-    rows = join_groups(rows.drop("m"), sizes, ["key"], "m", rows.count(), "inner")
+    rows = rows.withColumn("is_a", F.col("comp") == F.col("main"))
+    rows = scratch.keep(rows.join(sketches, "doc_id"), "mixed-rows")
+    small_ones = rows.where(F.col("m") <= TILE).select(F.xxhash64("key").alias("g"), F.lit(0).alias("own"), "key", "doc_id", "comp", "sketch", "bands")
+    large = rows.where(F.col("m") > TILE)
+    sizes = large.groupBy("key").agg(F.ceil(F.sum(F.col("is_a").cast("int")) / TILE).cast("int").alias("na"), F.ceil(F.sum((~F.col("is_a")).cast("int")) / TILE).cast("int").alias("nb"))
+    large = large.join(sizes, "key")
     mine = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.when(F.col("is_a"), F.col("na")).otherwise(F.col("nb"))).cast("int")
-    rows = rows.withColumn("mine", mine)
-    # Tiles of A are numbered -1, -2, ...; a tile pair is (lower, higher).
-    span = lambda a, b: F.when(b > a, F.sequence(a, b - 1)).otherwise(F.array().cast("array<int>"))
-    zero = F.lit(0)
-    to_b = span(zero, F.col("nb"))
-    to_a = F.transform(span(zero, F.col("na")), lambda x: -x - 1)
-    meet = F.explode(F.when(F.col("is_a"), to_b).otherwise(F.concat(to_a, to_b)))
-    rows = rows.withColumn("meet", meet).withColumn("own", F.when(F.col("is_a"), -F.col("mine") - 1).otherwise(F.col("mine")))
-    rows = rows.join(sketches, "doc_id")
-    tiles = rows.select(F.xxhash64("key", F.least("own", "meet"), F.greatest("own", "meet")).alias("g"), "own", "doc_id", "comp", "sketch")
-    tiles = tiles.repartition("g").sortWithinPartitions("g", "own", "doc_id")
+    # Tiles of A are numbered -1, -2, ..., those of B 0, 1, ...
+    span = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    to_b, to_a = span(F.col("nb")), F.transform(span(F.col("na")), lambda x: -x - 1)
+    large = large.withColumn("own", F.when(F.col("is_a"), -mine - 1).otherwise(mine))
+    large = large.withColumn("meet", F.explode(F.when(F.col("is_a"), to_b).otherwise(F.concat(to_a, to_b))))
+    large = large.select(F.xxhash64("key", F.least("own", "meet"), F.greatest("own", "meet")).alias("g"), "own", "key", "doc_id", "comp", "sketch", "bands")
+    tiles = small_ones.unionByName(large).repartition("g").sortWithinPartitions("g", "own", "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups_in(batches, 1):
-            own, ids, comp = (group.column(k).to_numpy() for k in (1, 2, 3))
-            maps = np.frombuffer(b"".join(group.column(4).to_pylist()), np.uint64).reshape(len(ids), -1)
+            own, key, ids, comp = (group.column(k).to_numpy() for k in range(1, 5))
+            maps = np.frombuffer(b"".join(group.column(5).to_pylist()), np.uint64).reshape(len(ids), -1)
+            lists = group.column(6).combine_chunks()
+            bands = lists.values.to_numpy()[lists.offsets[0].as_py() : lists.offsets[-1].as_py()].reshape(len(ids), BANDS)
+            band = int(np.argmax(bands[0] == key[0]))
             first = own == own[0]
-            left, right = (np.flatnonzero(first), np.flatnonzero(~first)) if not first.all() else (np.arange(len(ids)), np.arange(len(ids)))
-            found: list[tuple[np.ndarray, np.ndarray]] = []
-            for i in range(0, len(left), 256):
-                for j in range(0, len(right), 256):
-                    x, y = left[i : i + 256], right[j : j + 256]
-                    near = (np.bitwise_count(maps[x][:, None] ^ maps[y][None, :]).sum(axis=2) <= limit) & (comp[x][:, None] != comp[y][None, :])
-                    p, q = np.nonzero(near)
-                    if len(p):
-                        found.append((ids[x[p]], ids[y[q]]))
-            if found:
-                a, b = (np.concatenate(z) for z in zip(*found))
-                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
+            sides = [(np.arange(len(ids)),) * 2] if first.all() else [(np.flatnonzero(first), np.flatnonzero(~first)), (np.flatnonzero(~first), np.flatnonzero(first))]
+            for mine, others in sides:
+                for i in range(0, len(mine), 32):
+                    x = mine[i : i + 32]
+                    far = np.bitwise_count(maps[x][:, None] ^ maps[others][None, :]).sum(axis=2)
+                    p, q = np.nonzero((far <= limit) & (comp[x][:, None] > comp[others][None, :]))
+                    # A pair counts in the first of the buckets that it shares.
+                    new = ~(bands[x[p], :band] == bands[others[q], :band]).any(axis=1)
+                    p, q = p[new], q[new]
+                    if not len(p):
+                        continue
+                    if nearest is not None:
+                        order = np.lexsort((ids[others[q]], far[p, q], p))
+                        p, q = p[order], q[order]
+                        use = np.arange(len(p)) - np.searchsorted(p, p, "left") < nearest
+                        p, q = p[use], q[use]
+                    a, b = ids[x[p]], ids[others[q]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
 
     return tiles.mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per document."""
-    scratch = Scratch(spark, "minhash")
+    scratch = Scratch(spark, "minhash", docs)
     limit = sketch_limit(threshold)
     table = scratch.keep(signatures(docs, words), "signatures")
     usable = table.where("doc_id is not null and n_shingles > 0")
@@ -326,31 +340,36 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = WORDS, th
     repeated = scratch.keep(members.where("doc_id != rep").select("doc_id", "set_a", "set_b", "rep").distinct(), "repeated")
     same = repeated.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     reps = usable.join(small(repeated.select("doc_id", "set_a", "set_b")), ["doc_id", "set_a", "set_b"], "left_anti")
-    reps = scratch.keep(reps.select("doc_id", "bands", "sketch"), "reps")
-    sketches = reps.select("doc_id", "sketch").distinct()
+    reps = scratch.store(reps.select("doc_id", "bands", "sketch"), "reps")
+    sketches = reps.select("doc_id", "sketch", "bands").distinct()
     bands = reps.select("doc_id", F.explode("bands").alias("key"))
     buckets = bands.groupBy("key").agg(F.count("*").alias("m"), F.min("doc_id").alias("centre"))
     buckets = scratch.keep(buckets.where("m > 1"), "buckets")
     n_bands = reps.count() * BANDS
-    met = scratch.keep(join_groups(bands, buckets, ["key"], "m", n_bands, "inner"), "met")
+    met = scratch.store(join_groups(bands, buckets, ["key"], "m", n_bands, "inner"), "met")
+    n_met = met.count()
     pairs = met.where("doc_id != centre").select(F.col("doc_id").alias("a"), F.col("centre").alias("b")).distinct()
     pairs = pairs.join(sketches.select(F.col("doc_id").alias("a"), F.col("sketch").alias("sa")), "a")
     pairs = pairs.join(sketches.select(F.col("doc_id").alias("b"), F.col("sketch").alias("sb")), "b")
-    pairs = scratch.keep(near_pairs(pairs, limit), "pairs")
-    links = scratch.keep(confirmed(spark, pairs, docs, words, threshold), "links-1")
-    labels = scratch.keep(components(spark, links, scratch), "labels-1")
-    again = second_round(met.where("m > 2").select("key", "doc_id"), labels, sketches, scratch, limit)
-    again = scratch.keep(again.join(pairs, ["a", "b"], "left_anti"), "pairs-2")
-    more = scratch.keep(confirmed(spark, again, docs, words, threshold), "links-2")
-    labels = scratch.keep(components(spark, links.unionByName(more).unionByName(same), scratch), "labels-2")
-    scratch.drop("classes", "repeated", "reps", "buckets", "met", "pairs", "pairs-2", "links-1", "links-2", "labels-1", "marked", "mixed", "mixed-rows", "mixed-sizes")
+    pairs = scratch.store(near_pairs(pairs, limit), "pairs", n_met)
+    links = scratch.store(confirmed(spark, pairs, docs, words, threshold), "links-0", n_met)
+    same = scratch.store(same, "same", n_met)
+    members = met.where("m > 2").select("key", "doc_id")
+    rounds = ((members.where(F.pmod("key", F.lit(ONE_IN)) == 0), NEAREST), (members, None))
+    for turn, (own, nearest) in enumerate(rounds, 1):
+        labels = components(links.unionByName(same), scratch, f"cc{turn}")
+        again = unlinked_pairs(own, labels, sketches, scratch, limit, nearest)
+        fresh = scratch.store(again.join(pairs, ["a", "b"], "left_anti"), f"fresh-{turn}", n_met)
+        found = scratch.store(confirmed(spark, fresh, docs, words, threshold), f"links-{turn}", n_met)
+        pairs, links = pairs.unionByName(fresh), links.unionByName(found)
+    labels = components(links.unionByName(same), scratch, "cc")
     out = table.select("doc_id", "n_shingles").join(labels, "doc_id", "left")
     own = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", own.alias("component_id"), own.eqNullSafe(F.col("doc_id")).alias("kept"))
+    return scratch.finish(out.select("doc_id", "n_shingles", own.alias("component_id"), own.eqNullSafe(F.col("doc_id")).alias("kept")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
     """docs with one document of each group, all columns as they were."""
-    scratch = Scratch(spark, "minhash-drop")
+    scratch = Scratch(spark, "minhash-drop", docs)
     lost = near_duplicates(spark, docs, words, threshold).where(~F.col("kept")).select(F.col("doc_id").alias("__lost")).distinct()
-    return docs.join(small(scratch.keep(lost, "lost")), F.col("doc_id") == F.col("__lost"), "left_anti")
+    return docs.join(small(scratch.store(lost, "lost")), F.col("doc_id") == F.col("__lost"), "left_anti")
