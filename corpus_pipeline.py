@@ -44,10 +44,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on documents; each stage's rows are written to the shared folder and read again."""
-    scratch = Scratch(spark, "pipeline")
+    scratch = Scratch(spark, "pipeline", read_table(spark, sf_dir, "documents"))
     docs = read_table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = scratch.keep(stage(spark, docs, sf_dir), f"{k}-{name}")
-        if k > 1:
-            scratch.drop(f"{k - 1}-{STAGES[k - 1][0]}")
+    for name, stage in STAGES:
+        docs = scratch.store(stage(spark, docs, sf_dir), name)
     return docs
