@@ -10,7 +10,6 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -48,8 +47,20 @@ def width_of(source: DataFrame) -> int:
     return min(max(MIN_FILES, -(-size // FILE_BYTES)), 1_000_000)
 
 
+#: Rows of texts that go to a Python worker at a time; both sides hold a batch outside the JVM's heap.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to BATCH_ROWS, for texts of several thousand bytes each."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def dense(docs: DataFrame) -> DataFrame:
-    """docs with tiny partitions put together, without a shuffle."""
+    """docs with tiny partitions put together, without a shuffle, for Arrow batches of few rows."""
+    small_batches(docs.sparkSession)
     return docs.coalesce(width_of(docs))
 
 
@@ -63,6 +74,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str, source: DataFrame):
         self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+        small_batches(spark)
         self.width = width_of(source)
         self.kept: dict[str, DataFrame] = {}
 
@@ -119,9 +131,10 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], size: s
     limit = max(total // HOT_SHARE, 64)
     keys = list(keys)
     names = [c for c in groups.columns if c not in keys]
-    # A row that matches nothing keeps the plan the same with and without hot groups.
-    nothing = groups.sparkSession.createDataFrame([tuple(None for _ in groups.columns)], StructType([StructField(f.name, f.dataType) for f in groups.schema]))
-    hot = groups.where(F.col(size) > limit).unionByName(nothing)
+    hot = groups.where(F.col(size) > limit)
+    if how == "inner":  # Spark may split a large partition of the second join, whose sides it deals itself
+        cold = groups.where(F.col(size) <= limit)
+        return rows.join(F.broadcast(hot), keys).unionByName(rows.join(cold, keys)).select(*rows.columns, *names)
     cold = groups.where(F.col(size) <= limit).select(*keys, *[F.col(c).alias(f"__cold_{c}") for c in names])
     first = rows.join(F.broadcast(hot), keys, "left")
     # A row that found its hot group must not be dealt by that key again.
@@ -129,8 +142,7 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], size: s
     first = first.select("*", *salt).withColumn("__spread", F.when(F.col(size).isNotNull(), F.monotonically_increasing_id()).otherwise(F.lit(-1)))
     cold = cold.select(*[F.col(k).alias(f"__key_{k}") for k in keys], *[f"__cold_{c}" for c in names], F.lit(-1).cast("long").alias("__spread"))
     out = first.join(cold, [*[f"__key_{k}" for k in keys], "__spread"], "left")
-    out = out.select(*rows.columns, *[F.coalesce(F.col(c), F.col(f"__cold_{c}")).alias(c) for c in names])
-    return out.where(F.col(size).isNotNull()) if how == "inner" else out
+    return out.select(*rows.columns, *[F.coalesce(F.col(c), F.col(f"__cold_{c}")).alias(c) for c in names])
 
 
 def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
