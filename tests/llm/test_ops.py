@@ -81,6 +81,19 @@ def test_exact_dedup(spark, docs, none, odd):
     assert [(d, t[:5]) for d, t in got] == [(1, "other"), (1, "w0 w1"), (3, ""), (4, "w0 w1")]
 
 
+@pytest.mark.parametrize(
+    "rows, want",
+    [
+        ([(None, "A"), (5, "A"), (None, "B unique"), (None, "C unique")], {(None, "B unique"), (None, "C unique"), (5, "A")}),
+        ([(1, "A"), (9, "A"), (1, "B unique")], {(9, "A"), (1, "B unique")}),
+        ([(1, "A"), (9, "A"), (2, "B unique")], {(9, "A"), (2, "B unique")}),
+    ],
+)
+def test_exact_dedup_keeps_unique_texts_under_a_dropped_id(spark, rows, want):
+    got = [tuple(r) for r in exact_dedup.drop_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
 @pytest.mark.parametrize("words", [2, 5])
 def test_minhash(spark, docs, words):
     want = brute.near([(d, t) for d, t in TEXT.items()], words)
