@@ -13,7 +13,8 @@
    threshold end there. The others are confirmed on the full sets.
 5. Components come from alternating large-star and small-star rounds on tables.
 
-Two texts at the threshold of 0.8 share no bucket with a probability of (1 - 0.8^4)^24 = 3e-6.
+Two texts at the threshold of 0.8 share no bucket with a probability of (1 - 0.8^4)^24 = 3e-6; the
+sketch test stops them with a probability of 1e-8 at most.
 
 Defined cases: texts null, empty or without a word have no shingles and link with nothing; texts with
 fewer words than a shingle are one shingle of all their words; rows with a null id are linked with
@@ -24,6 +25,8 @@ an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +38,8 @@ from .common import BROADCAST_ROWS, Scratch, join_groups, mix, prefix_hash, rang
 BANDS, ROWS = 24, 4
 SAMPLES = 512
 SKETCH_BITS = 2048
+#: Probability that the sketch test stops a pair at the threshold.
+MISS = 1e-8
 WORDS = 5
 #: Per cent.
 THRESHOLD = 80
@@ -55,12 +60,22 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+@lru_cache
 def sketch_limit(threshold: int) -> int:
-    """The largest XOR count of a pair that may reach the threshold: 3.5 standard deviations of the
-    number of differing samples above its mean, and the bits that so many samples leave odd."""
+    """The least XOR count that a pair at the threshold exceeds with a probability of MISS at most:
+    of the exact distribution, where the number of differing samples is binomial and each of them
+    toggles two bits, which may cancel others."""
     s = threshold / 100
-    differ = SAMPLES * (1 - s) + 3.5 * np.sqrt(SAMPLES * s * (1 - s))
-    return int(np.ceil(SKETCH_BITS / 2 * (1 - (1 - 2 / SKETCH_BITS) ** (2 * differ))))
+    share = [comb(SAMPLES, d) * (1 - s) ** d * s ** (SAMPLES - d) for d in range(SAMPLES + 1)]
+    odd = np.arange(SKETCH_BITS + 1) / SKETCH_BITS
+    now, mixed = np.zeros(SKETCH_BITS + 1), np.zeros(SKETCH_BITS + 1)
+    now[0] = 1
+    for p in share:
+        mixed += p * now
+        for _ in range(2):
+            now = np.append(0, (now * (1 - odd))[:-1]) + np.append((now * odd)[1:], 0)
+    above = np.append(mixed[::-1].cumsum()[::-1][1:], 0)
+    return int(np.argmax(above <= MISS))
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -137,6 +137,24 @@ def test_odd_sketch_estimates():
         assert abs(minhash.similarity_estimate(maps[0], maps[1]) - share) < 0.15
 
 
+def test_minhash_links_pairs_at_the_threshold_with_far_sketches(spark):
+    """Pairs of 5 and 4 shingles at exactly 0.8; of 6,000 those with the farthest sketches are looked up."""
+    import numpy as np
+
+    texts = [" ".join(f"p{i}w{k}" for k in range(6)) for i in range(6000)]
+    texts = [x for t in texts for x in (t, t.rsplit(" ", 1)[0])]
+    raw = "".join(texts).encode()
+    sets = list(minhash.shingle_sets(np.frombuffer(raw, np.uint8), np.cumsum([0, *map(len, texts)]), 2))
+    samples = np.stack([minhash.samples_of(s) for s in sets])
+    maps, keys = minhash.odd_sketches(samples), minhash.band_keys(samples)
+    far = np.bitwise_count(maps[::2] ^ maps[1::2]).sum(axis=1) * (keys[::2] == keys[1::2]).any(axis=1)
+    worst = np.flatnonzero(far > 237)
+    assert 1 <= len(worst) <= 20 and len(sets[0]) == 5 and len(sets[1]) == 4
+    rows = [(int(2 * i + j), texts[2 * i + j]) for i in worst for j in (0, 1)]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()}
+    assert got == {d: d - d % 2 for d, _ in rows}
+
+
 @pytest.mark.parametrize("hot", [20000, 2])
 def test_suffix_dedup(spark, docs, hot):
     want = dict(zip(TEXT, brute.repeats(list(TEXT.values()), 400)))
