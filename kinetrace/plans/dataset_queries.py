@@ -89,6 +89,12 @@ def normalize_instruction(spark, sf):
     return rows.select("doc_id", scalars.instruction("text").alias("instruction"))
 
 
+@query()
+def normalize_instruction_unicode(spark, sf):
+    """Every document's text; no SQL, as the engines' word characters differ beyond ASCII."""
+    return table(spark, sf, "documents").select("doc_id", scalars.instruction("text").alias("instruction"))
+
+
 @query("SELECT source, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars, round(avg(n_chars), 6) AS mean_length, round(median(n_chars), 6) AS median_length, count(DISTINCT lang) AS langs FROM documents GROUP BY source")
 def dataset_summary(spark, sf):
     d = table(spark, sf, "documents")
