@@ -45,8 +45,9 @@ def task_mapping(spark, sf):
     SELECT episode, count(*) AS n, sum(l_quantity) AS quantity FROM l JOIN e ON index >= from_index AND index < to_index GROUP BY episode""")
 def split_ranges(spark, sf):
     order = W.orderBy("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate")
-    rows = table(spark, sf, "lineitem").withColumn("index", F.row_number().over(order) - 1)
-    e = spark.range(60).selectExpr("id episode", "id * 1000 from_index", "id * 1000 + 700 to_index")
+    lines = table(spark, sf, "lineitem")
+    rows = lines.withColumn("index", F.row_number().over(order) - 1)
+    e = spark.range(-(-lines.count() // 1000)).selectExpr("id episode", "id * 1000 from_index", "id * 1000 + 700 to_index")
     return etl.split_ranges(rows, e).groupBy("episode").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantity"))
 
 

@@ -3,6 +3,13 @@
 from kinetrace.plans import catalog
 
 
+def test_split_ranges_reaches_the_last_rows(spark, tmp_path):
+    lines = spark.range(61_500).selectExpr("id l_orderkey", "1L l_partkey", "1L l_suppkey", "1 l_linenumber", "2.0D l_quantity", "1.0D l_extendedprice", "date'2024-01-01' l_shipdate")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = {r.episode: (r.n, r.quantity) for r in catalog.QUERIES["split_ranges"](spark, str(tmp_path)).collect()}
+    assert got == {e: (700, 1400.0) for e in range(61)} | {61: (500, 1000.0)}
+
+
 def test_normalize_instruction_unicode_keeps_all_documents(spark, tmp_path):
     texts = {1: "Pick UP, the cup!", 2: "Öffne die TÜR – «schnell»…", 3: "把 红色_方块 放好。", 4: "café No. 5", 5: None, 6: "", 7: "ДАЙ мне: ключ-42?"}
     want = {1: "pick up the cup", 2: "öffne die tür  schnell", 3: "把 红色_方块 放好", 4: "café no 5", 5: None, 6: "", 7: "дай мне ключ42"}
