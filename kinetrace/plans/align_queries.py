@@ -259,6 +259,6 @@ def subtask_range_join(spark, sf):
     frame = (F.row_number().over(W.partitionBy("user_id").orderBy("t", "event_id")) - 1).cast("long")
     frames = rows.select("user_id", "event_id", frame.alias("frame"))
     n = frames.groupBy("user_id").agg(F.count("*").alias("n"))
-    k = F.explode(F.sequence(F.lit(0), F.lit(49)))
-    intervals = n.select("user_id", "n", k.alias("k")).where("k * 10 < n").selectExpr("user_id", "cast(k as long) k", "cast(k * 10 as long) start", "cast(k * 10 + 15 as long) stop")
+    k = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / 10)))
+    intervals = n.select("user_id", k.alias("k")).selectExpr("user_id", "k", "k * 10 start", "k * 10 + 15 stop")
     return asof.in_intervals(frames, intervals, ["user_id"], "frame", "start", "stop").select("user_id", "frame", "k", "event_id")

@@ -1,8 +1,19 @@
 """Queries on made tables beyond the sizes and characters of the driver's smallest ones."""
 
+import datetime
+
 from kinetrace.plans import catalog
 
 
+def test_subtask_range_join_covers_a_long_episode(spark, tmp_path):
+    first = datetime.datetime(2024, 1, 1)
+    rows = [(i, first + datetime.timedelta(minutes=i), 1 if i < 1203 else 2, "click", 1.0) for i in range(1210)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double").write.parquet(f"{tmp_path}/events.parquet")
+    got = {tuple(r) for r in catalog.QUERIES["subtask_range_join"](spark, str(tmp_path)).collect()}
+    want = {(u, f, k, f + (1203 if u == 2 else 0)) for u, n in ((1, 1203), (2, 7)) for f in range(n) for k in range(-(-n // 10)) if k * 10 <= f < k * 10 + 15}
+    assert got == want and max(k for _, _, k, _ in got) == 120
+
+
 def test_split_ranges_reaches_the_last_rows(spark, tmp_path):
     lines = spark.range(61_500).selectExpr("id l_orderkey", "1L l_partkey", "1L l_suppkey", "1 l_linenumber", "2.0D l_quantity", "1.0D l_extendedprice", "date'2024-01-01' l_shipdate")
     lines.write.parquet(f"{tmp_path}/lineitem.parquet")
