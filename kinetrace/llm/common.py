@@ -77,6 +77,7 @@ class Scratch:
         small_batches(spark)
         self.width = width_of(source)
         self.kept: dict[str, DataFrame] = {}
+        self.stored: set[str] = set()
 
     def pack(self, df: DataFrame, rows: int | None = None) -> DataFrame:
         """df in fewer partitions, without a shuffle; `rows` is a known bound of its narrow rows."""
@@ -97,15 +98,25 @@ class Scratch:
 
     def store(self, df: DataFrame, table: str, rows: int | None = None) -> DataFrame:
         """df as a table in the shared folder."""
+        self.stored.add(table)
         self.pack(df, rows).write.mode("overwrite").parquet(f"{self.root}/{table}")
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{table}").coalesce(self.width)
 
     def finish(self, df: DataFrame, table: str = "result") -> DataFrame:
-        """The result as a stored table; all intermediates are freed."""
+        """The result as a stored table; all intermediates are freed, stored ones deleted."""
         out = self.store(df, table)
         self.drop(*list(self.kept))
+        self.delete(*(self.stored - {table}))
         return out
 
+    def delete(self, *tables: str) -> None:
+        """Remove stored tables that no later plan reads."""
+        jvm, conf = self.spark._jvm, self.spark._jsparkSession.sessionState().newHadoopConf()
+        for table in tables:
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}")
+            path.getFileSystem(conf).delete(path, True)
+            self.stored.discard(table)
+
 
 #: Rows of narrow keys that may be broadcast; beyond it the same join is made by a shuffle.
 BROADCAST_ROWS = 1_000_000

@@ -3,15 +3,15 @@
 1. Each text becomes the set of fingerprints of its distinct word shingles. Of 512 MinHash samples 96
    give 24 band keys, and all are folded into a parity bitmap (odd sketch): each toggles one bit.
 2. Texts of equal sets are one class with a representative; classes meet in band buckets.
-3. The first round pairs each member of a bucket with the bucket's smallest id. Two more rounds take
-   buckets that still hold several components and compare sketches there tile by tile: one pairs each
-   member with its few nearest in other components, in a share of the buckets, which joins most of
-   what belongs together; the last one takes all buckets and every pair that passes the sketch test.
-   So every pair that shares a bucket is linked, found unlike, or already connected; groups are never
-   expanded into all pairs.
-4. The population count of two sketches' XOR estimates a pair's similarity; pairs far below the
-   threshold end there. The others are confirmed on the full sets.
-5. Components come from alternating large-star and small-star rounds on tables.
+3. The first round pairs each member of a bucket with the bucket's smallest id. The population count
+   of two sketches' XOR estimates a pair's similarity; pairs far below the threshold end there, and
+   the others are confirmed on the full sets.
+4. Buckets that still hold documents of several labels (smallest linked ids) are searched tile by
+   tile. A tile first compares sketches and keeps the members that have a partner under another label;
+   their texts are then dealt to the tile, which confirms on full sets, joins what it links in a
+   union-find, and emits the links that joined something: fewer than it has members. So every pair
+   that shares a bucket is linked, found unlike, or already connected, and no pairs leave a tile.
+5. Components come from alternating large-star and small-star rounds on tables, over representatives.
 
 Two texts at the threshold of 0.8 share no bucket with a probability of (1 - 0.8^4)^24 = 3e-6; the
 sketch test stops them with a probability of 1e-8 at most.
@@ -43,9 +43,8 @@ MISS = 1e-8
 WORDS = 5
 #: Per cent.
 THRESHOLD = 80
-TILE = 2048
-#: Nearest members that a member is paired with in the second round, in one bucket of so many.
-NEAREST, ONE_IN = 8, 4
+#: Members, and their shingles, of one side of a tile.
+TILE, TILE_SHINGLES = 1024, 1 << 21
 #: Members of one centre that are confirmed together.
 CONFIRM_ROWS = 256
 BLOCK = 1 << 20
@@ -222,6 +221,13 @@ def groups_in(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table
         yield pa.Table.from_batches(held)
 
 
+def asked_texts(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """(doc_id, text) of the ids. While they are few they travel to the texts, so that only texts asked
+    for are dealt."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return texts.join(F.broadcast(ids), "doc_id", "left_semi") if ids.count() <= BROADCAST_ROWS else texts
+
+
 def confirmed(spark: SparkSession, pairs: DataFrame, docs: DataFrame, words: int, threshold: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold. b is the centre; a centre's members are
     confirmed CONFIRM_ROWS or so at a time, so a centre of many is spread over many groups."""
@@ -231,10 +237,7 @@ def confirmed(spark: SparkSession, pairs: DataFrame, docs: DataFrame, words: int
     members = salted.select(F.xxhash64("b", "part").alias("g"), F.col("b").alias("centre"), F.lit(1).alias("role"), F.col("a").alias("doc_id"))
     centres = members.select("g", "centre").distinct().select("g", "centre", F.lit(0).alias("role"), F.col("centre").alias("doc_id"))
     asked = members.unionByName(centres)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ids = asked.select("doc_id").distinct()
-    if ids.count() <= BROADCAST_ROWS:  # then only the texts asked for are dealt
-        texts = texts.join(F.broadcast(ids), "doc_id", "left_semi")
+    texts = asked_texts(asked.select("doc_id").distinct(), docs)
     rows = asked.join(texts, "doc_id").select("g", "centre", "role", "doc_id", "text")
     rows = rows.repartition("g").sortWithinPartitions("g", "centre", "role", "doc_id")
 
@@ -287,59 +290,130 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     return out.unionByName(now.select(F.col("v").alias("doc_id"), F.col("v").alias("component_id")).distinct())
 
 
-def unlinked_pairs(members: DataFrame, labels: DataFrame, sketches: DataFrame, scratch: Scratch, limit: int, nearest: int | None) -> DataFrame:
-    """Pairs (a, b) of different components in one bucket that pass the sketch test: all, or of each
-    member the `nearest` in a tile. A member looks among those of smaller components. Small buckets are one tile; of large ones,
-    tiles of the smallest member's component (A) meet tiles of the others (B), and these each other."""
-    scratch.drop("marked", "mixed", "mixed-rows")
-    marked = members.join(labels, "doc_id", "left").select("key", "doc_id", F.coalesce("component_id", "doc_id").alias("comp"))
+def linked_labels(links: DataFrame, scratch: Scratch, rows: int) -> DataFrame:
+    """(doc_id, comp): for each linked id a smaller id that it is connected with, by the smallest link
+    and that one's smallest link. Equal labels mean connected, different ones nothing."""
+    first = scratch.store(links.groupBy("a").agg(F.min("b").alias("p")), "first-labels", rows)
+    above = first.join(first.select("p").distinct().select(F.col("p").alias("a")), "a", "left_semi").select(F.col("a").alias("p"), F.col("p").alias("pp"))
+    above = scratch.store(above, "second-labels", rows)
+    return first.join(small(above), "p", "left").select(F.col("a").alias("doc_id"), F.coalesce("pp", "p").alias("comp"))
+
+
+TILE_COLUMNS = ("g", "own", "key", "doc_id", "comp", "sketch", "bands")
+
+
+def mixed_tiles(members: DataFrame, labels: DataFrame, sketches: DataFrame, scratch: Scratch) -> DataFrame:
+    """TILE_COLUMNS of the buckets that hold several labels. Small buckets are one tile; of large ones,
+    tiles of the smallest member's label (A) meet tiles of the others (B), and these each other. `own`
+    numbers a tile's sides: those of A -1, -2, ..., those of B 0, 1, ..."""
+    marked = members.join(labels, "doc_id", "left").select("key", "doc_id", F.coalesce("comp", "doc_id").alias("comp"))
     marked = scratch.keep(marked, "marked")
     stats = marked.groupBy("key").agg(F.count("*").alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min_by("comp", "doc_id").alias("main"))
     stats = scratch.keep(stats.where("lo != hi").select("key", "m", "main"), "mixed")
     rows = join_groups(marked, stats, ["key"], "m", marked.count(), "inner")
-    rows = rows.withColumn("is_a", F.col("comp") == F.col("main"))
+    rows = rows.withColumn("is_a", F.col("comp") == F.col("main")).drop("m", "main")
     rows = scratch.keep(rows.join(sketches, "doc_id"), "mixed-rows")
-    small_ones = rows.where(F.col("m") <= TILE).select(F.xxhash64("key").alias("g"), F.lit(0).alias("own"), "key", "doc_id", "comp", "sketch", "bands")
-    large = rows.where(F.col("m") > TILE)
-    sizes = large.groupBy("key").agg(F.ceil(F.sum(F.col("is_a").cast("int")) / TILE).cast("int").alias("na"), F.ceil(F.sum((~F.col("is_a")).cast("int")) / TILE).cast("int").alias("nb"))
-    large = large.join(sizes, "key")
+    parts = lambda own: F.ceil(F.greatest(F.sum(own.cast("long")) / TILE, F.sum(F.when(own, F.col("n_shingles")).otherwise(0)) / TILE_SHINGLES)).cast("int")
+    sizes = rows.groupBy("key").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("total"), parts(F.col("is_a")).alias("na"), parts(~F.col("is_a")).alias("nb"))
+    sizes = scratch.keep(sizes.where((F.col("m") > TILE) | (F.col("total") > TILE_SHINGLES)).drop("total"), "tile-sizes")
+    spread = join_groups(rows, sizes, ["key"], "m", rows.count())
     mine = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.when(F.col("is_a"), F.col("na")).otherwise(F.col("nb"))).cast("int")
-    # Tiles of A are numbered -1, -2, ..., those of B 0, 1, ...
+    own = F.when(F.col("na").isNull(), 0).when(F.col("is_a"), -mine - 1).otherwise(mine)
     span = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
     to_b, to_a = span(F.col("nb")), F.transform(span(F.col("na")), lambda x: -x - 1)
-    large = large.withColumn("own", F.when(F.col("is_a"), -mine - 1).otherwise(mine))
-    large = large.withColumn("meet", F.explode(F.when(F.col("is_a"), to_b).otherwise(F.concat(to_a, to_b))))
-    large = large.select(F.xxhash64("key", F.least("own", "meet"), F.greatest("own", "meet")).alias("g"), "own", "key", "doc_id", "comp", "sketch", "bands")
-    tiles = small_ones.unionByName(large).repartition("g").sortWithinPartitions("g", "own", "doc_id")
+    meet = F.when(F.col("na").isNull(), F.array(F.lit(0))).when(F.col("is_a"), to_b).otherwise(F.concat(to_a, to_b))
+    spread = spread.withColumn("own", own.cast("int")).withColumn("meet", F.explode(meet))
+    return spread.withColumn("g", F.xxhash64("key", F.least("own", "meet"), F.greatest("own", "meet"))).select(*TILE_COLUMNS)
+
+
+class Tile:
+    """The members of one tile, as their columns; rows are sorted by side."""
+
+    def __init__(self, group: pa.Table, limit: int):
+        own, key, self.ids, self.comp = (group.column(k).to_numpy() for k in range(1, 5))
+        self.maps = np.frombuffer(b"".join(group.column(5).to_pylist()), np.uint64).reshape(len(self.ids), -1)
+        lists = group.column(6).combine_chunks()
+        self.bands = lists.values.to_numpy()[lists.offsets[0].as_py() : lists.offsets[-1].as_py()].reshape(len(self.ids), BANDS)
+        self.band = int(np.argmax(self.bands[0] == key[0]))
+        self.first = own == own[0]
+        self.limit = limit
+
+    def candidates(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(p, q) places of pairs that are to be confirmed, block by block: under different labels,
+        passed by the sketch test, and in this bucket as the first of those that they share."""
+        every = np.arange(len(self.ids))
+        mine, others = (every, every) if self.first.all() else (every[self.first], every[~self.first])
+        for i in range(0, len(mine), 32):
+            x = mine[i : i + 32]
+            far = np.bitwise_count(self.maps[x][:, None] ^ self.maps[others][None, :]).sum(axis=2)
+            ahead = (x[:, None] < others[None, :]) & (self.comp[x][:, None] != self.comp[others][None, :])
+            p, q = np.nonzero((far <= self.limit) & ahead)
+            p, q = x[p], others[q]
+            new = ~(self.bands[p, : self.band] == self.bands[q, : self.band]).any(axis=1)
+            yield p[new], q[new]
+
+    def links(self, sets: list[np.ndarray], threshold: int) -> tuple[list[int], list[int]]:
+        """Places of confirmed pairs that join two labels which nothing in this tile joined before."""
+        size = np.array([len(s) for s in sets])
+        ends = np.cumsum(size)
+        _, known = np.unique(np.concatenate(sets), return_inverse=True)
+        held = np.zeros(len(known) + 1, bool)
+        label = np.unique(self.comp, return_inverse=True)[1]
+        out_p, out_q = [], []
+        for p, q in self.candidates():
+            some = (size[p] > 0) & (size[q] > 0)
+            p, q = p[some], q[some]
+            for i in np.unique(p):
+                partners = q[p == i]
+                mine = known[ends[i] - size[i] : ends[i]]
+                held[mine] = True
+                while len(partners := partners[label[partners] != label[i]]):
+                    now, partners = partners[:64], partners[64:]
+                    n = size[now]
+                    at = np.arange(n.sum()) + np.repeat(ends[now] - np.cumsum(n), n)
+                    both = np.add.reduceat(held[known[at]].astype(np.int64), np.cumsum(n) - n)
+                    for j in now[100 * both >= threshold * (size[i] + n - both)]:
+                        if label[i] != label[j]:
+                            label[label == label[j]] = label[i]
+                            out_p.append(int(i))
+                            out_q.append(int(j))
+                held[mine] = False
+        return out_p, out_q
+
+
+def with_partners(tiles: DataFrame, limit: int) -> DataFrame:
+    """The rows of tiles that have a pair to confirm."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups_in(batches, 1):
-            own, key, ids, comp = (group.column(k).to_numpy() for k in range(1, 5))
-            maps = np.frombuffer(b"".join(group.column(5).to_pylist()), np.uint64).reshape(len(ids), -1)
-            lists = group.column(6).combine_chunks()
-            bands = lists.values.to_numpy()[lists.offsets[0].as_py() : lists.offsets[-1].as_py()].reshape(len(ids), BANDS)
-            band = int(np.argmax(bands[0] == key[0]))
-            first = own == own[0]
-            sides = [(np.arange(len(ids)),) * 2] if first.all() else [(np.flatnonzero(first), np.flatnonzero(~first)), (np.flatnonzero(~first), np.flatnonzero(first))]
-            for mine, others in sides:
-                for i in range(0, len(mine), 32):
-                    x = mine[i : i + 32]
-                    far = np.bitwise_count(maps[x][:, None] ^ maps[others][None, :]).sum(axis=2)
-                    p, q = np.nonzero((far <= limit) & (comp[x][:, None] > comp[others][None, :]))
-                    # A pair counts in the first of the buckets that it shares.
-                    new = ~(bands[x[p], :band] == bands[others[q], :band]).any(axis=1)
-                    p, q = p[new], q[new]
-                    if not len(p):
-                        continue
-                    if nearest is not None:
-                        order = np.lexsort((ids[others[q]], far[p, q], p))
-                        p, q = p[order], q[order]
-                        use = np.arange(len(p)) - np.searchsorted(p, p, "left") < nearest
-                        p, q = p[use], q[use]
-                    a, b = ids[x[p]], ids[others[q]]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
-
-    return tiles.mapInArrow(run, "a long, b long").distinct()
+            tile = Tile(group, limit)
+            asked = np.zeros(len(tile.ids), bool)
+            for p, q in tile.candidates():
+                asked[p] = asked[q] = True
+            if asked.any():
+                yield from group.filter(pa.array(asked)).to_batches()
+
+    return tiles.repartition("g").sortWithinPartitions("g", "own", "doc_id").mapInArrow(run, tiles.schema)
+
+
+def tile_links(asked: DataFrame, docs: DataFrame, words: int, threshold: int, limit: int) -> DataFrame:
+    """Links (a, b), a > b, that join labels, confirmed on the full sets of the tiles' members."""
+    texts = asked_texts(asked.select("doc_id").distinct(), docs)
+    rows = asked.join(texts, "doc_id").select(*TILE_COLUMNS, "text").repartition("g").sortWithinPartitions("g", "own", "doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups_in(batches, 1):
+            tile = Tile(group, limit)
+            data, offsets = utf8(group.column(len(TILE_COLUMNS)))
+            sets: list[np.ndarray] = []
+            for i, j in spans_of(offsets, 4 * BLOCK):
+                sets += shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], words)
+            p, q = tile.links(sets, threshold)
+            if p:
+                a, b = tile.ids[p], tile.ids[q]
+                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
@@ -353,34 +427,34 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = WORDS, th
     total = usable.count()
     members = join_groups(usable.select("doc_id", "set_a", "set_b"), classes, ["set_a", "set_b"], "copies", total, "inner")
     repeated = scratch.keep(members.where("doc_id != rep").select("doc_id", "set_a", "set_b", "rep").distinct(), "repeated")
-    same = repeated.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     reps = usable.join(small(repeated.select("doc_id", "set_a", "set_b")), ["doc_id", "set_a", "set_b"], "left_anti")
-    reps = scratch.store(reps.select("doc_id", "bands", "sketch"), "reps")
-    sketches = reps.select("doc_id", "sketch", "bands").distinct()
+    reps = scratch.store(reps.select("doc_id", "n_shingles", "bands", "sketch"), "reps")
+    sketches = reps.select("doc_id", "n_shingles", "sketch", "bands").distinct()
     bands = reps.select("doc_id", F.explode("bands").alias("key"))
     buckets = bands.groupBy("key").agg(F.count("*").alias("m"), F.min("doc_id").alias("centre"))
     buckets = scratch.keep(buckets.where("m > 1"), "buckets")
-    n_bands = reps.count() * BANDS
-    met = scratch.store(join_groups(bands, buckets, ["key"], "m", n_bands, "inner"), "met")
+    met = scratch.store(join_groups(bands, buckets, ["key"], "m", reps.count() * BANDS, "inner"), "met")
     n_met = met.count()
     pairs = met.where("doc_id != centre").select(F.col("doc_id").alias("a"), F.col("centre").alias("b")).distinct()
     pairs = pairs.join(sketches.select(F.col("doc_id").alias("a"), F.col("sketch").alias("sa")), "a")
     pairs = pairs.join(sketches.select(F.col("doc_id").alias("b"), F.col("sketch").alias("sb")), "b")
     pairs = scratch.store(near_pairs(pairs, limit), "pairs", n_met)
-    links = scratch.store(confirmed(spark, pairs, docs, words, threshold), "links-0", n_met)
-    same = scratch.store(same, "same", n_met)
-    members = met.where("m > 2").select("key", "doc_id")
-    rounds = ((members.where(F.pmod("key", F.lit(ONE_IN)) == 0), NEAREST), (members, None))
-    for turn, (own, nearest) in enumerate(rounds, 1):
-        labels = components(links.unionByName(same), scratch, f"cc{turn}")
-        again = unlinked_pairs(own, labels, sketches, scratch, limit, nearest)
-        fresh = scratch.store(again.join(pairs, ["a", "b"], "left_anti"), f"fresh-{turn}", n_met)
-        found = scratch.store(confirmed(spark, fresh, docs, words, threshold), f"links-{turn}", n_met)
-        pairs, links = pairs.unionByName(fresh), links.unionByName(found)
-    labels = components(links.unionByName(same), scratch, "cc")
-    out = table.select("doc_id", "n_shingles").join(labels, "doc_id", "left")
-    own = F.coalesce("component_id", "doc_id")
-    return scratch.finish(out.select("doc_id", "n_shingles", own.alias("component_id"), own.eqNullSafe(F.col("doc_id")).alias("kept")))
+    links = scratch.store(confirmed(spark, pairs, docs, words, threshold), "links", n_met)
+    tiles = mixed_tiles(met.where("m > 2").select("key", "doc_id").distinct(), linked_labels(links, scratch, n_met), sketches, scratch)
+    asked = scratch.store(with_partners(tiles, limit), "asked", n_met)
+    more = scratch.store(tile_links(asked, docs, words, threshold, limit), "more-links", n_met)
+    # Copies take their representative's component; an id that names several texts also joins their classes.
+    several = usable.groupBy("doc_id").agg(F.min("set_a").alias("lo"), F.max("set_a").alias("hi")).where("lo != hi").select("doc_id")
+    joined = repeated.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    labels = components(links.unionByName(more).unionByName(joined), scratch, "cc")
+    own = classes.join(labels.withColumnRenamed("doc_id", "rep"), "rep", "left")
+    own = scratch.keep(own.select("set_a", "set_b", "copies", F.coalesce("component_id", "rep").alias("of_class")), "class-labels")
+    rows = table.select("doc_id", "n_shingles", "set_a", "set_b")
+    out = join_groups(rows.where("doc_id is not null"), own, ["set_a", "set_b"], "copies", total).join(labels, "doc_id", "left")
+    comp = F.coalesce("component_id", "of_class", "doc_id")
+    out = out.select("doc_id", "n_shingles", comp.alias("component_id"), comp.eqNullSafe(F.col("doc_id")).alias("kept"))
+    nameless = rows.where("doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+    return scratch.finish(out.unionByName(nameless))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
