@@ -17,6 +17,7 @@ from ..functions.rotations import quat_unit, quat_valid
 from ..functions.scalars import NS, logical_time, to_ns
 from ..functions.vectors import finite, in_range, part
 from ..operators import asof, audit, sequences, signal
+from ..session import staged
 from ..sources.config import Profile, Stream
 
 BY = ["episode"]
@@ -206,22 +207,29 @@ def by_position(keys) -> Column:
 
 
 def convert(messages: DataFrame, profile: Profile, settings: Settings) -> dict[str, DataFrame]:
-    """{audit, activity, gates, frames}: frames of accepted episodes, and what was decided about all."""
-    report = raw_audit(messages, profile).persist()
+    """{audit, activity, gates, frames, aligned}: frames of accepted episodes, and what was decided
+    about all. Each step is staged in the shared folder: a lineage from messages to frames would hold
+    the plan of every earlier step once for each of its uses."""
+    columns = [c for c in messages.columns if c in (*BY, "stream", "seq", "t", "bag_t", "v", "decoded")]
+    messages = messages.select(*columns)
+    report = staged(raw_audit(messages, profile), "audit")
     good = messages.join(report.where("status != 'REJECT'").select(*BY), BY, "left_semi")
-    samples = canonical(good, profile).persist()
-    bounds = activity(samples, profile, settings).persist()
+    samples = staged(canonical(good, profile), "samples")
+    bounds = staged(activity(samples, profile, settings), "activity")
     limit = by_stream(list(profile.streams), lambda s: to_ns(s.max_gap_s) if s.max_gap_s and s.semantic != "image" else None).cast("long")
     gaps = audit.gaps_in_interval(samples, bounds.select(*BY, F.col("active_start").alias("start"), F.col("active_stop").alias("stop")), [*BY, "stream"], "t", 0)
-    holes = gaps.withColumn("limit", limit).where(F.col("gap_stop") - F.col("gap_start") > F.col("limit")).select(*BY).distinct().persist()
+    holes = gaps.withColumn("limit", limit).where(F.col("gap_stop") - F.col("gap_start") > F.col("limit")).select(*BY).distinct()
+    holes = staged(holes, "holes")
     whole = bounds.join(holes, BY, "left_anti")
-    states = smoothed(samples, whole, profile, settings)
-    rows = aligned(samples, states, anchors(samples, whole, profile, settings), profile, settings).persist()
+    states = staged(smoothed(samples, whole, profile, settings), "states")
+    frames = staged(anchors(samples, whole, profile, settings), "anchors")
+    rows = staged(aligned(samples, states, frames, profile, settings), "aligned")
     decided = gates(rows, profile, settings)
     everyone = report.select(*BY, F.when(F.col("status") == "REJECT", F.col("reasons")[0]).alias("raw"))
     verdict = everyone.join(bounds.select(*BY, F.lit(True).alias("moves")), BY, "left").join(holes.withColumn("hole", F.lit(True)), BY, "left").join(decided, BY, "left")
     reason = F.coalesce("raw", F.when(F.col("moves").isNull(), audit.NO_MOTION), F.when(F.col("hole"), audit.GAP), "reason", F.when(F.col("frames").isNull(), audit.TOO_SHORT))
     verdict = verdict.select(*BY, "frames", reason.alias("reason"), "warning")
-    verdict = verdict.withColumn("status", F.when(F.col("reason").isNotNull(), "REJECT").when(F.col("warning").isNotNull(), "PASS_WITH_WARNING").otherwise("PASS")).persist()
+    verdict = verdict.withColumn("status", F.when(F.col("reason").isNotNull(), "REJECT").when(F.col("warning").isNotNull(), "PASS_WITH_WARNING").otherwise("PASS"))
+    verdict = staged(verdict, "verdict")
     frames = vectors(rows, settings).join(verdict.where("status != 'REJECT'").select(*BY), BY, "left_semi")
     return {"audit": report, "activity": bounds, "gates": verdict, "frames": frames, "aligned": rows}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,28 @@ def micros(ts: str | Column) -> Column:
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), ts)
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir. A session on one machine that
+    names none gets a local folder; on a cluster the setting is needed."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        import tempfile
+
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="kinetrace-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """df, written to the shared folder and read again: what follows starts from a plan of one scan."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/staged/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 _shipped: set[str] = set()
 
 
