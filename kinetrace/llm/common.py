@@ -11,6 +11,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 
@@ -24,18 +26,6 @@ def ascii_lower(col):
     return F.translate(col, ASCII_UPPER, ASCII_LOWER)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Where the session names none (tests, one
-    machine), a local folder becomes the session's checkpoint folder."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        import tempfile
-
-        found = "file://" + tempfile.mkdtemp(prefix="kinetrace-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
 #: Input bytes for each file of a stored table, and the least number of files.
 FILE_BYTES, MIN_FILES = 32 << 20, 12
 
