@@ -198,13 +198,17 @@ def powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """Sums c with c[j] - c[i] = sum of value(byte k) * BASE ** k for k in [i, j)."""
-    out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE_VALUE[data] * powers(BASE, len(data)), out=out[1:])
+def prefix_sums(values: np.ndarray) -> np.ndarray:
+    """Sums c with c[j] - c[i] = sum of values[k] * BASE ** k for k in [i, j)."""
+    out = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * powers(BASE, len(values)), out=out[1:])
     return out
 
 
+def prefix_hash(data: np.ndarray) -> np.ndarray:
+    return prefix_sums(BYTE_VALUE[data])
+
+
 def range_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Fingerprints of the byte ranges [start, end), the same wherever the bytes stand."""
     return mix((sums[end] - sums[start]) * powers(INVERSE, len(sums))[start])

@@ -9,11 +9,19 @@ anchor, and equal windows have equal anchors. The anchor's fingerprint is the su
 2. Anchors are counted by (token, context), a context being the bytes of the whole run: a context
    that occurs twice is covered whole, without comparing anything.
 3. Tokens with several contexts send one copy of each context to a bucket. Spark's sampled splitters
-   range-partition them by token, equal tokens staying together; a bucket sorts its suffixes by token
-   and then by the fingerprint of their first LENGTH bytes, and neighbours that agree are repeated.
-   Tokens with more than HOT_CONTEXTS contexts are resolved by counting single windows instead, which
-   partial sums spread over all tasks.
-4. Runs of repeated windows go back to the texts, which are read again to remove their bytes.
+   range-partition them by leading token; a bucket takes its contexts in that order, CHUNK bytes at a
+   time, and sorts the suffixes that start at their windows by multikey quicksort, eight bytes a
+   step: suffixes that agree so far are split by their next eight bytes, and those left alone are
+   done. What stays together for LENGTH bytes is repeated.
+4. A token may straddle chunks and buckets, so the first and the last token of each chunk are compared
+   across boundaries: each chunk gives one fingerprint of each of their distinct windows, and those of
+   several chunks are repeated too. A token that holds a third of all contexts spreads over many
+   chunks and is compared that way.
+5. Runs of repeated windows go back to the texts, which are read again to remove their bytes.
+
+Beside the bytes, passages of WORDS words are looked up in the same manner, since many of them are
+shorter than LENGTH bytes: `n_repeated_words` counts the words, letters A-Z in either case, that lie
+in a string of WORDS words that starts elsewhere too. They are counted, not removed.
 
 Defined cases: null counts as empty; texts shorter than LENGTH keep all their bytes; repeated rows are
 copies of one another and so are removed whole if long enough; null and repeated ids are reported as
@@ -29,19 +37,24 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
-from .common import BROADCAST_ROWS, Scratch, join_groups, mix, prefix_hash, range_hash, spans_of, utf8
-from .minhash import groups_in
+from .common import BROADCAST_ROWS, BYTE_VALUE, Scratch, join_groups, mix, prefix_sums, range_hash, spans_of, utf8
+from .minhash import word_hashes
 
 LENGTH = 400
 GRAM = 64
-HOT_CONTEXTS = 20_000
+#: The same in words.
+WORDS, WORD_GRAM = 50, 12
+#: Bytes of contexts that are sorted together.
+CHUNK = 4 << 20
 BLOCK = 1 << 20
 PLACE_BITS = np.uint64(22)
 SHA_OF_NOTHING = hashlib.sha256(b"").hexdigest()
 
 ANCHOR = "struct<token:long,ctx:long,start:long,n:int>"
-SCAN = f"doc_id long, ka long, kb long, n_bytes long, sha string, anchors array<{ANCHOR}>"
+WORD_ANCHOR = "struct<token:long,start:long,n:int>"
+SCAN = f"doc_id long, ka long, kb long, n_bytes long, n_words long, sha string, anchors array<{ANCHOR}>, word_anchors array<{WORD_ANCHOR}>"
 
 
 def sliding_min(v: np.ndarray, width: int) -> np.ndarray:
@@ -53,14 +66,21 @@ def sliding_min(v: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(v[: len(v) - (width - have)], v[width - have :]) if have < width else v
 
 
-def anchors_of(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(row, token, ctx, start, n) of the runs of windows with one anchor, by row and start; offsets
-    are of texts, or parts of a text, within 2 ** 22 bytes."""
+def anchors_of(values: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """(row, token, ctx, start, n) of the runs of windows with one anchor, by row and start. values are
+    64-bit fingerprints of the units (bytes or words), offsets those of texts, or of one long text."""
+    if len(values) > 2 * BLOCK and len(offsets) == 2:  # in parts that share no window
+        got = []
+        for a in range(0, len(values) - length + 1, BLOCK):
+            piece = values[a : a + BLOCK + length - 1]
+            row, token, ctx, start, n = anchors_of(piece, np.array([0, len(piece)]), length, gram)
+            got.append((row, token, ctx, start + a, n))
+        return tuple(np.concatenate(x) for x in zip(*got))
     none = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.int32))
-    if len(data) < length:
+    if len(values) < length:
         return none
-    sums = prefix_hash(data)
-    at = np.arange(len(data) - gram + 1)
+    sums = prefix_sums(values)
+    at = np.arange(len(values) - gram + 1)
     grams = range_hash(sums, at, at + gram)
     best = sliding_min((grams >> PLACE_BITS << PLACE_BITS) | at.astype(np.uint64), length - gram + 1)
     room = np.diff(offsets) - length + 1
@@ -80,46 +100,81 @@ def anchors_of(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) ->
     return row, token.view(np.int64), ctx.view(np.int64), first - offsets[row], n.astype(np.int32)
 
 
-def scan(docs: DataFrame, length: int, gram: int) -> DataFrame:
+def anchor_lists(found: tuple[np.ndarray, ...], rows: int, with_ctx: bool) -> pa.ListArray:
+    row, token, ctx, start, n = found
+    lists = np.searchsorted(row, np.arange(rows + 1)).astype(np.int32)
+    cols = {"token": pa.array(token), "ctx": pa.array(ctx), "start": pa.array(start.astype(np.int64)), "n": pa.array(n)}
+    if not with_ctx:
+        del cols["ctx"]
+    return pa.ListArray.from_arrays(pa.array(lists), pa.StructArray.from_arrays(list(cols.values()), names=list(cols)))
+
+
+def scan(docs: DataFrame, length: int, gram: int, words: int, word_gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             for i, j in spans_of(offsets, BLOCK):
                 own = offsets[i : j + 1] - offsets[i]
                 part = data[offsets[i] : offsets[j]]
-                if len(part) > 2 * BLOCK:  # one long text, in parts that share no window
-                    got = []
-                    for a in range(0, len(part) - length + 1, BLOCK):
-                        piece = part[a : a + BLOCK + length - 1]
-                        row, token, ctx, start, n = anchors_of(piece, np.array([0, len(piece)]), length, gram)
-                        got.append((row, token, ctx, start + a, n))
-                    row, token, ctx, start, n = (np.concatenate(x) for x in zip(*got))
-                else:
-                    row, token, ctx, start, n = anchors_of(part, own, length, gram)
-                lists = np.searchsorted(row, np.arange(j - i + 1)).astype(np.int32)
-                items = pa.StructArray.from_arrays([pa.array(token), pa.array(ctx), pa.array(start.astype(np.int64)), pa.array(n)], names=["token", "ctx", "start", "n"])
+                in_bytes = anchor_lists(anchors_of(BYTE_VALUE[part], own, length, gram), j - i, True)
+                hashes, first = word_hashes(part, own)
+                in_words = anchor_lists(anchors_of(hashes, first, words, word_gram), j - i, False)
                 raw = part.tobytes()
                 shas = [hashlib.sha256(raw[a:b]).digest() for a, b in zip(own[:-1], own[1:])]
                 keys = np.frombuffer(b"".join(shas), np.int64).reshape(-1, 4)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array(keys[:, 0].copy()), pa.array(keys[:, 1].copy()), pa.array(np.diff(own)), pa.array([s.hex() for s in shas]), pa.ListArray.from_arrays(pa.array(lists), items)],
-                    names=["doc_id", "ka", "kb", "n_bytes", "sha", "anchors"],
+                    [batch.column(0).slice(i, j - i), pa.array(keys[:, 0].copy()), pa.array(keys[:, 1].copy()), pa.array(np.diff(own)), pa.array(np.diff(first)), pa.array([s.hex() for s in shas]), in_bytes, in_words],
+                    names=["doc_id", "ka", "kb", "n_bytes", "n_words", "sha", "anchors", "word_anchors"],
                 )
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCAN)
 
 
-def window_hashes(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints of all windows of several contexts, and how many each context has."""
+def window_starts(offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where all windows of several contexts start, and how many each context has."""
     n = np.diff(offsets) - length + 1
-    out = []
-    for i, j in spans_of(offsets, BLOCK):
-        sums = prefix_hash(data[offsets[i] : offsets[j]])
-        k = n[i:j]
-        ends = np.cumsum(k)
-        at = np.arange(ends[-1]) - np.repeat(ends - k - (offsets[i:j] - offsets[i]), k)
-        out.append(range_hash(sums, at, at + length))
-    return np.concatenate(out), n
+    ends = np.cumsum(n)
+    return np.arange(ends[-1]) - np.repeat(ends - n - offsets[:-1], n), n
+
+
+def multikey_classes(data: np.ndarray, starts: np.ndarray, group: np.ndarray, length: int) -> np.ndarray:
+    """The class of each suffix, -1 for one alone: two have the same class if they belong to one group
+    and agree for `length` bytes (8 or more). `group` doesn't fall."""
+    step = 8
+    words = np.zeros(len(data) - step + 1, np.uint64)
+    for k in range(step):
+        words = (words << np.uint64(8)) | data[k : len(data) - step + 1 + k]
+    item = np.arange(len(starts))
+    part = np.cumsum(np.concatenate([[0], group[1:] != group[:-1]]))
+    depths = [*range(0, length - step, step), length - step]
+    for depth in depths:
+        heads = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        size = np.diff(np.append(heads, len(part)))
+        many = size > 1
+        if not many.all():  # suffixes alone are done
+            keep = np.repeat(many, size)
+            item, part = item[keep], part[keep]
+            size = size[many]
+            heads = np.cumsum(size) - size
+        if not len(item):
+            break
+        key = words[starts[item] + depth]
+        unlike = np.flatnonzero(key != np.repeat(key[heads], size))
+        if not len(unlike):
+            continue
+        which = np.unique(np.searchsorted(heads, unlike, "right") - 1)
+        split = np.zeros(len(heads), bool)
+        split[which] = True
+        at = np.flatnonzero(np.repeat(split, size))
+        order = np.lexsort((key[at], part[at]))
+        item[at], key[at] = item[at[order]], key[at[order]]
+        part = np.cumsum(np.concatenate([[0], (part[1:] != part[:-1]) | (key[1:] != key[:-1])]))
+    out = np.full(len(starts), -1)
+    if len(item):
+        size = np.bincount(part)
+        alike = size[part] > 1
+        out[item[alike]] = part[alike]
+    return out
 
 
 def flag_runs(flags: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -134,65 +189,64 @@ def flag_runs(flags: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return row, a - first[row], b - first[row]
 
 
-RUNS = "token long, ctx long, runs array<struct<a:int,b:int>>"
+SORTED = "token long, ctx long, runs array<struct<a:int,b:int>>, edge array<struct<t:int,print:long,alone:boolean>>"
 
 
-def as_runs(token: pa.Array, ctx: pa.Array, row: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    rows = np.unique(row)
-    lists = np.append(np.searchsorted(row, rows), len(row)).astype(np.int32)
-    items = pa.StructArray.from_arrays([pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))], names=["a", "b"])
-    return pa.RecordBatch.from_arrays([token.take(pa.array(rows)), ctx.take(pa.array(rows)), pa.ListArray.from_arrays(pa.array(lists), items)], names=["token", "ctx", "runs"])
-
+def sorted_chunk(table: pa.Table, length: int) -> pa.RecordBatch | None:
+    """SORTED of one chunk of contexts (token, ctx, text), by token: the runs of windows that repeat in
+    it, and one window of each class of its first and last token."""
+    data, offsets = utf8(table.column(2))
+    tokens = table.column(0).to_numpy()
+    starts, n = window_starts(offsets, length)
+    owner = np.repeat(np.arange(len(n)), n)
+    classes = multikey_classes(data, starts, tokens[owner], length)
+    row, a, b = flag_runs(classes >= 0, n)
+    outer = np.flatnonzero(((tokens == tokens[0]) | (tokens == tokens[-1]))[owner])
+    known = outer[classes[outer] >= 0]
+    shown = np.sort(np.concatenate([outer[classes[outer] < 0], known[np.unique(classes[known], return_index=True)[1]]]))
+    prints = np.zeros(len(shown), np.int64)
+    for i, j in spans_of(offsets, BLOCK):
+        sums = prefix_sums(BYTE_VALUE[data[offsets[i] : offsets[j]]])
+        lo, hi = np.searchsorted(owner[shown], [i, j])
+        at = starts[shown[lo:hi]] - offsets[i]
+        prints[lo:hi] = range_hash(sums, at, at + length).view(np.int64)
+    t = starts[shown] - offsets[owner[shown]]
+    rows = np.union1d(row, owner[shown])
+    if not len(rows):
+        return None
+    cut = lambda of: pa.array(np.append(np.searchsorted(of, rows), len(of)).astype(np.int32))
+    runs = pa.StructArray.from_arrays([pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))], names=["a", "b"])
+    edge = pa.StructArray.from_arrays([pa.array(t.astype(np.int32)), pa.array(prints), pa.array(classes[shown] < 0)], names=["t", "print", "alone"])
+    take = lambda k: table.column(k).combine_chunks().take(pa.array(rows))
+    return pa.RecordBatch.from_arrays([take(0), take(1), pa.ListArray.from_arrays(cut(row), runs), pa.ListArray.from_arrays(cut(owner[shown]), edge)], names=["token", "ctx", "runs", "edge"])
 
-def bucket_repeats(contexts: DataFrame, length: int, parts: int) -> DataFrame:
-    """RUNS of contexts (token, ctx, c, text), sorted and compared within range-partitioned buckets."""
-    ranged = contexts.repartitionByRange(parts, "token").sortWithinPartitions("token", "ctx")
 
-    def resolve(held: list[pa.Table]) -> Iterator[pa.RecordBatch]:
-        table = pa.concat_tables(held).combine_chunks()
-        data, offsets = utf8(table.column("text"))
-        prints, n = window_hashes(data, offsets, length)
-        order = np.argsort(prints, kind="stable")
-        ranked = prints[order]
-        same = np.concatenate([[False], ranked[1:] == ranked[:-1], [False]])
-        flags = np.empty(len(prints), bool)
-        flags[order] = same[1:] | same[:-1]
-        row, a, b = flag_runs(flags, n)
-        if len(row):
-            yield as_runs(table.column("token").combine_chunks(), table.column("ctx").combine_chunks(), row, a, b)
+def bucket_repeats(contexts: DataFrame, length: int, parts: int, chunk: int) -> DataFrame:
+    """SORTED of contexts (token, ctx, text), in range-partitioned buckets."""
+    ranged = contexts.repartitionByRange(parts, "token", "ctx").sortWithinPartitions("token", "ctx")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for group in groups_in(batches, 1):
-            held.append(group)
-            size += group.nbytes
-            if size > 4 * BLOCK:
-                yield from resolve(held)
-                held, size = [], 0
-        if held:
-            yield from resolve(held)
-
-    return ranged.mapInArrow(run, RUNS)
-
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                held.append(batch.slice(i, 256))
+                size += held[-1].nbytes
+                if size >= chunk:
+                    if found := sorted_chunk(pa.Table.from_batches(held), length):
+                        yield found
+                    held, size = [], 0
+        if held and (found := sorted_chunk(pa.Table.from_batches(held), length)):
+            yield found
 
-def counted_repeats(contexts: DataFrame, length: int, scratch: Scratch) -> DataFrame:
-    """RUNS of hot tokens' contexts, by counting window fingerprints."""
+    return ranged.mapInArrow(run, SORTED)
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            data, offsets = utf8(batch.column(2))
-            prints, n = window_hashes(data, offsets, length)
-            rows = pa.array(np.repeat(np.arange(len(n)), n))
-            t = np.arange(len(prints)) - np.repeat(np.cumsum(n) - n, n)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(t.astype(np.int32)), pa.array(prints.view(np.int64))], names=["token", "ctx", "t", "print"])
 
-    each = scratch.store(contexts.select("token", "ctx", "text").mapInArrow(windows, "token long, ctx long, t int, print long"), "hot-windows")
-    counts = scratch.store(each.groupBy("print").agg(F.count("*").alias("times")).where("times > 1"), "hot-counts")
-    again = join_groups(each, counts, ["print"], "times", each.count(), "inner")
-    runs = again.groupBy("token", "ctx").agg(F.array_sort(F.collect_list("t")).alias("t"))
-    return runs.select("token", "ctx", F.transform("t", lambda t: F.struct(t.alias("a"), (t + 1).alias("b"))).alias("runs"))
+def boundary_repeats(found: DataFrame) -> DataFrame:
+    """(token, ctx, runs) of windows that no other of their chunk equals, but one of another chunk."""
+    edges = found.select("token", "ctx", F.explode("edge").alias("e")).select("token", "ctx", "e.*")
+    several = edges.groupBy("token", "print").agg(F.count("*").alias("times")).where("times > 1").select("token", "print")
+    again = edges.where("alone").join(several, ["token", "print"], "left_semi")
+    return again.groupBy("token", "ctx").agg(F.collect_list(F.struct(F.col("t").alias("a"), (F.col("t") + 1).alias("b"))).alias("runs"))
 
 
 def texts_of(asked: DataFrame, docs: DataFrame) -> DataFrame:
@@ -211,25 +265,54 @@ def same_text(raw: bytes, ka: int, kb: int) -> bool:
     return int.from_bytes(digest[:8], "little", signed=True) == ka and int.from_bytes(digest[8:16], "little", signed=True) == kb
 
 
-def contexts_of(needed: DataFrame, docs: DataFrame, length: int) -> DataFrame:
-    """(token, ctx, n_ctx, text): the bytes of each asked-for run of windows."""
-    asked = needed.groupBy("rep", "ka", "kb").agg(F.collect_list(F.struct("token", "ctx", "n_ctx", "start", "n")).alias("want"))
+FETCHED = "kind int, token long, ctx long, text binary, ka long, kb long, place long"
+
+
+def fetched(needed: DataFrame, docs: DataFrame, length: int, words: int) -> DataFrame:
+    """FETCHED of what is asked for: of kind 0 the bytes of each run of windows, of kind 1 a row for each
+    window of words, with two fingerprints as token and ctx. Texts are read once for both."""
+    asked = needed.groupBy("rep", "ka", "kb").agg(F.collect_list(F.struct("kind", "token", "ctx", "start", "n")).alias("want"))
     joined = texts_of(asked, docs).select("ka", "kb", "want", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(3).cast(pa.large_binary())
-            out: list[tuple] = []
+            lists = batch.column(2)
+            ends, flat = lists.offsets.to_numpy(), lists.values
+            kind, token, ctx, start, n = (flat.field(k).to_numpy() for k in range(5))
             for k in range(batch.num_rows):
                 raw = texts[k].as_py() or b""
-                if same_text(raw, batch.column(0)[k].as_py(), batch.column(1)[k].as_py()):
-                    out += [(w["token"], w["ctx"], w["n_ctx"], raw[w["start"] : w["start"] + w["n"] + length - 1]) for w in batch.column(2)[k].as_py()]
-            if out:
-                cols = list(zip(*out))
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.binary())], names=["token", "ctx", "n_ctx", "text"])
+                ka, kb = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
+                if not same_text(raw, ka, kb):
+                    continue
+                own = np.arange(ends[k], ends[k + 1])
+                whole, worded = own[kind[own] == 0], own[kind[own] == 1]
+                cols = [[], [], [], [], []]
+                if len(whole):
+                    bodies = [raw[a : a + m + length - 1] for a, m in zip(start[whole].tolist(), n[whole].tolist())]
+                    cols = [np.zeros(len(whole), np.int32), token[whole], ctx[whole], bodies, np.zeros(len(whole), np.int64)]
+                if len(worded):
+                    hashes, _ = word_hashes(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+                    at = np.concatenate([np.arange(a, a + m) for a, m in zip(start[worded].tolist(), n[worded].tolist())])
+                    prints = range_hash(prefix_sums(hashes), at, at + words).view(np.int64)
+                    second = range_hash(prefix_sums(mix(hashes ^ np.uint64(0xABCDEF))), at, at + words).view(np.int64)
+                    more = [np.ones(len(at), np.int32), prints, second, [None] * len(at), at]
+                    cols = [np.concatenate([np.asarray(x), y]) if k != 3 else [*x, *y] for k, (x, y) in enumerate(zip(cols, more))] if len(whole) else more
+                rows = len(cols[0])
+                kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(c, t) for c, t in zip(cols[:4], kinds)), pa.array(np.full(rows, ka)), pa.array(np.full(rows, kb)), pa.array(cols[4], pa.int64())],
+                    names=["kind", "token", "ctx", "text", "ka", "kb", "place"],
+                )
+
+    # Rows that repeat an id and its text are read twice; what follows takes each row once.
+    return joined.mapInArrow(run, FETCHED)
+
 
-    # Rows that repeat an id and its text would give a context twice.
-    return joined.mapInArrow(run, "token long, ctx long, n_ctx long, text binary").dropDuplicates(["token", "ctx"])
+def words_covered(places: DataFrame, words: int) -> DataFrame:
+    """(ka, kb, n_repeated_words) of the places of repeated windows of words."""
+    after = F.lead("place").over(W.partitionBy("ka", "kb").orderBy("place")) - F.col("place")
+    return places.select("ka", "kb", F.least(F.coalesce(after, F.lit(words)), F.lit(words)).alias("new")).groupBy("ka", "kb").agg(F.sum("new").cast("long").alias("n_repeated_words"))
 
 
 def removed_from(covers: DataFrame, docs: DataFrame) -> DataFrame:
@@ -274,13 +357,13 @@ def without(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(out)
 
 
-def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) per document."""
+def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: int = GRAM, words: int = WORDS, word_gram: int = WORD_GRAM, chunk: int = CHUNK) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_repeated_words, has_repeat) per document."""
     scratch = Scratch(spark, "suffix-dedup", docs)
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    scanned = scratch.store(scan(docs, length, gram), "scan")
+    scanned = scratch.store(scan(docs, length, gram, words, word_gram), "scan")
     total = scanned.count()
-    texts = scanned.groupBy("ka", "kb").agg(F.count("*").alias("copies"), F.min("doc_id").alias("rep"), F.first("n_bytes").alias("n_bytes"), F.first("anchors").alias("anchors"))
+    texts = scanned.groupBy("ka", "kb").agg(F.count("*").alias("copies"), F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n_bytes", "n_words", "anchors", "word_anchors")])
     texts = scratch.store(texts, "texts")
     anchors = texts.select("ka", "kb", "rep", "copies", F.explode("anchors").alias("x")).select("ka", "kb", "rep", "copies", "x.*")
     contexts = anchors.groupBy("token", "ctx").agg(F.sum("copies").alias("c"), F.min(F.struct("rep", "ka", "kb", "start", "n")).alias("at"))
@@ -288,34 +371,44 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
     n_contexts = contexts.count()
     n_places = contexts.agg(F.sum("c")).first()[0] or 0
     tokens = scratch.store(contexts.groupBy("token").agg(F.count("*").alias("n_ctx")).where("n_ctx > 1"), "tokens", n_contexts)
-    needed = join_groups(contexts, tokens, ["token"], "n_ctx", n_contexts, "inner").select("token", "ctx", "n_ctx", "at.*")
-    needed = scratch.store(needed, "needed", n_contexts)
-    bodies = scratch.store(contexts_of(needed, docs, length), "bodies")
-    runs = bucket_repeats(bodies.where(F.col("n_ctx") <= hot_contexts), length, parts)
-    hot = bodies.where(F.col("n_ctx") > hot_contexts)
-    if not hot.isEmpty():
-        runs = runs.unionByName(counted_repeats(hot, length, scratch))
-    runs = scratch.store(runs, "runs", n_contexts)
+    needed = join_groups(contexts, tokens, ["token"], "n_ctx", n_contexts, "inner").select("token", "ctx", "at.*")
+    # Of words, every place of a token that stands in several places is looked at.
+    worded = texts.select("ka", "kb", "rep", F.explode("word_anchors").alias("x")).select("ka", "kb", "rep", "x.*")
+    shared = scratch.store(worded.groupBy("token").agg(F.count("*").alias("m")).where("m > 1"), "word-tokens", n_contexts)
+    in_words = join_groups(worded, shared, ["token"], "m", n_places, "inner").drop("m")
+    both = needed.withColumn("kind", F.lit(0)).unionByName(in_words.withColumn("kind", F.lit(1)).withColumn("ctx", F.lit(0).cast("long")))
+    both = scratch.store(both, "needed", n_contexts)
+    read = scratch.store(fetched(both, docs, length, words), "fetched")
+    bodies = read.where("kind = 0").select("token", "ctx", "text").dropDuplicates(["token", "ctx"])
+    found = scratch.store(bucket_repeats(bodies, length, parts, chunk), "sorted", n_contexts)
+    runs = found.where(F.size("runs") > 0).select("token", "ctx", "runs").unionByName(boundary_repeats(found))
     # A context that occurs twice is covered whole; for others the runs found in the buckets count.
     whole = contexts.where("c > 1").select("token", "ctx", "c", F.array(F.struct(F.lit(0).alias("a"), F.col("at.n").alias("b"))).alias("runs"))
     once = contexts.where("c = 1").select("token", "ctx", "c").join(runs, ["token", "ctx"])
-    result = scratch.store(whole.unionByName(once), "result", n_contexts)
+    repeats = scratch.store(whole.unionByName(once), "repeats", n_contexts)
     single = anchors.where("copies = 1")
-    hits = join_groups(single, result, ["token", "ctx"], "c", n_places, "inner")
+    hits = join_groups(single, repeats, ["token", "ctx"], "c", n_places, "inner")
     spans = hits.select("rep", "ka", "kb", "start", F.explode("runs").alias("r"))
     covers = spans.groupBy("rep", "ka", "kb").agg(F.collect_list(F.struct((F.col("start") + F.col("r.a")).alias("lo"), (F.col("start") + F.col("r.b") - 1 + length).alias("hi"))).alias("ranges"))
     covers = scratch.store(covers, "covers", total)
     changed = scratch.store(removed_from(covers, docs), "changed", total)
-    verdict = texts.select("ka", "kb", "copies", "n_bytes").join(changed, ["ka", "kb"], "left").drop("n_bytes").where(F.col("n_removed").isNotNull() | (F.col("copies") > 1))
+    windows = read.where("kind = 1").select("token", "ctx", "ka", "kb", "place").distinct()
+    again = scratch.store(windows.groupBy("token", "ctx").agg(F.count("*").alias("m")).where("m > 1"), "word-windows", n_contexts)
+    counted = words_covered(join_groups(windows, again, ["token", "ctx"], "m", n_places, "inner"), words)
+    verdict = texts.select("ka", "kb", "copies").join(changed, ["ka", "kb"], "left").join(counted, ["ka", "kb"], "left")
+    verdict = verdict.where(F.col("n_removed").isNotNull() | F.col("n_repeated_words").isNotNull() | (F.col("copies") > 1))
     verdict = scratch.store(verdict, "verdict", total)
-    out = join_groups(scanned.drop("anchors"), verdict, ["ka", "kb"], "copies", total)
+    out = join_groups(scanned.drop("anchors", "word_anchors"), verdict, ["ka", "kb"], "copies", total)
     gone = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
     pick = lambda full, else_: F.when(gone, full).otherwise(else_)
+    n_words = F.when((F.col("copies") > 1) & (F.col("n_words") >= words), F.col("n_words")).otherwise(F.coalesce("n_repeated_words", F.lit(0))).cast("long")
     out = out.select(
         "doc_id",
         "n_bytes",
         pick(F.col("n_bytes"), F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         pick(F.lit(1), F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         pick(F.lit(SHA_OF_NOTHING), F.coalesce("kept_sha", "sha")).alias("kept_sha256"),
+        n_words.alias("n_repeated_words"),
+        (n_words > 0).alias("has_repeat"),
     )
     return scratch.finish(out)

@@ -66,6 +66,23 @@ def repeats(texts, length):
     return out
 
 
+def repeated_words(texts, n):
+    """Per text the number of words in strings of n words that start elsewhere too."""
+    words = [WORD.findall(lower(t).encode()) for t in texts]
+    seen = defaultdict(int)
+    for w in words:
+        for i in range(len(w) - n + 1):
+            seen[tuple(w[i : i + n])] += 1
+    out = []
+    for w in words:
+        held = set()
+        for i in range(len(w) - n + 1):
+            if seen[tuple(w[i : i + n])] > 1:
+                held.update(range(i, i + n))
+        out.append(len(held))
+    return out
+
+
 def crc(text):
     return zlib.crc32((text or "").encode())
 

@@ -155,11 +155,15 @@ def test_minhash_links_pairs_at_the_threshold_with_far_sketches(spark):
     assert got == {d: d - d % 2 for d, _ in rows}
 
 
-@pytest.mark.parametrize("hot", [20000, 2])
-def test_suffix_dedup(spark, docs, hot):
+@pytest.mark.parametrize("chunk", [suffix_dedup.CHUNK, 3000])
+def test_suffix_dedup(spark, docs, chunk):
+    """In small chunks nearly every token straddles a boundary."""
     want = dict(zip(TEXT, brute.repeats(list(TEXT.values()), 400)))
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.remove_repeats(spark, docs, hot_contexts=hot).collect()}
-    assert got == want
+    rows = suffix_dedup.remove_repeats(spark, docs, chunk=chunk).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows} == want
+    words = dict(zip(TEXT, brute.repeated_words(list(TEXT.values()), 50)))
+    assert {r.doc_id: r.n_repeated_words for r in rows} == words and all(r.has_repeat == (r.n_repeated_words > 0) for r in rows)
+    assert sum(w > 0 and w < len(brute.WORD.findall((TEXT[d] or "").encode())) for d, w in words.items()) > 5
     assert sum(x[1] > 0 for x in want.values()) > 30
 
 
@@ -167,23 +171,41 @@ def test_suffix_dedup_edge_cases(spark, none, odd):
     assert suffix_dedup.remove_repeats(spark, none).count() == 0
     rows = odd.collect()
     want = Counter((r.doc_id, *w) for r, w in zip(rows, brute.repeats([r.text for r in rows], 400)))
-    assert Counter(tuple(r) for r in suffix_dedup.remove_repeats(spark, odd).collect()) == want
+    assert Counter(tuple(r)[:5] for r in suffix_dedup.remove_repeats(spark, odd).collect()) == want
     texts = [(0, "ab" * 600), (1, "c" * 900), (2, "q" * 399), (3, "q" * 399)]
-    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.remove_repeats(spark, spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    got = {r.doc_id: tuple(r)[1:5] for r in suffix_dedup.remove_repeats(spark, spark.createDataFrame(texts, "doc_id long, text string")).collect()}
     assert got == dict(zip(range(4), brute.repeats([t for _, t in texts], 400)))
 
 
+def test_multikey_classes():
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    for length in (8, 13, 24):
+        data = rng.integers(97, 99, 500).astype(np.uint8)
+        starts = np.arange(len(data) - length + 1)
+        group = starts // 250
+        got = suffix_dedup.multikey_classes(data, starts, group, length)
+        alike = defaultdict(list)
+        for s, g in zip(starts, group):
+            alike[int(g), data[s : s + length].tobytes()].append(int(s))
+        assert {tuple(np.flatnonzero(got == c)) for c in set(got) - {-1}} == {tuple(v) for v in alike.values() if len(v) > 1}
+
+
 def test_suffix_dedup_long_text_in_parts(monkeypatch):
     import numpy as np
 
     rng = np.random.default_rng(2)
     raw = rng.integers(97, 123, 60_000).astype(np.uint8)
     raw[50_000:50_500] = raw[9_700:10_200]
-    whole = suffix_dedup.anchors_of(raw, np.array([0, len(raw)]), 400, 64)
+    values = common.BYTE_VALUE[raw]
+    whole = suffix_dedup.anchors_of(values, np.array([0, len(raw)]), 400, 64)
     tokens = Counter(whole[1].tolist())
     assert sum(n > 1 for n in tokens.values()) >= 1 and whole[4].sum() == len(raw) - 399
-    parts = [suffix_dedup.anchors_of(raw[a : a + 10_000 + 399], np.array([0, len(raw[a : a + 10_399])]), 400, 64) for a in range(0, len(raw) - 399, 10_000)]
-    assert sum(p[4].sum() for p in parts) == len(raw) - 399
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 10_000)
+    parts = suffix_dedup.anchors_of(values, np.array([0, len(raw)]), 400, 64)
+    assert len(parts[4]) > len(whole[4]) and parts[4].sum() == len(raw) - 399
+    assert set(whole[1].tolist()) <= set(parts[1].tolist())
 
 
 def test_secrets(spark, docs, none):
