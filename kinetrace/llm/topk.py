@@ -1,14 +1,17 @@
 """Exact top-k by inner product: tiles of queries and candidates, partial selection per tile, and a
 tree merge of the per-query lists.
 
-Vectors are turned into integers floor(1024 * x). Tiles are matrix products in float64 where every
-sum is below 2 ** 53 and so exact, else in Python integers. Ties go to the smaller vec_id.
+Vectors are turned into integers floor(1024 * x), held within 64 bits. Tiles are matrix products in
+float64 where every sum is below 2 ** 53 and so exact, else in Python integers. Ties go to the smaller
+vec_id. A tile is as large as a task's memory allows, since each vector is sent once for each tile
+that it is in; within it, queries are taken a few hundred at a time.
 
 Defined cases: vectors null or holding null or non-finite components take no part; a candidate
 whose length differs from the query's is skipped; a null vec_id is no query and, as a candidate, comes last
 among ties; of rows that repeat a query's vec_id and vector exactly one counts as the query's own,
 the others are candidates, and each repeated query row gets the same answer once; an empty table
-gives an empty result; other columns are ignored.
+gives an empty result; components and scores beyond 64 bits count as the largest 64-bit number of
+their sign; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,8 +27,10 @@ from pyspark.sql.window import Window as W
 from .common import Scratch
 
 SCALE = 1024
-TILE_ROWS = 8192
-TILE_QUERIES = 2048
+TILE_ROWS = 16384
+TILE_QUERIES = 16384
+#: Queries of a tile whose scores are held at a time.
+SCORED = 256
 FAN_IN = 32
 
 
@@ -40,10 +45,11 @@ def tile_scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Exact integer products of all queries with all candidates."""
     if not q.size or not c.size:
         return np.zeros((len(q), len(c)), np.int64)
-    top = int(np.abs(q).max()) * int(np.abs(c).max()) * q.shape[1]
-    if top < 2**53:
+    far = lambda x: max(int(x.max()), -int(x.min()))
+    if far(q) * far(c) * q.shape[1] < 2**53:
         return (q.astype(np.float64) @ c.astype(np.float64).T).astype(np.int64)
-    return np.array(q.astype(object) @ c.astype(object).T, dtype=np.int64)
+    info = np.iinfo(np.int64)
+    return np.clip(q.astype(object) @ c.astype(object).T, info.min, info.max).astype(np.int64)
 
 
 def tile_top(queries: pd.DataFrame, cands: pd.DataFrame, k: int) -> list[tuple]:
@@ -59,9 +65,10 @@ def tile_top(queries: pd.DataFrame, cands: pd.DataFrame, k: int) -> list[tuple]:
         ids, null = ids[order], null[order]
         c = np.stack([np.asarray(v, np.int64) for v in cs["v"].to_numpy()[order]]) if width else np.zeros((len(cs), 0), np.int64)
         q = np.stack([np.asarray(v, np.int64) for v in qs["v"]]) if width else np.zeros((len(qs), 0), np.int64)
-        scores = tile_scores(q, c)
         for i, (query, copy) in enumerate(zip(qs["vec_id"].to_numpy(np.int64), qs["copy"].to_numpy(np.int64))):
-            row = scores[i]
+            if i % SCORED == 0:
+                scores = tile_scores(q[i : i + SCORED], c)
+            row = scores[i % SCORED]
             lo, hi = np.searchsorted(ids[~null], query, "left"), np.searchsorted(ids[~null], query, "right")
             own = next((j for j in range(lo, hi) if (c[j] == q[i]).all()), -1)
             take = np.ones(len(row), bool)
