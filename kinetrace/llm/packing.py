@@ -6,7 +6,8 @@ goes on until a bin's source and cluster bitmaps share no bit with its own: the
 bin. Pieces come largest first. Documents longer than a bin are cut into full pieces and a rest.
 
 Documents are dealt to packing groups by a hash, each of about `group_rows` documents, so the work of
-a group is bounded; a hot source is spread over all groups.
+a group is bounded; a hot source is spread over all groups, and so are rows without an id. A group that
+repeated ids make larger is packed `2 * group_rows` documents at a time, with bins of its own each time.
 
 Defined cases: null and empty texts have one piece of length 0, placed like any other; a null source
 conflicts with nothing; repeated rows are separate documents of one cluster and so never share a bin;
@@ -71,11 +72,13 @@ def pack(spark: SparkSession, docs: DataFrame, capacity: int = CAPACITY, group_r
     rows = items(dense(docs), capacity)
     total = docs.count()
     n_groups = max(1, -(-total // group_rows))
-    rows = rows.withColumn("group_id", F.pmod(F.xxhash64("doc_id", "cluster", F.lit(3)), F.lit(n_groups)).cast("int"))
+    nameless = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    rows = rows.withColumn("group_id", F.pmod(F.xxhash64("doc_id", "cluster", nameless, F.lit(3)), F.lit(n_groups)).cast("int"))
     spread = rows.repartition(min(n_groups, max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))), "group_id")
     ordered = spread.sortWithinPartitions("group_id", "doc_id", "size", "cluster")
 
-    def packed(group: int, members: list[tuple]) -> pa.RecordBatch:
+    def packed(group: int, members: list[tuple], done: int) -> tuple[pa.RecordBatch, int]:
+        """Rows of one lot of a group whose earlier lots took `done` bins, and the bins that it took."""
         pieces = []
         for doc, size, source, none, cluster in members:
             full, rest = divmod(size, capacity)
@@ -85,22 +88,30 @@ def pack(spark: SparkSession, docs: DataFrame, capacity: int = CAPACITY, group_r
                 pieces.append((rest, None if none else source, cluster, doc, full, full * capacity))
         pieces.sort(key=lambda p: (-p[0], p[3] is None, p[3] or 0, p[4]))
         bins = best_fit(pieces, capacity)
-        flat = [(group, k, i, p[3], p[4], p[5], p[0], b[0]) for k, b in enumerate(bins) for i, p in enumerate(b[3])]
+        flat = [(group, done + k, i, p[3], p[4], p[5], p[0], b[0]) for k, b in enumerate(bins) for i, p in enumerate(b[3])]
         kinds = [pa.int32()] * 3 + [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
         names = [x.split()[0] for x in RESULT.split(", ")]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*flat), kinds)], names=names)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*flat), kinds)], names=names), len(bins)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, members = None, []
+        now, members, done = None, [], 0
         for batch in batches:
             cols = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("group_id", "doc_id", "size", "source_key", "no_source", "cluster")]
             for group, *row in zip(*cols):
-                if group != now and members:
-                    yield packed(now, members)
-                    members = []
-                now = group
+                if members and (group != now or len(members) >= 2 * group_rows):
+                    out, bins = packed(now, members, done)
+                    yield out
+                    members, done = [], done + bins
+                if group != now:
+                    now, done = group, 0
                 members.append(tuple(row))
         if members:
-            yield packed(now, members)
+            yield packed(now, members, done)[0]
 
     return ordered.mapInArrow(run, RESULT)
+
+
+def fill(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """(bins, filled): the bins and the share of their room that is taken."""
+    bins = packed.groupBy("group_id", "bin_id").agg(F.first("bin_room").alias("room"))
+    return bins.agg(F.count("*").alias("bins"), (1 - F.avg("room") / capacity).alias("filled"))
