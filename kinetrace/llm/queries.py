@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = sharding.shard_documents(spark, read_table(spark, sf_dir, "documents"))
+    """The map of a folder's documents is kept, and edited where a later run finds other loads."""
+    name = f"documents-{zlib.crc32(sf_dir.encode()):08x}"
+    out = sharding.shard_documents(spark, read_table(spark, sf_dir, "documents"), name=name)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("position").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "part", "version")
 
 
@@ -38,7 +41,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     found = langid.identify(spark, docs.select("doc_id", "text"), langid.fit(docs))
-    return found.select("doc_id", langid.held_out_column(), F.col("__lang_pred").alias("lang_pred"), F.col("__score").alias("score"))
+    return found.select("doc_id", langid.held_out_column(), "lang_pred", "score")
 
 
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,11 +3,13 @@
 A record is hashed to one of thousands of virtual slots by its text, so equal texts share a slot.
 Bytes are added up per slot, and a versioned map sends each slot to a shard; rebalancing edits that
 map and moves whole slots. A slot heavier than the share of a shard (a group of copies with a third
-of all rows, say) is first cut into parts by doc_id.
+of all rows, say) is first cut into parts by doc_id. Maps lie in the shared folder under the name of
+what they shard, one folder a version; a later run reads the last version, and writes a next one only
+where slots move.
 
-Defined cases: a null text has no bytes and size 1; null ids are hashed like any value; repeated
-rows are placed as rows, each with its own position; an empty table gives an empty result; further
-columns are ignored. Positions are gapless from 0 in each shard.
+Defined cases: a null text has no bytes and size 1; rows without an id are spread by their place in
+the table; repeated rows are placed as rows, each with its own position; an empty table gives an empty
+result; further columns are ignored. Positions are gapless from 0 in each shard.
 """
 
 from __future__ import annotations
@@ -16,23 +18,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from ..session import shared_dir
 from .common import Scratch
 
 N_SLOTS = 4096
-#: Cells in which a shard's rows are numbered.
-N_CELLS = 1024
+#: Rows, about, that are numbered together: a cell of a shard.
+CELL_ROWS = 50_000
 
 
-def records(docs: DataFrame, n_slots: int = N_SLOTS) -> DataFrame:
+def records(docs: DataFrame, n_slots: int = N_SLOTS, n_cells: int = 1024) -> DataFrame:
     """The narrow columns that placing a row needs; the text is read here only."""
     key = F.xxhash64("text")
+    place = F.monotonically_increasing_id()
     return docs.select(
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
         F.pmod(key, F.lit(n_slots)).cast("int").alias("slot"),
-        F.xxhash64("doc_id", F.lit(7)).alias("spread"),
-        F.pmod(F.xxhash64("doc_id", key, F.lit(13)), F.lit(N_CELLS)).cast("int").alias("cell"),
+        F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), place), F.lit(7)).alias("spread"),
+        F.pmod(F.xxhash64(place, F.lit(13)), F.lit(n_cells)).cast("int").alias("cell"),
     )
 
 
@@ -110,11 +114,47 @@ def numbered(placed: DataFrame) -> DataFrame:
     return placed.withColumn("within", within).join(F.broadcast(offsets), ["shard", "cell"]).withColumn("position", (F.col("before") + F.col("within")).cast("long"))
 
 
-def shard_documents(spark: SparkSession, docs: DataFrame, n_shards: int = 8, n_slots: int = N_SLOTS) -> DataFrame:
-    """Rows (doc_id, size, text_crc32, shard, position, virtual_slot, part, version), with the map
-    written as version 1 beside them in the shared folder."""
+def map_versions(spark: SparkSession, path: str) -> list[int]:
+    """The versions of a stored map, none if there is no such map."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(folder):
+        return []
+    whole = [f"{path}/version={x.getPath().getName().removeprefix('version=')}" for x in fs.listStatus(folder) if x.getPath().getName().startswith("version=")]
+    return sorted(int(p.rsplit("=", 1)[1]) for p in whole if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{p}/_SUCCESS")))
+
+
+def read_map(spark: SparkSession, path: str, version: int) -> DataFrame:
+    return spark.read.schema(MAP).parquet(f"{path}/version={version}")
+
+
+MAP = "version int, slot int, part int, parts int, load long, shard int"
+
+
+def current_map(spark: SparkSession, loads: DataFrame, n_shards: int, path: str) -> DataFrame:
+    """The stored map for these loads: the first version where there is none, else the last one, which
+    a next version follows if slots have to move."""
+    versions = map_versions(spark, path)
+    columns = [c.split()[0] for c in MAP.split(", ")]
+    if not versions:
+        now, version = balanced_map(loads, n_shards), 1
+    else:
+        held = read_map(spark, path, versions[-1])
+        place = ["slot", "part", "parts", "shard"]
+        now, version = rebalanced_map(held, loads, n_shards), versions[-1] + 1
+        if now.select(*place).exceptAll(held.select(*place)).isEmpty():
+            return held
+    now.select(*columns).coalesce(1).write.mode("overwrite").parquet(f"{path}/version={version}")
+    return read_map(spark, path, version)
+
+
+def shard_documents(spark: SparkSession, docs: DataFrame, n_shards: int = 8, n_slots: int = N_SLOTS, name: str | None = None) -> DataFrame:
+    """Rows (doc_id, size, text_crc32, shard, position, virtual_slot, part, version). The map is kept
+    under `name` in the shared folder, or with this run's tables where none is given."""
     scratch = Scratch(spark, "sharding", docs)
-    rows = scratch.keep(records(docs, n_slots), "records")
-    slot_map = scratch.store(balanced_map(slot_loads(rows, n_shards), n_shards), "map-v1", rows=0)
+    n_cells = max(64, docs.count() // (n_shards * CELL_ROWS))
+    rows = scratch.keep(records(docs, n_slots, n_cells), "records")
+    path = f"{shared_dir(spark)}/slot-maps/{name}" if name else f"{scratch.root}/slot-map"
+    slot_map = current_map(spark, scratch.keep(slot_loads(rows, n_shards), "loads", rows=0), n_shards, path)
     out = numbered(place(rows, slot_map))
     return scratch.finish(out.select("doc_id", "size", "text_crc32", "shard", "position", F.col("slot").alias("virtual_slot"), "part", "version"))
