@@ -21,6 +21,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """name, with underscores added until df has no such column."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
+
+
 def ascii_lower(col):
     """Lower-case A-Z only; every other character stays."""
     return F.translate(col, ASCII_UPPER, ASCII_LOWER)

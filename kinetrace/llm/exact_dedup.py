@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, Scratch, ascii_lower, join_groups, small
+from .common import BROADCAST_ROWS, Scratch, ascii_lower, fresh, join_groups, small
 
 PREFIX_CHARS = 64
 
@@ -28,39 +28,35 @@ def fingerprints(docs: DataFrame, full: bool, prefix_chars: int = PREFIX_CHARS)
 
 
 def survivors(narrow: DataFrame) -> DataFrame:
-    """(len, prefix) of groups that length, then length and prefix, leave with two rows or more.
-    Counting by both gives the counts by length, so one shuffle with partial sums serves both."""
+    """(len, prefix, n_prefix) of groups that length, then length and prefix, leave with two rows or
+    more. Counting by both gives the counts by length, so one shuffle with partial sums serves both."""
     both = narrow.groupBy("len", "prefix").agg(F.count("*").alias("n_prefix"))
     alike = both.groupBy("len").agg(F.sum("n_prefix").alias("n_len")).where("n_len > 1")
     return both.where("n_prefix > 1").join(alike.select("len"), "len", "left_semi")
 
 
 def group_report(spark: SparkSession, docs: DataFrame, all_digests: bool = True) -> tuple[DataFrame, Scratch]:
-    """(doc_id, keep_id, group_size, kept, sha): sha is null where refinement ended before the full
-    hash, unless all_digests asks for every text's. Narrow rows are computed once; texts aren't moved.
+    """(doc_id, keep_id, group_size, kept, sha): without all_digests only rows that refinement leaves,
+    which alone are hashed in full; with it all rows, where the other texts are hashed for their digest
+    only. Texts aren't moved.
     """
     scratch = Scratch(spark, "exact-dedup", docs)
-    if all_digests:
-        narrow = scratch.keep(fingerprints(docs, True), "narrow")
-        alive = survivors(narrow)
-        rows = narrow
+    narrow = scratch.keep(fingerprints(docs, False), "narrow")
+    total = narrow.count()
+    alive = scratch.keep(survivors(narrow), "alive")
+    # While the surviving keys are few they travel to the texts, and only texts with such a key are
+    # hashed in full; beyond that bound every text is hashed where it is read.
+    text = F.coalesce("text", F.lit(""))
+    keyed = docs.select("doc_id", F.octet_length(text).alias("len"), F.xxhash64(ascii_lower(F.substring(text, 1, PREFIX_CHARS))).alias("prefix"), text.alias("body"))
+    sha = F.sha2(ascii_lower(F.col("body")), 256).alias("sha")
+    if alive.count() <= BROADCAST_ROWS:
+        full = keyed.join(F.broadcast(alive.select("len", "prefix")), ["len", "prefix"], "left_semi").select("doc_id", "len", "prefix", sha)
     else:
-        narrow = scratch.keep(fingerprints(docs, False), "narrow")
-        alive = scratch.keep(survivors(narrow), "alive")
-        # Texts never move: while the surviving keys are few they travel to the texts, and only texts
-        # with such a key are hashed in full; beyond that bound every text is hashed where it is read.
-        text = F.coalesce("text", F.lit(""))
-        keyed = docs.select("doc_id", F.octet_length(text).alias("len"), F.xxhash64(ascii_lower(F.substring(text, 1, PREFIX_CHARS))).alias("prefix"), F.col("text").alias("__text"))
-        sha = F.sha2(ascii_lower(F.coalesce("__text", F.lit(""))), 256).alias("sha")
-        if alive.count() <= BROADCAST_ROWS:
-            rows = keyed.join(F.broadcast(alive), ["len", "prefix"], "left_semi").select("doc_id", "len", "prefix", sha)
-        else:
-            rows = keyed.select("doc_id", "len", "prefix", sha).join(alive, ["len", "prefix"], "left_semi")
-        rows = scratch.keep(rows, "full")
-    groups = rows.join(alive, ["len", "prefix"], "left_semi") if all_digests else rows
-    groups = groups.groupBy("len", "prefix", "sha").agg(F.count("*").alias("group_size"), F.max("doc_id").alias("keep_id"))
+        full = join_groups(keyed.select("doc_id", "len", "prefix", sha), alive, ["len", "prefix"], "n_prefix", total, "inner").drop("n_prefix")
+    full = scratch.keep(full, "full")
+    groups = full.groupBy("len", "prefix", "sha").agg(F.count("*").alias("group_size"), F.max("doc_id").alias("keep_id"))
     groups = scratch.keep(groups.where("group_size > 1"), "groups")
-    total = narrow.count()
+    rows = scratch.keep(fingerprints(docs, True), "digests") if all_digests else full
     out = join_groups(rows, groups, ["sha", "len", "prefix"], "group_size", total)
     size = F.coalesce("group_size", F.lit(1)).cast("long")
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
@@ -69,20 +65,21 @@ def group_report(spark: SparkSession, docs: DataFrame, all_digests: bool = True)
 
 
 def drop_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """docs without the rows that exact deduplication drops, all columns as they were."""
+    """docs without the rows that exact deduplication drops, all columns as they were. Up to
+    BROADCAST_ROWS dropped ids travel to the texts; beyond that the join shuffles the texts once."""
     report, scratch = group_report(spark, docs, all_digests=False)
-    lost = report.where(~F.col("kept")).select(F.col("doc_id").alias("__lost"), F.col("len").alias("__len"), F.col("sha").alias("__sha")).distinct()
+    gone, digest, mark = fresh(docs, "lost"), fresh(docs, "lost_sha"), fresh(docs, "mark")
+    lost = report.where(~F.col("kept")).select(F.col("doc_id").alias(gone), F.col("sha").alias(digest)).distinct()
     lost = scratch.store(lost, "lost")
     repeats = report.where("kept and group_size > 1").groupBy("doc_id", "sha").agg(F.count("*").alias("n")).where("n > 1")
     # Dropping by id alone is right only if every row with such an id is itself dropped; unique texts are not in the report.
-    lost_rows = docs.select("doc_id").join(small(lost.select("__lost")), F.col("__lost").eqNullSafe(F.col("doc_id")), "left_semi").count()
+    lost_rows = docs.select("doc_id").join(small(lost.select(gone).distinct()), F.col(gone).eqNullSafe(F.col("doc_id")), "left_semi").count()
     clash = lost_rows != report.where(~F.col("kept")).count()
+    sha = F.sha2(ascii_lower(F.coalesce("text", F.lit(""))), 256)
     if clash:  # an id that names several texts: decide by id and text
-        mark = F.sha2(ascii_lower(F.coalesce("text", F.lit(""))), 256)
-        out = docs.withColumn("__mark", mark).join(small(lost), F.col("__lost").eqNullSafe(F.col("doc_id")) & (F.col("__mark") == F.col("__sha")), "left_anti").drop("__mark")
+        out = docs.withColumn(mark, sha).join(small(lost), F.col(gone).eqNullSafe(F.col("doc_id")) & (F.col(mark) == F.col(digest)), "left_anti").drop(mark)
     else:
-        out = docs.join(small(lost.select("__lost")), F.col("__lost").eqNullSafe(F.col("doc_id")), "left_anti")
+        out = docs.join(small(lost.select(gone)), F.col(gone).eqNullSafe(F.col("doc_id")), "left_anti")
     if not repeats.isEmpty():
-        mark = F.sha2(ascii_lower(F.coalesce("text", F.lit(""))), 256)
-        out = out.withColumn("__mark", mark).dropDuplicates(["doc_id", "__mark"]).drop("__mark")
+        out = out.withColumn(mark, sha).dropDuplicates(["doc_id", mark]).drop(mark)
     return out

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, Scratch, join_groups, mix, prefix_hash, range_hash, small, spans_of, utf8
+from .common import BROADCAST_ROWS, Scratch, fresh, join_groups, mix, prefix_hash, range_hash, small, spans_of, utf8
 
 BANDS, ROWS = 24, 4
 SAMPLES = 512
@@ -458,7 +458,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = WORDS, th
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
-    """docs with one document of each group, all columns as they were."""
+    """docs with one document of each group, all columns as they were. Up to BROADCAST_ROWS dropped ids
+    travel to the texts; beyond that the join shuffles the texts once."""
     scratch = Scratch(spark, "minhash-drop", docs)
-    lost = near_duplicates(spark, docs, words, threshold).where(~F.col("kept")).select(F.col("doc_id").alias("__lost")).distinct()
-    return docs.join(small(scratch.store(lost, "lost")), F.col("doc_id") == F.col("__lost"), "left_anti")
+    gone = fresh(docs, "lost")
+    lost = near_duplicates(spark, docs, words, threshold).where(~F.col("kept")).select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(small(scratch.store(lost, "lost")), F.col("doc_id") == F.col(gone), "left_anti")
