@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinetrace.llm import exact_dedup, langid, minhash, packing, secrets
-from kinetrace.llm.common import Scratch, read_table
+from kinetrace.llm.common import Scratch, fresh, read_table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; texts without a letter go."""
     names = docs.columns
-    found = langid.identify(spark, docs, langid.fit(docs))
-    return found.where(F.col("__lang_pred") != langid.UNKNOWN).select(*[f"`{c}`" for c in names])
+    lang, score = fresh(docs, "lang_pred"), fresh(docs, "score")
+    found = langid.identify(spark, docs, langid.fit(docs), lang, score)
+    return found.where(F.col(lang) != langid.UNKNOWN).select(*[f"`{c}`" for c in names])
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
