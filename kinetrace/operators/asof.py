@@ -27,38 +27,54 @@ def _both(anchors: DataFrame, source: DataFrame, by: Sequence[str], t: str, anch
     return a.unionByName(s, allowMissingColumns=True)
 
 
+def _bucketed(rows: DataFrame, source: DataFrame, by: Sequence[str], t: str, bucket: int, kind: int, both: bool) -> DataFrame:
+    """rows with `__bucket`, and in each bucket a copy of the last source row before it, and with `both`
+    of the first one after it."""
+    rows = rows.withColumn("__bucket", F.floor(F.col("__t") / bucket))
+    one = F.struct(F.col(t).alias("__t"), F.struct(*source.columns).alias("row"))
+    ends = source.groupBy(*by, F.floor(F.col(t) / bucket).alias("__b")).agg(F.max(one).alias("last"), F.min(one).alias("first"))
+    used = rows.select(*by, F.col("__bucket").alias("__b")).distinct().join(ends, [*by, "__b"], "left")
+    order = W.partitionBy(*by).orderBy("__b")
+    # Buckets backwards, since a frame that ends at the last row is read anew for each row.
+    used = used.withColumn("before", F.last("last", ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, -1)))
+    if both:
+        used = used.withColumn("after", F.last("first", ignorenulls=True).over(W.partitionBy(*by).orderBy(F.desc("__b")).rowsBetween(W.unboundedPreceding, -1)))
+    sides = F.array("before", "after") if both else F.array("before")
+    carried = used.select(*by, "__b", F.explode(F.array_compact(sides)).alias("x"))
+    carried = carried.select(*by, F.col("x.__t").alias("__t"), F.lit(kind).alias("__kind"), F.col("x.row").alias(SOURCE), F.col("__b").alias("__bucket"))
+    return rows.unionByName(carried, allowMissingColumns=True)
+
+
 def backward(anchors: DataFrame, source: DataFrame, by: Sequence[str], t: str = "t", name: str = "src", bucket: int | None = None) -> DataFrame:
     """Anchors with `name`, the struct of the last source row at or before each anchor's time, or
     null. Among source rows of equal time the largest row counts."""
     rows = _both(anchors, source, by, t, anchor_first=False)
     keys = list(by)
     if bucket:
-        rows = rows.withColumn("__bucket", F.floor(F.col("__t") / bucket))
-        last = source.groupBy(*by, F.floor(F.col(t) / bucket).alias("__b")).agg(F.max(F.struct(F.col(t).alias("__t"), F.struct(*source.columns).alias("row"))).alias("x"))
-        used = rows.select(*by, F.col("__bucket").alias("__b")).distinct()
-        order = W.partitionBy(*by).orderBy("__b").rowsBetween(W.unboundedPreceding, -1)
-        carried = used.join(last, [*by, "__b"], "left").withColumn("x", F.last("x", ignorenulls=True).over(order)).where("x is not null")
-        carried = carried.select(*by, F.col("x.__t").alias("__t"), F.lit(0).alias("__kind"), F.col("x.row").alias(SOURCE), F.col("__b").alias("__bucket"))
-        rows = rows.unionByName(carried, allowMissingColumns=True)
+        rows = _bucketed(rows, source, by, t, bucket, 0, both=False)
         keys.append("__bucket")
     before = W.partitionBy(*keys).orderBy("__t", "__kind", SOURCE).rowsBetween(W.unboundedPreceding, 0)
     held = rows.withColumn(name, F.last(SOURCE, ignorenulls=True).over(before))
     return held.where(F.col(ANCHOR).isNotNull()).select(f"{ANCHOR}.*", name)
 
 
-def bracketed(anchors: DataFrame, source: DataFrame, by: Sequence[str], t: str = "t", left: str = "left_src", right: str = "right_src") -> DataFrame:
+def bracketed(anchors: DataFrame, source: DataFrame, by: Sequence[str], t: str = "t", left: str = "left_src", right: str = "right_src", bucket: int | None = None) -> DataFrame:
     """Anchors with the source rows strictly before and at or after each anchor's time."""
     rows = _both(anchors, source, by, t, anchor_first=True)
-    asc = W.partitionBy(*by).orderBy("__t", "__kind", SOURCE).rowsBetween(W.unboundedPreceding, 0)
+    keys = list(by)
+    if bucket:
+        rows = _bucketed(rows, source, by, t, bucket, 1, both=True)
+        keys.append("__bucket")
+    asc = W.partitionBy(*keys).orderBy("__t", "__kind", SOURCE).rowsBetween(W.unboundedPreceding, 0)
     # A frame that ends at the last row is read anew for each row; the same order backwards is not.
-    desc = W.partitionBy(*by).orderBy(F.desc("__t"), F.desc("__kind"), F.desc(SOURCE)).rowsBetween(W.unboundedPreceding, 0)
+    desc = W.partitionBy(*keys).orderBy(F.desc("__t"), F.desc("__kind"), F.desc(SOURCE)).rowsBetween(W.unboundedPreceding, 0)
     rows = rows.withColumn(left, F.last(SOURCE, ignorenulls=True).over(asc)).withColumn(right, F.last(SOURCE, ignorenulls=True).over(desc))
     return rows.where(F.col(ANCHOR).isNotNull()).select(f"{ANCHOR}.*", left, right)
 
 
-def nearest(anchors: DataFrame, source: DataFrame, by: Sequence[str], t: str = "t", name: str = "src") -> DataFrame:
+def nearest(anchors: DataFrame, source: DataFrame, by: Sequence[str], t: str = "t", name: str = "src", bucket: int | None = None) -> DataFrame:
     """The source row nearest in time; the earlier on ties; beyond the ends the first or last one."""
-    both = bracketed(anchors, source, by, t, "__l", "__r")
+    both = bracketed(anchors, source, by, t, "__l", "__r", bucket)
     l, r = F.col(f"__l.{t}"), F.col(f"__r.{t}")
     pick = F.when(r.isNull() | (F.col(t) - l <= r - F.col(t)), F.col("__l")).otherwise(F.col("__r"))
     return both.withColumn(name, pick).drop("__l", "__r")
@@ -68,10 +84,10 @@ def _fraction(t: Column, l: Column, r: Column) -> Column:
     return (t - l).cast("double") / (r - l).cast("double")
 
 
-def linear(anchors: DataFrame, source: DataFrame, by: Sequence[str], t: str = "t", value: str = "v", vector: bool = False) -> DataFrame:
+def linear(anchors: DataFrame, source: DataFrame, by: Sequence[str], t: str = "t", value: str = "v", vector: bool = False, bucket: int | None = None) -> DataFrame:
     """Anchors with the value interpolated at their time, and the gap of the bracket: an exact hit
     copies the row and has gap 0; outside the source's range both are null."""
-    both = bracketed(anchors, source, by, t, "__l", "__r")
+    both = bracketed(anchors, source, by, t, "__l", "__r", bucket)
     l, r = F.col(f"__l.{t}"), F.col(f"__r.{t}")
     f = _fraction(F.col(t), l, r)
     lv, rv = F.col(f"__l.{value}"), F.col(f"__r.{value}")
@@ -82,10 +98,10 @@ def linear(anchors: DataFrame, source: DataFrame, by: Sequence[str], t: str = "t
     return both.withColumn(value, out).withColumn("gap", gap).drop("__l", "__r")
 
 
-def pose(anchors: DataFrame, source: DataFrame, by: Sequence[str], t: str = "t", value: str = "v") -> DataFrame:
+def pose(anchors: DataFrame, source: DataFrame, by: Sequence[str], t: str = "t", value: str = "v", bucket: int | None = None) -> DataFrame:
     """As `linear` for poses xyz + quaternion xyzw, with spherical interpolation of the rotation; the
     result is xyz + 6D rotation."""
-    both = bracketed(anchors, source, by, t, "__l", "__r")
+    both = bracketed(anchors, source, by, t, "__l", "__r", bucket)
     l, r = F.col(f"__l.{t}"), F.col(f"__r.{t}")
     f = _fraction(F.col(t), l, r)
     lv, rv = F.col(f"__l.{value}"), F.col(f"__r.{value}")
@@ -117,6 +133,18 @@ def within(anchors: DataFrame, window: DataFrame, by: Sequence[str], t: str = "t
     return anchors.join(window.select(*by, "start", "stop"), list(by)).where((F.col(t) >= F.col("start")) & (F.col(t) <= F.col("stop"))).drop("start", "stop")
 
 
+#: Steps that one row may be spread over: an array's length.
+MAX_STEPS = 50_000_000
+
+
+def steps_within(start: Column, stop: Column, step: Column | int, what: str) -> Column:
+    """start, start + step, ... up to stop, as an array; more than MAX_STEPS of them raise."""
+    step = step if isinstance(step, Column) else F.lit(step).cast("long")
+    n = (stop - start) / step
+    reason = F.concat(F.lit(f"{what} would have "), n.cast("long").cast("string"), F.lit(" steps: is a time zero or in another unit?"))
+    return F.sequence(start, F.when(n <= MAX_STEPS, stop).otherwise(F.raise_error(reason).cast("long")), step)
+
+
 def regular_grid(source: DataFrame, by: Sequence[str], t: str = "t", step: int | None = None) -> DataFrame:
     """Anchors at first + k * step up to the last sample; the step is the rounded median interval of
     the key where none is given."""
@@ -124,7 +152,7 @@ def regular_grid(source: DataFrame, by: Sequence[str], t: str = "t", step: int |
     gaps = source.withColumn("__dt", F.col(t) - F.lag(t).over(order))
     width = F.lit(step).cast("long") if step else F.rint(F.percentile(F.when(F.col("__dt") > 0, F.col("__dt")), 0.5)).cast("long")
     ends = gaps.groupBy(*by).agg(F.min(t).alias("__a"), F.max(t).alias("__b"), width.alias("__step")) if not step else gaps.groupBy(*by).agg(F.min(t).alias("__a"), F.max(t).alias("__b")).withColumn("__step", F.lit(step).cast("long"))
-    return ends.where("__step > 0").select(*by, F.posexplode(F.sequence("__a", "__b", F.col("__step"))).alias("k", t))
+    return ends.where("__step > 0").select(*by, F.posexplode(steps_within(F.col("__a"), F.col("__b"), F.col("__step"), "a grid")).alias("k", t))
 
 
 def resampled(source: DataFrame, by: Sequence[str], t: str = "t", value: str = "v", step: int | None = None) -> DataFrame:
@@ -146,5 +174,5 @@ def in_intervals(points: DataFrame, intervals: DataFrame, by: Sequence[str], at:
     """Points with each interval [start, stop) of their key that holds them. Intervals are dealt to
     the blocks of `width` units that they touch, so the join is an equi-join by key and block."""
     p = points.withColumn("__block", F.floor(F.col(at) / width))
-    i = intervals.where(F.col(start) < F.col(stop)).withColumn("__block", F.explode(F.sequence(F.floor(F.col(start) / width), F.floor((F.col(stop) - 1) / width))))
+    i = intervals.where(F.col(start) < F.col(stop)).withColumn("__block", F.explode(steps_within(F.floor(F.col(start) / width), F.floor((F.col(stop) - 1) / width), 1, "an interval")))
     return p.join(i, [*by, "__block"]).where((F.col(at) >= F.col(start)) & (F.col(at) < F.col(stop))).drop("__block")

@@ -104,6 +104,14 @@ def image_faults(messages: DataFrame, by: Sequence[str], seq: str, digest: str)
     return dup.join(frozen_run(messages, by, [seq], digest), list(by))
 
 
+def format_changes(images: DataFrame, by: Sequence[str], seq: str, fields: Sequence[str]) -> DataFrame:
+    """Per stream how many images differ in a field (shape, encoding) from the stream's first one, and
+    the first that does."""
+    first = F.first(F.struct(*fields)).over(W.partitionBy(*by).orderBy(seq).rowsBetween(W.unboundedPreceding, 0))
+    rows = images.withColumn("__bad", ~F.struct(*fields).eqNullSafe(first))
+    return rows.groupBy(*by).agg(F.count_if("__bad").alias("n_changed"), F.min(F.when(F.col("__bad"), F.col(seq))).alias("first_changed"))
+
+
 def missing_topics(required: DataFrame, present: DataFrame, on: Sequence[str]) -> DataFrame:
     """Required topics without a message."""
     return required.join(present, list(on), "left_anti")

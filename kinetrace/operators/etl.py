@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from .asof import in_intervals
+
 #: Fixed value: prefixes of the consolidated layout's metadata columns.
 CONSOLIDATED_PREFIXES = ("data/", "videos/", "stats/", "meta/")
 
@@ -17,7 +19,7 @@ def task_mapping(tasks: DataFrame) -> DataFrame:
     index, numbered by where they are first seen. Tasks are catalogue-sized."""
     first = tasks.groupBy("task").agg(F.min(F.struct("dataset", "task_index")).alias("__first"))
     index = F.row_number().over(W.orderBy("__first")) - 1
-    return tasks.join(F.broadcast(first.select("task", index.cast("long").alias("new_index"))), "task")
+    return tasks.join(first.select("task", index.cast("long").alias("new_index")), "task")
 
 
 def episode_offsets(lengths: DataFrame, order: Sequence[str], length: str = "length") -> DataFrame:
@@ -52,7 +54,7 @@ def merged(datasets: Sequence[Mapping[str, DataFrame]]) -> dict[str, DataFrame]:
     episodes = episode_offsets(stacked("episodes").withColumnRenamed("episode_index", "old_episode"), ["dataset", "old_episode"])
     frames = stacked("frames").withColumnRenamed("episode_index", "old_episode").withColumnRenamed("task_index", "old_task").drop("index")
     frames = frames.join(episodes.select("dataset", "old_episode", "episode_index", "start"), ["dataset", "old_episode"])
-    frames = frames.join(F.broadcast(mapping.select("dataset", F.col("task_index").alias("old_task"), F.col("new_index").alias("task_index"))), ["dataset", "old_task"])
+    frames = frames.join(mapping.select("dataset", F.col("task_index").alias("old_task"), F.col("new_index").alias("task_index")), ["dataset", "old_task"])
     frames = frames.withColumn("index", F.col("start") + F.col("frame_index")).drop("dataset", "old_episode", "old_task", "start")
     tasks = mapping.select(F.col("new_index").alias("task_index"), "task").distinct()
     return {"frames": frames, "episodes": episodes.drop("dataset", "old_episode", "start"), "tasks": tasks}
@@ -101,7 +103,7 @@ def files_of(episodes: DataFrame, chunk: str = "chunk", file: str = "file") -> D
 
 def with_tasks(frames: DataFrame, tasks: DataFrame, strict: bool = True) -> DataFrame:
     """Frames with the text of their task; an unknown index raises, or gives null."""
-    out = frames.join(F.broadcast(tasks), "task_index", "left")
+    out = frames.join(tasks, "task_index", "left")
     if strict:
         out = out.withColumn("task", F.coalesce("task", F.raise_error(F.lit("a frame's task is not in the task table")).cast("string")))
     return out
@@ -124,13 +126,27 @@ def cut_to_length(frames: DataFrame, episodes: DataFrame) -> DataFrame:
 def subtask_text(frames: DataFrame, intervals: DataFrame, horizon: int, seed: int) -> DataFrame:
     """Frames with one of the texts whose interval, widened to the left by half the horizon, holds
     them; an empty text where none does. The choice is seeded by episode and frame."""
-    wide = intervals.withColumn("start", F.greatest(F.lit(0).cast("long"), F.col("start") - horizon // 2))
-    hit = frames.join(wide, "episode_index").where("frame_index >= start and frame_index < stop")
+    wide = intervals.select("episode_index", "text", F.greatest(F.lit(0).cast("long"), F.col("start") - horizon // 2).alias("start"), "stop")
+    hit = in_intervals(frames.select("episode_index", "frame_index"), wide, ["episode_index"], "frame_index", "start", "stop")
     texts = hit.groupBy("episode_index", "frame_index").agg(F.array_sort(F.collect_list("text")).alias("__t"))
     pick = F.get("__t", F.pmod(F.xxhash64(F.lit(seed), "episode_index", "frame_index"), F.size("__t")).cast("int"))
     return frames.join(texts, ["episode_index", "frame_index"], "left").withColumn("text", F.coalesce(pick, F.lit(""))).drop("__t")
 
 
+def selected_episodes(frames: DataFrame, ids: Sequence[int] | None = None, first: int | None = None, by: str = "episode_index") -> DataFrame:
+    """Frames of the episodes asked for, all if none are named, and of those the first few. An id that
+    the table doesn't have raises when rows are read."""
+    have = frames.select(by).distinct()
+    if ids is not None:
+        asked = frames.sparkSession.createDataFrame([(int(i),) for i in dict.fromkeys(ids)], f"{by} long")
+        known = asked.join(have.withColumn("__known", F.lit(True)), by, "left")
+        message = F.concat(F.lit("no episode "), F.col(by).cast("string"))
+        have = known.where(F.coalesce("__known", F.raise_error(message).cast("boolean"))).select(by)
+    if first is not None:
+        have = have.orderBy(by).limit(first)
+    return frames.join(have, by, "left_semi")
+
+
 def kept_episodes(frames: DataFrame, verdicts: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Frames of accepted episodes, renumbered densely in the order of the keys."""
     good = verdicts.where("status != 'REJECT'").select(*by)

@@ -22,6 +22,15 @@ def records_of(arrays: Mapping[str, Column | str]) -> Column:
     return F.arrays_zip(*[(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in arrays.items()])
 
 
+def valid_only(rows: DataFrame, valid: str, lists: Sequence[str] = ()) -> DataFrame:
+    """Rows whose flag is true; or, where the flag is an array, each row's lists without the places that
+    it marks as invalid."""
+    if not lists:
+        return rows.where(F.coalesce(valid, F.lit(False)))
+    keep = lambda c: F.filter(c, lambda x, i: F.coalesce(F.get(valid, i), F.lit(False)))
+    return rows.withColumns({c: keep(c) for c in [*lists, valid]})
+
+
 def positional_names(configured: Sequence[str], found: Sequence[str]) -> dict[str, str]:
     """Configured key -> dataset key: by name where they agree, else by position; counts must match."""
     if set(configured) <= set(found):

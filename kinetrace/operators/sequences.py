@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -99,19 +100,33 @@ def sign_continuous(df: DataFrame, by: Sequence[str], order: Sequence[str], q: s
     return rows.withColumn("__sign", 1.0 - 2.0 * (flips % 2)).withColumn(name, scaled(q, F.col("__sign"))).drop("__dot", "__sign")
 
 
+#: Rows of a key that one closed form covers, at most.
+EMA_BLOCK = 512
+
+
 def ema(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, alpha: float, name: str = "ema") -> DataFrame:
-    """y = (1 - alpha) y + alpha x from the first value on, one row per key's sample (`n` from 1).
-    A fold over the key's ordered array; keys are episodes, so arrays are bounded by their length."""
-    packed = df.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(*order, F.col(value).cast("double").alias("__x")))).alias("__s"))
-    start = F.struct(F.lit(None).cast("double").alias("y"), F.array().cast("array<double>").alias("out"))
-
-    def step(acc, s):
-        y = F.when(acc["y"].isNull(), s["__x"]).otherwise(acc["y"] * (1 - alpha) + s["__x"] * alpha)
-        return F.struct(y.alias("y"), F.concat(acc["out"], F.array(y)).alias("out"))
-
-    packed = packed.withColumn("__out", F.aggregate("__s", start, step, lambda acc: acc["out"]))
-    rows = packed.select(*by, F.posexplode(F.arrays_zip("__s", "__out")).alias("__i", "__z"))
-    return rows.select(*by, (F.col("__i") + 1).cast("long").alias("n"), *[F.col(f"__z.__s.{c}").alias(c) for c in order], F.col("__z.__out").alias(name))
+    """y = (1 - alpha) y + alpha x from the first value on, one row per key's sample (`n` from 1); rows
+    without a value are left out. Within a block, y is a weighted running sum; a block starts from
+    where the one before ends, which a table of one row per block carries over."""
+    if not 0 < alpha <= 1:
+        raise ValueError("alpha must lie in (0, 1]")
+    rest = 1.0 - alpha
+    rows = df.where(F.col(value).isNotNull()).select(*by, *order, F.col(value).cast("double").alias("__x"))
+    rows = rows.withColumn("n", F.row_number().over(ordered(by, *order)).cast("long"))
+    if rest == 0:
+        return rows.select(*by, "n", *order, F.col("__x").alias(name))
+    size = max(1, min(EMA_BLOCK, int(600 / -math.log(rest))))  # so that no weight leaves a double's range
+    rows = rows.withColumn("__b", F.floor((F.col("n") - 1) / size)).withColumn("__i", ((F.col("n") - 1) % size).cast("double"))
+    weight = F.when(F.col("n") == 1, 1.0).otherwise(alpha) * F.pow(F.lit(1 / rest), F.col("__i"))
+    so_far = W.partitionBy(*by, "__b").orderBy("n").rowsBetween(W.unboundedPreceding, 0)
+    rows = rows.withColumn("__y", F.pow(F.lit(rest), F.col("__i")) * F.sum(F.col("__x") * weight).over(so_far))
+    ends = rows.groupBy(*by, "__b").agg(F.max_by("__y", "n").alias("__end")).groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("__b", "__end"))).alias("__e"))
+    start = F.struct(F.lit(0.0).alias("y"), F.array().cast("array<double>").alias("out"))
+    step = lambda acc, e: F.struct((acc["y"] * rest**size + e["__end"]).alias("y"), F.concat(acc["out"], F.array(acc["y"])).alias("out"))
+    carried = ends.withColumn("__c", F.aggregate("__e", start, step, lambda acc: acc["out"]))
+    carried = carried.select(*by, F.explode(F.arrays_zip("__e", "__c")).alias("z")).select(*by, F.col("z.__e.__b").alias("__b"), F.col("z.__c").alias("__before"))
+    out = rows.join(carried, [*by, "__b"])
+    return out.select(*by, "n", *order, (F.col("__y") + F.col("__before") * F.pow(F.lit(rest), F.col("__i") + 1)).alias(name))
 
 
 def history(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, deltas: Sequence[int], name: str = "history") -> DataFrame:

@@ -122,9 +122,15 @@ def seeded_order(seed: int, *keys: str) -> Column:
     return F.xxhash64(F.lit(seed), *keys)
 
 
-def dropped_state(state: str, p: float, seed: int) -> Column:
-    """The state, or zeros with probability p."""
-    return F.when(F.rand(seed) < p, F.transform(state, lambda x: x * 0)).otherwise(F.col(state))
+def chance(seed: int, *keys: str) -> Column:
+    """A number in [0, 1) fixed by the seed and the keys, however rows are partitioned."""
+    digits = F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]).cast("binary")), 1, 8)
+    return F.conv(digits, 16, 10).cast("double") / 2**32
+
+
+def dropped_state(state: str, p: float, seed: int, *keys: str) -> Column:
+    """The state, or zeros with probability p, the same for the same keys."""
+    return F.when(chance(seed, *keys) < p, F.transform(state, lambda x: x * 0)).otherwise(F.col(state))
 
 
 def chunk_of(episode: str = "episode_index", size: int = 1000) -> Column:

@@ -6,6 +6,7 @@ These need whole series at once and run as grouped Arrow functions; a group is o
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -32,24 +33,52 @@ def butterworth(order: int, cutoff: float, rate: float) -> np.ndarray:
     return np.array(out)
 
 
+BLOCK = 128
+
+
+def section_responses(section: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A section's outputs and states over n steps from an impulse, and from each of its two states:
+    (responses: 3 x n, states before each step and after the last: 3 x (n + 1) x 2)."""
+    b0, b1, b2, _, a1, a2 = section
+    x = np.zeros((3, n))
+    x[0, 0] = 1
+    y, z = np.zeros((3, n)), np.zeros((3, n + 1, 2))
+    z[1, 0, 0] = z[2, 0, 1] = 1
+    for i in range(n):
+        y[:, i] = b0 * x[:, i] + z[:, i, 0]
+        z[:, i + 1, 0] = b1 * x[:, i] - a1 * y[:, i] + z[:, i, 1]
+        z[:, i + 1, 1] = b2 * x[:, i] - a2 * y[:, i]
+    return y, z
+
+
 def run_sections(sections: np.ndarray, x: np.ndarray, steady: np.ndarray | None = None) -> np.ndarray:
     """Sections one after the other over the first axis; `steady` scales the states of a constant
-    input to start from."""
+    input to start from. A block of samples is one product with the section's impulse responses, and
+    the two states carry over to the next block."""
     y = x.astype(float)
-    level = steady
-    for b0, b1, b2, _, a1, a2 in sections:
+    shape = y.shape
+    y = y.reshape(len(y), -1)
+    level = np.asarray(steady, float).reshape(-1) if steady is not None else None
+    for section in sections:
+        b0, b1, b2, _, a1, a2 = section
         gain = (b0 + b1 + b2) / (1 + a1 + a2)
-        z2 = (b2 - a2 * gain) * level if level is not None else np.zeros(y.shape[1:])
-        z1 = (b1 - a1 * gain) * level + z2 if level is not None else np.zeros(y.shape[1:])
-        out = np.empty_like(y)
-        for i in range(len(y)):
-            v = b0 * y[i] + z1
-            z1 = b1 * y[i] - a1 * v + z2
-            z2 = b2 * y[i] - a2 * v
-            out[i] = v
-        y = out
+        state = np.zeros((2, y.shape[1]))
+        if level is not None:
+            state[1] = (b2 - a2 * gain) * level
+            state[0] = (b1 - a1 * gain) * level + state[1]
+        n = min(BLOCK, len(y))
+        out, z = section_responses(section, n)
+        lags = np.arange(n)[:, None] - np.arange(n)
+        toeplitz = np.where(lags >= 0, out[0][np.maximum(lags, 0)], 0.0)
+        done = np.empty_like(y)
+        for i in range(0, len(y), n):
+            part = y[i : i + n]
+            m = len(part)
+            done[i : i + m] = toeplitz[:m, :m] @ part + out[1:, :m].T @ state
+            state = z[0, m:0:-1].T @ part + z[1:, m].T @ state
+        y = done
         level = gain * level if level is not None else None
-    return y
+    return y.reshape(shape)
 
 
 def zero_phase(sections: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -137,48 +166,124 @@ def filter_report(df: DataFrame, by: Sequence[str], t: str, before: str, after:
     return df.select(*by, t, before, after).groupBy(*by).applyInPandas(run, schema)
 
 
-def axis_lag(action: np.ndarray, state: np.ndarray, max_shift: int) -> dict | None:
-    """Shift of the largest correlation of the two velocities, its margin over the second best,
-    agreement of directions, and position errors at that shift. None without excitation."""
-    a, s = np.gradient(action), np.gradient(state)
-    if a.std() < 1e-9 or s.std() < 1e-9:
-        return None
-    scores = []
-    for k in range(min(max_shift, len(a) - 3) + 1):
-        x, y = a[: len(a) - k], s[k:]
-        scores.append(np.corrcoef(x, y)[0, 1] if x.std() > 0 and y.std() > 0 else -1.0)
-    scores = np.array(scores)
-    k = int(scores.argmax())
-    second = np.delete(scores, k).max() if len(scores) > 1 else -1.0
-    x, y = a[: len(a) - k], s[k:]
-    moving = (np.abs(x) > 1e-9) | (np.abs(y) > 1e-9)
-    agree = float((np.sign(x) == np.sign(y))[moving].mean()) if moving.any() else 1.0
-    err = np.abs(action[: len(action) - k] - state[k:])
-    return {"shift": k, "corr": float(scores[k]), "margin": float(scores[k] - second), "agreement": agree, "error_mean": float(err.mean()), "error_p95": float(np.percentile(err, 95)), "error_max": float(err.max())}
+#: The pairs that a conversion audits (name, action stream, state stream, kind).
+LAG_PAIRS = (
+    ("arm.left", "action.left_arm_joint", "state.left_arm_joint", "joint"),
+    ("arm.right", "action.right_arm_joint", "state.right_arm_joint", "joint"),
+    ("hand.left", "action.left_hand_joint", "state.left_hand_joint", "joint"),
+    ("hand.right", "action.right_hand_joint", "state.right_hand_joint", "joint"),
+    ("eef.left", "action.left_eef", "state.left_eef", "pose"),
+    ("eef.right", "action.right_eef", "state.right_eef", "pose"),
+)
 
 
-LAG = "axis int, lag double, corr double, margin double, agreement double, error_mean double, error_p95 double, error_max double, reason string"
+@dataclass(frozen=True)
+class LagRules:
+    """The audit's defaults. Times in seconds, the rate in samples per second."""
 
+    max_lag: float = 0.3
+    rate: float = 200.0
+    excitation: float = 1e-3
+    window: float = 3.0
 
-def lag_audit(pairs: DataFrame, by: Sequence[str], t: str, action: str, state: str, per_second: float, max_lag: float) -> DataFrame:
-    """Per axis the response lag in seconds of the state behind the action; both on one regular grid."""
-    schema = ", ".join([*(f"`{c}` {pairs.schema[c].dataType.simpleString()}" for c in by), LAG])
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(t, kind="stable")
-        a, s = (np.stack(pdf[c].to_numpy()).astype(float) for c in (action, state))
-        sec = pdf[t].to_numpy(float) / per_second
-        step = float(np.median(np.diff(sec))) if len(sec) > 1 else 1.0
-        rows = []
-        for axis in range(a.shape[1]):
-            got = axis_lag(a[:, axis], s[:, axis], int(round(max_lag / step))) if len(sec) > 4 else None
-            row = {c: pdf[c].iloc[0] for c in by} | {"axis": axis, "reason": None if got else "insufficient_excitation"}
-            row |= {k: (got[k] if got else None) for k in ("corr", "margin", "agreement", "error_mean", "error_p95", "error_max")}
-            rows.append(row | {"lag": got["shift"] * step if got else None})
-        names = [*by, *(x.split()[0] for x in LAG.split(", "))]
-        return pd.DataFrame(rows)[names]
-
-    return pairs.select(*by, t, action, state).groupBy(*by).applyInPandas(run, schema)
+def paired(samples: DataFrame, intervals: DataFrame, by: Sequence[str], pairs=LAG_PAIRS, t: str = "t", value: str = "v") -> tuple[DataFrame, DataFrame]:
+    """(actions, states), each (by, pair, t, value): the samples of each pair inside the active interval
+    (active_start to active_stop, ends included); of poses the translation."""
+    table = samples.sparkSession.createDataFrame([(n, r, k, kind == "pose") for n, a, s, kind in pairs for r, k in (("action", a), ("state", s))], "pair string, role string, stream string, is_pose boolean")
+    rows = samples.join(F.broadcast(table), "stream").join(intervals.select(*by, "active_start", "active_stop"), list(by))
+    rows = rows.where((F.col(t) >= F.col("active_start")) & (F.col(t) <= F.col("active_stop")))
+    rows = rows.withColumn(value, F.when(F.col("is_pose"), F.slice(value, 1, 3)).otherwise(F.col(value)))
+    return tuple(rows.where(F.col("role") == r).select(*by, "pair", t, value) for r in ("action", "state"))
+
+
+def shift_scores(a: np.ndarray, s: np.ndarray, bound: int, least: float) -> np.ndarray:
+    """Correlation of a with s shifted by 0, 1, ... bound; minus infinity where one hardly moves."""
+    out = np.full(bound + 1, -np.inf)
+    for k in range(bound + 1):
+        x, y = a[: len(a) - k], s[k:]
+        if x.std() >= least and y.std() >= least:
+            c = np.corrcoef(x, y)[0, 1]
+            out[k] = c if np.isfinite(c) else -np.inf
+    return out
+
+
+def windowed_lags(a: np.ndarray, s: np.ndarray, bound: int, rules: LagRules) -> tuple[np.ndarray, np.ndarray]:
+    """(lags, centres) of half-overlapping windows in which both move."""
+    size = max(4, round(rules.window * rules.rate))
+    lags, centres = [], []
+    for i in range(0, len(a) - size + 1, max(1, size // 2)):
+        x, y = a[i : i + size], s[i : i + size]
+        if x.std() < rules.excitation or y.std() < rules.excitation:
+            continue
+        scores = shift_scores(x, y, min(bound, size // 3), rules.excitation)
+        if np.isfinite(scores).any():
+            lags.append(int(scores.argmax()) / rules.rate)
+            centres.append((i + size / 2) / rules.rate)
+    return np.array(lags), np.array(centres)
+
+
+def axis_lag(action: np.ndarray, state: np.ndarray, rules: LagRules) -> dict | None:
+    """Of two positions on one grid: the shift of the largest correlation of their velocities, its margin
+    over the second best, agreement of directions and position errors at that shift, and how windows of
+    the series vary. None without excitation."""
+    a, s = np.gradient(action, 1 / rules.rate), np.gradient(state, 1 / rules.rate)
+    if a.std() < rules.excitation or s.std() < rules.excitation:
+        return None
+    bound = min(round(rules.max_lag * rules.rate), len(a) // 3)
+    scores = shift_scores(a, s, bound, rules.excitation)
+    k = int(scores.argmax())
+    real = np.sort(scores[np.isfinite(scores)])
+    x, y = a[: len(a) - k], s[k:]
+    moving = np.abs(x) + np.abs(y) > rules.excitation
+    err = np.abs(action[: len(action) - k] - state[k:])
+    lags, centres = windowed_lags(a, s, bound, rules)
+    out = {"lag": k / rules.rate, "corr": float(scores[k]), "margin": float(scores[k] - real[-2]) if len(real) > 1 else None}
+    out |= {"agreement": float((np.sign(x) == np.sign(y))[moving].mean()) if moving.any() else None}
+    out |= {"error_mean": float(err.mean()), "error_p95": float(np.percentile(err, 95)), "error_max": float(err.max()), "duration": len(x) / rules.rate}
+    if len(lags):
+        mid = float(np.median(lags))
+        out |= {"window_median": mid, "window_mad": float(np.median(np.abs(lags - mid))), "window_range": float(np.ptp(lags))}
+    if len(lags) > 1:
+        out |= {"window_trend": float(np.polyfit(centres, lags, 1)[0]), "window_max_step": float(np.abs(np.diff(lags)).max())}
+    return out
+
+
+LAG_NUMBERS = ("lag", "corr", "margin", "agreement", "error_mean", "error_p95", "error_max", "duration", "window_median", "window_mad", "window_range", "window_trend", "window_max_step")
+LAG = "axis int, " + ", ".join(f"{c} double" for c in LAG_NUMBERS) + ", reason string"
+
+
+def lag_audit(actions: DataFrame, states: DataFrame, by: Sequence[str], t: str = "t", value: str = "v", per_second: float = 1e9, rules: LagRules = LagRules()) -> DataFrame:
+    """Per axis the response lag in seconds of a state behind its action. Both (by, t, vector) come on
+    their own times and go on one grid over what they share: actions held, states interpolated. The
+    reason says why an axis has no lag: insufficient_overlap or insufficient_excitation."""
+    schema = ", ".join([*(f"`{c}` {actions.schema[c].dataType.simpleString()}" for c in by), LAG])
+
+    def series(pdf: pd.DataFrame, side: str) -> tuple[np.ndarray, np.ndarray]:
+        pdf = pdf.sort_values(f"{side}_{t}", kind="stable")
+        return pdf[f"{side}_{t}"].to_numpy(), np.stack(pdf[f"{side}_{value}"].to_numpy()).astype(float)
+
+    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        width = len((left[f"a_{value}"] if len(left) else right[f"s_{value}"]).iloc[0])
+        found: list[dict | None] = [None] * width
+        reason = "insufficient_overlap"
+        if len(left) > 1 and len(right) > 1:
+            (at, a), (st, s) = series(left, "a"), series(right, "s")
+            if a.shape[1] != s.shape[1]:
+                raise ValueError(f"{key}: an action of {a.shape[1]} dimensions has a state of {s.shape[1]}")
+            origin = min(at[0], st[0])
+            at, st = (at - origin) / per_second, (st - origin) / per_second
+            grid = np.arange(max(at[0], st[0]), min(at[-1], st[-1]), 1 / rules.rate)
+            if len(grid) >= 4:
+                reason = "insufficient_excitation"
+                held = a[np.searchsorted(at, grid, "right") - 1]
+                found = [axis_lag(held[:, k], np.interp(grid, st, s[:, k]), rules) for k in range(width)]
+        rows = [dict(zip(by, key)) | {"axis": k, "reason": None if got else reason} | {c: (got or {}).get(c) for c in LAG_NUMBERS} for k, got in enumerate(found)]
+        return pd.DataFrame(rows)[[*by, "axis", *LAG_NUMBERS, "reason"]].astype({c: float for c in LAG_NUMBERS})
+
+    # Names of their own, as both sides may stem from one table.
+    a, s = (x.select(*[F.col(c).alias(f"{side}_{c}") for c in (*by, t, value)]) for side, x in (("a", actions), ("s", states)))
+    return a.groupBy(*[f"a_{c}" for c in by]).cogroup(s.groupBy(*[f"s_{c}" for c in by])).applyInPandas(run, schema)
 
 
 def consensus(lags: DataFrame, by: Sequence[str]) -> DataFrame:

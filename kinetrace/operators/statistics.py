@@ -14,16 +14,16 @@ def _six(x: Column, exact: bool) -> list[Column]:
     return [F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"), q.alias("__q")]
 
 
-def vector_stats(df: DataFrame, vector: str, by: Sequence[str] = (), exact: bool = True) -> DataFrame:
+def vector_stats(df: DataFrame, vector: str, by: Sequence[str] = (), exact: bool = False) -> DataFrame:
     """(by..., dim, n, mean, std, min, max, q01, q99) with population std and interpolated quantiles.
-    Exact quantiles keep each dimension's distinct values while aggregating; with exact=False they are
-    sketches of bounded size."""
+    Quantiles are sketches of bounded size; exact ones keep each dimension's distinct values while
+    aggregating, which suits small tables."""
     rows = df.select(*by, F.posexplode(F.col(vector).cast("array<double>")).alias("dim", "__x"))
     out = rows.groupBy(*by, "dim").agg(F.count("__x").alias("n"), *_six(F.col("__x"), exact))
     return out.select(*by, "dim", "n", "mean", "std", "min", "max", F.get("__q", F.lit(0)).alias("q01"), F.get("__q", F.lit(1)).alias("q99"))
 
 
-def chunk_stats(df: DataFrame, chunk: str, by: Sequence[str] = (), exact: bool = True) -> DataFrame:
+def chunk_stats(df: DataFrame, chunk: str, by: Sequence[str] = (), exact: bool = False) -> DataFrame:
     """The same per (step, dim) of a column of chunks."""
     steps = df.select(*by, F.posexplode(chunk).alias("step", "__v"))
     return vector_stats(steps, "__v", [*by, "step"], exact)
@@ -99,10 +99,17 @@ def median_fps(df: DataFrame, by: Sequence[str], t: str, per_second: float, defa
     return rows.groupBy(*by).agg(F.coalesce(F.lit(per_second) / median, F.lit(default)).alias("fps"))
 
 
-def nearest_rank(x: str | Column, f: float) -> Column:
-    """sorted[round(f * (n - 1))] with halves to even."""
-    s = F.array_sort(F.collect_list(x))
-    return F.element_at(s, (F.rint(F.lit(f) * (F.size(s) - 1)) + 1).cast("int"))
+def nearest_ranks(df: DataFrame, by: Sequence[str], x: str, fractions: dict[str, float]) -> DataFrame:
+    """Per key and named fraction f the value sorted[round(f * (n - 1))], halves to even. Rows are
+    numbered in order, and of each key only those asked for go on."""
+    rows = df.where(F.col(x).isNotNull()).select(*by, F.col(x).alias("__x"))
+    total = rows.groupBy(*by).agg(F.count("*").alias("__n"))
+    rows = rows.withColumn("__r", F.row_number().over(W.partitionBy(*by).orderBy("__x")) - 1).join(total, list(by))
+    at = {name: F.rint(F.lit(f) * (F.col("__n") - 1)) == F.col("__r") for name, f in fractions.items()}
+    wanted = None
+    for hit in at.values():
+        wanted = hit if wanted is None else wanted | hit
+    return rows.where(wanted).groupBy(*by).agg(*[F.max(F.when(hit, F.col("__x"))).alias(name) for name, hit in at.items()])
 
 
 def spread(x: str | Column) -> list[Column]:

@@ -220,7 +220,7 @@ def missing_topics(spark, sf):
     SELECT user_id, v[1 + CAST(round_even(0.01 * (len(v) - 1), 0) AS INT)] AS p01, v[1 + CAST(round_even(0.5 * (len(v) - 1), 0) AS INT)] AS p50,
            v[1 + CAST(round_even(0.99 * (len(v) - 1), 0) AS INT)] AS p99 FROM s""")
 def nearest_rank_percentile(spark, sf):
-    return events(spark, sf).groupBy("user_id").agg(*[statistics.nearest_rank("value", p).alias(f"p{int(p * 100):02d}") for p in (0.01, 0.5, 0.99)])
+    return statistics.nearest_ranks(events(spark, sf), ["user_id"], "value", {f"p{int(p * 100):02d}": p for p in (0.01, 0.5, 0.99)})
 
 
 @query(f"""WITH e AS ({EVENTS}) SELECT event_type, min(value) AS min, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95, max(value) AS max

@@ -30,7 +30,7 @@ def relative_stats(frames: DataFrame, state: tuple[int, int], action: tuple[int,
     that lie whole within their episode."""
     rows = frames.select("episode_index", "frame_index", part("`observation.state`", *state).alias("s"), part("`action`", *action).alias("a"))
     c = sequences.chunks(rows, ["episode_index"], ["frame_index"], "a", horizon, pad=False).where(F.size("chunk") == horizon)
-    got = statistics.chunk_stats(c.select(sequences.relative_chunk("chunk", F.col("s")).alias("c")), "c").orderBy("step", "dim").collect()
+    got = statistics.chunk_stats(c.select(sequences.relative_chunk("chunk", F.col("s")).alias("c")), "c", exact=exact).orderBy("step", "dim").collect()
     steps = sorted({r.step for r in got})
     return {k: [[r[k] for r in got if r.step == s] for s in steps] for k in STATISTICS}
 

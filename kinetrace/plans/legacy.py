@@ -60,7 +60,7 @@ def converted(samples: DataFrame, clock: str, streams: Sequence[str], alpha: flo
     good = verdict.where(F.size("reasons") == 0).select(*BY)
     index = (F.row_number().over(W.orderBy("episode")) - 1).cast("long")
     numbered = good.withColumn("episode_index", index)
-    frames = rows.drop("v").join(smooth, [*BY, "stream", "t"], "left").join(F.broadcast(numbered), BY)
+    frames = rows.drop("v").join(smooth, [*BY, "stream", "t"], "left").join(numbered, BY)
     return {"frames": frames, "quality": verdict, "summary": summary(verdict), "fps": statistics.median_fps(rows.select(*BY, "t").distinct(), BY, "t", per_second)}
 
 

@@ -165,7 +165,7 @@ def absolute_chunk(spark, sf):
 def relative_stats(spark, sf):
     rows = steps(spark, sf).withColumn("v", F.array("value"))
     whole = sequences.chunks(rows, BY, ["t", "event_id"], "v", 8, pad=False).where(F.size("chunk") == 8)
-    s = statistics.chunk_stats(whole.select(sequences.relative_chunk("chunk").alias("c")), "c")
+    s = statistics.chunk_stats(whole.select(sequences.relative_chunk("chunk").alias("c")), "c", exact=True)
     return s.select(F.col("step").cast("long").alias("step"), "dim", "n", F.round("mean", 5).alias("mean"), F.round("std", 5).alias("std"), *[r6(c).alias(c) for c in ("min", "max", "q01", "q99")])
 
 

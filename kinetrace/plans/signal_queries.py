@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..operators import asof, signal
-from .common import EVENTS, HOUR, SECOND, events, r6, registry, stream
+from .common import DAY, EVENTS, HOUR, SECOND, events, r6, registry, stream
 
 QUERIES, ORACLE_SQL, query = registry()
 N = f"WITH e AS ({EVENTS}), s AS (SELECT user_id, event_id, t, value, (event_id % 97)::DOUBLE + value / 10 AS b, row_number() OVER (PARTITION BY user_id ORDER BY t, event_id) AS n FROM e)"
@@ -50,10 +50,15 @@ def power_retention(spark, sf):
     return signal.filter_report(both, ["user_id"], "t", "v", "w", float(SECOND))
 
 
+LAG_RULES = signal.LagRules(max_lag=5 * 86400.0, rate=1 / 21600, excitation=1e-9, window=20 * 86400.0)
+
+
 @query()
 def lag_audit(spark, sf):
-    rows = numbered(spark, sf).select("user_id", "t", F.array("value", "b").alias("a"), F.array("b", "value").alias("s"))
-    return signal.lag_audit(rows, ["user_id"], "t", "a", "s", float(SECOND), 5 * 24 * 3600.0)
+    """Each user's clicks as actions, views as states, on a grid of six hours."""
+    e = events(spark, sf)
+    actions, states = (stream(e, k).select("user_id", "t", F.array("value", F.sin("value")).alias("v")) for k in ("click", "view"))
+    return signal.lag_audit(actions, states, ["user_id"], per_second=float(SECOND), rules=LAG_RULES)
 
 
 @query()
@@ -61,6 +66,26 @@ def lag_consensus(spark, sf):
     return signal.consensus(lag_audit(spark, sf), ["user_id"])
 
 
+@query(f"""WITH e AS ({EVENTS}) SELECT user_id, round(median(CASE WHEN value >= 20 THEN value / 100 END), 6) AS lag, count(CASE WHEN value >= 20 THEN 1 END) AS active_axes FROM e GROUP BY user_id""")
+def consensus_of_lags(spark, sf):
+    lags = events(spark, sf).select("user_id", F.when(F.col("value") >= 20, F.col("value") / 100).alias("lag"))
+    return signal.consensus(lags, ["user_id"]).select("user_id", r6("lag").alias("lag"), "active_axes")
+
+
+@query(f"""WITH e AS ({EVENTS}), i AS (SELECT user_id, min(t) AS a, min(t) + {30 * DAY} AS b FROM e GROUP BY user_id),
+    p AS (SELECT * FROM (VALUES ('arm', 'action', 'click', 2), ('arm', 'state', 'view', 2), ('eef', 'action', 'purchase', 1), ('eef', 'state', 'view', 1)) v(pair, role, event_type, width))
+    SELECT user_id, pair, role, count(*) AS n, min(t) AS first_t, max(t) AS last_t, CAST(sum(width) AS BIGINT) AS elements FROM e JOIN i USING (user_id) JOIN p USING (event_type) WHERE t BETWEEN a AND b GROUP BY ALL""")
+def lag_pairs(spark, sf):
+    """Pairs of streams inside an interval; of poses only the first elements."""
+    e = events(spark, sf).select("user_id", F.col("event_type").alias("stream"), "t", F.array("value", "value").alias("v"))
+    bounds = e.groupBy("user_id").agg(F.min("t").alias("active_start"), (F.min("t") + 30 * DAY).alias("active_stop"))
+    pairs = (("arm", "click", "view", "joint"), ("eef", "purchase", "view", "joint"))
+    found = signal.paired(e, bounds, ["user_id"], pairs)
+    rows = found[0].withColumn("role", F.lit("action")).unionByName(found[1].withColumn("role", F.lit("state")))
+    width = F.when(F.col("pair") == "eef", 1).otherwise(F.size("v"))
+    return rows.groupBy("user_id", "pair", "role").agg(F.count("*").alias("n"), F.min("t").alias("first_t"), F.max("t").alias("last_t"), F.sum(width).alias("elements"))
+
+
 @query()
 def pose_interpolation(spark, sf):
     """Poses made of the events' values, at the times of views."""

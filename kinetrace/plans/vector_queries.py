@@ -24,7 +24,7 @@ def vectors(spark, sf):
 
 def with_stats(spark, sf):
     rows = vectors(spark, sf)
-    return rows.join(F.broadcast(S.as_vectors(S.vector_stats(rows, "v"))))  # one row of statistics
+    return rows.join(F.broadcast(S.as_vectors(S.vector_stats(rows, "v", exact=True))))  # one row of statistics
 
 
 def exploded(df, column, digits=6):
@@ -33,7 +33,7 @@ def exploded(df, column, digits=6):
 
 @query(STATS + "SELECT dim, n, round(mean, 5) AS mean, round(std, 5) AS std, round(min, 6) AS min, round(max, 6) AS max, round(q01, 6) AS q01, round(q99, 6) AS q99 FROM s")
 def vector_stats(spark, sf):
-    s = S.vector_stats(vectors(spark, sf), "v")
+    s = S.vector_stats(vectors(spark, sf), "v", exact=True)
     return s.select(F.col("dim").cast("long").alias("dim"), "n", F.round("mean", 5).alias("mean"), F.round("std", 5).alias("std"), *[r6(c).alias(c) for c in ("min", "max", "q01", "q99")])
 
 
@@ -42,13 +42,13 @@ def vector_stats(spark, sf):
     SELECT dim, round(sum(n * mean) / sum(n), 5) AS mean, round(sqrt(greatest(0, sum(n * (std * std + mean * mean)) / sum(n) - power(sum(n * mean) / sum(n), 2))), 5) AS std,
            round(min(min), 6) AS min, round(max(max), 6) AS max, round(min(q01), 6) AS q01, round(max(q99), 6) AS q99 FROM s GROUP BY dim""")
 def stats_merge_weighted(spark, sf):
-    out = S.merged_stats(S.vector_stats(vectors(spark, sf), "v", ["label"]), "n", ["dim"])
+    out = S.merged_stats(S.vector_stats(vectors(spark, sf), "v", ["label"], exact=True), "n", ["dim"])
     return out.select(F.col("dim").cast("long").alias("dim"), F.round("mean", 5).alias("mean"), F.round("std", 5).alias("std"), *[r6(c).alias(c) for c in ("min", "max", "q01", "q99")])
 
 
 @query(STATS + """SELECT g.name AS "group", dim - g.a AS dim, round(mean, 5) AS mean, round(max, 6) AS max FROM s, (VALUES ('arm', 0, 7), ('hand', 7, 27)) g(name, a, b) WHERE dim >= a AND dim < b""")
 def stats_slices(spark, sf):
-    out = S.sliced_stats(S.vector_stats(vectors(spark, sf), "v"), {"arm": (0, 7), "hand": (7, 27)})
+    out = S.sliced_stats(S.vector_stats(vectors(spark, sf), "v", exact=True), {"arm": (0, 7), "hand": (7, 27)})
     return out.select("group", F.col("dim").cast("long").alias("dim"), F.round("mean", 5).alias("mean"), r6("max").alias("max"))
 
 

@@ -166,18 +166,134 @@ def test_lag_is_recovered(spark):
     a = np.convolve(a, np.ones(8) / 8, "same")
     s = np.concatenate([np.full(16, a[0]), a[:-16]])
     rows = [(1, int(x * 1e9), [float(p), 1.0], [float(q), 1.0]) for x, p, q in zip(t, a, s)]
-    out = signal.lag_audit(frame(spark, rows, "e int, t long, a array<double>, s array<double>"), ["e"], "t", "a", "s", 1e9, 0.3)
+    both = frame(spark, rows, "e int, t long, a array<double>, s array<double>")
+    out = signal.lag_audit(both.select("e", "t", F.col("a").alias("v")), both.select("e", "t", F.col("s").alias("v")), ["e"])
     got = {r.axis: r for r in out.collect()}
     assert abs(got[0].lag - 0.08) < 0.005 and got[1].reason == "insufficient_excitation"
     c = signal.consensus(out, ["e"]).first()
     assert abs(c.lag - 0.08) < 0.005 and c.active_axes == 1
 
 
+def plain_sections(sections, x, steady=None):
+    """Sample by sample."""
+    y, level = x.astype(float), steady
+    for b0, b1, b2, _, a1, a2 in sections:
+        gain = (b0 + b1 + b2) / (1 + a1 + a2)
+        z2 = (b2 - a2 * gain) * level if level is not None else np.zeros(y.shape[1:])
+        z1 = (b1 - a1 * gain) * level + z2 if level is not None else np.zeros(y.shape[1:])
+        out = np.empty_like(y)
+        for i in range(len(y)):
+            out[i] = b0 * y[i] + z1
+            z1, z2 = b1 * y[i] - a1 * out[i] + z2, b2 * y[i] - a2 * out[i]
+        y = out
+        level = gain * level if level is not None else None
+    return y
+
+
+@pytest.mark.parametrize("n", [1, 5, 127, 128, 129, 700])
+def test_blocked_sections_equal_a_plain_loop(n):
+    x = np.random.default_rng(n).normal(size=(n, 3))
+    for order in (2, 4):
+        sections = signal.butterworth(order, 10.0, 200.0)
+        assert np.allclose(signal.run_sections(sections, x), plain_sections(sections, x), atol=1e-10)
+        assert np.allclose(signal.run_sections(sections, x, x[0]), plain_sections(sections, x, x[0]), atol=1e-10)
+
+
+def test_lag_audit_against_a_plain_version(spark):
+    """Series on their own times, one without overlap, one that hardly moves; windows inside the audit."""
+    rng = np.random.default_rng(11)
+    rules = signal.LagRules(max_lag=0.2, rate=100.0, excitation=1e-3, window=1.0)
+    ta, ts = np.sort(rng.uniform(0, 4, 300)), np.sort(rng.uniform(0.3, 4.4, 400))
+    wave = lambda t: np.sin(5 * t) + 0.4 * np.sin(17 * t)
+    actions = [(1, int(t * 1e9), [float(wave(t)), 1.0]) for t in ta] + [(2, int(t * 1e9), [float(t)]) for t in ta]
+    states = [(1, int(t * 1e9), [float(wave(t - 0.07)), 2.0]) for t in ts] + [(2, int(9e9 + t * 1e9), [float(t)]) for t in ts] + [(3, 5, [1.0])]
+    schema = "e int, t long, v array<double>"
+    got = {(r.e, r.axis): r for r in signal.lag_audit(frame(spark, actions, schema), frame(spark, states, schema), ["e"], rules=rules).collect()}
+    assert got[2, 0].reason == got[3, 0].reason == "insufficient_overlap" and got[1, 1].reason == "insufficient_excitation"
+    r = got[1, 0]
+    at, st = (np.array([x[1] for x in rows if x[0] == 1]) * 1e-9 for rows in (actions, states))
+    origin = min(at[0], st[0])
+    at, st = at - origin, st - origin
+    grid = np.arange(max(at[0], st[0]), min(at[-1], st[-1]), 0.01)
+    a = np.array([wave(ta)[np.flatnonzero(at <= g)[-1]] for g in grid])
+    s = np.interp(grid, st, wave(ts - 0.07))
+    va, vs = np.gradient(a, 0.01), np.gradient(s, 0.01)
+    scores = [np.corrcoef(va[: len(va) - k], vs[k:])[0, 1] for k in range(21)]
+    k = int(np.argmax(scores))
+    assert abs(r.lag - k / 100) < 1e-12 and abs(r.lag - 0.07) <= 0.02 and r.reason is None
+    assert np.allclose([r.corr, r.margin], [scores[k], scores[k] - sorted(scores)[-2]], atol=1e-6)
+    err = np.abs(a[: len(a) - k] - s[k:])
+    assert np.allclose([r.error_mean, r.error_p95, r.error_max, r.duration], [err.mean(), np.percentile(err, 95), err.max(), len(err) / 100], atol=1e-6)
+    lags, mid = [], []
+    for i in range(0, len(va) - 100 + 1, 50):
+        lags.append(int(np.argmax([np.corrcoef(va[i : i + 100 - j], vs[i + j : i + 100])[0, 1] for j in range(21)])) / 100)
+        mid.append((i + 50) / 100)
+    assert np.allclose([r.window_median, r.window_range, r.window_trend], [np.median(lags), np.ptp(lags), np.polyfit(mid, lags, 1)[0]], atol=1e-6)
+
+
+def test_lag_pairs_cover_the_fixed_six(spark):
+    names = [k for _, a, s, _ in signal.LAG_PAIRS for k in (a, s)]
+    samples = frame(spark, [(1, k, t, [float(i) for i in range(7)]) for k in names for t in (0, 5, 10)], "episode int, stream string, t long, v array<double>")
+    bounds = frame(spark, [(1, 5, 10)], "episode int, active_start long, active_stop long")
+    actions, states = signal.paired(samples, bounds, ["episode"])
+    rows = actions.collect() + states.collect()
+    assert len(rows) == 24 and {r.pair for r in rows} == {p[0] for p in signal.LAG_PAIRS}
+    assert all(len(r.v) == (3 if r.pair.startswith("eef") else 7) and r.t >= 5 for r in rows)
+
+
+@pytest.mark.parametrize("alpha", [0.3, 0.001, 0.97, 1.0])
+def test_ema_over_many_blocks(spark, alpha):
+    x = np.random.default_rng(1).normal(size=1300)
+    rows = [(k, i, float(v)) for k in (1, 2) for i, v in enumerate(x[: 1300 if k == 1 else 3])] + [(1, 5000, None)]
+    got = {(r.k, r.t): r.ema for r in sequences.ema(frame(spark, rows, "k int, t int, v double"), ["k"], ["t"], "v", alpha).collect()}
+    y, want = None, {}
+    for i, v in enumerate(x):
+        y = v if y is None else (1 - alpha) * y + alpha * v
+        want[i] = y
+    assert len(got) == 1303 and all(abs(got[k, t] - want[t]) < 1e-9 for k, t in got)
+
+
+def test_nearest_ranks(spark):
+    rows = [(1, v) for v in (5, 1, 4, 2, 3)] + [(2, 7), (1, None)]
+    got = {r.k: (r.a, r.b, r.c) for r in statistics.nearest_ranks(frame(spark, rows, "k int, v int"), ["k"], "v", {"a": 0.0, "b": 0.4, "c": 1.0}).collect()}
+    assert got == {1: (1, 3, 5), 2: (7, 7, 7)}
+
+
+def test_time_buckets_change_nothing(spark):
+    rng = np.random.default_rng(2)
+    source = frame(spark, [(int(k), int(t), float(t % 17)) for k in (1, 2) for t in rng.choice(1000, 40, replace=False)], "k int, t long, v double")
+    anchors = frame(spark, [(k, int(t)) for k in (1, 2, 3) for t in rng.choice(1200, 60, replace=False) - 100], "k int, t long")
+    for f in (asof.nearest, asof.linear):
+        rows = [sorted(map(str, f(anchors, source, ["k"], bucket=b).collect())) for b in (None, 50, 5000)]
+        assert rows[0] == rows[1] == rows[2] and len(rows[0]) == 180
+
+
+def test_grids_and_intervals_refuse_absurd_ranges(spark):
+    with pytest.raises(Exception, match="steps"):
+        asof.regular_grid(frame(spark, [(1, 0), (1, 1_700_000_000_000_000_000)], "k int, t long"), ["k"], step=1_000_000).count()
+
+
+def test_state_dropout_and_episode_choice(spark):
+    df = spark.range(2000).selectExpr("id episode_index", "array(1D, 2D) s")
+    drop = lambda d: {r.episode_index: r.x for r in d.select("episode_index", shards.dropped_state("s", 0.25, 7, "episode_index").alias("x")).collect()}
+    a = drop(df)
+    assert a == drop(df.repartition(7)) and 0.2 < sum(v == [0, 0] for v in a.values()) / 2000 < 0.3
+    assert [r.episode_index for r in etl.selected_episodes(df, [9, 4, 9, 7], 2).orderBy("episode_index").collect()] == [4, 7]
+    with pytest.raises(Exception, match="no episode 5000"):
+        etl.selected_episodes(df, [5, 5000]).count()
+
+
+def test_format_changes(spark):
+    rows = [(1, 0, 4, "a"), (1, 1, 4, "a"), (1, 2, 5, "a"), (1, 3, 4, None), (2, 0, 4, "a")]
+    got = {r.k: (r.n_changed, r.first_changed) for r in audit.format_changes(frame(spark, rows, "k int, seq int, h int, f string"), ["k"], "seq", ["h", "f"]).collect()}
+    assert got == {1: (2, 2), 2: (0, None)}
+
+
 def test_statistics(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(200, 3)).astype(np.float32)
     df = frame(spark, [(i, r.tolist()) for i, r in enumerate(x)], "i int, v array<float>")
-    s = statistics.as_vectors(statistics.vector_stats(df, "v")).first()
+    s = statistics.as_vectors(statistics.vector_stats(df, "v", exact=True)).first()
     assert np.allclose(s.mean, x.mean(0), atol=1e-5) and np.allclose(s.std, x.std(0), atol=1e-5)
     assert np.allclose(s.q01, np.quantile(x, 0.01, axis=0), atol=1e-5) and np.allclose(s.max, x.max(0))
     m = frame(spark, [("a", 0, 1.0, 0.0, 1.0, 0.0, 0.0, 0.0, 0.0), ("a", 0, 3.0, 2.0, 1.0, 0.0, 2.0, 0.0, 2.0), ("a", 0, 9.0, None, None, None, None, None, None)], "g string, dim int, w double, mean double, std double, min double, max double, q01 double, q99 double")
