@@ -29,8 +29,10 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def ascii_lower(col):
-    """Lower-case A-Z only; every other character stays."""
-    return F.translate(col, ASCII_UPPER, ASCII_LOWER)
+    """Lower-case A-Z only; every other character stays. Texts of one byte a character take Spark's
+    lower, which works on bytes and says the same there."""
+    col = F.col(col) if isinstance(col, str) else col
+    return F.when(F.octet_length(col) == F.char_length(col), F.lower(col)).otherwise(F.translate(col, ASCII_UPPER, ASCII_LOWER))
 
 
 #: Input bytes for each file of a stored table, and the least number of files.
