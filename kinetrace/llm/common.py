@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -82,6 +83,18 @@ class Scratch:
         """df in fewer partitions, without a shuffle; `rows` is a known bound of its narrow rows."""
         return df.coalesce(self.width if rows is None else min(self.width, max(4, rows // 250_000)))
 
+    @contextmanager
+    def freeing(self) -> Iterator[None]:
+        """Shuffle files of queries that run in here go when the query ends, as its rows are stored then;
+        where rows are lost later Spark makes the files again."""
+        key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        before = self.spark.conf.get(key, "false")
+        self.spark.conf.set(key, "true")
+        try:
+            yield
+        finally:
+            self.spark.conf.set(key, before)
+
     def keep(self, df: DataFrame, table: str, rows: int | None = None) -> DataFrame:
         """df, computed now and read from disk by what follows."""
         out = self.pack(df, rows).persist(StorageLevel.DISK_ONLY)
@@ -98,7 +111,8 @@ class Scratch:
     def store(self, df: DataFrame, table: str, rows: int | None = None) -> DataFrame:
         """df as a table in the shared folder."""
         self.stored.add(table)
-        self.pack(df, rows).write.mode("overwrite").parquet(f"{self.root}/{table}")
+        with self.freeing():
+            self.pack(df, rows).write.mode("overwrite").option("compression", "zstd").parquet(f"{self.root}/{table}")
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{table}").coalesce(self.width)
 
     def finish(self, df: DataFrame, table: str = "result") -> DataFrame:

@@ -37,7 +37,7 @@ SMOOTHING = 0.5
 #: N-grams' worth of evidence behind a score, at most: naive Bayes takes each as independent.
 EVIDENCE = 200
 UNKNOWN = "und"
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 
 
 @cache

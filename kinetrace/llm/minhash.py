@@ -47,7 +47,7 @@ THRESHOLD = 80
 TILE, TILE_SHINGLES = 1024, 1 << 21
 #: Members of one centre that are confirmed together.
 CONFIRM_ROWS = 256
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 
 _rng = np.random.default_rng(20240229)
 XOR = _rng.integers(0, 1 << 32, SAMPLES, dtype=np.uint64).astype(np.uint32)

@@ -21,7 +21,8 @@ anchor, and equal windows have equal anchors. The anchor's fingerprint is the su
 
 Beside the bytes, passages of WORDS words are looked up in the same manner, since many of them are
 shorter than LENGTH bytes: `n_repeated_words` counts the words, letters A-Z in either case, that lie
-in a string of WORDS words that starts elsewhere too. They are counted, not removed.
+in a string of WORDS words that starts elsewhere too. They are counted, not removed, and windows of
+words are compared by their fingerprint and their anchor's, not sorted.
 
 Defined cases: null counts as empty; texts shorter than LENGTH keep all their bytes; repeated rows are
 copies of one another and so are removed whole if long enough; null and repeated ids are reported as
@@ -37,7 +38,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from .common import BROADCAST_ROWS, BYTE_VALUE, Scratch, join_groups, mix, prefix_sums, range_hash, spans_of, utf8
 from .minhash import word_hashes
@@ -47,14 +47,13 @@ GRAM = 64
 #: The same in words.
 WORDS, WORD_GRAM = 50, 12
 #: Bytes of contexts that are sorted together.
-CHUNK = 4 << 20
-BLOCK = 1 << 20
+CHUNK = 2 << 20
+BLOCK = 1 << 19
 PLACE_BITS = np.uint64(22)
 SHA_OF_NOTHING = hashlib.sha256(b"").hexdigest()
 
 ANCHOR = "struct<token:long,ctx:long,start:long,n:int>"
-WORD_ANCHOR = "struct<token:long,start:long,n:int>"
-SCAN = f"doc_id long, ka long, kb long, n_bytes long, n_words long, sha string, anchors array<{ANCHOR}>, word_anchors array<{WORD_ANCHOR}>"
+SCAN = f"doc_id long, ka long, kb long, n_bytes long, n_words long, sha string, anchors array<{ANCHOR}>, word_anchors array<{ANCHOR}>"
 
 
 def sliding_min(v: np.ndarray, width: int) -> np.ndarray:
@@ -100,13 +99,11 @@ def anchors_of(values: np.ndarray, offsets: np.ndarray, length: int, gram: int)
     return row, token.view(np.int64), ctx.view(np.int64), first - offsets[row], n.astype(np.int32)
 
 
-def anchor_lists(found: tuple[np.ndarray, ...], rows: int, with_ctx: bool) -> pa.ListArray:
+def anchor_lists(found: tuple[np.ndarray, ...], rows: int) -> pa.ListArray:
     row, token, ctx, start, n = found
     lists = np.searchsorted(row, np.arange(rows + 1)).astype(np.int32)
-    cols = {"token": pa.array(token), "ctx": pa.array(ctx), "start": pa.array(start.astype(np.int64)), "n": pa.array(n)}
-    if not with_ctx:
-        del cols["ctx"]
-    return pa.ListArray.from_arrays(pa.array(lists), pa.StructArray.from_arrays(list(cols.values()), names=list(cols)))
+    items = pa.StructArray.from_arrays([pa.array(token), pa.array(ctx), pa.array(start.astype(np.int64)), pa.array(n)], names=["token", "ctx", "start", "n"])
+    return pa.ListArray.from_arrays(pa.array(lists), items)
 
 
 def scan(docs: DataFrame, length: int, gram: int, words: int, word_gram: int) -> DataFrame:
@@ -116,9 +113,9 @@ def scan(docs: DataFrame, length: int, gram: int, words: int, word_gram: int) ->
             for i, j in spans_of(offsets, BLOCK):
                 own = offsets[i : j + 1] - offsets[i]
                 part = data[offsets[i] : offsets[j]]
-                in_bytes = anchor_lists(anchors_of(BYTE_VALUE[part], own, length, gram), j - i, True)
+                in_bytes = anchor_lists(anchors_of(BYTE_VALUE[part], own, length, gram), j - i)
                 hashes, first = word_hashes(part, own)
-                in_words = anchor_lists(anchors_of(hashes, first, words, word_gram), j - i, False)
+                in_words = anchor_lists(anchors_of(hashes, first, words, word_gram), j - i)
                 raw = part.tobytes()
                 shas = [hashlib.sha256(raw[a:b]).digest() for a, b in zip(own[:-1], own[1:])]
                 keys = np.frombuffer(b"".join(shas), np.int64).reshape(-1, 4)
@@ -265,12 +262,12 @@ def same_text(raw: bytes, ka: int, kb: int) -> bool:
     return int.from_bytes(digest[:8], "little", signed=True) == ka and int.from_bytes(digest[8:16], "little", signed=True) == kb
 
 
-FETCHED = "kind int, token long, ctx long, text binary, ka long, kb long, place long"
+FETCHED = "kind int, token long, ctx long, text binary, prints array<long>"
 
 
 def fetched(needed: DataFrame, docs: DataFrame, length: int, words: int) -> DataFrame:
-    """FETCHED of what is asked for: of kind 0 the bytes of each run of windows, of kind 1 a row for each
-    window of words, with two fingerprints as token and ctx. Texts are read once for both."""
+    """FETCHED of the runs of windows asked for: of kind 0 (bytes) their text, of kind 1 (words) the
+    fingerprint of each window. Texts are read once for both."""
     asked = needed.groupBy("rep", "ka", "kb").agg(F.collect_list(F.struct("kind", "token", "ctx", "start", "n")).alias("want"))
     joined = texts_of(asked, docs).select("ka", "kb", "want", "text")
 
@@ -280,39 +277,49 @@ def fetched(needed: DataFrame, docs: DataFrame, length: int, words: int) -> Data
             lists = batch.column(2)
             ends, flat = lists.offsets.to_numpy(), lists.values
             kind, token, ctx, start, n = (flat.field(k).to_numpy() for k in range(5))
+            order, bodies, prints = [], [], []
             for k in range(batch.num_rows):
                 raw = texts[k].as_py() or b""
-                ka, kb = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
-                if not same_text(raw, ka, kb):
+                if not same_text(raw, batch.column(0)[k].as_py(), batch.column(1)[k].as_py()):
                     continue
                 own = np.arange(ends[k], ends[k + 1])
                 whole, worded = own[kind[own] == 0], own[kind[own] == 1]
-                cols = [[], [], [], [], []]
-                if len(whole):
-                    bodies = [raw[a : a + m + length - 1] for a, m in zip(start[whole].tolist(), n[whole].tolist())]
-                    cols = [np.zeros(len(whole), np.int32), token[whole], ctx[whole], bodies, np.zeros(len(whole), np.int64)]
+                order += [whole, worded]
+                bodies += [raw[a : a + m + length - 1] for a, m in zip(start[whole].tolist(), n[whole].tolist())] + [None] * len(worded)
+                prints += [None] * len(whole)
                 if len(worded):
-                    hashes, _ = word_hashes(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
-                    at = np.concatenate([np.arange(a, a + m) for a, m in zip(start[worded].tolist(), n[worded].tolist())])
-                    prints = range_hash(prefix_sums(hashes), at, at + words).view(np.int64)
-                    second = range_hash(prefix_sums(mix(hashes ^ np.uint64(0xABCDEF))), at, at + words).view(np.int64)
-                    more = [np.ones(len(at), np.int32), prints, second, [None] * len(at), at]
-                    cols = [np.concatenate([np.asarray(x), y]) if k != 3 else [*x, *y] for k, (x, y) in enumerate(zip(cols, more))] if len(whole) else more
-                rows = len(cols[0])
-                kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(c, t) for c, t in zip(cols[:4], kinds)), pa.array(np.full(rows, ka)), pa.array(np.full(rows, kb)), pa.array(cols[4], pa.int64())],
-                    names=["kind", "token", "ctx", "text", "ka", "kb", "place"],
-                )
+                    sums = prefix_sums(word_hashes(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0])
+                    spans = [np.arange(a, a + m) for a, m in zip(start[worded].tolist(), n[worded].tolist())]
+                    prints += [range_hash(sums, at, at + words).view(np.int64) for at in spans]
+            if order:
+                at = np.concatenate(order)
+                cols = [pa.array(kind[at], pa.int32()), pa.array(token[at]), pa.array(ctx[at]), pa.array(bodies, pa.binary()), pa.array(prints, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(cols, names=["kind", "token", "ctx", "text", "prints"])
+
+    # Rows that repeat an id and its text would give a context twice.
+    return joined.mapInArrow(run, FETCHED).dropDuplicates(["kind", "token", "ctx"])
+
+
+def word_repeats(contexts: DataFrame) -> DataFrame:
+    """(token, ctx, runs) of windows of words that occur in several of the contexts (token, ctx, prints)."""
+    each = contexts.select("token", "ctx", F.posexplode("prints").alias("t", "print"))
+    counts = each.groupBy("token", "print").agg(F.count("*").alias("times")).where("times > 1")
+    again = each.join(counts.select("token", "print"), ["token", "print"], "left_semi")
+    return again.groupBy("token", "ctx").agg(F.collect_list(F.struct(F.col("t").alias("a"), (F.col("t") + 1).alias("b"))).alias("runs"))
+
 
-    # Rows that repeat an id and its text are read twice; what follows takes each row once.
-    return joined.mapInArrow(run, FETCHED)
+def words_covered(covers: DataFrame) -> DataFrame:
+    """(ka, kb, n_repeated_words) of texts with covered ranges of words (ka, kb, ranges)."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ranges = batch.column(2)
+            ends, flat = ranges.offsets.to_numpy(), ranges.values
+            lo, hi = flat.field(0).to_numpy(), flat.field(1).to_numpy()
+            n = [sum(b - a for a, b in merged(lo[i:j], hi[i:j])) for i, j in zip(ends[:-1], ends[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], names=["ka", "kb", "n_repeated_words"])
 
-def words_covered(places: DataFrame, words: int) -> DataFrame:
-    """(ka, kb, n_repeated_words) of the places of repeated windows of words."""
-    after = F.lead("place").over(W.partitionBy("ka", "kb").orderBy("place")) - F.col("place")
-    return places.select("ka", "kb", F.least(F.coalesce(after, F.lit(words)), F.lit(words)).alias("new")).groupBy("ka", "kb").agg(F.sum("new").cast("long").alias("n_repeated_words"))
+    return covers.select("ka", "kb", "ranges").mapInArrow(run, "ka long, kb long, n_repeated_words long")
 
 
 def removed_from(covers: DataFrame, docs: DataFrame) -> DataFrame:
@@ -363,42 +370,44 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     scanned = scratch.store(scan(docs, length, gram, words, word_gram), "scan")
     total = scanned.count()
-    texts = scanned.groupBy("ka", "kb").agg(F.count("*").alias("copies"), F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n_bytes", "n_words", "anchors", "word_anchors")])
+    texts = scanned.groupBy("ka", "kb").agg(F.count("*").alias("copies"), F.min("doc_id").alias("rep"), F.first("anchors").alias("anchors"), F.first("word_anchors").alias("word_anchors"))
     texts = scratch.store(texts, "texts")
-    anchors = texts.select("ka", "kb", "rep", "copies", F.explode("anchors").alias("x")).select("ka", "kb", "rep", "copies", "x.*")
-    contexts = anchors.groupBy("token", "ctx").agg(F.sum("copies").alias("c"), F.min(F.struct("rep", "ka", "kb", "start", "n")).alias("at"))
+    narrow = scratch.store(scanned.drop("anchors", "word_anchors"), "narrow")
+    scratch.delete("scan")
+    both = [texts.select("ka", "kb", "rep", "copies", F.lit(k).alias("kind"), F.explode(c).alias("x")) for k, c in enumerate(("anchors", "word_anchors"))]
+    anchors = both[0].unionByName(both[1]).select("kind", "ka", "kb", "rep", "copies", "x.*")
+    keys = ["kind", "token", "ctx"]
+    contexts = anchors.groupBy(*keys).agg(F.sum("copies").alias("c"), F.min(F.struct("rep", "ka", "kb", "start", "n")).alias("at"))
     contexts = scratch.store(contexts, "contexts")
     n_contexts = contexts.count()
     n_places = contexts.agg(F.sum("c")).first()[0] or 0
-    tokens = scratch.store(contexts.groupBy("token").agg(F.count("*").alias("n_ctx")).where("n_ctx > 1"), "tokens", n_contexts)
-    needed = join_groups(contexts, tokens, ["token"], "n_ctx", n_contexts, "inner").select("token", "ctx", "at.*")
-    # Of words, every place of a token that stands in several places is looked at.
-    worded = texts.select("ka", "kb", "rep", F.explode("word_anchors").alias("x")).select("ka", "kb", "rep", "x.*")
-    shared = scratch.store(worded.groupBy("token").agg(F.count("*").alias("m")).where("m > 1"), "word-tokens", n_contexts)
-    in_words = join_groups(worded, shared, ["token"], "m", n_places, "inner").drop("m")
-    both = needed.withColumn("kind", F.lit(0)).unionByName(in_words.withColumn("kind", F.lit(1)).withColumn("ctx", F.lit(0).cast("long")))
-    both = scratch.store(both, "needed", n_contexts)
-    read = scratch.store(fetched(both, docs, length, words), "fetched")
-    bodies = read.where("kind = 0").select("token", "ctx", "text").dropDuplicates(["token", "ctx"])
+    tokens = scratch.store(contexts.groupBy("kind", "token").agg(F.count("*").alias("n_ctx")).where("n_ctx > 1"), "tokens", n_contexts)
+    needed = join_groups(contexts, tokens, ["kind", "token"], "n_ctx", n_contexts, "inner").select(*keys, "at.*")
+    needed = scratch.store(needed, "needed", n_contexts)
+    read = scratch.store(fetched(needed, docs, length, words), "fetched")
+    scratch.delete("tokens", "needed")
+    bodies = read.where("kind = 0").select("token", "ctx", "text")
     found = scratch.store(bucket_repeats(bodies, length, parts, chunk), "sorted", n_contexts)
-    runs = found.where(F.size("runs") > 0).select("token", "ctx", "runs").unionByName(boundary_repeats(found))
+    runs = found.where(F.size("runs") > 0).select("token", "ctx", "runs").unionByName(boundary_repeats(found)).withColumn("kind", F.lit(0))
+    runs = runs.unionByName(word_repeats(read.where("kind = 1")).withColumn("kind", F.lit(1)))
     # A context that occurs twice is covered whole; for others the runs found in the buckets count.
-    whole = contexts.where("c > 1").select("token", "ctx", "c", F.array(F.struct(F.lit(0).alias("a"), F.col("at.n").alias("b"))).alias("runs"))
-    once = contexts.where("c = 1").select("token", "ctx", "c").join(runs, ["token", "ctx"])
+    whole = contexts.where("c > 1").select(*keys, "c", F.array(F.struct(F.lit(0).alias("a"), F.col("at.n").alias("b"))).alias("runs"))
+    once = contexts.where("c = 1").select(*keys, "c").join(runs, keys)
     repeats = scratch.store(whole.unionByName(once), "repeats", n_contexts)
+    scratch.delete("fetched", "sorted", "contexts")
     single = anchors.where("copies = 1")
-    hits = join_groups(single, repeats, ["token", "ctx"], "c", n_places, "inner")
-    spans = hits.select("rep", "ka", "kb", "start", F.explode("runs").alias("r"))
-    covers = spans.groupBy("rep", "ka", "kb").agg(F.collect_list(F.struct((F.col("start") + F.col("r.a")).alias("lo"), (F.col("start") + F.col("r.b") - 1 + length).alias("hi"))).alias("ranges"))
+    hits = join_groups(single, repeats, keys, "c", n_places, "inner")
+    spans = hits.select("kind", "rep", "ka", "kb", "start", F.explode("runs").alias("r"))
+    width = F.when(F.col("kind") == 0, length).otherwise(words)
+    covered = F.struct((F.col("start") + F.col("r.a")).alias("lo"), (F.col("start") + F.col("r.b") - 1 + width).alias("hi"))
+    covers = spans.groupBy("kind", "rep", "ka", "kb").agg(F.collect_list(covered).alias("ranges"))
     covers = scratch.store(covers, "covers", total)
-    changed = scratch.store(removed_from(covers, docs), "changed", total)
-    windows = read.where("kind = 1").select("token", "ctx", "ka", "kb", "place").distinct()
-    again = scratch.store(windows.groupBy("token", "ctx").agg(F.count("*").alias("m")).where("m > 1"), "word-windows", n_contexts)
-    counted = words_covered(join_groups(windows, again, ["token", "ctx"], "m", n_places, "inner"), words)
+    changed = scratch.store(removed_from(covers.where("kind = 0"), docs), "changed", total)
+    counted = words_covered(covers.where("kind = 1"))
     verdict = texts.select("ka", "kb", "copies").join(changed, ["ka", "kb"], "left").join(counted, ["ka", "kb"], "left")
     verdict = verdict.where(F.col("n_removed").isNotNull() | F.col("n_repeated_words").isNotNull() | (F.col("copies") > 1))
     verdict = scratch.store(verdict, "verdict", total)
-    out = join_groups(scanned.drop("anchors", "word_anchors"), verdict, ["ka", "kb"], "copies", total)
+    out = join_groups(narrow, verdict, ["ka", "kb"], "copies", total)
     gone = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
     pick = lambda full, else_: F.when(gone, full).otherwise(else_)
     n_words = F.when((F.col("copies") > 1) & (F.col("n_words") >= words), F.col("n_words")).otherwise(F.coalesce("n_repeated_words", F.lit(0))).cast("long")
