@@ -67,7 +67,11 @@ def decoded_groups(chunk: ColumnLike, sizes: Mapping[str, int], horizon: int) ->
     """A flat chunk of actions as one column per group: the first `horizon` steps, each cut to the
     group's dimensions, which follow one another in the order given."""
     steps = F.slice(col(chunk), 1, horizon)
-    return [F.transform(steps, lambda v, a=a, b=b: part(v, a, b)).alias(name) for name, (a, b) in ranges(sizes).items()]
+
+    def group(a: int, b: int) -> Column:
+        return F.transform(steps, lambda v: part(v, a, b))
+
+    return [group(a, b).alias(name) for name, (a, b) in ranges(sizes).items()]
 
 
 def element_names(sizes: Mapping[str, int]) -> list[str]:

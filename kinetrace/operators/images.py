@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import io
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -116,6 +116,39 @@ def jittered(image: np.ndarray, seed: int, brightness: float = 0.0, contrast: fl
     return np.clip(np.rint(out), 0, 255).astype(np.uint8)
 
 
+#: Transforms by name, each a function of an array (height, width, channels), a seed and options.
+TRANSFORMS = {
+    "letterbox": lambda image, seed, **o: letterbox(image, **o),
+    "resize": lambda image, seed, **o: resized(image, **o),
+    "centre_crop": lambda image, seed, **o: cropped(image, **o),
+    "random_crop": lambda image, seed, **o: cropped(image, seed=seed, **o),
+    "jitter": lambda image, seed, **o: jittered(image, seed, **o),
+    "even": lambda image, seed: even(image),
+}
+
+
+def transformed(images: DataFrame, steps: Sequence[tuple[str, Mapping]], values: str = "values", shape: str = "shape", seed: str = "seed") -> DataFrame:
+    """Images (flat values, their shape, a seed) after a chain of TRANSFORMS. Random steps depend on the
+    row's seed alone, so views of one step that share it are transformed alike."""
+    unknown = [name for name, _ in steps if name not in TRANSFORMS]
+    if unknown:
+        raise ValueError(f"unknown transforms {unknown}: {', '.join(sorted(TRANSFORMS))}")
+    names = images.columns
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            flat, shapes = [], []
+            for v, s, k in zip(pdf[values], pdf[shape], pdf[seed]):
+                image = np.clip(np.rint(np.asarray(v, float)), 0, 255).astype(np.uint8).reshape(tuple(s))
+                for name, options in steps:
+                    image = TRANSFORMS[name](image, int(k), **options)
+                flat.append(image.astype(float).ravel().tolist())
+                shapes.append(list(image.shape))
+            yield pdf.assign(**{values: flat, shape: shapes})[names]
+
+    return images.mapInPandas(run, images.schema)
+
+
 def read_arrays(spark: SparkSession, path: str, glob: str = "*.np[yz]") -> DataFrame:
     """(path, row, shape, values): arrays of .npy and single-array .npz files, two dimensions read as one
     frame. Pickled arrays are refused."""

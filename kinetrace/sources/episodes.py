@@ -27,8 +27,9 @@ TASKS_DDL = "task_index BIGINT, task STRING"
 
 
 def read_frames(spark: SparkSession, root: str, columns: Sequence[str] | None = None, episodes: Sequence[int] | None = None) -> DataFrame:
-    """Frames of a dataset; the columns asked for are all that is read, and episodes are a pushed filter."""
-    df = spark.read.parquet(f"{root}/data/*/*.parquet")
+    """Frames of a dataset, in the layout's files or in Spark's partition folders; the columns asked for
+    are all that is read, and episodes are a pushed filter."""
+    df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(f"{root}/data")
     if episodes is not None:
         df = df.where(F.col("episode_index").isin(list(episodes)))
     return df.select(*[F.col(f"`{c}`") for c in columns]) if columns else df
@@ -115,6 +116,23 @@ def write_metadata(root: str | Path, episodes: Sequence[Mapping], tasks: Sequenc
         write_json(meta / "info.json", {"codebase_version": "v2.1", "total_episodes": len(episodes), "total_frames": n, "total_tasks": len(tasks), "chunks_size": CHUNK_SIZE, "fps": fps, "splits": {"train": f"0:{len(episodes)}"}, "data_path": DATA_PATH, "video_path": VIDEO_PATH, "features": features})
 
 
+def write_roster(root: str | Path, roster: Sequence[Mapping], reports: Sequence[Mapping]) -> dict:
+    """The roster, a report line per episode and per rejected one, and a summary with the count of each
+    reason: what an audit leaves behind."""
+    root = Path(root)
+    rejected = [r for r in reports if r["status"] == "REJECT"]
+    reasons: dict[str, int] = {}
+    for r in rejected:
+        for reason in r.get("reasons", []):
+            reasons[reason] = reasons.get(reason, 0) + 1
+    summary = {"episode_count": len(reports), "pass_count": len(reports) - len(rejected), "reject_count": len(rejected), "reject_reasons": dict(sorted(reasons.items()))}
+    write_json(root / "processing_roster.json", {"episodes": list(roster)})
+    write_json(root / "dataset_summary.json", summary)
+    write_lines(root / "episode_reports.jsonl", reports)
+    write_lines(root / "rejected_episodes.jsonl", rejected)
+    return summary
+
+
 def write_quality(root: str | Path, raw: Sequence[Mapping], accepted: Sequence[Mapping], rejected: Sequence[Mapping]) -> dict:
     """Audit, accepted and rejected records by line, and a summary with the count of each reason."""
     quality = Path(root, "quality")
