@@ -1,10 +1,11 @@
 """Edit-aware token counting: a segment tree per document, of which edits touch one path.
 
-A leaf is a run of pre-tokens of about LEAF_CHARS characters. Leaves end where a letter is followed
-by a space and a letter (ASCII): there every pre-token pattern of the byte-level BPE family ends a
-pre-token whatever stands around, so counts of leaves add up to the count of the text. An edit
-re-encodes the leaves it touches, with so much context that the three characters at each outer
-boundary are untouched, and updates the sums above them.
+A leaf is a run of pre-tokens of about LEAF_CHARS characters. Leaves end where a letter or digit is
+followed by white space or punctuation other than an apostrophe: there every pre-token pattern of the
+byte-level BPE family ends a pre-token whatever stands around, so counts of leaves add up to the count
+of the text. An edit re-encodes the leaves it touches, with so much context that the two characters at
+each outer boundary are untouched, and updates the sums above them; leaves that grow are split. A text
+without such a place (one endless word) is one leaf.
 
 Defined cases: null and empty texts have no tokens and one empty leaf; edits beyond the end of a text
 are clipped to it, a null edit changes nothing; special tokens in a text count as ordinary text;
@@ -29,7 +30,11 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the public pre-token pattern of this vocabulary.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 LEAF_CHARS = 512
-CUT = re.compile(r"[A-Za-z] (?=[A-Za-z])")
+#: Letters and digits, then spaces and punctuation, on which all versions of Unicode agree.
+CUT = re.compile(
+    "[0-9A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F\u0391-\u03A1\u03A3-\u03C9\u0400-\u0481\u048A-\u04FF\u3041-\u3096\u30A1-\u30FA\u4E00-\u9FA5\uAC00-\uD7A3]"
+    "(?=[ \t\n!-&(-/:-@\\[-`{-~\u3001\u3002\u300C\u300D\uFF01\uFF0C\uFF1A\uFF1B\uFF1F])"
+)
 Counter = Callable[[str], int]
 
 
@@ -107,6 +112,12 @@ def apply_edit(text: str, tree: CountTree, start: int, stop: int, new: str, coun
     region = text[left:start] + new + text[stop:right]
     pieces = leaves_of(region, size)
     room = last - first + 1
+    if len(pieces) > room:  # leaves have grown: the new ones take their place, the others keep their sums
+        chars, tokens = tree.leaves()
+        chars[first : last + 1] = map(len, pieces)
+        tokens[first : last + 1] = map(count, pieces)
+        tree.__init__(chars, tokens)
+        return text[:start] + new + text[stop:], len(region)
     for k in range(room):
         own = pieces[k : k + 1] if k < room - 1 else pieces[k:]
         tree.put(first + k, sum(map(len, own)), sum(map(count, own)))

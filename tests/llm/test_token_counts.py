@@ -42,6 +42,24 @@ def test_edits_match_a_full_count(count):
             text = text2
 
 
+def test_leaves_in_other_scripts_and_growing_leaves(count):
+    import random
+
+    rng = random.Random(6)
+    han = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) + ("，" if rng.random() < 0.1 else "") for _ in range(4000))
+    code = "\n".join(f"x{i}=f({i},'a{i}');//{'#' * (i % 5)}" for i in range(400))
+    for text in (han, code, "1,234.5 " * 500, "é’s " * 900):
+        tree = T.build(text, count)
+        assert tree.total == count(text) and tree.n > len(text) / 1500
+        for _ in range(12):
+            a = rng.randrange(len(text))
+            new = rng.choice(("", " ", "'s", "word, " * 400, "漢字。", "9"))
+            text, again = T.apply_edit(text, tree, a, a + rng.randrange(30), new, count)
+            assert tree.total == count(text) and again < len(new) + 6 * T.LEAF_CHARS
+        chars, _ = tree.leaves()
+        assert max(chars) < 4 * T.LEAF_CHARS
+
+
 def test_an_edit_reads_little(count):
     text = "some words here and there " * 4000
     tree = T.build(text, count)
