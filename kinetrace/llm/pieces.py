@@ -244,13 +244,15 @@ def encode_documents(spark: SparkSession, docs: DataFrame, model: Model, giant:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
                 out = []
-                for doc, text in zip(*(c.to_pylist() for c in part.columns)):
-                    text = text or ""
+                docs_, texts = (c.to_pylist() for c in part.columns)
+                texts = [t or "" for t in texts]
+                encoded = iter(p.sp.encode([t for t in texts if len(t) < giant], num_threads=1))
+                for doc, text in zip(docs_, texts):
                     if len(text) >= giant:
                         key = np.frombuffer(hashlib.sha256(text.encode()).digest()[:16], np.int64)
                         out.append((doc, int(key[0]), int(key[1]), None, None, None, None))
                     else:
-                        ids = p.sp.encode(text)
+                        ids = next(encoded)
                         out.append((doc, None, None, len(ids), digest(ids), p.sp.decode(ids) == text, 1))
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int32())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=[x.split()[0] for x in RESULT.split(", ")])
@@ -271,7 +273,8 @@ def encode_documents(spark: SparkSession, docs: DataFrame, model: Model, giant:
     # Copies of a giant text give the same chunks once.
     chunks = long.mapInArrow(cut, CHUNKS).dropDuplicates(["ka", "kb", "chunk"])
     chunks = scratch.keep(chunks, "chunks")
-    spread = chunks.repartition(F.col("ka"), F.col("chunk"))
+    # Few rows of much work: a number of partitions of its own, which Spark doesn't put together.
+    spread = chunks.repartition(min(max(1, chunks.count()), 16 * scratch.width), F.col("ka"), F.col("chunk"))
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = model.pieces()
