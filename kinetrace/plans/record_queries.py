@@ -355,14 +355,14 @@ def canonical_quaternion(spark, sf):
     return events(spark, sf).select("event_id", q.alias("q")).select("event_id", *[r6(F.get("q", F.lit(i)) + 0.0).alias(n) for i, n in enumerate("wxy")])
 
 
-ANGLES = E + ", a AS (SELECT event_id, radians(value) AS x, radians(value / 4) AS y, radians(value / 3) AS z FROM e)"
+ANGLES = E + ", a AS (SELECT event_id, radians(value) AS x, radians(value / 20) AS y, radians(value / 3) AS z FROM e)"
 
 
 @query(ANGLES + """SELECT event_id, round(cos(y) * cos(z), 6) AS m00, round(sin(x) * sin(y) * cos(z) - cos(x) * sin(z), 6) AS m01, round(-sin(y), 6) AS m20, round(cos(x) * cos(y), 6) AS m22,
-    round(sin(y / 1), 6) AS sine_y, round(cos(z), 6) AS cos_z FROM a""")
+    round(sin(y), 6) AS sine_y, round(cos(z), 6) AS cos_z FROM a""")
 def euler_conversions(spark, sf):
     """Angles about fixed axes to a matrix, to a quaternion, and back to angles."""
-    e = events(spark, sf).select("event_id", F.array(F.col("value"), F.col("value") / 4, F.col("value") / 3).alias("a"))
+    e = events(spark, sf).select("event_id", F.array(F.col("value"), F.col("value") / 20, F.col("value") / 3).alias("a"))
     m = e.withColumn("m", R.euler_matrix("a", "xyz"))
     m = m.withColumn("q", R.matrix_quat("m")).withColumn("m2", R.quat_matrix("q")).withColumn("back", R.matrix_euler("m2", degrees=False))
     at = lambda c, i: F.get(c, F.lit(i))
@@ -386,7 +386,7 @@ def euler_eef9d(spark, sf):
     """Angles about moving axes, the frame turned by a fixed matrix on the right."""
     turn = [0.0, 1.0, 0.0, -1.0, 0.0, 0.0, 0.0, 0.0, 1.0]
     xyz = F.array(F.lit(1.0), F.lit(2.0), F.lit(3.0))
-    angles = F.array(F.radians("value"), F.radians(F.col("value") / 4), F.radians(F.col("value") / 3))
+    angles = F.array(F.radians("value"), F.radians(F.col("value") / 20), F.radians(F.col("value") / 3))
     rows = events(spark, sf).select("event_id", R.euler_eef9d(xyz, angles, turn, "XYZ").alias("v"))
     at = lambda i: r6(F.get("v", F.lit(i)))
     return rows.select("event_id", at(0).alias("px"), at(3).alias("r0"), at(4).alias("r1"), at(5).alias("r2"))

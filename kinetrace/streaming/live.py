@@ -5,8 +5,10 @@ All state is keyed, bounded, and kept by Structured Streaming's checkpoints.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,67 +18,118 @@ AUDIT = "episode long, stream string, n long, first_t long, last_t long, n_zero
 AUDIT_STATE = "n long, first_t long, last_t long, prev long, n_zero long, n_duplicate long, n_backward long, n_large_gap long"
 
 
-def running_audit(messages: DataFrame, max_gap: int) -> DataFrame:
+def _timeout(idle_ms: int | None) -> str:
+    return GroupStateTimeout.ProcessingTimeTimeout if idle_ms else GroupStateTimeout.NoTimeout
+
+
+def _gone(state: GroupState) -> bool:
+    """Whether a key was idle for too long, in which case its state is removed."""
+    if state.hasTimedOut:
+        state.remove()
+        return True
+    return False
+
+
+def running_audit(messages: DataFrame, max_gap: int, idle_ms: int | None = None) -> DataFrame:
     """Counts per (episode, stream) after each batch, of messages (episode, stream, seq, t) that come in
-    arrival order from batch to batch. Output mode: update."""
+    arrival order from batch to batch. A stream without a message for idle_ms ends and its state goes.
+    Output mode: update."""
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if _gone(state):
+            return
         n, first, last, prev, zero, dup, back, gap = state.get if state.exists else (0, None, None, None, 0, 0, 0, 0)
-        for pdf in batches:
-            for t in pdf.sort_values("seq")["t"]:
-                t = int(t)
-                n += 1
-                zero += t == 0
-                if prev is not None:
-                    dup += t == prev
-                    back += t < prev
-                    gap += t - prev > max_gap
-                first = t if first is None else min(first, t)
-                last = t if last is None else max(last, t)
-                prev = t
-        state.update((n, first, last, prev, zero, dup, back, gap))
+        rows = pd.concat(list(batches)).sort_values("seq", kind="stable")
+        t = rows["t"].to_numpy(np.int64)
+        dt = np.diff(t if prev is None else np.concatenate([[prev], t]))
+        n, zero = n + len(t), zero + int((t == 0).sum())
+        dup, back, gap = dup + int((dt == 0).sum()), back + int((dt < 0).sum()), gap + int((dt > max_gap).sum())
+        first = int(t.min()) if first is None else min(first, int(t.min()))
+        last = int(t.max()) if last is None else max(last, int(t.max()))
+        state.update((n, first, last, int(t[-1]), zero, dup, back, gap))
+        if idle_ms:
+            state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame([(*key, n, first, last, zero, dup, back, gap)], columns=[c.split()[0] for c in AUDIT.split(", ")])
 
-    return messages.groupBy("episode", "stream").applyInPandasWithState(step, AUDIT, AUDIT_STATE, "update", GroupStateTimeout.NoTimeout)
+    return messages.groupBy("episode", "stream").applyInPandasWithState(step, AUDIT, AUDIT_STATE, "update", _timeout(idle_ms))
 
 
-def running_ema(samples: DataFrame, alpha: float) -> DataFrame:
-    """(episode, t, ema) of samples (episode, t, value) in time order from batch to batch. Output mode:
-    append."""
+def ema_values(x: np.ndarray, alpha: float, y: float | None) -> np.ndarray:
+    """y = (1 - alpha) y + alpha x over x, from y on, or from the first value; a block at a time."""
+    rest = 1.0 - alpha
+    if not len(x) or rest == 0:
+        return x.astype(float)
+    size = max(1, min(512, int(600 / -math.log(rest))))
+    out = np.empty(len(x))
+    for i in range(0, len(x), size):
+        part = x[i : i + size].astype(float)
+        k = np.arange(len(part))
+        weight = np.full(len(part), alpha)
+        if y is None:
+            weight[0], y = 1.0, 0.0
+        out[i : i + size] = rest**k * np.cumsum(part * weight * (1 / rest) ** k) + rest ** (k + 1) * y
+        y = float(out[i + len(part) - 1])
+    return out
+
+
+def running_ema(samples: DataFrame, alpha: float, idle_ms: int | None = None) -> DataFrame:
+    """(episode, t, ema) of samples (episode, t, value) in time order from batch to batch; an episode idle
+    for idle_ms starts anew. Output mode: append."""
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        y = state.get[0] if state.exists else None
-        rows = pd.concat(list(batches)).sort_values("t")
-        out = []
-        for x in rows["value"]:
-            y = float(x) if y is None else (1 - alpha) * y + alpha * float(x)
-            out.append(y)
-        state.update((y,))
+        if _gone(state):
+            return
+        rows = pd.concat(list(batches)).sort_values("t", kind="stable")
+        out = ema_values(rows["value"].to_numpy(float), alpha, state.get[0] if state.exists else None)
+        state.update((float(out[-1]),))
+        if idle_ms:
+            state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame({"episode": key[0], "t": rows["t"].to_numpy(), "ema": out})
 
-    return samples.groupBy("episode").applyInPandasWithState(step, "episode long, t long, ema double", "y double", "append", GroupStateTimeout.NoTimeout)
+    return samples.groupBy("episode").applyInPandasWithState(step, "episode long, t long, ema double", "y double", "append", _timeout(idle_ms))
+
+
+HOLD_STATE = "t long, value double, newest long, waiting_t array<long>, waiting_anchor array<boolean>, waiting_value array<double>"
 
 
-def running_hold(rows: DataFrame, max_age: int) -> DataFrame:
+def running_hold(rows: DataFrame, max_age: int, wait: int = 0, idle_ms: int | None = None) -> DataFrame:
     """Causal hold over one stream of anchors and commands (episode, t, kind, value): each anchor with
-    the last command at or before it, unless older than max_age. Output mode: append."""
+    the last command at or before it, unless older than max_age. Rows may come up to `wait` late: they
+    are held back until newer ones have come, or the key is idle for idle_ms. Later ones are taken as
+    they come. Output mode: append."""
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = state.get if state.exists else (None, None)
-        pdf = pd.concat(list(batches))
-        pdf = pdf.assign(order=(pdf["kind"] == "anchor").astype(int)).sort_values(["t", "order"], kind="stable")
-        out = []
-        for t, kind, value in zip(pdf["t"], pdf["kind"], pdf["value"]):
-            if kind == "command":
-                held = (int(t), float(value))
-            else:
-                good = held[0] is not None and int(t) - held[0] <= max_age
-                out.append((key[0], int(t), held[1] if good else None, int(t) - held[0] if held[0] is not None else None))
-        state.update(held)
-        frame = pd.DataFrame(out, columns=["episode", "t", "value", "age"])
-        yield frame.astype({"age": "Int64"})
-
-    return rows.groupBy("episode").applyInPandasWithState(step, "episode long, t long, value double, age long", "t long, value double", "append", GroupStateTimeout.NoTimeout)
+        held_t, held_v, newest, *waiting = state.get if state.exists else (None, None, None, [], [], [])
+        ended = state.hasTimedOut
+        new = [] if ended else list(batches)
+        t = np.concatenate([np.asarray(waiting[0], np.int64), *(b["t"].to_numpy(np.int64) for b in new)])
+        anchor = np.concatenate([np.asarray(waiting[1], bool), *((b["kind"] == "anchor").to_numpy(bool) for b in new)])
+        value = np.concatenate([np.asarray(waiting[2], float), *(b["value"].to_numpy(float) for b in new)])
+        newest = max([newest or t.max(), t.max()]) if len(t) else newest
+        order = np.lexsort((anchor, t))
+        t, anchor, value = t[order], anchor[order], value[order]
+        ready = len(t) if ended or not wait else int(np.searchsorted(t, newest - wait, "right"))
+        rest = (t[ready:], anchor[ready:], value[ready:])
+        t, anchor, value = t[:ready], anchor[:ready], value[:ready]
+        at = np.maximum.accumulate(np.where(anchor, -1, np.arange(ready))) if ready else np.zeros(0, int)
+        known_t = np.where(at >= 0, t[at], held_t if held_t is not None else 0) if ready else t
+        known_v = np.where(at >= 0, value[at], held_v if held_v is not None else np.nan) if ready else value
+        some = (at >= 0) | (held_t is not None)
+        if ready and at[-1] >= 0:
+            held_t, held_v = int(t[at[-1]]), float(value[at[-1]])
+        if ended:
+            state.remove()
+        else:
+            state.update((held_t, held_v, int(newest), rest[0].tolist(), rest[1].tolist(), rest[2].tolist()))
+            if idle_ms:
+                state.setTimeoutDuration(idle_ms)
+        age = t - known_t
+        out = pd.DataFrame({"episode": key[0], "t": t, "value": np.where(some & (age <= max_age), known_v, np.nan), "age": pd.array(np.where(some, age, 0), "Int64")})
+        out.loc[~some, "age"] = pd.NA
+        out["value"] = out["value"].astype(object).where(out["value"].notna(), None)
+        yield out[anchor].astype({"value": "Float64"})
+
+    return rows.groupBy("episode").applyInPandasWithState(step, "episode long, t long, value double, age long", HOLD_STATE, "append", _timeout(idle_ms))
 
 
 def windowed_counts(events: DataFrame, ts: str, by: list[str], width: str, slide: str | None = None, late: str | None = None) -> DataFrame:

@@ -55,6 +55,27 @@ def test_hold(spark, feed):
     assert {r.t: (r.value, r.age) for r in out} == {5: (None, None), 10: (1.0, 0), 14: (1.0, 4), 99: (None, 89)}
 
 
+def test_hold_waits_for_late_rows(spark, feed):
+    schema = "episode long, t long, kind string, value double"
+    a = [(1, 10, "command", 1.0), (1, 30, "anchor", 0.0)]
+    b = [(1, 25, "command", 2.0), (1, 60, "command", 3.0)]
+    c = [(1, 70, "anchor", 0.0), (1, 200, "command", 4.0)]
+    out = run(spark, live.running_hold(feed([a, b, c], schema), 100, wait=20), "append", "late_hold")
+    assert {r.t: (r.value, r.age) for r in out} == {30: (2.0, 5), 70: (3.0, 10)}
+
+
+def test_ema_values_in_blocks():
+    import numpy as np
+
+    x = np.random.default_rng(4).normal(size=1200)
+    got = np.concatenate([live.ema_values(x[:700], 0.4, None), live.ema_values(x[700:], 0.4, float(live.ema_values(x[:700], 0.4, None)[-1]))])
+    y, want = x[0], []
+    for v in x:
+        y = 0.6 * y + 0.4 * v
+        want.append(y)
+    assert np.allclose(got, want)
+
+
 def test_windows_and_late_rows(spark, feed):
     schema = "ts timestamp, kind string, value double"
     import datetime as d
