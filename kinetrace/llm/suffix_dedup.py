@@ -9,14 +9,13 @@ anchor, and equal windows have equal anchors. The anchor's fingerprint is the su
 2. Anchors are counted by (token, context), a context being the bytes of the whole run: a context
    that occurs twice is covered whole, without comparing anything.
 3. Tokens with several contexts send one copy of each context to a bucket. Spark's sampled splitters
-   range-partition them by leading token; a bucket takes its contexts in that order, CHUNK bytes at a
-   time, and sorts the suffixes that start at their windows by multikey quicksort, eight bytes a
+   range-partition them by leading token; a bucket takes its tokens in that order, CHUNK bytes or so
+   at a time, and sorts the suffixes that start at their windows by multikey quicksort, eight bytes a
    step: suffixes that agree so far are split by their next eight bytes, and those left alone are
    done. What stays together for LENGTH bytes is repeated.
-4. A token may straddle chunks and buckets, so the first and the last token of each chunk are compared
-   across boundaries: each chunk gives one fingerprint of each of their distinct windows, and those of
-   several chunks are repeated too. A token that holds a third of all contexts spreads over many
-   chunks and is compared that way.
+4. A token of more than HOT_CONTEXTS contexts is split by context as well, so it straddles buckets and
+   chunks, and is compared across their boundaries: each chunk gives one fingerprint of each of its
+   distinct windows, and those of several chunks are repeated too.
 5. Runs of repeated windows go back to the texts, which are read again to remove their bytes.
 
 Beside the bytes, passages of WORDS words are looked up in the same manner, since many of them are
@@ -40,14 +39,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, BYTE_VALUE, Scratch, join_groups, mix, prefix_sums, range_hash, spans_of, utf8
-from .minhash import word_hashes
+from .minhash import groups_in, word_hashes
 
 LENGTH = 400
 GRAM = 64
 #: The same in words.
 WORDS, WORD_GRAM = 50, 12
-#: Bytes of contexts that are sorted together.
+#: Bytes of contexts that are sorted together, about, and contexts of a token that stay together.
 CHUNK = 2 << 20
+HOT_CONTEXTS = 8192
 BLOCK = 1 << 19
 PLACE_BITS = np.uint64(22)
 SHA_OF_NOTHING = hashlib.sha256(b"").hexdigest()
@@ -189,16 +189,16 @@ def flag_runs(flags: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 SORTED = "token long, ctx long, runs array<struct<a:int,b:int>>, edge array<struct<t:int,print:long,alone:boolean>>"
 
 
-def sorted_chunk(table: pa.Table, length: int) -> pa.RecordBatch | None:
+def sorted_chunk(table: pa.Table, length: int, straddles: bool) -> pa.RecordBatch | None:
     """SORTED of one chunk of contexts (token, ctx, text), by token: the runs of windows that repeat in
-    it, and one window of each class of its first and last token."""
+    it, and, of a token that straddles chunks, one window of each class."""
     data, offsets = utf8(table.column(2))
     tokens = table.column(0).to_numpy()
     starts, n = window_starts(offsets, length)
     owner = np.repeat(np.arange(len(n)), n)
     classes = multikey_classes(data, starts, tokens[owner], length)
     row, a, b = flag_runs(classes >= 0, n)
-    outer = np.flatnonzero(((tokens == tokens[0]) | (tokens == tokens[-1]))[owner])
+    outer = np.arange(len(starts)) if straddles else np.zeros(0, np.int64)
     known = outer[classes[outer] >= 0]
     shown = np.sort(np.concatenate([outer[classes[outer] < 0], known[np.unique(classes[known], return_index=True)[1]]]))
     prints = np.zeros(len(shown), np.int64)
@@ -219,21 +219,31 @@ def sorted_chunk(table: pa.Table, length: int) -> pa.RecordBatch | None:
 
 
 def bucket_repeats(contexts: DataFrame, length: int, parts: int, chunk: int) -> DataFrame:
-    """SORTED of contexts (token, ctx, text), in range-partitioned buckets."""
-    ranged = contexts.repartitionByRange(parts, "token", "ctx").sortWithinPartitions("token", "ctx")
+    """SORTED of contexts (token, ctx, text, hot), in range-partitioned buckets. Equal tokens stay
+    together, but for hot ones."""
+    split = F.when(F.col("hot"), F.col("ctx")).otherwise(F.lit(0))
+    ranged = contexts.select("token", "ctx", "text", "hot").repartitionByRange(parts, F.col("token"), split).sortWithinPartitions("token", "ctx")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, bool]]:
         held, size = [], 0
-        for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                held.append(batch.slice(i, 256))
-                size += held[-1].nbytes
-                if size >= chunk:
-                    if found := sorted_chunk(pa.Table.from_batches(held), length):
-                        yield found
-                    held, size = [], 0
-        if held and (found := sorted_chunk(pa.Table.from_batches(held), length)):
-            yield found
+        for group in groups_in(batches, 1):
+            if group.column(3)[0].as_py():
+                rows = max(1, chunk * group.num_rows // max(1, group.nbytes))
+                for i in range(0, group.num_rows, rows):
+                    yield group.slice(i, rows), True
+                continue
+            held.append(group)
+            size += group.nbytes
+            if size >= chunk:
+                yield pa.concat_tables(held), False
+                held, size = [], 0
+        if held:
+            yield pa.concat_tables(held), False
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, straddles in chunks(batches):
+            if found := sorted_chunk(table, length, straddles):
+                yield found
 
     return ranged.mapInArrow(run, SORTED)
 
@@ -262,13 +272,13 @@ def same_text(raw: bytes, ka: int, kb: int) -> bool:
     return int.from_bytes(digest[:8], "little", signed=True) == ka and int.from_bytes(digest[8:16], "little", signed=True) == kb
 
 
-FETCHED = "kind int, token long, ctx long, text binary, prints array<long>"
+FETCHED = "kind int, token long, ctx long, hot boolean, text binary, prints array<long>"
 
 
 def fetched(needed: DataFrame, docs: DataFrame, length: int, words: int) -> DataFrame:
     """FETCHED of the runs of windows asked for: of kind 0 (bytes) their text, of kind 1 (words) the
     fingerprint of each window. Texts are read once for both."""
-    asked = needed.groupBy("rep", "ka", "kb").agg(F.collect_list(F.struct("kind", "token", "ctx", "start", "n")).alias("want"))
+    asked = needed.groupBy("rep", "ka", "kb").agg(F.collect_list(F.struct("kind", "token", "ctx", "start", "n", "hot")).alias("want"))
     joined = texts_of(asked, docs).select("ka", "kb", "want", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,7 +286,7 @@ def fetched(needed: DataFrame, docs: DataFrame, length: int, words: int) -> Data
             texts = batch.column(3).cast(pa.large_binary())
             lists = batch.column(2)
             ends, flat = lists.offsets.to_numpy(), lists.values
-            kind, token, ctx, start, n = (flat.field(k).to_numpy() for k in range(5))
+            kind, token, ctx, start, n, hot = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(6))
             order, bodies, prints = [], [], []
             for k in range(batch.num_rows):
                 raw = texts[k].as_py() or b""
@@ -293,8 +303,8 @@ def fetched(needed: DataFrame, docs: DataFrame, length: int, words: int) -> Data
                     prints += [range_hash(sums, at, at + words).view(np.int64) for at in spans]
             if order:
                 at = np.concatenate(order)
-                cols = [pa.array(kind[at], pa.int32()), pa.array(token[at]), pa.array(ctx[at]), pa.array(bodies, pa.binary()), pa.array(prints, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(cols, names=["kind", "token", "ctx", "text", "prints"])
+                cols = [pa.array(kind[at], pa.int32()), pa.array(token[at]), pa.array(ctx[at]), pa.array(hot[at], pa.bool_()), pa.array(bodies, pa.binary()), pa.array(prints, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(cols, names=["kind", "token", "ctx", "hot", "text", "prints"])
 
     # Rows that repeat an id and its text would give a context twice.
     return joined.mapInArrow(run, FETCHED).dropDuplicates(["kind", "token", "ctx"])
@@ -364,7 +374,7 @@ def without(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(out)
 
 
-def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: int = GRAM, words: int = WORDS, word_gram: int = WORD_GRAM, chunk: int = CHUNK) -> DataFrame:
+def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: int = GRAM, words: int = WORDS, word_gram: int = WORD_GRAM, chunk: int = CHUNK, hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_repeated_words, has_repeat) per document."""
     scratch = Scratch(spark, "suffix-dedup", docs)
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -382,11 +392,11 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
     n_contexts = contexts.count()
     n_places = contexts.agg(F.sum("c")).first()[0] or 0
     tokens = scratch.store(contexts.groupBy("kind", "token").agg(F.count("*").alias("n_ctx")).where("n_ctx > 1"), "tokens", n_contexts)
-    needed = join_groups(contexts, tokens, ["kind", "token"], "n_ctx", n_contexts, "inner").select(*keys, "at.*")
+    needed = join_groups(contexts, tokens, ["kind", "token"], "n_ctx", n_contexts, "inner").select(*keys, "at.*", (F.col("n_ctx") > hot_contexts).alias("hot"))
     needed = scratch.store(needed, "needed", n_contexts)
     read = scratch.store(fetched(needed, docs, length, words), "fetched")
     scratch.delete("tokens", "needed")
-    bodies = read.where("kind = 0").select("token", "ctx", "text")
+    bodies = read.where("kind = 0").select("token", "ctx", "text", "hot")
     found = scratch.store(bucket_repeats(bodies, length, parts, chunk), "sorted", n_contexts)
     runs = found.where(F.size("runs") > 0).select("token", "ctx", "runs").unionByName(boundary_repeats(found)).withColumn("kind", F.lit(0))
     runs = runs.unionByName(word_repeats(read.where("kind = 1")).withColumn("kind", F.lit(1)))

@@ -181,11 +181,11 @@ def test_minhash_links_pairs_at_the_threshold_with_far_sketches(spark):
     assert got == {d: d - d % 2 for d, _ in rows}
 
 
-@pytest.mark.parametrize("chunk", [suffix_dedup.CHUNK, 3000])
-def test_suffix_dedup(spark, docs, chunk):
-    """In small chunks nearly every token straddles a boundary."""
+@pytest.mark.parametrize("chunk, hot", [(suffix_dedup.CHUNK, suffix_dedup.HOT_CONTEXTS), (3000, 1), (3000, 3)])
+def test_suffix_dedup(spark, docs, chunk, hot):
+    """With few contexts to a token and small chunks, tokens straddle boundaries."""
     want = dict(zip(TEXT, brute.repeats(list(TEXT.values()), 400)))
-    rows = suffix_dedup.remove_repeats(spark, docs, chunk=chunk).collect()
+    rows = suffix_dedup.remove_repeats(spark, docs, chunk=chunk, hot_contexts=hot).collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows} == want
     words = dict(zip(TEXT, brute.repeated_words(list(TEXT.values()), 50)))
     assert {r.doc_id: r.n_repeated_words for r in rows} == words and all(r.has_repeat == (r.n_repeated_words > 0) for r in rows)
