@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..operators import asof, sequences, statistics
+from ..sources.episodes import write_json
 
 BY = ["episode"]
 
@@ -52,6 +54,20 @@ def summary(per_episode: DataFrame) -> DataFrame:
     return per_episode.agg(F.count("*").alias("episodes"), F.count_if(F.size("reasons") > 0).alias("failed"), zero(F.sum("n")).alias("frames"), zero(F.avg("n")).alias("mean_length"), zero(F.median("n")).alias("median_length"), zero(F.avg("max_skew")).alias("mean_max_skew"))
 
 
+def report_text(episodes: Sequence[Mapping], total: Mapping) -> str:
+    """The quality report to read: a line per episode, then what all come to."""
+    lines = [f"{e['episode']}: {e['n']} frames, skew {e['mean_skew'] or 0:.4f} mean {e['max_skew'] or 0:.4f} max, velocity {e['mean_velocity']:.4f}: {', '.join(e['reasons']) or 'good'}" for e in episodes]
+    return "\n".join([*lines, f"{total['episodes']} episodes, {total['failed']} failed, {total['frames']:.0f} frames, {total['mean_length']:.1f} on average", ""])
+
+
+def write_report(quality: DataFrame, path: str) -> None:
+    """The report as JSON, and as text beside it; one row per episode comes to the driver."""
+    rows = [r.asDict() for r in quality.orderBy(*BY).collect()]
+    total = summary(quality).first().asDict()
+    write_json(path, {"episodes": rows, "summary": total})
+    Path(path).with_suffix(".txt").write_text(report_text(rows, total))
+
+
 def converted(samples: DataFrame, clock: str, streams: Sequence[str], alpha: float, per_second: float, max_skew: float) -> dict[str, DataFrame]:
     """Aligned, smoothed and judged; `frames` has accepted episodes only, numbered densely."""
     rows = aligned(samples, clock, streams)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
 
+from . import mcap
 from .config import ConfigError, load_yaml
 
 SCHEMA = "bag STRING, topic STRING, message_type STRING, sequence BIGINT, header_time_ns BIGINT, bag_time_ns BIGINT, frame_id STRING, `values` ARRAY<DOUBLE>, names ARRAY<STRING>, image BINARY, image_format STRING, error STRING"
@@ -157,26 +158,43 @@ def open_storage(path: Path) -> tuple[sqlite3.Connection, tempfile.TemporaryDire
     return sqlite3.connect(f"file:{path}?mode=ro&immutable=1", uri=True), None
 
 
+def sqlite_messages(path: Path, topics: list[str] | None) -> Iterator[tuple[str, str, int, bytes]]:
+    """(topic, type, bag time, payload) by time."""
+    con, held = open_storage(path)
+    try:
+        sql = "SELECT t.name, t.type, m.timestamp, m.data FROM messages m JOIN topics t ON t.id = m.topic_id"
+        if topics is not None:
+            sql += f" WHERE t.name IN ({', '.join('?' * len(topics))})"
+        for topic, kind, stamp, data in con.execute(sql + " ORDER BY m.timestamp, m.id", topics or []):
+            yield topic, kind, stamp, bytes(data)
+    finally:
+        con.close()
+        if held:
+            held.cleanup()
+
+
+#: Backends by storage identifier.
+BACKENDS = {"sqlite3": sqlite_messages, "mcap": mcap.read}
+
+
+def backend_of(path: Path, storage: str) -> str:
+    """The backend of a storage file: what its first bytes say, or else what the metadata says."""
+    with open(path, "rb") as f:
+        head = f.read(16)
+    if head.startswith(mcap.MAGIC):
+        return "mcap"
+    return "sqlite3" if head.startswith(b"SQLite format 3") else storage
+
+
 def read_bag(bag: str | Path, topics: list[str] | None = None, adapters=None) -> Iterator[tuple]:
     """Rows of SCHEMA in storage order, with a sequence number per topic."""
     meta = bag_metadata(bag)
-    if meta["storage"] != "sqlite3":
-        raise ConfigError(f"{bag}: {meta['storage']} storage can't be read here")
     count: dict[str, int] = {}
     for f in meta["files"]:
-        con, held = open_storage(f)
-        try:
-            sql = "SELECT t.name, t.type, m.timestamp, m.data FROM messages m JOIN topics t ON t.id = m.topic_id"
-            if topics is not None:
-                sql += f" WHERE t.name IN ({', '.join('?' * len(topics))})"
-            for topic, kind, stamp, data in con.execute(sql + " ORDER BY m.timestamp, m.id", topics or []):
-                n = count[topic] = count.get(topic, -1) + 1
-                d = decoded(kind, bytes(data), adapters)
-                yield (str(bag), topic, kind, n, d["header_time_ns"], stamp, d["frame_id"], d["values"], d["names"], d["image"], d["image_format"], d["error"])
-        finally:
-            con.close()
-            if held:
-                held.cleanup()
+        for topic, kind, stamp, data in BACKENDS[backend_of(f, meta["storage"])](f, topics):
+            n = count[topic] = count.get(topic, -1) + 1
+            d = decoded(kind, data, adapters)
+            yield (str(bag), topic, kind, n, d["header_time_ns"], stamp, d["frame_id"], d["values"], d["names"], d["image"], d["image_format"], d["error"])
 
 
 class BagPartition(InputPartition):
