@@ -96,3 +96,58 @@ def base_spans(text):
     out += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m.group()) >= 20]
     out += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m.group()) >= 24]
     return sorted(out)
+
+
+def ngram_buckets(text, bits, sizes, pad=2):
+    """Hashed n-grams of a text between spaces, each where it ends, the first `pad` places left out."""
+    points = [32] * pad + [ord(c) if c.isalpha() else 32 for c in text.lower()] + [32] * pad
+    out = []
+    for end in range(pad, len(points)):
+        for n in sizes:
+            h = 0
+            for c in points[end - n + 1 : end + 1]:
+                h = (h * 0x01000193 + c * 0x9E3779B1) % 2**32
+            out.append((((h ^ (h >> 15)) * 0x85EBCA6B) % 2**32) >> (32 - bits))
+    return out
+
+
+def naive_bayes(train, texts, bits, sizes, smoothing, evidence):
+    """train: (lang, text). Per text (lang, probability), or ("und", 0)."""
+    import math
+
+    langs = sorted({x for x, _ in train})
+    counts = {x: [smoothing] * (1 << bits) for x in langs}
+    docs = {x: 0 for x in langs}
+    for lang, text in train:
+        docs[lang] += 1
+        for b in ngram_buckets(text, bits, sizes):
+            counts[lang][b] += 1
+    blank = set(ngram_buckets("", bits, sizes))
+    sums = {x: sum(c) for x, c in counts.items()}
+    out = []
+    for text in texts:
+        if not any(c.isalpha() for c in text or ""):
+            out.append(("und", 0.0))
+            continue
+        grams = ngram_buckets(text, bits, sizes)
+        n = len(grams) // len(sizes)
+        z = {x: sum(0 if b in blank else math.log(counts[x][b] / sums[x]) for b in grams) / n * min(n, evidence) + math.log(docs[x] / len(train)) for x in langs}
+        top = max(z.values())
+        p = {x: math.exp(v - top) for x, v in z.items()}
+        best = max(langs, key=lambda x: z[x])
+        out.append((best, p[best] / sum(p.values())))
+    return out
+
+
+def best_fit(pieces, capacity):
+    """Bins as lists of pieces (length, source, cluster, ...), largest first: of all bins without the
+    piece's source and cluster the one with the least room that holds it, the first one on ties."""
+    bins = []
+    for p in pieces:
+        fits = [(capacity - sum(x[0] for x in b), i) for i, b in enumerate(bins) if all((p[1] is None or x[1] != p[1]) and (p[2] is None or x[2] != p[2]) for x in b)]
+        fits = [f for f in fits if f[0] >= p[0]]
+        if fits:
+            bins[min(fits)[1]].append(p)
+        else:
+            bins.append([p])
+    return bins

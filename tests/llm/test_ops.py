@@ -322,6 +322,57 @@ def test_langid(spark, none):
     assert empty.predict(["abc"]) [0] == ["und"]
 
 
+def test_langid_against_a_plain_version(spark):
+    """Every text of the small table, a rare language, and columns with the names of results."""
+    rows = [(d, t, "rare" if d in (1, 17) else r[2]) for r, (d, t) in zip(ROWS, TEXT.items())]
+    train = [(x, t) for d, t, x in rows if x and t is not None and brute.crc(str(d)) % 4 != 2]
+    assert {x for x, _ in train} == {"aa", "bb", "rare"}
+    want = brute.naive_bayes(train, list(TEXT.values()), langid.BUCKET_BITS, langid.SIZES, langid.SMOOTHING, langid.EVIDENCE)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("lang_pred", F.lit("x")).withColumn("score", F.lit(7))
+    model = langid.fit(df)
+    with pytest.raises(ValueError, match="already"):
+        langid.identify(spark, df, model)
+    got = {r.doc_id: r for r in langid.identify(spark, df, model, "found", "share").collect()}
+    assert all(r.score == 7 and r.lang_pred == "x" for r in got.values())
+    for (d, _), (lang, p) in zip(TEXT.items(), want):
+        assert abs(got[d].share - p) < 1e-3 and (got[d].found == lang or p < 0.51)
+
+
+def test_hot_sources_long_texts_and_clashing_names(spark, none):
+    """A text over 1 MB, a source that holds most rows, and columns named as the operators name theirs."""
+    rows = [(i, f"short text {i} token", "hot" if i % 3 else None) for i in range(300)] + [(300, "long word " * 120_000, "hot"), (301, None, "hot")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for c in ("sha", "len", "prefix", "lost", "lost_sha", "mark", "slot", "cell", "shard", "group_id", "size", "cluster", "findings", "key", "a", "ka", "kb", "token"):
+        df = df.withColumn(c, F.lit(c))
+    shards = sharding.shard_documents(spark, df, 4).collect()
+    assert len(shards) == 302 and max(r["size"] for r in shards) == 1_200_001
+    packed = packing.pack(spark, df).collect()
+    assert sum(r.length for r in packed if r.doc_id == 300) == 1_200_000 and {r.doc_id for r in packed} == set(range(302))
+    kept = exact_dedup.drop_duplicates(spark, df)
+    assert kept.columns == df.columns and kept.count() == 302 and kept.where("lost = 'lost' and mark = 'mark'").count() == 302
+    near = minhash.drop_near_duplicates(spark, df)
+    assert near.columns == df.columns and near.where("lost = 'lost'").count() == near.count()
+    clean = secrets.redact(spark, df)
+    assert clean.columns == df.columns and clean.count() == 302
+    found = {r.doc_id: r for r in suffix_dedup.remove_repeats(spark, df).collect()}
+    assert (found[300].n_removed, found[300].n_repeated_words, found[301].n_bytes) == (1_200_000, 240_000, 0)
+
+
+def test_packing_against_a_plain_best_fit(spark, docs):
+    got = defaultdict(list)
+    for r in packing.pack(spark, docs, capacity=700, group_rows=100_000).collect():
+        got[r.bin_id].append((r.bin_pos, r.doc_id, r.piece))
+    sources = {r[0]: r[3] for r in ROWS}
+    pieces = []
+    for d, t in TEXT.items():
+        full, rest = divmod(len(t or ""), 700)
+        sizes = [700] * full + ([rest] if rest or not full else [])
+        pieces += [(n, sources[d], brute.lower(t), d, k) for k, n in enumerate(sizes)]
+    pieces.sort(key=lambda p: (-p[0], p[3], p[4]))
+    want = [[(i, p[3], p[4]) for i, p in enumerate(b)] for b in brute.best_fit(pieces, 700)]
+    assert [sorted(got[k]) for k in sorted(got)] == want
+
+
 def test_langid_long_text_scores_like_its_parts():
     import numpy as np
 
