@@ -14,7 +14,7 @@ from ..operators.records import STATISTICS, complete_stats
 from ..sources import episodes
 
 
-def feature_stats(frames: DataFrame, features: Sequence[str], exact: bool = True) -> dict:
+def feature_stats(frames: DataFrame, features: Sequence[str], exact: bool = False) -> dict:
     """{feature: {mean, std, min, max, q01, q99}}; what comes to the driver is one row per dimension."""
     out = {}
     for f in features:
@@ -25,7 +25,7 @@ def feature_stats(frames: DataFrame, features: Sequence[str], exact: bool = True
     return out
 
 
-def relative_stats(frames: DataFrame, state: tuple[int, int], action: tuple[int, int], horizon: int) -> dict:
+def relative_stats(frames: DataFrame, state: tuple[int, int], action: tuple[int, int], horizon: int, exact: bool = False) -> dict:
     """Statistics per (step, dim) of action chunks relative to the state at their first step, over windows
     that lie whole within their episode."""
     rows = frames.select("episode_index", "frame_index", part("`observation.state`", *state).alias("s"), part("`action`", *action).alias("a"))
@@ -35,20 +35,20 @@ def relative_stats(frames: DataFrame, state: tuple[int, int], action: tuple[int,
     return {k: [[r[k] for r in got if r.step == s] for s in steps] for k in STATISTICS}
 
 
-def generate(spark: SparkSession, root: str, relative: Mapping[str, tuple[tuple[int, int], tuple[int, int], int]] | None = None) -> bool:
+def generate(spark: SparkSession, root: str, relative: Mapping[str, tuple[tuple[int, int], tuple[int, int], int]] | None = None, exact: bool = False) -> bool:
     """Write meta/stats.json and meta/relative_stats.json unless they are complete; whether anything was
-    written. relative: action key -> (state range, action range, horizon)."""
+    written. relative: action key -> (state range, action range, horizon). Quantiles are sketches unless exact ones are asked for."""
     info = episodes.read_json(root, "info.json")
     features = episodes.float_features(info)
     path, wrote = Path(root, "meta", "stats.json"), False
     if not (path.exists() and complete_stats(episodes.read_json(root, "stats.json"), features)):
-        episodes.write_json(path, feature_stats(episodes.read_frames(spark, root, features), features))
+        episodes.write_json(path, feature_stats(episodes.read_frames(spark, root, features), features, exact))
         wrote = True
     path = Path(root, "meta", "relative_stats.json")
     held = episodes.read_json(root, "relative_stats.json") if path.exists() else {}
     for key, (state, action, horizon) in sorted((relative or {}).items()):
         if not complete_stats(held, [key], horizon):
-            held[key] = relative_stats(episodes.read_frames(spark, root), state, action, horizon)
+            held[key] = relative_stats(episodes.read_frames(spark, root), state, action, horizon, exact)
             wrote = True
             episodes.write_json(path, held)
     return wrote
