@@ -141,7 +141,7 @@ def current_map(spark: SparkSession, loads: DataFrame, n_shards: int, path: str)
     else:
         held = read_map(spark, path, versions[-1])
         place = ["slot", "part", "parts", "shard"]
-        now, version = rebalanced_map(held, loads, n_shards), versions[-1] + 1
+        now, version = rebalanced_map(held, loads, n_shards, 0.01), versions[-1] + 1
         if now.select(*place).exceptAll(held.select(*place)).isEmpty():
             return held
     now.select(*columns).coalesce(1).write.mode("overwrite").parquet(f"{path}/version={version}")
