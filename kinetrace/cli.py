@@ -54,7 +54,7 @@ def messages_of(spark: SparkSession, root: str, roster: DataFrame, profile) -> D
     topics = {s.topic: s.key for s in profile.streams}
     df = bag.read(spark, root, list(topics))
     keys = F.create_map(*[F.lit(x) for kv in topics.items() for x in kv])
-    bags = F.broadcast(roster.select(F.col("roster_index").alias("episode"), "bag"))  # a catalogue
+    bags = roster.select(F.col("roster_index").alias("episode"), "bag")
     df = df.join(bags, "bag")
     v = F.when(F.col("image").isNull(), F.col("values"))
     return df.select("episode", F.element_at(keys, F.col("topic")).alias("stream"), F.col("sequence").alias("seq"), F.coalesce("header_time_ns", F.lit(0).cast("long")).alias("t"), F.col("bag_time_ns").alias("bag_t"), v.alias("v"), F.col("error").isNull().alias("decoded"))
@@ -95,7 +95,7 @@ def main(args: list[str] | None = None) -> int:
     verdicts = [r.asDict() for r in out["gates"].orderBy("episode").collect()]
     good = [r for r in verdicts if r["status"] != "REJECT"]
     index = spark.createDataFrame([(r["episode"], i, sum(x["frames"] for x in good[:i])) for i, r in enumerate(good)], "episode int, episode_index long, start long")
-    frames = out["frames"].join(F.broadcast(index), "episode").select(F.col("state").cast("array<float>").alias("observation.state"), F.col("action").cast("array<float>").alias("action"), "timestamp", "frame_index", "episode_index", (F.col("start") + F.col("frame_index")).alias("index"), F.lit(0).cast("long").alias("task_index"), F.lit(0).cast("long").alias("annotation.human.action.task_description"))
+    frames = out["frames"].join(index, "episode").select(F.col("state").cast("array<float>").alias("observation.state"), F.col("action").cast("array<float>").alias("action"), "timestamp", "frame_index", "episode_index", (F.col("start") + F.col("frame_index")).alias("index"), F.lit(0).cast("long").alias("task_index"), F.lit(0).cast("long").alias("annotation.human.action.task_description"))
     temp = tempfile.mkdtemp(dir=Path(a.output).resolve().parent)
     episodes.write_frames(frames, temp)
     episodes.rename_files(temp)
