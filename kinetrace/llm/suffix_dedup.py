@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, BYTE_VALUE, Scratch, join_groups, mix, prefix_sums, range_hash, spans_of, utf8
+from .common import BROADCAST_ROWS, BYTE_VALUE, Scratch, join_groups, mix, prefix_sums, range_hash, small, spans_of, utf8
 from .minhash import groups_in, word_hashes
 
 LENGTH = 400
@@ -127,6 +127,20 @@ def scan(docs: DataFrame, length: int, gram: int, words: int, word_gram: int) ->
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCAN)
 
 
+def one_row_a_text(scanned: DataFrame, total: int, scratch: Scratch) -> DataFrame:
+    """(ka, kb, copies, rep, anchors, word_anchors) of each different text. Texts without a copy stay
+    where they are; of the others the row of the smallest id is taken."""
+    classes = scanned.groupBy("ka", "kb").agg(F.count("*").alias("copies"), F.min("doc_id").alias("rep")).where("copies > 1")
+    classes = scratch.store(classes, "classes", total)
+    held = small(classes)
+    picked = lambda rows: rows.join(held, ["ka", "kb"], "left").where("copies is null or doc_id <=> rep")
+    sums = classes.agg(F.count("*").alias("n"), F.sum("copies").alias("rows")).first()
+    one = picked(scanned)
+    if picked(scanned.select("doc_id", "ka", "kb")).count() != total - (sums.rows or 0) + sums.n:  # rows that repeat an id and its text
+        one = one.dropDuplicates(["ka", "kb"])
+    return one.select("ka", "kb", F.coalesce("copies", F.lit(1)).alias("copies"), F.when(F.col("copies").isNull(), F.col("doc_id")).otherwise(F.col("rep")).alias("rep"), "anchors", "word_anchors")
+
+
 def window_starts(offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Where all windows of several contexts start, and how many each context has."""
     n = np.diff(offsets) - length + 1
@@ -380,19 +394,20 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     scanned = scratch.store(scan(docs, length, gram, words, word_gram), "scan")
     total = scanned.count()
-    texts = scanned.groupBy("ka", "kb").agg(F.count("*").alias("copies"), F.min("doc_id").alias("rep"), F.first("anchors").alias("anchors"), F.first("word_anchors").alias("word_anchors"))
-    texts = scratch.store(texts, "texts")
+    texts = scratch.store(one_row_a_text(scanned, total, scratch), "texts")
     narrow = scratch.store(scanned.drop("anchors", "word_anchors"), "narrow")
     scratch.delete("scan")
     both = [texts.select("ka", "kb", "rep", "copies", F.lit(k).alias("kind"), F.explode(c).alias("x")) for k, c in enumerate(("anchors", "word_anchors"))]
     anchors = both[0].unionByName(both[1]).select("kind", "ka", "kb", "rep", "copies", "x.*")
     keys = ["kind", "token", "ctx"]
-    contexts = anchors.groupBy(*keys).agg(F.sum("copies").alias("c"), F.min(F.struct("rep", "ka", "kb", "start", "n")).alias("at"))
+    # Any place of a context will do as the one to read it at.
+    place = ("rep", "ka", "kb", "start", "n")
+    contexts = anchors.groupBy(*keys).agg(F.sum("copies").alias("c"), *[F.first(x).alias(x) for x in place])
     contexts = scratch.store(contexts, "contexts")
     n_contexts = contexts.count()
     n_places = contexts.agg(F.sum("c")).first()[0] or 0
     tokens = scratch.store(contexts.groupBy("kind", "token").agg(F.count("*").alias("n_ctx")).where("n_ctx > 1"), "tokens", n_contexts)
-    needed = join_groups(contexts, tokens, ["kind", "token"], "n_ctx", n_contexts, "inner").select(*keys, "at.*", (F.col("n_ctx") > hot_contexts).alias("hot"))
+    needed = join_groups(contexts, tokens, ["kind", "token"], "n_ctx", n_contexts, "inner").select(*keys, *place, (F.col("n_ctx") > hot_contexts).alias("hot"))
     needed = scratch.store(needed, "needed", n_contexts)
     read = scratch.store(fetched(needed, docs, length, words), "fetched")
     scratch.delete("tokens", "needed")
@@ -401,7 +416,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
     runs = found.where(F.size("runs") > 0).select("token", "ctx", "runs").unionByName(boundary_repeats(found)).withColumn("kind", F.lit(0))
     runs = runs.unionByName(word_repeats(read.where("kind = 1")).withColumn("kind", F.lit(1)))
     # A context that occurs twice is covered whole; for others the runs found in the buckets count.
-    whole = contexts.where("c > 1").select(*keys, "c", F.array(F.struct(F.lit(0).alias("a"), F.col("at.n").alias("b"))).alias("runs"))
+    whole = contexts.where("c > 1").select(*keys, "c", F.array(F.struct(F.lit(0).alias("a"), F.col("n").alias("b"))).alias("runs"))
     once = contexts.where("c = 1").select(*keys, "c").join(runs, keys)
     repeats = scratch.store(whole.unionByName(once), "repeats", n_contexts)
     scratch.delete("fetched", "sorted", "contexts")
