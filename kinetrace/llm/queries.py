@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, minhash, packing, pieces, secrets, sharding, suffix_dedup, token_counts, topk
+from . import exact_dedup, langid, minhash, packing, phrases, pieces, resampling, secrets, sharding, suffix_dedup, token_counts, topk
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,15 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256"))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.resample(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank", "n_words")
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(spark, read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_minhash": op2_minhash,
@@ -77,6 +86,8 @@ QUERIES: dict[str, Query] = {
     "op8_pieces": op8_pieces,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_resampling": op11_resampling,
+    "op12_phrases": op12_phrases,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -103,4 +114,42 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(t) AS text_sha256
         FROM d WINDOW g AS (PARTITION BY t)""",
+    "op12_phrases": r"""
+        WITH d AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+            FROM documents
+        ), p AS (
+            SELECT lang, unnest(string_split_regex(t, '[.,;:!?\n-\r]')) AS piece FROM d
+        ), w AS (
+            SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), x -> x <> '') AS w FROM p
+        ), totals AS (
+            SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang
+        ), g AS (
+            SELECT lang, unnest(flatten([[w[i:i + k - 1] FOR i IN range(1, len(w) - k + 2)] FOR k IN range(1, 5)])) AS g FROM w
+        ), f AS (
+            SELECT lang, g, count(*) AS f FROM g GROUP BY lang, g HAVING count(*) >= 30
+        ), cuts AS (
+            SELECT lang, g, f AS a, unnest(range(1, len(g))) AS k FROM f WHERE len(g) > 1
+        ), scored AS (
+            SELECT c.lang, c.g, c.a, c.k, x.f AS l, y.f AS r,
+                   CAST((2000000::HUGEINT * c.a) // (x.f + y.f) AS BIGINT) AS score
+            FROM cuts c
+            JOIN f x ON x.lang = c.lang AND x.g = c.g[1:c.k]
+            JOIN f y ON y.lang = c.lang AND y.g = c.g[c.k + 1:len(c.g)]
+        ), weakest AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+        ), around AS (
+            SELECT lang, g[i:j] AS g, max(a) AS a
+            FROM (SELECT lang, g, a, unnest(range(1, len(g))) AS i FROM weakest) s, LATERAL (SELECT unnest(range(s.i + 1, len(s.g) + 1)) AS j) e
+            WHERE j - i + 1 < len(g)
+            GROUP BY ALL
+        ), left_over AS (
+            SELECT w.* FROM weakest w LEFT JOIN around o ON o.lang = w.lang AND o.g = w.g
+            WHERE o.a IS NULL OR 100 * o.a::HUGEINT < 80 * w.a::HUGEINT
+        )
+        SELECT x.lang, row_number() OVER o AS rank, array_to_string(g, ' ') AS phrase, a, l, r, n::BIGINT AS n, score
+        FROM left_over x JOIN totals USING (lang)
+        WINDOW o AS (PARTITION BY x.lang ORDER BY score DESC, a DESC, array_to_string(g, ' '))
+        QUALIFY row_number() OVER o <= 2000""",
 }
