@@ -122,7 +122,7 @@ ORACLE_SQL: dict[str, str] = {
         ), p AS (
             SELECT lang, unnest(string_split_regex(t, '[.,;:!?\n-\r]')) AS piece FROM d
         ), w AS (
-            SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), x -> x <> '') AS w FROM p
+            SELECT lang, [x FOR x IN string_split_regex(piece, '[ \t]+') IF x <> ''] AS w FROM p
         ), totals AS (
             SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang
         ), g AS (

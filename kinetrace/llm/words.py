@@ -48,6 +48,7 @@ class Block:
     unit: np.ndarray  #: for each word the number of its unit
     piece: np.ndarray  #: equal for words of one piece
     units: list[Unit]
+    group: object = None
     bounds: np.ndarray = field(init=False)  #: the first word of each unit, and the number of words
 
     def __post_init__(self):
@@ -79,7 +80,7 @@ class Block:
         return np.flatnonzero(ok)
 
 
-def cut(units: list[Unit], kind: np.ndarray) -> Block:
+def cut(units: list[Unit], kind: np.ndarray, group: object = None) -> Block:
     sizes = [len(u.data) for u in units]
     edges = np.cumsum([0, *sizes])
     raw = np.concatenate([u.data for u in units]) if units else np.zeros(0, np.uint8)
@@ -101,7 +102,7 @@ def cut(units: list[Unit], kind: np.ndarray) -> Block:
     room = np.ones(len(data), bool)
     room[at[1:] - 1] = False
     data[room] = LOWER[raw[inside]]
-    return Block(data, at, unit, piece, units)
+    return Block(data, at, unit, piece, list(units), group)
 
 
 def parts(tag: object, data: np.ndarray, kind: np.ndarray, limit: int, overlap: int) -> Iterator[Unit]:
@@ -129,21 +130,28 @@ def parts(tag: object, data: np.ndarray, kind: np.ndarray, limit: int, overlap:
         done = end
 
 
-def blocks(batches: Iterator[pa.RecordBatch], text: int, kind: np.ndarray, tags: Callable[[pa.RecordBatch], list], limit: int = BLOCK, overlap: int = 0) -> Iterator[Block]:
-    """All texts of `batches`, in order, in blocks of about `limit` bytes; null counts as empty."""
-    held: list[Unit] = []
-    size = 0
+def blocks(batches: Iterator[pa.RecordBatch], text: int, kind: np.ndarray, tags: Callable[[pa.RecordBatch], list], limit: int = BLOCK, overlap: int = 0, groups: Callable[[pa.RecordBatch], list] | None = None) -> Iterator[Block]:
+    """All texts of `batches`, in order, in blocks of about `limit` bytes; null counts as empty. With
+    `groups`, which names a group for each row, a block holds one group's texts."""
+    held: dict[object, list[Unit]] = {}
+    size: dict[object, int] = {}
     for batch in batches:
         raw, offsets = utf8(batch.column(text))
-        for i, tag in enumerate(tags(batch)):
+        owned = {g: len(own) for g, own in held.items()}
+        of = groups(batch) if groups else [None] * batch.num_rows
+        for i, (tag, group) in enumerate(zip(tags(batch), of)):
             data = raw[offsets[i] : offsets[i + 1]]
+            own = held.setdefault(group, [])
             for unit in [Unit(tag, data)] if len(data) <= limit else parts(tag, data, kind, limit, overlap):
-                if held and size + len(unit.data) > limit:
-                    yield cut(held, kind)
-                    held, size = [], 0
-                held.append(unit)
-                size += len(unit.data)
-        # Rows of this batch that wait for the next one would hold all of its bytes.
-        held = [Unit(u.tag, u.data.copy(), u.context, u.first, u.last) for u in held]
-    if held:
-        yield cut(held, kind)
+                if own and size[group] + len(unit.data) > limit:
+                    yield cut(own, kind, group)
+                    own.clear()
+                    owned[group] = size[group] = 0
+                own.append(unit)
+                size[group] = size.get(group, 0) + len(unit.data)
+        for group, own in held.items():  # a row that waits for the next batch would hold all bytes of this one
+            k = owned.get(group, 0)
+            own[k:] = [Unit(u.tag, u.data.copy(), u.context, u.first, u.last) for u in own[k:]]
+    for group, own in held.items():
+        if own:
+            yield cut(own, kind, group)
