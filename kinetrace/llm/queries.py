@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, minhash, packing, phrases, pieces, resampling, secrets, sharding, suffix_dedup, token_counts, topk
+from . import exact_dedup, langid, lm, minhash, packing, phrases, pieces, resampling, secrets, sharding, suffix_dedup, token_counts, topk
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,10 @@ def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op13_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(spark, read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_minhash": op2_minhash,
@@ -88,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op10_exact_dedup": op10_exact_dedup,
     "op11_resampling": op11_resampling,
     "op12_phrases": op12_phrases,
+    "op13_lm": op13_lm,
 }
 
 ORACLE_SQL: dict[str, str] = {
