@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import Scratch, dense, join_groups, mix, prefix_hash, range_hash, utf8
-from .words import BLOCK, Block, blocks, classes
+from .common import Scratch, dense, join_groups, mix
+from .words import BLOCK, Block, blocks, chained, classes, fingerprints
 
 SIGNS, BREAKS = b" \t", b".,;:!?\n\x0b\x0c\r"
 KIND = classes(SIGNS, BREAKS)
@@ -47,15 +47,9 @@ class Options:
     scale: int = 2_000_000
 
 
-def positions(data: np.ndarray, start: np.ndarray, stop: np.ndarray, langs: np.ndarray) -> np.ndarray:
-    """The bit of each phrase data[start:stop] of a language, given the languages' own fingerprints."""
-    own = range_hash(prefix_hash(data), start, stop)
-    return (mix(own ^ langs) % np.uint64(FILTER_BITS)).astype(np.int64)
-
-
-def fingerprints(col: pa.Array) -> np.ndarray:
-    data, at = utf8(col)
-    return range_hash(prefix_hash(data), at[:-1], at[1:])
+def bit_of(phrases: np.ndarray, langs: np.ndarray) -> np.ndarray:
+    """The bit of each phrase of a language, given both fingerprints."""
+    return (mix(phrases ^ langs) % np.uint64(FILTER_BITS)).astype(np.int64)
 
 
 def frequent_bits(level: DataFrame) -> np.ndarray:
@@ -63,8 +57,9 @@ def frequent_bits(level: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, at = utf8(batch.column(1))
-            yield pa.RecordBatch.from_arrays([pa.array(positions(data, at[:-1], at[1:], fingerprints(batch.column(0))))], names=["bit"])
+            words = pc.split_pattern(batch.column(1), " ")  # all phrases of a level are of one length
+            own = fingerprints(words.flatten()).reshape(batch.num_rows, -1)
+            yield pa.RecordBatch.from_arrays([pa.array(bit_of(chained(list(own.T)), fingerprints(batch.column(0))))], names=["bit"])
 
     bits = level.select("lang", "phrase").mapInArrow(run, "bit long")
     chunk = F.floor(F.col("bit") / CHUNK_BITS).cast("int")
@@ -89,18 +84,17 @@ def grams(block: Block, n: int, bits: np.ndarray | None) -> tuple[pa.Array, pa.A
     """(lang, phrase, count) of the block's n-grams whose (n-1)-grams are in `bits`; None asks nothing."""
     langs, lang = unit_langs(block)
     place = block.counted(n)
+    words, spelled = block.ids()
     if bits is not None and len(place):
+        own = fingerprints(spelled, 1)
         first = np.zeros(len(block) - n + 2, bool)  # where an (n-1)-gram is wanted
         first[place] = first[place + 1] = True
         wanted = np.flatnonzero(first)
-        sums = prefix_hash(block.data)
-        own = range_hash(sums, block.at[wanted], block.at[wanted + n - 1] - 1)
-        first[wanted] = set_in(bits, (mix(own ^ fingerprints(langs)[lang[wanted]]) % np.uint64(FILTER_BITS)).astype(np.int64))
+        first[wanted] = set_in(bits, bit_of(chained([own[words[wanted + k]] for k in range(n - 1)]), fingerprints(langs)[lang[wanted]]))
         place = place[first[place] & first[place + 1]]
     if not len(place):
         return pa.array([], pa.string()), pa.array([], pa.string()), np.zeros(0, np.int64)
     # Ids of whole n-grams from the ids of their words: equal for equal n-grams and for no others.
-    words, _ = block.ids()
     key = lang[place]
     for k in range(n):
         key = np.unique(key * (int(words.max()) + 1) + words[place + k], return_inverse=True)[1]

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 
-from .common import utf8
+from .common import BASE, mix, prefix_hash, range_hash, utf8
 
 #: Bytes of text that are cut into words together.
 BLOCK = 8 << 20
@@ -30,6 +30,20 @@ def classes(sign: bytes, breaks: bytes = b"") -> np.ndarray:
     return out
 
 
+def fingerprints(col: pa.Array, beyond: int = 0) -> np.ndarray:
+    """64-bit fingerprints of strings, without the last `beyond` bytes of each."""
+    data, at = utf8(col)
+    return range_hash(prefix_hash(data), at[:-1], at[1:] - beyond)
+
+
+def chained(words: list[np.ndarray]) -> np.ndarray:
+    """Fingerprints of n-grams from those of their words, one array a place."""
+    out = words[0]
+    for k, own in enumerate(words[1:], 2):
+        out = mix(out * np.uint64(BASE) + own + np.uint64(k))
+    return out
+
+
 @dataclass
 class Unit:
     """A text, or a part of a long one: its bytes from `begin` on, `context` words of them counted by the part before."""
@@ -86,16 +100,13 @@ def cut(units: list[Unit], kind: np.ndarray, group: object = None) -> Block:
     raw = np.concatenate([u.data for u in units]) if units else np.zeros(0, np.uint8)
     what = kind[raw]
     inside = what == WORD
-    edge = np.zeros(len(raw) + 1, bool)
-    edge[edges] = True
-    before = np.zeros(len(raw), bool)
-    before[1:] = inside[:-1]
-    starts = np.flatnonzero(inside & (~before | edge[:-1]))
-    after = np.zeros(len(raw), bool)
-    after[:-1] = inside[1:]
-    stops = np.flatnonzero(inside & (~after | edge[1:])) + 1
+    joined = np.zeros(len(raw) + 1, bool)  # whether a word goes on from one byte to the next
+    joined[1:-1] = inside[1:] & inside[:-1]
+    joined[edges] = False
+    starts = np.flatnonzero(inside & ~joined[:-1])
+    stops = np.flatnonzero(inside & ~joined[1:]) + 1
     unit = np.searchsorted(edges, starts, "right") - 1
-    piece = np.cumsum(what == BREAK, dtype=np.int64)[starts] + unit if len(starts) else starts
+    piece = np.searchsorted(np.flatnonzero(what == BREAK), starts) + unit
     at = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(stops - starts + 1, out=at[1:])
     data = np.full(int(at[-1]), 32, np.uint8)
