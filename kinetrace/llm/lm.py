@@ -1,8 +1,9 @@
 """Language-model scores by deleted interpolation: n-gram shares, mixed by how often the context was seen.
 
 Texts become blocks of token ids, written to the shared folder. Each block counts its own n-grams, so a
-frequent one is a row a block and never a row a document; counts meet under a 64-bit fingerprint, are
-added up over the blocks that learn, and go back to the blocks that can't know the total by themselves.
+frequent one is counted once a block and never once a document; counts meet under a 64-bit fingerprint, in
+parts by its remainder that travel as arrays, are added up over the blocks that learn, and go back to the
+blocks that can't know the total by themselves.
 An n-gram's share of its context is its maximum-likelihood estimate; the estimates of all sizes and an even
 share for every word, known or not, are mixed. The weights depend on the longest context that was seen and
 on how often it was (by powers of two), and are learned by expectation-maximisation on documents set apart
@@ -26,10 +27,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
-from .common import BASE, Scratch, dense, mix, prefix_hash, range_hash, utf8
-from .words import BLOCK, Block, blocks, classes
+from .common import BASE, Scratch, dense, mix, utf8
+from .words import BLOCK, Block, blocks, classes, fingerprints
 
 KIND = classes(b" \t\n\x0b\x0c\r")
 #: Roles of documents: counts for the weights come from the first, the weights from the second; both are
@@ -58,7 +58,7 @@ def role_column(options: Options):
 
 @contextmanager
 def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Python workers get so many rows at a time: 1 for blocks, many for the narrow rows that meet them."""
+    """Python workers get so many rows at a time: few for blocks, more for the packs that meet them."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key)
     spark.conf.set(key, str(rows))
@@ -85,8 +85,7 @@ def token_row(block: Block, number: int, order: int) -> dict:
     """One stored row: for each unit its row, its tokens, and how many of them only lead in (pads before
     a text's first word, words of the part before). Ids below `order` are the pads and, last, the end."""
     ids, words = block.ids()
-    raw, at = utf8(words)
-    own = np.concatenate([mix(np.arange(1, order + 1, dtype=np.uint64)), range_hash(prefix_hash(raw), at[:-1], at[1:])])
+    own = np.concatenate([mix(np.arange(1, order + 1, dtype=np.uint64)), fingerprints(words, 1)])
     context = np.fromiter((u.context for u in block.units), np.int64, len(block.units))
     ends = np.fromiter((u.last for u in block.units), np.int64, len(block.units))
     pads = order - 1 - context
@@ -155,43 +154,70 @@ def rows_of(table: pa.RecordBatch | pa.Table) -> list[dict]:
     return table.select(["block", "lengths", "leads", "pads", "ids", "words"]).to_pylist()
 
 
-def gram_rows(stored: DataFrame, size: int, order: int) -> DataFrame:
-    """(key, block, n): each block's counts of its n-grams of one size. Pads come too, as contexts."""
+#: N-grams, about, whose totals are made together.
+PART_GRAMS = 1_000_000
+
+
+def gram_rows(stored: DataFrame, size: int, order: int, parts: int) -> DataFrame:
+    """(part, block, keys, counts): each block's counts of its n-grams of one size, packed by the keys'
+    remainder. Pads come too, as contexts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in rows_of(batch):
                 own = Grams(row, order, size)
-                keys, n = own.keys[size - 1].view(np.int64), own.counts[size - 1]
-                for i in range(0, len(keys), 100_000):
-                    part = keys[i : i + 100_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.full(len(part), row["block"])), pa.array(n[i : i + 100_000].astype(np.int32))], names=["key", "block", "n"])
-
-    return stored.mapInArrow(run, "key long, block long, n int")
-
-
-def known_totals(rows: DataFrame) -> DataFrame:
-    """(block, key, learned, estimated, first): for each block's n-gram the counts over all learning
-    blocks, and over those that estimate; `first` marks one block of each n-gram that was learned."""
-    same = W.partitionBy("key")
-    role = F.col("block").bitwiseAND(F.lit(3))
-    n = F.col("n").cast("long")
-    rows = rows.withColumn("blocks", F.count("*").over(same))
-    rows = rows.withColumn("learned", F.sum(F.when(role != TEST, n).otherwise(0)).over(same))
-    rows = rows.withColumn("estimated", F.sum(F.when(role == ESTIMATE, n).otherwise(0)).over(same))
-    return rows.withColumn("first", F.min("block").over(same) == F.col("block"))
+                keys, n = own.keys[size - 1], own.counts[size - 1].astype(np.int32)
+                part = (keys % np.uint64(parts)).astype(np.int64)
+                by = np.argsort(part, kind="stable")
+                keys, n, part = keys[by], n[by], part[by]
+                cuts = np.flatnonzero(np.diff(part, prepend=-1))
+                for first, last in zip(cuts.tolist(), [*cuts[1:].tolist(), len(part)]):
+                    yield pa.RecordBatch.from_arrays([pa.array([part[first]], pa.int32()), pa.array([row["block"]]), pa.array([keys[first:last].tobytes()]), pa.array([n[first:last].tobytes()])], names=["part", "block", "keys", "counts"])
+
+    return stored.mapInArrow(run, "part int, block long, keys binary, counts binary")
+
+
+TOTALS = "block long, keys binary, learned binary, estimated binary, n_learned long, n_estimated long"
+
+
+def part_totals(packed: pa.Table) -> pa.Table:
+    """For each block of one part the n-grams that other blocks have too, with their counts over all learning
+    blocks and over those that estimate; the last two columns share out the numbers of distinct ones."""
+    raw, at = utf8(packed.column("keys"))
+    keys = raw.view(np.uint64)
+    n = utf8(packed.column("counts"))[0].view(np.int32).astype(np.int64)
+    blocks_, sizes = packed.column("block").to_numpy(), np.diff(at) // 8
+    role = np.repeat(blocks_ & 3, sizes)
+    by = np.argsort(keys, kind="stable")
+    starts = np.flatnonzero(np.diff(keys[by], prepend=~keys[by[:1]]))
+    spread = np.empty(len(keys), np.int64)
+    spread[by] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(by))))
+    sums = [np.add.reduceat(np.where(use, n, 0)[by], starts) for use in (role != TEST, role == ESTIMATE)]
+    shared = np.bincount(spread)[spread] > 1
+    learned, estimated = (x[spread] for x in sums)
+    out, edges = [], np.concatenate([[0], np.cumsum(sizes)])
+    for i, block in enumerate(blocks_.tolist()):
+        own = np.flatnonzero(shared[edges[i] : edges[i + 1]]) + edges[i]
+        kinds = [int((x > 0).sum()) if i == 0 else 0 for x in sums]
+        out.append((block, keys[own].tobytes(), learned[own].tobytes(), estimated[own].tobytes(), *kinds))
+    names = [f.split()[0] for f in TOTALS.split(", ")]
+    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+    return pa.table([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
+
+
+def array_of(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return utf8(column)[0].view(kind)
 
 
 def completed(grams: Grams, role: int, answers: pa.Table, column: str) -> list[np.ndarray]:
     """Counts of the block's n-grams of each size in the documents that learn: the totals that came back,
     and else the block's own."""
     own = role != TEST if column == "learned" else role == ESTIMATE
-    keys = answers.column("key").to_numpy()
+    keys, total = array_of(answers.column("keys"), np.uint64), array_of(answers.column(column), np.int64)
     order = np.argsort(keys)
-    keys, total = keys[order], answers.column(column).to_numpy()[order]
+    keys, total = keys[order], total[order]
     out = []
     for key, n in zip(grams.keys, grams.counts):
-        key = key.view(np.int64)
         at = np.searchsorted(keys, key)
         hit = at < len(keys)
         hit[hit] = keys[at[hit]] == key[hit]
@@ -252,6 +278,7 @@ def learn_weights(events: DataFrame, options: Options, even: float) -> np.ndarra
         found[sums["group"].to_numpy(np.int64), sums["k"].to_numpy(np.int64)] = sums["n"].to_numpy()
         return found
 
+    sums = np.zeros_like(weights)
     for _ in range(options.turns):
         sums = turn(weights)
         seen = sums.sum(axis=1) > 0
@@ -278,21 +305,19 @@ def scores(spark: SparkSession, docs: DataFrame, options: Options = Options(), l
     scratch = Scratch(spark, "lm", docs)
     rows = docs.select(F.monotonically_increasing_id().alias("doc"), role_column(options).alias("role"), "doc_id", "text")
     stored = scratch.store(tokenised(rows, order, limit), "blocks")
-    with batches_of(spark, 1):
-        answers = []
-        for size in range(1, order + 1):
-            found = known_totals(gram_rows(stored, size, order))
-            keep = F.col("blocks") > 1
-            if size == 1:
-                keep |= F.col("first")  # each word once, for the vocabulary
-            answers.append(scratch.store(found.where(keep).select("block", "key", "learned", "estimated", "blocks", "first"), f"answers{size}"))
     role = F.col("block").bitwiseAND(F.lit(3))
-    sums = stored.agg(*[F.coalesce(F.sum(F.when(test, F.col("tokens"))), F.lit(0)).alias(k) for k, test in (("learned", role != TEST), ("estimated", role == ESTIMATE))]).first()
-    kinds = answers[0].where("first").agg(*[F.count(F.when(F.col(k) > 0, 1)).alias(k) for k in ("learned", "estimated")]).first()
-    size_of = {k: (sums[k], max(0, kinds[k] - (order - 1) if sums[k] else 0)) for k in ("learned", "estimated")}
-    asked = answers[0].where("blocks > 1").select("block", "key", "learned", "estimated")
+    sums = stored.agg(*[F.coalesce(F.sum(F.when(test, F.col("tokens"))), F.lit(0)).alias(k) for k, test in (("all", F.lit(True)), ("learned", role != TEST), ("estimated", role == ESTIMATE))]).first()
+    n_parts = max(scratch.width, sums["all"] // PART_GRAMS)
+    answers = []
+    for size in range(1, order + 1):
+        with batches_of(spark, 4):
+            packed = gram_rows(stored, size, order, n_parts).groupBy("part").applyInArrow(part_totals, TOTALS)
+            answers.append(scratch.store(packed, f"answers{size}"))
+    kinds = answers[0].agg(F.sum("n_learned").alias("learned"), F.sum("n_estimated").alias("estimated")).first()
+    size_of = {k: (sums[k], max(0, kinds[k] - (order - 1)) if sums[k] else 0) for k in ("learned", "estimated")}
+    asked = answers[0].drop("n_learned", "n_estimated")
     for other in answers[1:]:
-        asked = asked.unionByName(other.select("block", "key", "learned", "estimated"))
+        asked = asked.unionByName(other.drop("n_learned", "n_estimated"))
 
     def meet(part: DataFrame, run, schema: str) -> DataFrame:
         return part.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(run, schema)
@@ -305,13 +330,15 @@ def scores(spark: SparkSession, docs: DataFrame, options: Options = Options(), l
             out.append({"group": group.astype(np.uint16).tobytes(), "shares": shares.astype(np.float32).tobytes()})
         return pa.Table.from_pylist(out, pa.schema([("group", pa.binary()), ("shares", pa.binary())]))
 
-    with batches_of(spark, 50_000):
+    with batches_of(spark, 256):
         apart = scratch.store(meet(stored.where(role == DELETED), events, "group binary, shares binary"), "events")
         apart = apart.coalesce(max(1, min(scratch.width, apart.count())))
     with batches_of(spark, 1):
         weights = learn_weights(apart, options, 1 / (size_of["estimated"][1] + 1))
     scratch.delete("events")
     n, v = size_of["learned"]
+    if not n:
+        weights[:] = np.eye(order + 1)[0]
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         ids = left.schema.field("doc_ids").type.value_type
@@ -332,7 +359,7 @@ def scores(spark: SparkSession, docs: DataFrame, options: Options = Options(), l
         return pa.concat_tables(out) if out else schema.empty_table()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    with batches_of(spark, 50_000):
+    with batches_of(spark, 256):
         parts = scratch.store(meet(stored, score, f"doc long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"), "parts")
     out = parts.groupBy("doc").agg(F.first("doc_id").alias("doc_id"), F.first("held_out").alias("held_out"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
     return scratch.finish(out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score"))
