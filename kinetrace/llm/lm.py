@@ -298,7 +298,7 @@ def learn_weights(events: DataFrame, options: Options, even: float) -> np.ndarra
     return weights
 
 
-def scores(spark: SparkSession, docs: DataFrame, options: Options = Options(), limit: int = 2 * BLOCK) -> DataFrame:
+def scores(spark: SparkSession, docs: DataFrame, options: Options = Options(), limit: int = BLOCK) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of docs; scores
     are logarithms to base 10."""
     order = options.order
@@ -310,7 +310,7 @@ def scores(spark: SparkSession, docs: DataFrame, options: Options = Options(), l
     n_parts = max(scratch.width, sums["all"] // PART_GRAMS)
     answers = []
     for size in range(1, order + 1):
-        with batches_of(spark, 4):
+        with batches_of(spark, 2):
             packed = gram_rows(stored, size, order, n_parts).groupBy("part").applyInArrow(part_totals, TOTALS)
             answers.append(scratch.store(packed, f"answers{size}"))
     kinds = answers[0].agg(F.sum("n_learned").alias("learned"), F.sum("n_estimated").alias("estimated")).first()

@@ -80,8 +80,12 @@ def unit_langs(block: Block) -> tuple[pa.Array, np.ndarray]:
     return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)[block.unit]
 
 
-def grams(block: Block, n: int, bits: np.ndarray | None) -> tuple[pa.Array, pa.Array, np.ndarray]:
-    """(lang, phrase, count) of the block's n-grams whose (n-1)-grams are in `bits`; None asks nothing."""
+#: Phrases that a block sends at a time.
+SENT_ROWS = 50_000
+
+
+def grams(block: Block, n: int, bits: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """(lang, phrase, n) of the block's n-grams whose (n-1)-grams are in `bits`; None asks nothing."""
     langs, lang = unit_langs(block)
     place = block.counted(n)
     words, spelled = block.ids()
@@ -92,31 +96,29 @@ def grams(block: Block, n: int, bits: np.ndarray | None) -> tuple[pa.Array, pa.A
         wanted = np.flatnonzero(first)
         first[wanted] = set_in(bits, bit_of(chained([own[words[wanted + k]] for k in range(n - 1)]), fingerprints(langs)[lang[wanted]]))
         place = place[first[place] & first[place + 1]]
-    if not len(place):
-        return pa.array([], pa.string()), pa.array([], pa.string()), np.zeros(0, np.int64)
     # Ids of whole n-grams from the ids of their words: equal for equal n-grams and for no others.
     key = lang[place]
     for k in range(n):
-        key = np.unique(key * (int(words.max()) + 1) + words[place + k], return_inverse=True)[1]
+        key = np.unique(key * len(spelled) + words[place + k], return_inverse=True)[1]
     count = np.bincount(key)
     one = np.empty(len(count), np.int64)
     one[key] = place
-    size = block.at[one + n] - 1 - block.at[one]
-    at = np.concatenate([[0], np.cumsum(size)])
-    data = block.data[np.repeat(block.at[one] - at[:-1], size) + np.arange(at[-1])]
-    phrase = pa.LargeStringArray.from_buffers(len(one), pa.py_buffer(at), pa.py_buffer(data)).cast(pa.string())
-    return langs.take(pa.array(lang[one])), phrase, count
+    for i in range(0, len(one), SENT_ROWS):
+        first, total = one[i : i + SENT_ROWS], count[i : i + SENT_ROWS]
+        size = block.at[first + n] - 1 - block.at[first]
+        at = np.concatenate([[0], np.cumsum(size)])
+        data = block.data[np.repeat(block.at[first] - at[:-1], size) + np.arange(at[-1])]
+        phrase = pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(at), pa.py_buffer(data)).cast(pa.string())
+        yield pa.RecordBatch.from_arrays([langs.take(pa.array(lang[first])), phrase, pa.array(total, pa.int64())], names=["lang", "phrase", "n"])
 
 
 def count_level(docs: DataFrame, n: int, options: Options, bits: Broadcast | None, limit: int) -> DataFrame:
-    """(lang, phrase, a) of n-grams with a count of `min_count` or more; words come all."""
+    """(lang, phrase, a) of all n-grams that may be frequent; words come all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mask = None if bits is None else bits.value
         for block in blocks(batches, 1, KIND, lambda b: b.column(0).to_pylist(), limit, options.order - 1):
-            lang, phrase, count = grams(block, n, mask)
-            table = pa.table({"lang": lang, "phrase": phrase, "n": pa.array(count, pa.int64())})
-            yield from table.to_batches(max_chunksize=100_000)
+            yield from grams(block, n, mask)
 
     texts = dense(docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), "text"))
     return texts.mapInArrow(run, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("a"))
