@@ -298,7 +298,7 @@ def learn_weights(events: DataFrame, options: Options, even: float) -> np.ndarra
     return weights
 
 
-def scores(spark: SparkSession, docs: DataFrame, options: Options = Options(), limit: int = BLOCK) -> DataFrame:
+def scores(spark: SparkSession, docs: DataFrame, options: Options = Options(), limit: int = BLOCK // 2) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of docs; scores
     are logarithms to base 10."""
     order = options.order

@@ -171,7 +171,7 @@ def uncovered(scored: DataFrame, options: Options) -> DataFrame:
     return scored.join(inside, ["lang", "phrase"], "left").where(F.col("around").isNull() | (F.col("around").cast("decimal(20,0)") * 100 < F.col("a").cast("decimal(20,0)") * options.cover)).drop("around")
 
 
-def collocations(spark: SparkSession, docs: DataFrame, options: Options = Options(), limit: int = BLOCK) -> DataFrame:
+def collocations(spark: SparkSession, docs: DataFrame, options: Options = Options(), limit: int = BLOCK // 2) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the first `top` phrases of each language."""
     scratch = Scratch(spark, "phrases", docs)
     totals, found = levels(scratch, docs, options, limit)
