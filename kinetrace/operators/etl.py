@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from .asof import in_intervals
+from .ordering import numbered
 
 #: Fixed value: prefixes of the consolidated layout's metadata columns.
 CONSOLIDATED_PREFIXES = ("data/", "videos/", "stats/", "meta/")
@@ -16,17 +17,16 @@ CONSOLIDATED_PREFIXES = ("data/", "videos/", "stats/", "meta/")
 
 def task_mapping(tasks: DataFrame) -> DataFrame:
     """(dataset, task_index, task, new_index) from (dataset, task_index, task): equal texts share an
-    index, numbered by where they are first seen. Tasks are catalogue-sized."""
+    index, numbered by where they are first seen."""
     first = tasks.groupBy("task").agg(F.min(F.struct("dataset", "task_index")).alias("__first"))
-    index = F.row_number().over(W.orderBy("__first")) - 1
-    return tasks.join(first.select("task", index.cast("long").alias("new_index")), "task")
+    return tasks.join(numbered(first, ["__first", "task"], "new_index").drop("__first"), "task")
 
 
 def episode_offsets(lengths: DataFrame, order: Sequence[str], length: str = "length") -> DataFrame:
-    """Adds episode_index (dense, from 0) and start (frames before it). One row per episode."""
-    w = W.orderBy(*order)
-    before = F.sum(length).over(w.rowsBetween(W.unboundedPreceding, -1))
-    return lengths.withColumn("episode_index", (F.row_number().over(w) - 1).cast("long")).withColumn("start", F.coalesce(before, F.lit(0)).cast("long"))
+    """Adds episode_index (dense, from 0) and start (frames before it). One row per episode; `order` tells
+    episodes apart."""
+    out = numbered(lengths, order, "episode_index", {"start": length})
+    return out.withColumn("start", F.col("start").cast("long"))
 
 
 def with_indices(frames: DataFrame, offsets: DataFrame, by: Sequence[str], order: Sequence[str], fps: float = 30.0) -> DataFrame:

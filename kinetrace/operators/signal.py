@@ -164,147 +164,3 @@ def filter_report(df: DataFrame, by: Sequence[str], t: str, before: str, after:
         return pd.DataFrame([{**{c: pdf[c].iloc[0] for c in by}, "low_retention": low, "high_retention": high}])
 
     return df.select(*by, t, before, after).groupBy(*by).applyInPandas(run, schema)
-
-
-#: The pairs that a conversion audits (name, action stream, state stream, kind).
-LAG_PAIRS = (
-    ("arm.left", "action.left_arm_joint", "state.left_arm_joint", "joint"),
-    ("arm.right", "action.right_arm_joint", "state.right_arm_joint", "joint"),
-    ("hand.left", "action.left_hand_joint", "state.left_hand_joint", "joint"),
-    ("hand.right", "action.right_hand_joint", "state.right_hand_joint", "joint"),
-    ("eef.left", "action.left_eef", "state.left_eef", "pose"),
-    ("eef.right", "action.right_eef", "state.right_eef", "pose"),
-)
-
-
-@dataclass(frozen=True)
-class LagRules:
-    """The audit's defaults. Times in seconds, the rate in samples per second."""
-
-    max_lag: float = 0.3
-    rate: float = 200.0
-    excitation: float = 1e-3
-    window: float = 3.0
-
-
-def paired(samples: DataFrame, intervals: DataFrame, by: Sequence[str], pairs=LAG_PAIRS, t: str = "t", value: str = "v") -> tuple[DataFrame, DataFrame]:
-    """(actions, states), each (by, pair, t, value): the samples of each pair inside the active interval
-    (active_start to active_stop, ends included); of poses the translation."""
-    table = samples.sparkSession.createDataFrame([(n, r, k, kind == "pose") for n, a, s, kind in pairs for r, k in (("action", a), ("state", s))], "pair string, role string, stream string, is_pose boolean")
-    rows = samples.join(F.broadcast(table), "stream").join(intervals.select(*by, "active_start", "active_stop"), list(by))
-    rows = rows.where((F.col(t) >= F.col("active_start")) & (F.col(t) <= F.col("active_stop")))
-    rows = rows.withColumn(value, F.when(F.col("is_pose"), F.slice(value, 1, 3)).otherwise(F.col(value)))
-    return tuple(rows.where(F.col("role") == r).select(*by, "pair", t, value) for r in ("action", "state"))
-
-
-def shift_scores(a: np.ndarray, s: np.ndarray, bound: int, least: float) -> np.ndarray:
-    """Correlation of a with s shifted by 0, 1, ... bound; minus infinity where one hardly moves."""
-    out = np.full(bound + 1, -np.inf)
-    for k in range(bound + 1):
-        x, y = a[: len(a) - k], s[k:]
-        if x.std() >= least and y.std() >= least:
-            c = np.corrcoef(x, y)[0, 1]
-            out[k] = c if np.isfinite(c) else -np.inf
-    return out
-
-
-def windowed_lags(a: np.ndarray, s: np.ndarray, bound: int, rules: LagRules) -> tuple[np.ndarray, np.ndarray]:
-    """(lags, centres) of half-overlapping windows in which both move."""
-    size = max(4, round(rules.window * rules.rate))
-    lags, centres = [], []
-    for i in range(0, len(a) - size + 1, max(1, size // 2)):
-        x, y = a[i : i + size], s[i : i + size]
-        if x.std() < rules.excitation or y.std() < rules.excitation:
-            continue
-        scores = shift_scores(x, y, min(bound, size // 3), rules.excitation)
-        if np.isfinite(scores).any():
-            lags.append(int(scores.argmax()) / rules.rate)
-            centres.append((i + size / 2) / rules.rate)
-    return np.array(lags), np.array(centres)
-
-
-def axis_lag(action: np.ndarray, state: np.ndarray, rules: LagRules) -> dict | None:
-    """Of two positions on one grid: the shift of the largest correlation of their velocities, its margin
-    over the second best, agreement of directions and position errors at that shift, and how windows of
-    the series vary. None without excitation."""
-    a, s = np.gradient(action, 1 / rules.rate), np.gradient(state, 1 / rules.rate)
-    if a.std() < rules.excitation or s.std() < rules.excitation:
-        return None
-    bound = min(round(rules.max_lag * rules.rate), len(a) // 3)
-    scores = shift_scores(a, s, bound, rules.excitation)
-    k = int(scores.argmax())
-    real = np.sort(scores[np.isfinite(scores)])
-    x, y = a[: len(a) - k], s[k:]
-    moving = np.abs(x) + np.abs(y) > rules.excitation
-    err = np.abs(action[: len(action) - k] - state[k:])
-    lags, centres = windowed_lags(a, s, bound, rules)
-    out = {"lag": k / rules.rate, "corr": float(scores[k]), "margin": float(scores[k] - real[-2]) if len(real) > 1 else None}
-    out |= {"agreement": float((np.sign(x) == np.sign(y))[moving].mean()) if moving.any() else None}
-    out |= {"error_mean": float(err.mean()), "error_p95": float(np.percentile(err, 95)), "error_max": float(err.max()), "duration": len(x) / rules.rate}
-    if len(lags):
-        mid = float(np.median(lags))
-        out |= {"window_median": mid, "window_mad": float(np.median(np.abs(lags - mid))), "window_range": float(np.ptp(lags))}
-    if len(lags) > 1:
-        out |= {"window_trend": float(np.polyfit(centres, lags, 1)[0]), "window_max_step": float(np.abs(np.diff(lags)).max())}
-    return out
-
-
-LAG_NUMBERS = ("lag", "corr", "margin", "agreement", "error_mean", "error_p95", "error_max", "duration", "window_median", "window_mad", "window_range", "window_trend", "window_max_step")
-LAG = "axis int, " + ", ".join(f"{c} double" for c in LAG_NUMBERS) + ", reason string"
-
-
-def lag_audit(actions: DataFrame, states: DataFrame, by: Sequence[str], t: str = "t", value: str = "v", per_second: float = 1e9, rules: LagRules = LagRules()) -> DataFrame:
-    """Per axis the response lag in seconds of a state behind its action. Both (by, t, vector) come on
-    their own times and go on one grid over what they share: actions held, states interpolated. The
-    reason says why an axis has no lag: insufficient_overlap or insufficient_excitation."""
-    schema = ", ".join([*(f"`{c}` {actions.schema[c].dataType.simpleString()}" for c in by), LAG])
-
-    def series(pdf: pd.DataFrame, side: str) -> tuple[np.ndarray, np.ndarray]:
-        pdf = pdf.sort_values(f"{side}_{t}", kind="stable")
-        return pdf[f"{side}_{t}"].to_numpy(), np.stack(pdf[f"{side}_{value}"].to_numpy()).astype(float)
-
-    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        width = len((left[f"a_{value}"] if len(left) else right[f"s_{value}"]).iloc[0])
-        found: list[dict | None] = [None] * width
-        reason = "insufficient_overlap"
-        if len(left) > 1 and len(right) > 1:
-            (at, a), (st, s) = series(left, "a"), series(right, "s")
-            if a.shape[1] != s.shape[1]:
-                raise ValueError(f"{key}: an action of {a.shape[1]} dimensions has a state of {s.shape[1]}")
-            origin = min(at[0], st[0])
-            at, st = (at - origin) / per_second, (st - origin) / per_second
-            grid = np.arange(max(at[0], st[0]), min(at[-1], st[-1]), 1 / rules.rate)
-            if len(grid) >= 4:
-                reason = "insufficient_excitation"
-                held = a[np.searchsorted(at, grid, "right") - 1]
-                found = [axis_lag(held[:, k], np.interp(grid, st, s[:, k]), rules) for k in range(width)]
-        rows = [dict(zip(by, key)) | {"axis": k, "reason": None if got else reason} | {c: (got or {}).get(c) for c in LAG_NUMBERS} for k, got in enumerate(found)]
-        return pd.DataFrame(rows)[[*by, "axis", *LAG_NUMBERS, "reason"]].astype({c: float for c in LAG_NUMBERS})
-
-    # Names of their own, as both sides may stem from one table.
-    a, s = (x.select(*[F.col(c).alias(f"{side}_{c}") for c in (*by, t, value)]) for side, x in (("a", actions), ("s", states)))
-    return a.groupBy(*[f"a_{c}" for c in by]).cogroup(s.groupBy(*[f"s_{c}" for c in by])).applyInPandas(run, schema)
-
-
-def consensus(lags: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Median of the axes that have a lag, and how many do."""
-    return lags.groupBy(*by).agg(F.median("lag").alias("lag"), F.count("lag").alias("active_axes"))
-
-
-def lag_correlation(df: DataFrame, by: Sequence[str], n: str, a: str, b: str, shifts: range) -> DataFrame:
-    """The same in columns: correlation of a at n with b at n + shift, best shift per key, the smallest
-    on ties. Rows are numbered 1, 2, ... per key."""
-    left = df.select(*by, F.explode(F.array(*[F.lit(s) for s in shifts])).alias("shift"), F.col(n).alias("__n"), F.col(a).alias("__a")).withColumn("__m", F.col("__n") + F.col("shift"))
-    right = df.select(*by, F.col(n).alias("__m"), F.col(b).alias("__b"))
-    each = left.join(right, [*by, "__m"]).groupBy(*by, "shift").agg(F.corr("__a", "__b").alias("corr"), F.count("*").alias("pairs"))
-    rank = F.row_number().over(W.partitionBy(*by).orderBy(F.desc_nulls_last("corr"), "shift"))
-    return each.withColumn("__r", rank).where("__r = 1").drop("__r")
-
-
-def window_trend(df: DataFrame, by: Sequence[str], centre: str, lag: str) -> DataFrame:
-    """Median, median absolute deviation, range, slope, and largest step of windowed lags."""
-    step = F.abs(F.col(lag) - F.lag(lag).over(W.partitionBy(*by).orderBy(centre)))
-    rows = df.withColumn("__step", step)
-    mid = rows.groupBy(*by).agg(F.median(lag).alias("median"), (F.max(lag) - F.min(lag)).alias("range"), F.regr_slope(lag, centre).alias("slope"), F.max("__step").alias("max_step"))
-    mad = rows.join(mid.select(*by, "median"), list(by)).groupBy(*by).agg(F.median(F.abs(F.col(lag) - F.col("median"))).alias("mad"))
-    return mid.join(mad, list(by))

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from .ordering import group_numbers
+
 
 def _six(x: Column, exact: bool) -> list[Column]:
     q = F.percentile(x, F.array(F.lit(0.01), F.lit(0.99))) if exact else F.percentile_approx(x, [0.01, 0.99], 10000)
@@ -101,10 +103,9 @@ def median_fps(df: DataFrame, by: Sequence[str], t: str, per_second: float, defa
 
 def nearest_ranks(df: DataFrame, by: Sequence[str], x: str, fractions: dict[str, float]) -> DataFrame:
     """Per key and named fraction f the value sorted[round(f * (n - 1))], halves to even. Rows are
-    numbered in order, and of each key only those asked for go on."""
-    rows = df.where(F.col(x).isNotNull()).select(*by, F.col(x).alias("__x"))
-    total = rows.groupBy(*by).agg(F.count("*").alias("__n"))
-    rows = rows.withColumn("__r", F.row_number().over(W.partitionBy(*by).orderBy("__x")) - 1).join(total, list(by))
+    numbered by ranges of the order, so one key may hold them all, and of each key only those asked for go on."""
+    rows = df.where(F.col(x).isNotNull()).select(*by, F.col(x).alias("__x"), F.monotonically_increasing_id().alias("__place"))
+    rows = group_numbers(rows, by, ["__x", "__place"], "__r", "__n")
     at = {name: F.rint(F.lit(f) * (F.col("__n") - 1)) == F.col("__r") for name, f in fractions.items()}
     wanted = None
     for hit in at.values():

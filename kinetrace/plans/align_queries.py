@@ -252,7 +252,7 @@ def bucket_first(spark, sf):
 
 
 @query(f"""WITH e AS ({EVENTS}), f AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY t, event_id) - 1 AS frame FROM e),
-    n AS (SELECT user_id, count(*) AS n FROM f GROUP BY user_id), i AS (SELECT user_id, k, k * 10 AS start, k * 10 + 15 AS stop FROM n, (SELECT unnest(range(0, 50)) AS k) WHERE k * 10 < n)
+    n AS (SELECT user_id, count(*) AS n FROM f GROUP BY user_id), i AS (SELECT user_id, k, k * 10 AS start, k * 10 + 15 AS stop FROM (SELECT user_id, unnest(range(0, CAST(ceil(n / 10) AS BIGINT))) AS k FROM n))
     SELECT f.user_id, frame, k, event_id FROM f JOIN i ON f.user_id = i.user_id AND frame >= start AND frame < stop""")
 def subtask_range_join(spark, sf):
     rows = events(spark, sf)

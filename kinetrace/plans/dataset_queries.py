@@ -7,6 +7,7 @@ from pyspark.sql.window import Window as W
 
 from ..functions import scalars
 from ..operators import etl, shards
+from ..operators.ordering import numbered
 from ..session import micros, table
 from .common import DAY, EVENTS, HOUR, events, r6, registry
 
@@ -41,12 +42,12 @@ def task_mapping(spark, sf):
 
 
 @query("""WITH l AS (SELECT row_number() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_shipdate) - 1 AS index, l_quantity FROM lineitem),
-    e AS (SELECT i AS episode, i * 1000 AS from_index, i * 1000 + 700 AS to_index FROM (SELECT unnest(range(0, 60)) AS i))
+    e AS (SELECT i AS episode, i * 1000 AS from_index, i * 1000 + 700 AS to_index FROM (SELECT unnest(range(0, CAST(ceil((SELECT count(*) FROM lineitem) / 1000) AS BIGINT))) AS i))
     SELECT episode, count(*) AS n, sum(l_quantity) AS quantity FROM l JOIN e ON index >= from_index AND index < to_index GROUP BY episode""")
 def split_ranges(spark, sf):
-    order = W.orderBy("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate")
     lines = table(spark, sf, "lineitem")
-    rows = lines.withColumn("index", F.row_number().over(order) - 1)
+    order = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"]
+    rows = numbered(lines.select(*order), order, "index")
     e = spark.range(-(-lines.count() // 1000)).selectExpr("id episode", "id * 1000 from_index", "id * 1000 + 700 to_index")
     return etl.split_ranges(rows, e).groupBy("episode").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantity"))
 

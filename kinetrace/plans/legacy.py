@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..operators import asof, sequences, statistics
+from ..operators.ordering import numbered
 from ..sources.episodes import write_json
 
 BY = ["episode"]
@@ -74,9 +75,8 @@ def converted(samples: DataFrame, clock: str, streams: Sequence[str], alpha: flo
     verdict = quality(rows, per_second, max_skew)
     smooth = smoothed(rows.where("v is not null"), alpha)
     good = verdict.where(F.size("reasons") == 0).select(*BY)
-    index = (F.row_number().over(W.orderBy("episode")) - 1).cast("long")
-    numbered = good.withColumn("episode_index", index)
-    frames = rows.drop("v").join(smooth, [*BY, "stream", "t"], "left").join(numbered, BY)
+    index = numbered(good, BY, "episode_index")
+    frames = rows.drop("v").join(smooth, [*BY, "stream", "t"], "left").join(index, BY)
     return {"frames": frames, "quality": verdict, "summary": summary(verdict), "fps": statistics.median_fps(rows.select(*BY, "t").distinct(), BY, "t", per_second)}
 
 

@@ -12,6 +12,7 @@ from ..functions import rotations as R
 from ..functions import scalars
 from ..functions import vectors as V
 from ..operators import audit, etl, processors, records, shards
+from ..operators.ordering import numbered
 from ..session import shared_dir, table
 from ..sources import config, episodes, sides, video
 from ..streaming import live
@@ -65,7 +66,7 @@ def video_clamp(spark, sf):
 def roster_order(spark, sf):
     """Names by the number they end in, not by their letters."""
     rows = table(spark, sf, "customer").select("c_custkey", scalars.episode_file("c_custkey").alias("file"), scalars.trailing_number("c_name").alias("number"))
-    return rows.withColumn("place", F.row_number().over(W.orderBy(F.desc("number"))))
+    return numbered(rows, [F.desc("number")], "before").select("c_custkey", "file", "number", (F.col("before") + 1).alias("place"))
 
 
 @query("SELECT c_custkey, CASE lower(c_mktsegment) WHEN 'furniture' THEN 'gr_f' WHEN 'building' THEN 'gr_b' WHEN 'gr_x' THEN 'gr_x' END AS tag, split_part(c_name, '#', 1) || '/' AS env, split_part(c_name || '/pick', '/', 1) AS prefix FROM customer")
@@ -202,7 +203,7 @@ def merged_frames(spark, sf):
     def dataset(k):
         own = rows.where(F.col("d") == k)
         order = F.asc("task") if k else F.desc("task")
-        tasks = own.select("task").distinct().withColumn("task_index", (F.row_number().over(W.orderBy(order)) - 1).cast("long"))
+        tasks = numbered(own.select("task").distinct(), [order], "task_index")
         frames = own.join(tasks, "task").select("episode_index", "frame_index", "task_index", "c_custkey", F.lit(0).alias("index"))
         return {"frames": frames, "tasks": tasks.select("task_index", "task"), "episodes": own.groupBy("episode_index").agg(F.count("*").alias("length"))}
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from ..operators import asof, signal
+from ..operators import asof, lags, signal
 from .common import DAY, EVENTS, HOUR, SECOND, events, r6, registry, stream
 
 QUERIES, ORACLE_SQL, query = registry()
@@ -21,7 +21,7 @@ def numbered(spark, sf):
         JOIN s r ON r.user_id = l.user_id AND r.n = l.n + k.shift GROUP BY ALL)
     SELECT user_id, shift, round(corr, 6) AS corr, pairs FROM c QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY corr DESC NULLS LAST, shift) = 1""")
 def lag_correlation(spark, sf):
-    out = signal.lag_correlation(numbered(spark, sf), ["user_id"], "n", "value", "b", range(6))
+    out = lags.lag_correlation(numbered(spark, sf), ["user_id"], "n", "value", "b", range(6))
     return out.select("user_id", "shift", r6("corr").alias("corr"), "pairs")
 
 
@@ -29,7 +29,7 @@ def lag_correlation(spark, sf):
     SELECT d.user_id, round(any_value(med), 6) AS median, round(max(value) - min(value), 6) AS range, round(regr_slope(value, n), 6) AS slope, round(max(st), 6) AS max_step,
            round(median(abs(value - med)), 6) AS mad FROM d JOIN m USING (user_id) GROUP BY d.user_id""")
 def window_trend(spark, sf):
-    out = signal.window_trend(numbered(spark, sf), ["user_id"], "n", "value")
+    out = lags.window_trend(numbered(spark, sf), ["user_id"], "n", "value")
     return out.select("user_id", *[r6(c).alias(c) for c in ("median", "range", "slope", "max_step", "mad")])
 
 
@@ -50,7 +50,7 @@ def power_retention(spark, sf):
     return signal.filter_report(both, ["user_id"], "t", "v", "w", float(SECOND))
 
 
-LAG_RULES = signal.LagRules(max_lag=5 * 86400.0, rate=1 / 21600, excitation=1e-9, window=20 * 86400.0)
+LAG_RULES = lags.LagRules(max_lag=5 * 86400.0, rate=1 / 21600, excitation=1e-9, window=20 * 86400.0)
 
 
 @query()
@@ -58,18 +58,18 @@ def lag_audit(spark, sf):
     """Each user's clicks as actions, views as states, on a grid of six hours."""
     e = events(spark, sf)
     actions, states = (stream(e, k).select("user_id", "t", F.array("value", F.sin("value")).alias("v")) for k in ("click", "view"))
-    return signal.lag_audit(actions, states, ["user_id"], per_second=float(SECOND), rules=LAG_RULES)
+    return lags.lag_audit(actions, states, ["user_id"], per_second=float(SECOND), rules=LAG_RULES)
 
 
 @query()
 def lag_consensus(spark, sf):
-    return signal.consensus(lag_audit(spark, sf), ["user_id"])
+    return lags.consensus(lag_audit(spark, sf), ["user_id"])
 
 
 @query(f"""WITH e AS ({EVENTS}) SELECT user_id, round(median(CASE WHEN value >= 20 THEN value / 100 END), 6) AS lag, count(CASE WHEN value >= 20 THEN 1 END) AS active_axes FROM e GROUP BY user_id""")
 def consensus_of_lags(spark, sf):
-    lags = events(spark, sf).select("user_id", F.when(F.col("value") >= 20, F.col("value") / 100).alias("lag"))
-    return signal.consensus(lags, ["user_id"]).select("user_id", r6("lag").alias("lag"), "active_axes")
+    found = events(spark, sf).select("user_id", F.when(F.col("value") >= 20, F.col("value") / 100).alias("lag"))
+    return lags.consensus(found, ["user_id"]).select("user_id", r6("lag").alias("lag"), "active_axes")
 
 
 @query(f"""WITH e AS ({EVENTS}), i AS (SELECT user_id, min(t) AS a, min(t) + {30 * DAY} AS b FROM e GROUP BY user_id),
@@ -80,7 +80,7 @@ def lag_pairs(spark, sf):
     e = events(spark, sf).select("user_id", F.col("event_type").alias("stream"), "t", F.array("value", "value").alias("v"))
     bounds = e.groupBy("user_id").agg(F.min("t").alias("active_start"), (F.min("t") + 30 * DAY).alias("active_stop"))
     pairs = (("arm", "click", "view", "joint"), ("eef", "purchase", "view", "joint"))
-    found = signal.paired(e, bounds, ["user_id"], pairs)
+    found = lags.paired(e, bounds, ["user_id"], pairs)
     rows = found[0].withColumn("role", F.lit("action")).unionByName(found[1].withColumn("role", F.lit("state")))
     width = F.when(F.col("pair") == "eef", 1).otherwise(F.size("v"))
     return rows.groupBy("user_id", "pair", "role").agg(F.count("*").alias("n"), F.min("t").alias("first_t"), F.max("t").alias("last_t"), F.sum(width).alias("elements"))

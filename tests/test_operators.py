@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kinetrace.operators import asof, audit, etl, sequences, shards, signal, statistics
+from kinetrace.operators import asof, audit, etl, lags, ordering, sequences, shards, signal, statistics
 
 
 def frame(spark, rows, schema):
@@ -167,10 +167,10 @@ def test_lag_is_recovered(spark):
     s = np.concatenate([np.full(16, a[0]), a[:-16]])
     rows = [(1, int(x * 1e9), [float(p), 1.0], [float(q), 1.0]) for x, p, q in zip(t, a, s)]
     both = frame(spark, rows, "e int, t long, a array<double>, s array<double>")
-    out = signal.lag_audit(both.select("e", "t", F.col("a").alias("v")), both.select("e", "t", F.col("s").alias("v")), ["e"])
+    out = lags.lag_audit(both.select("e", "t", F.col("a").alias("v")), both.select("e", "t", F.col("s").alias("v")), ["e"])
     got = {r.axis: r for r in out.collect()}
     assert abs(got[0].lag - 0.08) < 0.005 and got[1].reason == "insufficient_excitation"
-    c = signal.consensus(out, ["e"]).first()
+    c = lags.consensus(out, ["e"]).first()
     assert abs(c.lag - 0.08) < 0.005 and c.active_axes == 1
 
 
@@ -202,13 +202,13 @@ def test_blocked_sections_equal_a_plain_loop(n):
 def test_lag_audit_against_a_plain_version(spark):
     """Series on their own times, one without overlap, one that hardly moves; windows inside the audit."""
     rng = np.random.default_rng(11)
-    rules = signal.LagRules(max_lag=0.2, rate=100.0, excitation=1e-3, window=1.0)
+    rules = lags.LagRules(max_lag=0.2, rate=100.0, excitation=1e-3, window=1.0)
     ta, ts = np.sort(rng.uniform(0, 4, 300)), np.sort(rng.uniform(0.3, 4.4, 400))
     wave = lambda t: np.sin(5 * t) + 0.4 * np.sin(17 * t)
     actions = [(1, int(t * 1e9), [float(wave(t)), 1.0]) for t in ta] + [(2, int(t * 1e9), [float(t)]) for t in ta]
     states = [(1, int(t * 1e9), [float(wave(t - 0.07)), 2.0]) for t in ts] + [(2, int(9e9 + t * 1e9), [float(t)]) for t in ts] + [(3, 5, [1.0])]
     schema = "e int, t long, v array<double>"
-    got = {(r.e, r.axis): r for r in signal.lag_audit(frame(spark, actions, schema), frame(spark, states, schema), ["e"], rules=rules).collect()}
+    got = {(r.e, r.axis): r for r in lags.lag_audit(frame(spark, actions, schema), frame(spark, states, schema), ["e"], rules=rules).collect()}
     assert got[2, 0].reason == got[3, 0].reason == "insufficient_overlap" and got[1, 1].reason == "insufficient_excitation"
     r = got[1, 0]
     at, st = (np.array([x[1] for x in rows if x[0] == 1]) * 1e-9 for rows in (actions, states))
@@ -224,20 +224,20 @@ def test_lag_audit_against_a_plain_version(spark):
     assert np.allclose([r.corr, r.margin], [scores[k], scores[k] - sorted(scores)[-2]], atol=1e-6)
     err = np.abs(a[: len(a) - k] - s[k:])
     assert np.allclose([r.error_mean, r.error_p95, r.error_max, r.duration], [err.mean(), np.percentile(err, 95), err.max(), len(err) / 100], atol=1e-6)
-    lags, mid = [], []
+    own, mid = [], []
     for i in range(0, len(va) - 100 + 1, 50):
-        lags.append(int(np.argmax([np.corrcoef(va[i : i + 100 - j], vs[i + j : i + 100])[0, 1] for j in range(21)])) / 100)
+        own.append(int(np.argmax([np.corrcoef(va[i : i + 100 - j], vs[i + j : i + 100])[0, 1] for j in range(21)])) / 100)
         mid.append((i + 50) / 100)
-    assert np.allclose([r.window_median, r.window_range, r.window_trend], [np.median(lags), np.ptp(lags), np.polyfit(mid, lags, 1)[0]], atol=1e-6)
+    assert np.allclose([r.window_median, r.window_range, r.window_trend], [np.median(own), np.ptp(own), np.polyfit(mid, own, 1)[0]], atol=1e-6)
 
 
 def test_lag_pairs_cover_the_fixed_six(spark):
-    names = [k for _, a, s, _ in signal.LAG_PAIRS for k in (a, s)]
+    names = [k for _, a, s, _ in lags.LAG_PAIRS for k in (a, s)]
     samples = frame(spark, [(1, k, t, [float(i) for i in range(7)]) for k in names for t in (0, 5, 10)], "episode int, stream string, t long, v array<double>")
     bounds = frame(spark, [(1, 5, 10)], "episode int, active_start long, active_stop long")
-    actions, states = signal.paired(samples, bounds, ["episode"])
+    actions, states = lags.paired(samples, bounds, ["episode"])
     rows = actions.collect() + states.collect()
-    assert len(rows) == 24 and {r.pair for r in rows} == {p[0] for p in signal.LAG_PAIRS}
+    assert len(rows) == 24 and {r.pair for r in rows} == {p[0] for p in lags.LAG_PAIRS}
     assert all(len(r.v) == (3 if r.pair.startswith("eef") else 7) and r.t >= 5 for r in rows)
 
 
@@ -348,3 +348,40 @@ def test_consolidated_layout(spark):
     m = frame(spark, [(0, 0, 3, 1.0, [1.0], "x")], "episode_index long, dataset_from_index long, dataset_to_index long, `data/chunk` double, `stats/action/mean` array<double>, tasks string")
     assert etl.consolidated_episodes(m).first().length == 3 and "data/chunk" not in etl.consolidated_episodes(m).columns
     assert [tuple(r) for r in etl.unflattened_stats(m).collect()] == [(0, "action", "mean", [1.0])]
+
+
+def test_numbers_and_sums_by_ranges(spark):
+    """Equal to a window over all rows, with no single-partition exchange in the plan."""
+    rows = [(i * 7919 % 5003, i % 13 if i % 17 else None, i % 3) for i in range(5003)]
+    df = frame(spark, rows, "k long, v long, g int").repartition(5)
+    out = ordering.numbered(df, [F.desc("k")], "n", {"before": "v"}, ranges=7)
+    want, total = {}, 0
+    for n, (k, v, _) in enumerate(sorted(rows, reverse=True)):
+        want[k] = (n, total)
+        total += v or 0
+    assert {r.k: (r.n, r.before) for r in out.collect()} == want
+    assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
+    assert ordering.numbered(df.where("false"), ["k"]).count() == 0
+
+
+def test_group_numbers_and_quantiles_with_one_large_group(spark):
+    rng = np.random.default_rng(3)
+    rows = [(1, float(x)) for x in rng.integers(0, 50, 4000)] + [(2, 3.0), (3, None), (None, 5.0), (None, 7.0)]
+    df = frame(spark, rows, "k int, v double").repartition(4)
+    got = {r.k: r.q for r in ordering.group_quantile(df, ["k"], "v", 0.95, "q").collect()}
+    assert got == {1: np.percentile([v for k, v in rows if k == 1], 95), 2: 3.0, None: pytest.approx(6.9)}
+    numbers = ordering.group_numbers(df.where("k = 1").withColumn("id", F.monotonically_increasing_id()), ["k"], ["v", "id"])
+    assert sorted(r.number for r in numbers.collect()) == list(range(4000)) and numbers.first()["size"] == 4000
+
+
+def test_lag_blocks_say_the_same_at_any_size(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    t = np.arange(0, 6, 0.01)
+    a = np.cumsum(rng.normal(size=len(t)))
+    rows = [(k, int(x * 1e9), [float(p)], [float(q)]) for k in (1, 2) for x, p, q in zip(t, a, np.concatenate([a[:1].repeat(9), a[:-9]]))]
+    both = frame(spark, rows, "e int, t long, a array<double>, s array<double>")
+    rules = lags.LagRules(max_lag=0.2, rate=100.0, window=0.5)
+    run = lambda: sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in lags.lag_audit(both.select("e", "t", F.col("a").alias("v")), both.select("e", "t", F.col("s").alias("v")), ["e"], rules=rules).collect())
+    whole = run()
+    monkeypatch.setattr(lags, "BLOCK_POINTS", 50)
+    assert run() == whole and whole[0][2] == 0.09
