@@ -158,6 +158,13 @@ def rows_of(table: pa.RecordBatch | pa.Table) -> list[dict]:
 PART_GRAMS = 1_000_000
 
 
+def parts_of(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order of n-grams by part, and their parts in that order."""
+    part = (keys % np.uint64(parts)).astype(np.int64)
+    by = np.argsort(part, kind="stable")
+    return by, part[by]
+
+
 def gram_rows(stored: DataFrame, size: int, order: int, parts: int) -> DataFrame:
     """(part, block, keys, counts): each block's counts of its n-grams of one size, packed by the keys'
     remainder. Pads come too, as contexts."""
@@ -167,9 +174,8 @@ def gram_rows(stored: DataFrame, size: int, order: int, parts: int) -> DataFrame
             for row in rows_of(batch):
                 own = Grams(row, order, size)
                 keys, n = own.keys[size - 1], own.counts[size - 1].astype(np.int32)
-                part = (keys % np.uint64(parts)).astype(np.int64)
-                by = np.argsort(part, kind="stable")
-                keys, n, part = keys[by], n[by], part[by]
+                by, part = parts_of(keys, parts)
+                keys, n = keys[by], n[by]
                 cuts = np.flatnonzero(np.diff(part, prepend=-1))
                 for first, last in zip(cuts.tolist(), [*cuts[1:].tolist(), len(part)]):
                     yield pa.RecordBatch.from_arrays([pa.array([part[first]], pa.int32()), pa.array([row["block"]]), pa.array([keys[first:last].tobytes()]), pa.array([n[first:last].tobytes()])], names=["part", "block", "keys", "counts"])
@@ -177,12 +183,13 @@ def gram_rows(stored: DataFrame, size: int, order: int, parts: int) -> DataFrame
     return stored.mapInArrow(run, "part int, block long, keys binary, counts binary")
 
 
-TOTALS = "block long, keys binary, learned binary, estimated binary, n_learned long, n_estimated long"
+TOTALS = "part int, block long, learned binary, estimated binary, n_learned long, n_estimated long"
 
 
 def part_totals(packed: pa.Table) -> pa.Table:
-    """For each block of one part the n-grams that other blocks have too, with their counts over all learning
-    blocks and over those that estimate; the last two columns share out the numbers of distinct ones."""
+    """For each block of one part, in the order of its n-grams there, the counts over all learning blocks,
+    and for blocks set apart those over blocks that estimate; 0 where no other block has the n-gram. The
+    last two columns share out the numbers of distinct ones."""
     raw, at = utf8(packed.column("keys"))
     keys = raw.view(np.uint64)
     n = utf8(packed.column("counts"))[0].view(np.int32).astype(np.int64)
@@ -190,39 +197,33 @@ def part_totals(packed: pa.Table) -> pa.Table:
     role = np.repeat(blocks_ & 3, sizes)
     by = np.argsort(keys, kind="stable")
     starts = np.flatnonzero(np.diff(keys[by], prepend=~keys[by[:1]]))
-    spread = np.empty(len(keys), np.int64)
-    spread[by] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(by))))
+    lengths = np.diff(np.append(starts, len(by)))
     sums = [np.add.reduceat(np.where(use, n, 0)[by], starts) for use in (role != TEST, role == ESTIMATE)]
-    shared = np.bincount(spread)[spread] > 1
-    learned, estimated = (x[spread] for x in sums)
+    spread = [np.empty(len(keys), np.int64) for _ in sums]
+    for x, total in zip(spread, sums):
+        x[by] = np.repeat(np.where(lengths > 1, total, 0), lengths)
     out, edges = [], np.concatenate([[0], np.cumsum(sizes)])
-    for i, block in enumerate(blocks_.tolist()):
-        own = np.flatnonzero(shared[edges[i] : edges[i + 1]]) + edges[i]
+    for i, (part, block) in enumerate(zip(packed.column("part").to_pylist(), blocks_.tolist())):
+        own = slice(edges[i], edges[i + 1])
         kinds = [int((x > 0).sum()) if i == 0 else 0 for x in sums]
-        out.append((block, keys[own].tobytes(), learned[own].tobytes(), estimated[own].tobytes(), *kinds))
+        out.append((part, block, planes(spread[0][own]), planes(spread[1][own]) if block & 3 == DELETED else b"", *kinds))
     names = [f.split()[0] for f in TOTALS.split(", ")]
-    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
     return pa.table([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
 
-def array_of(column: pa.ChunkedArray, kind: type) -> np.ndarray:
-    return utf8(column)[0].view(kind)
-
-
-def completed(grams: Grams, role: int, answers: pa.Table, column: str) -> list[np.ndarray]:
+def completed(grams: Grams, role: int, answers: pa.Table, column: str, parts: int) -> list[np.ndarray]:
     """Counts of the block's n-grams of each size in the documents that learn: the totals that came back,
     and else the block's own."""
     own = role != TEST if column == "learned" else role == ESTIMATE
-    keys, total = array_of(answers.column("keys"), np.uint64), array_of(answers.column(column), np.int64)
-    order = np.argsort(keys)
-    keys, total = keys[order], total[order]
+    found: dict[int, list] = {}
+    for size, part, raw in zip(*(answers.column(c).to_pylist() for c in ("size", "part", column))):
+        found.setdefault(size, []).append((part, raw))
     out = []
-    for key, n in zip(grams.keys, grams.counts):
-        at = np.searchsorted(keys, key)
-        hit = at < len(keys)
-        hit[hit] = keys[at[hit]] == key[hit]
-        count = n if own else np.zeros_like(n)
-        out.append(np.where(hit, total[np.where(hit, at, 0)] if len(total) else 0, count))
+    for m, (keys, n) in enumerate(zip(grams.keys, grams.counts), 1):
+        total = np.zeros(len(keys), np.int64)
+        total[parts_of(keys, parts)[0]] = np.concatenate([unplaned(raw, np.int64) for _, raw in sorted(found[m], key=lambda x: x[0])])
+        out.append(np.where(total > 0, total, n if own else 0))
     return out
 
 
@@ -311,7 +312,7 @@ def scores(spark: SparkSession, docs: DataFrame, options: Options = Options(), l
     answers = []
     for size in range(1, order + 1):
         with batches_of(spark, 2):
-            packed = gram_rows(stored, size, order, n_parts).groupBy("part").applyInArrow(part_totals, TOTALS)
+            packed = gram_rows(stored, size, order, n_parts).groupBy("part").applyInArrow(part_totals, TOTALS).withColumn("size", F.lit(size))
             answers.append(scratch.store(packed, f"answers{size}"))
     kinds = answers[0].agg(F.sum("n_learned").alias("learned"), F.sum("n_estimated").alias("estimated")).first()
     size_of = {k: (sums[k], max(0, kinds[k] - (order - 1)) if sums[k] else 0) for k in ("learned", "estimated")}
@@ -320,13 +321,14 @@ def scores(spark: SparkSession, docs: DataFrame, options: Options = Options(), l
         asked = asked.unionByName(other.drop("n_learned", "n_estimated"))
 
     def meet(part: DataFrame, run, schema: str) -> DataFrame:
-        return part.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(run, schema)
+        same = asked if part is stored else asked.where(role == DELETED)
+        return part.groupBy("block").cogroup(same.groupBy("block")).applyInArrow(run, schema)
 
     def events(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         for row in rows_of(left):
             grams = Grams(row, order)
-            group, shares = estimates(grams, completed(grams, row["block"] & 3, right, "estimated"), size_of["estimated"][0])
+            group, shares = estimates(grams, completed(grams, row["block"] & 3, right, "estimated", n_parts), size_of["estimated"][0])
             out.append({"group": group.astype(np.uint16).tobytes(), "shares": shares.astype(np.float32).tobytes()})
         return pa.Table.from_pylist(out, pa.schema([("group", pa.binary()), ("shares", pa.binary())]))
 
@@ -346,7 +348,7 @@ def scores(spark: SparkSession, docs: DataFrame, options: Options = Options(), l
         out = []
         for row in left.to_pylist():
             grams = Grams(row, order)
-            counts = completed(grams, row["block"] & 3, right, "learned")
+            counts = completed(grams, row["block"] & 3, right, "learned", n_parts)
             group, shares = estimates(grams, counts, n)
             mixed = weights[group, 0] / (v + 1)
             for k in range(order):
