@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +16,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The map of a folder's documents is kept, and edited where a later run finds other loads."""
-    name = f"documents-{zlib.crc32(sf_dir.encode()):08x}"
+    name = f"documents-{hashlib.sha256(sf_dir.encode()).hexdigest()}"
     out = sharding.shard_documents(spark, read_table(spark, sf_dir, "documents"), name=name)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("position").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "part", "version")
 

@@ -3,12 +3,12 @@
 A record is hashed to one of thousands of virtual slots by its text, so equal texts share a slot.
 Bytes are added up per slot, and a versioned map sends each slot to a shard; rebalancing edits that
 map and moves whole slots. A slot heavier than the share of a shard (a group of copies with a third
-of all rows, say) is first cut into parts by doc_id. Maps lie in the shared folder under the name of
+of all rows, say) is first cut into parts by the rows' place in the table. Maps lie in the shared folder under the name of
 what they shard, one folder a version; a later run reads the last version, and writes a next one only
 where slots move.
 
-Defined cases: a null text has no bytes and size 1; rows without an id are spread by their place in
-the table; repeated rows are placed as rows, each with its own position; an empty table gives an empty
+Defined cases: a null text has no bytes and size 1; rows without an id, or that repeat one id and text, are
+spread like others; repeated rows are placed as rows, each with its own position; an empty table gives an empty
 result; further columns are ignored. Positions are gapless from 0 in each shard.
 """
 
@@ -35,7 +35,7 @@ def records(docs: DataFrame, n_slots: int = N_SLOTS, n_cells: int = 1024) -> Dat
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
         F.pmod(key, F.lit(n_slots)).cast("int").alias("slot"),
-        F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), place), F.lit(7)).alias("spread"),
+        F.xxhash64(place, F.lit(7)).alias("spread"),
         F.pmod(F.xxhash64(place, F.lit(13)), F.lit(n_cells)).cast("int").alias("cell"),
     )
 
@@ -124,6 +124,15 @@ def map_versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(p.rsplit("=", 1)[1]) for p in whole if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{p}/_SUCCESS")))
 
 
+def claimed(spark: SparkSession, path: str, version: int) -> int:
+    """The first version from `version` on that no other run writes: its claim is a file made only once."""
+    while True:
+        claim = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/claim-{version}")
+        if claim.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).createNewFile(claim):
+            return version
+        version += 1
+
+
 def read_map(spark: SparkSession, path: str, version: int) -> DataFrame:
     return spark.read.schema(MAP).parquet(f"{path}/version={version}")
 
@@ -144,6 +153,8 @@ def current_map(spark: SparkSession, loads: DataFrame, n_shards: int, path: str)
         now, version = rebalanced_map(held, loads, n_shards, 0.01), versions[-1] + 1
         if now.select(*place).exceptAll(held.select(*place)).isEmpty():
             return held
+    version = claimed(spark, path, version)
+    now = now.withColumn("version", F.lit(version))
     now.select(*columns).coalesce(1).write.mode("overwrite").parquet(f"{path}/version={version}")
     return read_map(spark, path, version)
 

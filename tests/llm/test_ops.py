@@ -64,6 +64,22 @@ def test_sharding_splits_a_hot_group_and_rebalances(spark):
     assert 0 < len(moved) < len(a) and {b[k] for k in moved} == {4}
 
 
+def test_sharding_spreads_repeated_rows(spark):
+    rows = [(7, "one text, one id")] * 3000 + [(i, f"text {i}") for i in range(3000)]
+    got = sharding.shard_documents(spark, spark.createDataFrame(rows, "doc_id long, text string"), 8)
+    load = {r.shard: r.n for r in got.groupBy("shard").agg(F.sum("size").alias("n")).collect()}
+    assert len(load) == 8 and max(load.values()) < 1.1 * min(load.values())
+
+
+def test_sharding_claims_each_version_once(spark):
+    import uuid
+
+    from kinetrace.session import shared_dir
+
+    path = f"{shared_dir(spark)}/claims-{uuid.uuid4().hex}"
+    assert [sharding.claimed(spark, path, 1) for _ in range(3)] == [1, 2, 3]
+
+
 def test_sharding_keeps_and_edits_its_map(spark):
     import uuid
 

@@ -57,7 +57,7 @@ def test_stages_on_repeated_ids_and_nulls(spark, tmp_path):
         seen.append(sorted((r.doc_id is not None, r.doc_id or 0, r.text or "") for r in docs.collect()) if name != "packing" else docs.count())
         assert name == "packing" or docs.columns == df.columns
     language, exact, near, secret, packed = seen
-    assert language == []  # nothing is labelled, so no language can be told
+    assert len(language) == 7  # nothing is labelled, so every text with a letter stays
     labelled = df.drop("lang").withColumn("lang", F.lit("aa")).select(*df.columns)
     labelled.write.parquet(f"{tmp_path}/two/documents.parquet")
     out = [labelled]
@@ -69,6 +69,17 @@ def test_stages_on_repeated_ids_and_nulls(spark, tmp_path):
     assert texts[4] == texts[3]
 
 
+def test_unlabelled_corpus_is_packed_from_the_redacted_texts(spark, tmp_path):
+    rows = [(r[0], r[1], None, *r[3:]) for r in documents(seed=9, n=60)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    out = P.run(spark, str(tmp_path))
+    text = {r.doc_id: r.text for r in spark.read.parquet(out.first().texts).collect()}
+    size = defaultdict(int)
+    for r in out.collect():
+        size[r.doc_id] += r.length
+    assert size == {d: len(t) for d, t in text.items()} and len(text) > 20
+
+
 def test_whole_pipeline_on_no_documents(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     assert P.run(spark, str(tmp_path)).count() == 0
