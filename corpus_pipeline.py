@@ -10,10 +10,14 @@ from kinetrace.llm.common import Scratch, fresh, read_table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; texts without a letter go."""
+    """Documents whose language can be told; texts without a letter go. Where no row is labelled there is
+    nothing to tell languages by, and every text with a letter stays."""
     names = docs.columns
+    model = langid.fit(docs)
+    if not model.langs:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     lang, score = fresh(docs, "lang_pred"), fresh(docs, "score")
-    found = langid.identify(spark, docs, langid.fit(docs), lang, score)
+    found = langid.identify(spark, docs, model, lang, score)
     return found.where(F.col(lang) != langid.UNKNOWN).select(*[f"`{c}`" for c in names])
 
 
@@ -44,9 +48,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on documents; each stage's rows are written to the shared folder and read again."""
+    """All stages on documents; each stage's rows are written to the shared folder and read again. `texts`
+    names the table of the redacted texts that the bins' pieces are cut from."""
     scratch = Scratch(spark, "pipeline", read_table(spark, sf_dir, "documents"))
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = scratch.store(stage(spark, docs, sf_dir), name)
-    return docs
+    return docs.withColumn(fresh(docs, "texts"), F.lit(f"{scratch.root}/{STAGES[-2][0]}"))
