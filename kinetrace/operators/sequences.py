@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions.vectors import dot, max_abs, minus, norm, scaled
+from .scans import row_numbers, running_total
 
 
 def ordered(by: Sequence[str], *order: str):
@@ -53,10 +54,10 @@ def gradient(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str,
     return df.withColumn(name, F.when(a.isNull(), (b - x) / step).when(b.isNull(), (x - a) / step).otherwise((b - a) / (2 * step)))
 
 
-def run_ids(df: DataFrame, by: Sequence[str], order: Sequence[str], fresh: Column, name: str = "run") -> DataFrame:
-    """Numbers runs: a row where `fresh` holds starts one."""
-    w = ordered(by, *order).rowsBetween(W.unboundedPreceding, 0)
-    return df.withColumn(name, F.sum(F.when(fresh, 1).otherwise(0)).over(w))
+def run_ids(df: DataFrame, by: Sequence[str], order: Sequence[str], fresh: Column, name: str = "run", bucket: int | None = None) -> DataFrame:
+    """Numbers runs: a row where `fresh` holds starts one. With `bucket`, of the order's first column, a key
+    is cut into time buckets."""
+    return running_total(df, by, order, lambda before: F.when(fresh, 1).otherwise(0), name, bucket)
 
 
 def longest_run(df: DataFrame, by: Sequence[str], order: Sequence[str], flag: Column, name: str = "longest") -> DataFrame:
@@ -79,32 +80,34 @@ def reused(df: DataFrame, by: Sequence[str], order: Sequence[str], source: str,
     return df.withColumn(name, F.coalesce(F.col(source) == F.lag(source).over(ordered(by, *order)), F.lit(False)))
 
 
-def unwrapped(df: DataFrame, by: Sequence[str], order: Sequence[str], angle: str, name: str = "unwrapped") -> DataFrame:
-    """Angles without jumps over half a turn: each jump turns all that follows by whole turns."""
-    w = ordered(by, *order)
-    d = F.col(angle) - F.lag(angle).over(w)
-    turns = -F.floor((d + F.pi()) / (2 * F.pi()))
-    # Half a turn upwards stays as it is.
-    turns = F.when((turns == -1) & (d == F.pi()), 0).otherwise(turns)
-    rows = df.withColumn("__turns", F.coalesce(F.when(F.abs(d) > F.pi(), turns), F.lit(0)))
-    total = F.sum("__turns").over(w.rowsBetween(W.unboundedPreceding, 0))
-    return rows.withColumn(name, F.col(angle) + 2 * F.pi() * total).drop("__turns")
+def unwrapped(df: DataFrame, by: Sequence[str], order: Sequence[str], angle: str, name: str = "unwrapped", bucket: int | None = None) -> DataFrame:
+    """Angles without jumps over half a turn: each jump turns all that follows by whole turns. With
+    `bucket`, of the order's first column, a key is cut into time buckets."""
+
+    def turns(before: Column) -> Column:
+        d = F.col(angle) - before[angle]
+        own = -F.floor((d + F.pi()) / (2 * F.pi()))
+        # Half a turn upwards stays as it is.
+        own = F.when((own == -1) & (d == F.pi()), 0).otherwise(own)
+        return F.coalesce(F.when(F.abs(d) > F.pi(), own), F.lit(0))
 
+    rows = running_total(df, by, order, turns, "__turns", bucket, [angle])
+    return rows.withColumn(name, F.col(angle) + 2 * F.pi() * F.col("__turns")).drop("__turns")
 
-def sign_continuous(df: DataFrame, by: Sequence[str], order: Sequence[str], q: str, name: str = "continuous") -> DataFrame:
+
+def sign_continuous(df: DataFrame, by: Sequence[str], order: Sequence[str], q: str, name: str = "continuous", bucket: int | None = None) -> DataFrame:
     """Quaternions turned so that each has no negative product with the one before: the sign is the
-    parity of the negative products so far."""
-    w = ordered(by, *order)
-    rows = df.withColumn("__dot", dot(q, F.lag(q).over(w)))
-    flips = F.sum(F.when(F.col("__dot") < 0, 1).otherwise(0)).over(w.rowsBetween(W.unboundedPreceding, 0))
-    return rows.withColumn("__sign", 1.0 - 2.0 * (flips % 2)).withColumn(name, scaled(q, F.col("__sign"))).drop("__dot", "__sign")
+    parity of the negative products so far. With `bucket`, of the order's first column, a key is cut into
+    time buckets."""
+    rows = running_total(df, by, order, lambda before: F.when(dot(q, before[q]) < 0, 1).otherwise(0), "__flips", bucket, [q])
+    return rows.withColumn("__sign", 1.0 - 2.0 * (F.col("__flips") % 2)).withColumn(name, scaled(q, F.col("__sign"))).drop("__flips", "__sign")
 
 
 #: Rows of a key that one closed form covers, at most.
 EMA_BLOCK = 512
 
 
-def ema(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, alpha: float, name: str = "ema") -> DataFrame:
+def ema(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, alpha: float, name: str = "ema", bucket: int | None = None) -> DataFrame:
     """y = (1 - alpha) y + alpha x from the first value on, one row per key's sample (`n` from 1); rows
     without a value are left out. Within a block, y is a weighted running sum; a block starts from
     where the one before ends, which a table of one row per block carries over."""
@@ -112,7 +115,7 @@ def ema(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, alph
         raise ValueError("alpha must lie in (0, 1]")
     rest = 1.0 - alpha
     rows = df.where(F.col(value).isNotNull()).select(*by, *order, F.col(value).cast("double").alias("__x"))
-    rows = rows.withColumn("n", F.row_number().over(ordered(by, *order)).cast("long"))
+    rows = row_numbers(rows, by, order, "n", bucket)
     if rest == 0:
         return rows.select(*by, "n", *order, F.col("__x").alias(name))
     size = max(1, min(EMA_BLOCK, int(600 / -math.log(rest))))  # so that no weight leaves a double's range

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kinetrace.operators import asof, audit, etl, lags, ordering, sequences, shards, signal, statistics
+from kinetrace.operators import asof, audit, etl, lags, ordering, scans, sequences, shards, signal, statistics
 
 
 def frame(spark, rows, schema):
@@ -385,3 +385,20 @@ def test_lag_blocks_say_the_same_at_any_size(spark, monkeypatch):
     whole = run()
     monkeypatch.setattr(lags, "BLOCK_POINTS", 50)
     assert run() == whole and whole[0][2] == 0.09
+
+
+def test_time_buckets_change_no_row(spark):
+    """Angles, signs, runs, averages and numbers of one large key, some of null keys and empty values."""
+    n = 20_000
+    df = spark.range(n).select(F.when(F.col("id") % 50 == 7, None).otherwise(F.lit(1)).alias("k"), (F.col("id") * 3).alias("t"), F.pmod(F.hash("id"), F.lit(6283)).cast("double").alias("x"))
+    df = df.withColumn("a", F.when(F.col("t") % 41 == 0, None).otherwise(F.col("x") / 1000 - 3.1)).withColumn("q", F.array(F.cos("x"), F.sin("x"), F.lit(0.1), F.lit(0.2))).drop("x")
+    forms = {
+        "unwrapped": lambda b: sequences.unwrapped(df, ["k"], ["t"], "a", "out", bucket=b),
+        "signs": lambda b: sequences.sign_continuous(df, ["k"], ["t"], "q", "out", bucket=b).withColumn("out", F.col("out")[0]),
+        "runs": lambda b: sequences.run_ids(df, ["k"], ["t"], F.col("a") > 3, "out", bucket=b),
+        "ema": lambda b: sequences.ema(df, ["k"], ["t"], "a", 0.2, "out", bucket=b),
+        "before": lambda b: scans.previous(df, ["k"], ["t"], "a", "out", bucket=b),
+    }
+    for name, form in forms.items():
+        whole, cut = (form(b).select("t", F.round("out", 6).alias("out")) for b in (None, 1000))
+        assert whole.exceptAll(cut).isEmpty() and cut.exceptAll(whole).isEmpty(), name
