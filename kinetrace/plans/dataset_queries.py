@@ -9,7 +9,7 @@ from ..functions import scalars
 from ..operators import etl, shards
 from ..operators.ordering import numbered
 from ..session import micros, table
-from .common import DAY, EVENTS, HOUR, events, r6, registry
+from .common import DAY, EVENTS, HOUR, SHARD_LISTS, digest_sql, events, permuted_sql, r6, registry, shard_lists
 
 QUERIES, ORACLE_SQL, query = registry()
 
@@ -210,15 +210,53 @@ def metadata_join(spark, sf):
     return j.groupBy("r_name", "n_name").agg(F.count("*").alias("customers"), r6(F.avg("c_acctbal")).alias("balance"))
 
 
-@query()
+SHARDS = f"""WITH e AS (SELECT user_id, count(*) - 7 AS n, {digest_sql("42", "user_id", digits=7)} AS key FROM events GROUP BY user_id HAVING count(*) > 7),
+    t AS (SELECT CAST(ceil(sum(n) / 256.0) AS BIGINT) AS shards FROM e),
+    parts AS (SELECT user_id, p, n // 10 + CASE WHEN p < n % 10 THEN 1 ELSE 0 END AS size, {digest_sql("42", "user_id", "p")} AS tie FROM e, range(10) r(p) WHERE p < n),
+    ranked AS (SELECT *, row_number() OVER (ORDER BY size DESC, tie, user_id, p) - 1 AS k FROM parts),
+    placed AS (SELECT user_id, p, CASE WHEN k // shards % 2 = 0 THEN k % shards ELSE shards - 1 - k % shards END AS shard_id FROM ranked, t),
+    steps AS (SELECT user_id, n, key, unnest(range(0, n)) AS step FROM e),
+    {permuted_sql("steps", "step", "n", "key", "mixed", shards.ROUNDS)}
+    SELECT shard_id, user_id, step FROM mixed JOIN placed USING (user_id) WHERE p = x % 10"""
+
+
+@query(SHARDS)
 def balanced_shards(spark, sf):
-    """Shards of the usable steps of each user's events; no SQL for a seeded permutation."""
+    """Shards of the usable steps of each user's events."""
     n = events(spark, sf).groupBy("user_id").agg(F.count("*").alias("n"))
-    lengths = {r.user_id: r.n for r in n.collect()}  # one number per episode: a catalogue
-    return shards.shard_table(spark, shards.balanced_shards(lengths, 8, shards.ShardOptions(shard_size=256)))
+    return shards.balanced_shards(n, "user_id", "n", 8, shards.ShardOptions(shard_size=256))
 
 
-@query()
+def schedule_sql(epoch: int, first: str, last: str) -> str:
+    draw, key = digest_sql(f"42:{epoch}", "position"), digest_sql(f"42:{epoch}", "dataset", "k // n", digits=7)
+    return f"""WITH {SHARD_LISTS},
+    units AS (SELECT dataset, count(*) AS n, CAST(floor(CAST(1e12 AS DOUBLE) * weight * count(*) / CAST(sum(size) AS DOUBLE)) AS BIGINT) AS u FROM own JOIN weights USING (dataset) GROUP BY dataset, weight),
+    shares AS (SELECT dataset, n, CAST(sum(u) OVER (ORDER BY dataset) AS BIGINT) AS high, CAST(sum(u) OVER (ORDER BY dataset) AS BIGINT) - u AS low FROM units),
+    total AS (SELECT max(high) AS t FROM shares),
+    places AS (SELECT unnest(range(0, {last})) AS position),
+    draws AS (SELECT position, {draw} % t AS u FROM places, total),
+    taken AS (SELECT position, dataset, n, row_number() OVER (PARTITION BY dataset ORDER BY position) - 1 AS k FROM draws JOIN shares ON low <= u AND u < high),
+    keyed AS (SELECT position, dataset, n, k % n AS i, {key} AS key FROM taken),
+    {permuted_sql("keyed", "i", "n", "key", "mixed", shards.ROUNDS)},
+    numbered AS (SELECT dataset, shard_id, row_number() OVER (PARTITION BY dataset ORDER BY shard_id) - 1 AS x FROM own)
+    SELECT position, dataset, shard_id FROM mixed JOIN numbered USING (dataset, x) WHERE position >= {first}"""
+
+
+@query(schedule_sql(0, "0", "(SELECT count(*) FROM customer)"))
 def mixture_schedule(spark, sf):
-    plan = shards.mixture_schedule([[1024] * 20, [512] * 8, [1024] * 3], [0.5, 0.3, 0.2], 500, seed=42)
-    return shards.schedule_table(spark, plan)
+    """An epoch as long as there are shards."""
+    own, weights = shard_lists(spark, sf)
+    return shards.mixture_schedule(own, weights, own.count(), seed=42)
+
+
+@query(schedule_sql(3, "(SELECT count(*) FROM customer)", "2 * (SELECT count(*) FROM customer)"))
+def mixture_schedule_stretch(spark, sf):
+    """The fourth epoch's second stretch, without the first."""
+    own, weights = shard_lists(spark, sf)
+    n = own.count()
+    return shards.mixture_schedule(own, weights, n, seed=42, epoch=3, first=n)
+
+
+@query(f"WITH {SHARD_LISTS} SELECT row_number() OVER (ORDER BY dataset, shard_id) - 1 AS position, dataset, shard_id FROM own")
+def every_shard(spark, sf):
+    return shards.every_shard(shard_lists(spark, sf)[0])

@@ -13,11 +13,11 @@ from ..functions import scalars
 from ..functions import vectors as V
 from ..operators import audit, etl, processors, records, shards
 from ..operators.ordering import numbered
-from ..session import shared_dir, table
+from ..session import shared_dir, staged, table
 from ..sources import config, episodes, sides, video
 from ..streaming import live
 from . import legacy
-from .common import EVENTS, events, r6, registry, stream
+from .common import EVENTS, events, r6, registry, shard_lists, stream
 
 QUERIES, ORACLE_SQL, query = registry()
 E = f"WITH e AS ({EVENTS})"
@@ -450,26 +450,31 @@ def materialised_shards(spark, sf):
 @query("""WITH n AS (SELECT user_id, greatest(0, count(*) - 7) AS steps FROM events GROUP BY user_id)
     SELECT CAST(ceil(sum(steps) / 256.0) AS BIGINT) AS shards, CAST(sum(steps) AS BIGINT) AS steps, CAST(sum(steps) AS BIGINT) AS different, true AS close FROM n""")
 def balanced_shard_totals(spark, sf):
-    """What every greedy layout has: its number of shards, each step once, and sizes that differ by less
-    than the largest part of an episode."""
+    """What every balanced layout has: its number of shards, each step once, and sizes that differ by the
+    largest part of an episode at most."""
     n = events(spark, sf).groupBy("user_id").agg(F.count("*").alias("n"))
-    lengths = {r.user_id: r.n for r in n.collect()}  # one number per episode: a catalogue
-    rows = shards.shard_table(spark, shards.balanced_shards(lengths, 8, shards.ShardOptions(shard_size=256)))
-    part = -(-max(lengths.values(), default=0) // 10)
+    rows = staged(shards.balanced_shards(n, "user_id", "n", 8, shards.ShardOptions(shard_size=256)), "shards")
+    part = n.agg(F.ceil(F.max("n") / 10).alias("part"))
     sizes = rows.groupBy("shard_id").agg(F.count("*").alias("n"))
-    totals = rows.agg(F.count_distinct("shard_id").alias("shards"), F.count("*").alias("steps"), F.count_distinct("episode_index", "step").alias("different"))
-    return totals.join(sizes.agg((F.max("n") - F.min("n") <= part).alias("close")))
+    totals = rows.agg(F.count_distinct("shard_id").alias("shards"), F.count("*").alias("steps"), F.count_distinct("user_id", "step").alias("different"))
+    close = sizes.agg((F.max("n") - F.min("n")).alias("gap")).join(part).select((F.col("gap") <= F.col("part")).alias("close"))
+    return totals.join(close)
 
 
-@query("SELECT * FROM (VALUES (500, 500, 31, true)) v(n, places, shards, whole)")
+@query("SELECT count(*) AS n, count(*) AS places, true AS whole, true AS fair FROM customer JOIN nation ON c_nationkey = n_nationkey")
 def mixture_schedule_totals(spark, sf):
-    """A schedule gives each place once, draws from all shards, and repeats no shard of a dataset before
-    its others came."""
-    plan = shards.mixture_schedule([[1024] * 20, [512] * 8, [1024] * 3], [0.5, 0.3, 0.2], 500, seed=42)
-    rows = shards.schedule_table(spark, plan)
-    times = rows.groupBy("dataset", "shard_id").agg(F.count("*").alias("k")).groupBy("dataset").agg((F.max("k") - F.min("k") <= 1).alias("even"))
-    out = rows.agg(F.count("*").alias("n"), F.count_distinct("position").alias("places"), F.count_distinct("dataset", "shard_id").alias("shards"))
-    return out.join(times.agg(F.bool_and("even").alias("whole"))).select(*[F.col(c).cast("int").alias(c) for c in ("n", "places", "shards")], "whole")
+    """A schedule gives each place once, draws from shards there are, repeats no shard of a dataset before
+    its others came, and draws each dataset within five standard deviations of its share."""
+    own, weights = shard_lists(spark, sf)
+    length = own.count()
+    rows = staged(shards.mixture_schedule(own, weights, length, seed=42), "schedule")
+    times = own.join(rows, ["dataset", "shard_id"], "left").groupBy("dataset", "shard_id").agg(F.count("position").alias("k"))
+    times = times.groupBy("dataset").agg((F.max("k") - F.min("k") <= 1).alias("even"), F.sum("k").alias("drawn"))
+    shares = shards.dataset_shares(own, weights)
+    p = (F.col("high") - F.col("low")) / F.lit(shares.agg(F.max("high")).first()[0] or 1)
+    fair = F.abs(F.col("drawn") - length * p) <= 5 * F.sqrt(length * p * (1 - p)) + 1
+    out = rows.agg(F.count("*").alias("n"), F.count_distinct("position").alias("places"))
+    return out.join(times.join(shares, "dataset").agg(F.bool_and("even").alias("whole"), F.bool_and(fair).alias("fair")))
 
 
 # Stores

@@ -1,5 +1,6 @@
 """Operators on small hand-made inputs with known results."""
 
+import collections
 import math
 
 import numpy as np
@@ -302,21 +303,58 @@ def test_statistics(spark):
 
 
 def test_shards(spark):
-    lengths = {0: 50, 1: 50, 2: 50}
-    opt = shards.ShardOptions(shard_size=64, sampling_rate=0.5, seed=1)
-    own = shards.balanced_shards(lengths, 4, opt)
-    steps = [(e, int(s)) for shard in own for e, part in shard for s in part]
-    assert len(own) == 3 and len(steps) == len(set(steps)) == 3 * 47
-    assert sorted(shards.shard_table(spark, own).select("episode_index", "step").collect()) == sorted(steps)
-    same = shards.balanced_shards(lengths, 4, opt)
-    assert [[(e, p.tolist()) for e, p in s] for s in same] == [[(e, p.tolist()) for e, p in s] for s in own]
+    e = frame(spark, [(0, 50), (1, 50), (None, 50), (3, 7), (4, 0), (5, None)], "e long, n long")
+    opt = shards.ShardOptions(shard_size=64, sampling_rate=0.5, margin_start=2, margin_end=1, seed=1)
+    plan = lambda rows, **more: sorted((tuple(r) for r in shards.balanced_shards(rows, "e", "n", 4, shards.ShardOptions(**(opt.__dict__ | more))).collect()), key=str)
+    own = plan(e)
+    steps = [(k, s) for _, k, s in own]
+    assert sorted(steps, key=str) == sorted([(k, s) for k in (0, 1, None) for s in range(2, 46)] + [(3, 2)], key=str)
+    sizes = collections.Counter(s for s, _, _ in own)
+    assert sorted(sizes) == [0, 1, 2] and max(sizes.values()) - min(sizes.values()) <= 22
+    assert plan(e.repartition(7)) == own and plan(e, seed=2) != own
+    assert plan(e.where("n < 5")) == []
+    with pytest.raises(ValueError):
+        plan(e, shard_size=2)
     e = frame(spark, [(0, 50)], "e int, n long")
     assert shards.step_windows(e, ["e"], "n", 8).count() == 43
     got = sorted(r.step for r in shards.step_windows(e, ["e"], "n", 8, 5, 3).collect())
     assert got == list(range(5, 40))
-    plan = shards.mixture_schedule([[10] * 3, [10] * 2], [0.5, 0.5], 100, 1)
-    assert all(len({s for d, s in plan if d == k}) == n for k, n in ((0, 3), (1, 2)))
-    assert shards.mixture_schedule([[1], [1, 1]], [1, 1], 0, 0, training=False) == [(0, 0), (1, 0), (1, 1)]
+
+
+def test_shards_of_a_long_episode(spark):
+    """One episode holds nearly all steps: its shards stay even, and a part mixes its whole length."""
+    e = frame(spark, [(0, 1_000_000)] + [(k, 40) for k in range(1, 50)], "e long, n long")
+    out = shards.balanced_shards(e, "e", "n", 1, shards.ShardOptions(shard_size=100_000))
+    sizes = [r["count"] for r in out.groupBy("shard_id").count().collect()]
+    assert len(sizes) == 11 and max(sizes) - min(sizes) <= 100_000 and out.distinct().count() == 1_000_000 + 49 * 40
+    assert "rangepartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+    cells = out.where("e = 0").groupBy("shard_id", F.floor(F.col("step") / 100_000)).count().collect()
+    assert len(cells) == 100 and all(abs(r["count"] - 10_000) < 600 for r in cells)
+
+
+def test_permuted_is_one_to_one(spark):
+    for n in (1, 2, 3, 10, 997):
+        rows = spark.range(n).selectExpr("id", f"{n}L AS n", "123456789L AS key", "'x' AS `a.b`")
+        got = [r.at for r in shards.permuted(rows, "id", "n", "key", "at").orderBy("id").collect()]
+        assert sorted(got) == list(range(n)) and (n < 10 or got != list(range(n)))
+
+
+def test_mixture_schedule(spark):
+    own = frame(spark, [("a", s, 10) for s in (3, 5, 9)] + [("b", s, 20) for s in (0, 1)] + [("none", 0, 0), ("off", 0, 5)], "dataset string, shard_id long, size long")
+    weights = frame(spark, [("a", 0.5), ("b", 0.5), ("none", 1.0), ("off", 0.0), ("unknown", 1.0)], "dataset string, weight double")
+    rows = lambda *a, **k: sorted(tuple(r) for r in shards.mixture_schedule(own, weights, *a, **k).collect())
+    whole = rows(3000, 1)
+    assert [r[0] for r in whole] == list(range(3000)) and {r[1] for r in whole} == {"a", "b"}
+    assert abs(sum(d == "a" for _, d, _ in whole) - 2000) < 150  # shares 2 to 1, as b's shards are twice as large
+    for d, n in (("a", 3), ("b", 2)):
+        mine = [s for _, k, s in whole if k == d]
+        rounds = [tuple(mine[i : i + n]) for i in range(0, len(mine) - n + 1, n)]
+        assert all(len(set(r)) == n for r in rounds) and len(set(rounds)) == (6 if n == 3 else 2)
+    assert rows(700, 1, first=1100) == whole[1100:1800]
+    assert rows(3000, 1, epoch=1) != whole and rows(0, 1) == []
+    assert [tuple(r) for r in shards.every_shard(own).orderBy("position").collect()][:3] == [(0, "a", 3), (1, "a", 5), (2, "a", 9)]
+    with pytest.raises(ValueError):
+        shards.mixture_schedule(own.where("size = 0"), weights, 5, 1)
 
 
 def test_merge(spark):
