@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+from collections.abc import Callable, Mapping, Sequence
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -135,3 +137,30 @@ def windows_of(rows: DataFrame, by: Sequence[str], t: str, width: int, step: int
     lo = F.greatest(F.lit(0).cast("long"), F.floor((F.col("__r") - width) / step) + 1)
     out = rel.withColumn("window", F.explode(F.sequence(lo, F.floor(F.col("__r") / step))))
     return out.withColumn("centre", F.col("__first") + F.col("window") * step + width / 2).drop("__r", "__first")
+
+
+def judged(rows: DataFrame, text: str, check: Callable[[Any], object], name: str = "found") -> DataFrame:
+    """rows with `name`: what `check` says of the JSON value in `text`, as a string; "error" where it raises
+    ValueError or there is no JSON. Metadata of many datasets is checked where its rows lie."""
+
+    @F.pandas_udf("string")
+    def said(texts: pd.Series) -> pd.Series:
+        def one(t):
+            try:
+                return "error" if t is None else str(check(json.loads(t)))
+            except ValueError:
+                return "error"
+
+        return pd.Series([one(t) for t in texts], dtype=object)
+
+    return rows.withColumn(name, said(F.col(text)))
+
+
+def nested_paths(rows: DataFrame, path: str) -> DataFrame:
+    """(outer_path, inner_path): the different absolute paths of a table of which one lies in the other, each
+    pair once. Every path meets its own ancestors as equal keys; a slash at the end says nothing."""
+    own = rows.where(F.col(path).isNotNull()).select(F.regexp_replace(path, "/+$", "").alias("inner_path")).distinct()
+    steps = F.split("inner_path", "/")
+    ends = F.when(F.size(steps) > 2, F.sequence(F.lit(2), F.size(steps) - 1)).otherwise(F.array().cast("array<int>"))
+    inner = own.select("inner_path", F.explode(F.transform(ends, lambda n: F.array_join(F.slice(steps, F.lit(1), n), "/"))).alias("outer_path"))
+    return inner.join(own.select(F.col("inner_path").alias("outer_path")), "outer_path").select("outer_path", "inner_path")

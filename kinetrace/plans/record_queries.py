@@ -3,6 +3,7 @@ episodes around the time joins. Catalogues of a few rows are made on the driver,
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import functions as F
@@ -260,44 +261,57 @@ def aligned_checks(spark, sf):
     return out.select("user_id", "n", F.array_join("reasons", ",").alias("reasons"))
 
 
-@query("SELECT * FROM (VALUES (0, ''), (1, 'chunks_size'), (2, ''), (3, 'features,modality')) v(case_id, keys)")
+@query("""SELECT c_custkey, concat_ws(',', CASE WHEN c_custkey % 3 = 0 THEN 'chunks_size' END, CASE WHEN c_nationkey % 2 = 1 THEN 'features' END, CASE WHEN c_nationkey % 3 = 0 THEN 'modality' END) AS keys FROM customer""")
 def dataset_compatibility(spark, sf):
-    """Metadata of datasets against the first: a chunk size, a video's frame rate, features differ."""
-    info = lambda **more: {"codebase_version": "v2.1", "chunks_size": 1000, "features": {"video": {"shape": [4], "info": {"video.fps": 30}}}, "modality": {"a": 1}} | more
-    cases = (info(), info(chunks_size=500), info(features={"video": {"shape": [4], "info": {"video.fps": 15}}}), info(features={"video": {"shape": [5]}}, modality={}))
-    return spark.createDataFrame([(i, ",".join(etl.incompatible(info(), c))) for i, c in enumerate(cases)], "case_id int, keys string")
+    """Metadata of each customer's dataset against a first: chunk sizes, shapes, modalities differ, and frame
+    rates, which may."""
+    info = """{"codebase_version": "v2.1", "chunks_size": %d, "features": {"video": {"shape": [%d], "info": {"video.fps": %d}}}, "modality": {%s}}"""
+    first = json.loads(info % (1000, 4, 30, '"a": 1'))
+    pick = lambda when, a, b: F.when(when, a).otherwise(b)
+    text = F.format_string(info, pick(F.col("c_custkey") % 3 == 0, 500, 1000), pick(F.col("c_nationkey") % 2 == 1, 5, 4), pick(F.col("c_custkey") % 2 == 0, 15, 30), pick(F.col("c_nationkey") % 3 == 0, F.lit(""), F.lit('"a": 1')))
+    rows = table(spark, sf, "customer").select("c_custkey", text.alias("info"))
+    return records.judged(rows, "info", lambda x: ",".join(etl.incompatible(first, x)), "keys").drop("info")
 
 
-@query("SELECT * FROM (VALUES (0, true, true), (1, false, false), (2, true, false)) v(case_id, complete, chunked)")
+@query("SELECT vec_id, embedding IS NOT NULL AND vec_id % 3 <> 0 AS complete, embedding IS NOT NULL AND vec_id % 3 <> 0 AND vec_id % 2 = 0 AS chunked FROM embeddings")
 def stats_validity(spark, sf):
-    full = {"a": {k: [0.0] * 4 for k in records.STATISTICS}}
-    cases = (full, {"a": {k: v for k, v in full["a"].items() if k != "q01"}}, {"a": {k: [0.0] * 3 for k in records.STATISTICS}})
-    return spark.createDataFrame([(i, records.complete_stats(c, ["a"]), records.complete_stats(c, ["a"], 4)) for i, c in enumerate(cases)], "case_id int, complete boolean, chunked boolean")
+    """Statistics a vector, some without a quantile, some of three steps where four are asked for."""
+    v = F.when(F.col("vec_id") % 2 == 0, F.slice("embedding", 1, 4)).otherwise(F.slice("embedding", 1, 3))
+    fields = [(F.when(F.col("vec_id") % 3 != 0, v) if k == "q01" else v).alias(k) for k in records.STATISTICS]
+    rows = table(spark, sf, "embeddings").select("vec_id", F.to_json(F.struct(F.struct(*fields).alias("a"))).alias("stats"))
+    rows = records.judged(rows, "stats", lambda x: records.complete_stats(x, ["a"]), "complete")
+    rows = records.judged(rows, "stats", lambda x: records.complete_stats(x, ["a"], 4), "chunked")
+    return rows.select("vec_id", *[F.col(c).cast("boolean").alias(c) for c in ("complete", "chunked")])
 
 
-@query("SELECT * FROM (VALUES (0, 'language,state'), (1, 'error'), (2, 'error')) v(case_id, kept)")
+@query("SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 OR c_nationkey % 4 = 0 THEN 'error' ELSE 'language,state' END AS kept FROM customer")
 def modality_checks(spark, sf):
-    language = {"modality_keys": ["task"], "delta_indices": [0]}
-    cases = ({"state": {}, "language": language, "sound": {}}, {"state": {}}, {"language": language | {"delta_indices": [0, 1]}})
+    """A configuration a customer, some without a language key, some that look at two steps."""
+    keys = F.when(F.col("c_custkey") % 5 != 0, F.array("c_mktsegment")).otherwise(F.array().cast("array<string>"))
+    steps = F.when(F.col("c_nationkey") % 4 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    language = F.struct(keys.alias("modality_keys"), steps.alias("delta_indices")).alias("language")
+    empty = F.create_map().cast("map<string,string>")
+    rows = table(spark, sf, "customer").select("c_custkey", F.to_json(F.struct(language, empty.alias("state"), empty.alias("sound"))).alias("config"))
+    return records.judged(rows, "config", lambda x: ",".join(sorted(config.check_modality(x))), "kept").drop("config")
 
-    def kept(c):
-        try:
-            return ",".join(sorted(config.check_modality(c)))
-        except config.ConfigError:
-            return "error"
 
-    return spark.createDataFrame([(i, kept(c)) for i, c in enumerate(cases)], "case_id int, kept string")
-
-
-@query("SELECT * FROM (VALUES ('/a/b', '/a/b/c'), ('/d', '/d')) v(outer_path, inner_path)")
+@query("SELECT DISTINCT '/data/' || c_nationkey AS outer_path, '/data/' || c_nationkey || '/' || c_custkey AS inner_path FROM customer WHERE c_nationkey % 2 = 0")
 def path_overlaps(spark, sf):
-    return spark.createDataFrame(config.overlapping(["/a/b", "/a/bc", "/d", "/a/b/c", "/d/"]), "outer_path string, inner_path string")
+    """Folders of customers that lie in a folder of a nation; names that only begin alike do not."""
+    c, n = table(spark, sf, "customer"), table(spark, sf, "nation")
+    inner = c.select(F.concat(F.lit("/data/"), "c_nationkey", F.lit("/"), "c_custkey").alias("path"))
+    outer = n.where("n_nationkey % 2 = 0").select(F.concat(F.lit("/data/"), "n_nationkey", F.lit("/")).alias("path"))
+    return records.nested_paths(inner.union(outer), "path")
 
 
-@query("SELECT * FROM (VALUES ('head', 'ego'), ('wrist', 'hand')) v(configured, found)")
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN c_name || '=' || c_name WHEN c_custkey % 5 = 0 THEN 'error' ELSE 'head=' || c_mktsegment || ',wrist=' || c_name END AS names FROM customer""")
 def positional_join(spark, sf):
-    got = records.positional_names(["head", "wrist"], ["ego", "hand"])
-    return spark.createDataFrame(list(got.items()), "configured string, found string")
+    """Configured keys against a customer's: by name, by position, or of another number."""
+    id = F.col("c_custkey")
+    wanted = F.when(id % 4 == 0, F.array("c_name")).otherwise(F.array(F.lit("head"), F.lit("wrist")))
+    there = F.when(id % 5 == 0, F.array("c_mktsegment", "c_name", F.lit("more"))).otherwise(F.array("c_mktsegment", "c_name"))
+    rows = table(spark, sf, "customer").select("c_custkey", F.to_json(F.struct(wanted.alias("wanted"), there.alias("there"))).alias("keys"))
+    return records.judged(rows, "keys", lambda x: ",".join("=".join(p) for p in records.positional_names(x["wanted"], x["there"]).items()), "names").drop("keys")
 
 
 @query("SELECT label, count(CASE WHEN vec_id % 5 = 0 THEN 1 END) AS n_v, count(CASE WHEN vec_id % 7 = 0 THEN 1 END) AS n_w FROM embeddings GROUP BY label")
@@ -412,10 +426,13 @@ def action_processing(spark, sf):
     return out.where((rel >= 0) & (rel <= 30)).select("event_id", F.col("k").cast("int").alias("step"), r6(at("n", 0)).alias("a"), r6(at("s", 1)).alias("b"), r6(at("back", 0)).alias("raw"))
 
 
-@query("SELECT * FROM (VALUES (0, 27), (1, 34)) v(case_id, dims)")
+@query("SELECT c_custkey, c_nationkey * (1 + c_custkey % 2) + c_custkey % 7 AS dims FROM customer")
 def dimension_accounting(spark, sf):
-    sizes = {"arm": 7, "hand": 20}
-    return spark.createDataFrame([(0, V.dimensions(sizes)), (1, V.dimensions(sizes, ["arm"]))], "case_id int, dims int")
+    """Elements of a customer's state, of which a group may count twice."""
+    sizes = F.struct(F.col("c_nationkey").alias("arm"), (F.col("c_custkey") % 7).alias("hand"))
+    twice = F.when(F.col("c_custkey") % 2 == 1, F.array(F.lit("arm"))).otherwise(F.array().cast("array<string>"))
+    rows = table(spark, sf, "customer").select("c_custkey", F.to_json(F.struct(sizes.alias("sizes"), twice.alias("twice"))).alias("state"))
+    return records.judged(rows, "state", lambda x: V.dimensions(x["sizes"], x["twice"]), "dims").select("c_custkey", F.col("dims").cast("long").alias("dims"))
 
 
 @query(E + "SELECT event_id, round(value * 0.5, 6) AS a, round(value * 1.5, 6) AS b FROM e")

@@ -9,9 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinetrace import cli
-from kinetrace.operators import images, records
+from kinetrace.operators import etl, images, records
 from kinetrace.plans import dataset_stats, legacy
-from kinetrace.sources import episodes
+from kinetrace.sources import config, episodes
 
 
 def test_image_headers(spark):
@@ -132,3 +132,29 @@ streams:
     assert json.loads(capsys.readouterr().out) == {"accepted": 0, "rejected": 1}
     assert cli.main(["summarize", f"{out}/quality/rejected.jsonl"]) == 0
     assert sum(json.loads(capsys.readouterr().out).values()) >= 1
+
+
+def test_checks_of_metadata(spark):
+    """The checks themselves, and the same by rows of a table."""
+    info = lambda **more: {"chunks_size": 1000, "features": {"v": {"shape": [4], "info": {"video.fps": 30}}}, "modality": {"a": 1}} | more
+    assert etl.incompatible(info(), info(features={"v": {"shape": [4], "info": {"video.fps": 15}}})) == []
+    assert etl.incompatible(info(), info(features={"v": {"shape": [5]}}, modality={}, chunks_size=1)) == ["chunks_size", "features", "modality"]
+    assert config.overlapping(["/a/b", "/a/bc", "/d", "/a/b/c", "/d/"]) == [("/a/b", "/a/b/c"), ("/d", "/d")]
+    assert records.positional_names(["head", "wrist"], ["ego", "hand"]) == {"head": "ego", "wrist": "hand"}
+    with pytest.raises(ValueError):
+        records.positional_names(["head"], ["ego", "hand"])
+    rows = spark.createDataFrame([(0, '{"n": 2}'), (1, '{"n": -1}'), (2, None), (3, "no json")], "i int, t string")
+
+    def root(x):
+        if x["n"] < 0:
+            raise ValueError("below zero")
+        return x["n"] * 2
+
+    assert {r.i: r.found for r in records.judged(rows, "t", root).collect()} == {0: "4", 1: "error", 2: "error", 3: "error"}
+    assert records.judged(rows.where("i > 9"), "t", root).count() == 0
+
+
+def test_nested_paths(spark):
+    rows = spark.createDataFrame([("/a/b",), ("/a/bc",), ("/a/b/c/d",), ("/a",), ("/d/",), ("/d",), (None,), ("",), ("/a/b",)], "p string")
+    got = {tuple(r) for r in records.nested_paths(rows, "p").collect()}
+    assert got == {("/a", "/a/b"), ("/a", "/a/bc"), ("/a", "/a/b/c/d"), ("/a/b", "/a/b/c/d")}
