@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinetrace import cli
+from kinetrace.functions import vectors
 from kinetrace.operators import etl, images, records
 from kinetrace.plans import dataset_stats, legacy
 from kinetrace.sources import config, episodes
@@ -158,3 +159,15 @@ def test_nested_paths(spark):
     rows = spark.createDataFrame([("/a/b",), ("/a/bc",), ("/a/b/c/d",), ("/a",), ("/d/",), ("/d",), (None,), ("",), ("/a/b",)], "p string")
     got = {tuple(r) for r in records.nested_paths(rows, "p").collect()}
     assert got == {("/a", "/a/b"), ("/a", "/a/bc"), ("/a", "/a/b/c/d"), ("/a/b", "/a/b/c/d")}
+
+
+def test_checks_of_statistics_modalities_and_dimensions():
+    full = {"a": {k: [0.0] * 4 for k in records.STATISTICS}}
+    short = {"a": {k: v for k, v in full["a"].items() if k != "q01"}}
+    assert records.complete_stats(full, ["a"], 4) and not records.complete_stats(full, ["a"], 3) and not records.complete_stats(short, ["a"])
+    language = {"modality_keys": ["task"], "delta_indices": [0]}
+    assert sorted(config.check_modality({"state": {}, "language": language, "sound": {}})) == ["language", "state"]
+    for wrong in ({"state": {}}, {"language": language | {"delta_indices": [0, 1]}}):
+        with pytest.raises(config.ConfigError):
+            config.check_modality(wrong)
+    assert vectors.dimensions({"arm": 7, "hand": 20}) == 27 and vectors.dimensions({"arm": 7, "hand": 20}, ["arm"]) == 34
