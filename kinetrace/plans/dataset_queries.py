@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions import scalars
-from ..operators import etl, shards
+from ..operators import etl, shards, sketches
 from ..operators.ordering import numbered
 from ..session import micros, table
 from .common import DAY, EVENTS, HOUR, SHARD_LISTS, digest_sql, events, permuted_sql, r6, registry, shard_lists
@@ -153,6 +153,42 @@ def cube(spark, sf):
     return table(spark, sf, "lineitem").cube("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantity"))
 
 
+def ranks_hold(rows, read, keys, x, fractions, error=sketches.RANK_ERROR):
+    """(keys..., holds): whether each quantile read from a state has a rank within `error` of the one asked
+    for; ties make a range of ranks, of which one must be near. The read rows are one a key, the keys few."""
+    asked = F.array(*[F.struct(F.lit(f).alias("f"), F.col(name).alias("q")) for name, f in fractions.items()])
+    wanted = read.select(*keys, F.explode(asked).alias("a"))
+    near = rows.join(F.broadcast(wanted), keys).groupBy(*keys, "a").agg(F.count(x).alias("n"), F.count_if(F.col(x) < F.col("a.q")).alias("less"), F.count_if(F.col(x) <= F.col("a.q")).alias("upto"))
+    slack = F.greatest(F.lit(1.0), error * F.col("n"))
+    return near.groupBy(*keys).agg(F.bool_and((F.col("less") - slack <= F.col("a.f") * F.col("n")) & (F.col("upto") + slack >= F.col("a.f") * F.col("n"))).alias("holds"))
+
+
+@query("""WITH x AS (SELECT d.dim AS dim, CAST(embedding[d.dim + 1] AS DOUBLE) AS x FROM embeddings, (SELECT unnest(range(0, (SELECT max(len(embedding)) FROM embeddings))) AS dim) d WHERE d.dim < len(embedding))
+    SELECT CAST(dim AS INTEGER) AS dim, count(x) AS n, round(avg(x), 6) AS mean, round(stddev_pop(x), 6) AS std, round(min(x), 6) AS min, round(max(x), 6) AS max, TRUE AS quantiles_hold, TRUE AS distinct_holds FROM x GROUP BY dim""")
+def sketched_vector_stats(spark, sf):
+    """One state per label and dimension, merged over labels; quantiles and distinct counts are checked
+    against the rows themselves, where a number of distinct values may be off by five standard errors."""
+    e = table(spark, sf, "embeddings").select("label", "embedding")
+    read = sketches.read(sketches.merged(sketches.vector_states(e, "embedding", ["label"]), ["dim"]))
+    rows = e.select(F.posexplode(F.col("embedding").cast("array<double>")).alias("dim", "x"))
+    holds = ranks_hold(rows, read, ["dim"], "x", {"q01": 0.01, "q99": 0.99}).withColumnRenamed("holds", "quantiles_hold")
+    exact = rows.groupBy("dim").agg(F.count_distinct("x").alias("d"))
+    near = F.abs(F.col("n_distinct") - F.col("d")) <= F.greatest(F.lit(1.0), 5 * 1.04 / 2 ** (sketches.HLL_BITS / 2) * F.col("d"))
+    out = read.join(holds, "dim").join(exact, "dim")
+    return out.select("dim", "n", r6("mean").alias("mean"), r6("std").alias("std"), r6("min").alias("min"), r6("max").alias("max"), "quantiles_hold", near.alias("distinct_holds"))
+
+
+@query(f"""SELECT event_type, CAST(floor(epoch_us(ts) / {DAY}) AS BIGINT) AS day, CAST(grouping(event_type, day) AS BIGINT) AS grouping_id, count(value) AS n, round(avg(value), 6) AS mean, round(stddev_pop(value), 4) AS std, min(value) AS min, max(value) AS max, TRUE AS median_holds FROM events GROUP BY CUBE (event_type, day)""")
+def sketch_cube(spark, sf):
+    """A cube whose totals come from the states of its finest cells; the medians by type are checked."""
+    e = events(spark, sf).select("event_type", F.floor(F.col("t") / DAY).alias("day"), "value")
+    cells = sketches.read(sketches.rolled_up(sketches.states(e, "value", ["event_type", "day"]), ["event_type", "day"]), {"median": 0.5})
+    by_type = cells.where("grouping_id = 1").select("event_type", "median")
+    holds = ranks_hold(e.select("event_type", "value"), by_type, ["event_type"], "value", {"median": 0.5})
+    out = cells.join(F.broadcast(holds), "event_type", "left")
+    return out.select("event_type", "day", "grouping_id", "n", r6("mean").alias("mean"), F.round("std", 4).alias("std"), "min", "max", F.coalesce("holds", F.lit(True)).alias("median_holds"))
+
+
 @query("SELECT event_id, ntile(4) OVER w AS quartile, rank() OVER w AS rank, round(percent_rank() OVER w, 6) AS share, nth_value(value, 2) OVER (PARTITION BY event_type ORDER BY value, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS second FROM events WINDOW w AS (PARTITION BY event_type ORDER BY value, event_id)")
 def ranking(spark, sf):
     w = W.partitionBy("event_type").orderBy("value", "event_id")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.vectors import part
-from ..operators import sequences, statistics
+from ..operators import sequences, sketches, statistics
 from ..operators.records import STATISTICS, complete_stats
 from ..sources import episodes
 
@@ -35,6 +35,28 @@ def relative_stats(frames: DataFrame, state: tuple[int, int], action: tuple[int,
     return {k: [[r[k] for r in got if r.step == s] for s in steps] for k in STATISTICS}
 
 
+def feature_states(frames: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(feature, dim, state): the mergeable states of all features, in one pass over the frames."""
+    arrays = [F.array(F.col(f"`{f}`")) if not frames.schema[f].dataType.typeName().startswith("array") else F.col(f"`{f}`") for f in features]
+    rows = frames.select(F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), v.cast("array<double>").alias("v")) for f, v in zip(features, arrays)])).alias("f"))
+    return sketches.vector_states(rows.select("f.feature", "f.v"), "v", ["feature"])
+
+
+def write_states(spark: SparkSession, root: str, features: Sequence[str] | None = None) -> str:
+    """The states of a dataset's features as meta/stats_states.parquet, whose path is returned."""
+    features = features or episodes.float_features(episodes.read_json(root, "info.json"))
+    path = str(Path(root, "meta", "stats_states.parquet"))
+    feature_states(episodes.read_frames(spark, root, features), features).coalesce(1).write.mode("overwrite").parquet(path)
+    return path
+
+
+def union_stats(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
+    """(feature, dim, n, mean, std, min, max, q01, q99, n_distinct) of all frames of several datasets, from
+    the states stored with each; their frames aren't read."""
+    held = spark.read.parquet(*[str(Path(r, "meta", "stats_states.parquet")) for r in roots])
+    return sketches.read(sketches.merged(held, ["feature", "dim"]))
+
+
 def generate(spark: SparkSession, root: str, relative: Mapping[str, tuple[tuple[int, int], tuple[int, int], int]] | None = None, exact: bool = False) -> bool:
     """Write meta/stats.json and meta/relative_stats.json unless they are complete; whether anything was
     written. relative: action key -> (state range, action range, horizon). Quantiles are sketches unless exact ones are asked for."""
