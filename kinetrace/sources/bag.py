@@ -1,7 +1,7 @@
 """Robot bags as a Spark data source: `spark.read.format("bag").load(root)`.
 
-A bag is a folder with metadata.yaml and SQLite storage. One partition per bag; a filter on `topic` is
-pushed into the SQL that reads the messages. Payloads are CDR; joint states, poses and compressed
+A bag is a folder with metadata.yaml and SQLite or mcap storage. One partition per bag (`read` cuts large
+ones); a filter on `topic` is pushed into the SQL that reads the messages. Payloads are CDR; joint states, poses and compressed
 images are decoded, other types keep their raw bytes only.
 """
 
@@ -237,21 +237,27 @@ class BagSource(DataSource):
         return BagReader(self.options["path"], dict(ADAPTERS))
 
 
-def read(spark: SparkSession, root: str, topics: list[str] | None = None, timestamp_source: str = "header") -> DataFrame:
-    """Messages of all bags under root with `t`, the time that counts."""
+def read(spark: SparkSession, root: str, topics: list[str] | None = None, timestamp_source: str = "header", split_bytes: int | None = None) -> DataFrame:
+    """Messages of all bags under root with `t`, the time that counts. Where a file is larger than
+    `split_bytes`, bags are read in blocks of that size (`bag_splits`), else one task reads a bag; the rows are the same."""
     from ..functions.scalars import chosen_time
-
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    spark.dataSource.register(BagSource)
-    df = spark.read.format("bag").load(root)
-    if topics is not None:
-        df = df.where(F.col("topic").isin(topics))
+    from . import bag_splits
+
+    split_bytes = split_bytes or bag_splits.SPLIT_BYTES
+    if any(f[4] > split_bytes for f in bag_splits.storage_files(root)):
+        df = bag_splits.scan(spark, root, topics, split_bytes)
+    else:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+        spark.dataSource.register(BagSource)
+        df = spark.read.format("bag").load(root)
+        if topics is not None:
+            df = df.where(F.col("topic").isin(topics))
     return df.withColumn("t", chosen_time("header_time_ns", "bag_time_ns", timestamp_source))
 
 
 def topic_times(spark: SparkSession, root: str, topic: str) -> DataFrame:
     """(bag, seconds) of a topic's messages since the bag's first message of any kind."""
-    rows = spark.read.format("bag").load(root).select("bag", "topic", "bag_time_ns")
+    rows = read(spark, root).select("bag", "topic", "bag_time_ns")
     first = F.min("bag_time_ns").over(W.partitionBy("bag"))
     rows = rows.withColumn("seconds", (F.col("bag_time_ns") - first) / 1e9)
     return rows.where(F.col("topic") == topic).select("bag", "seconds")
