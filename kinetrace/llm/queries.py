@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact_dedup, langid, lm, minhash, packing, phrases, pieces, resampling, secrets, sharding, suffix_dedup, token_counts, topk
@@ -30,12 +30,27 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of every text, and after an edit to its middle."""
+    """Counts of every text, after two edits to its middle, and after two more that go on from the leaves
+    which those left: one to its start, one that takes out a fifth."""
     tokenizer = token_counts.Tokenizer(spark)
-    rows = token_counts.with_trees(read_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer)
-    middle = F.floor(F.char_length(F.coalesce("text", F.lit(""))) / 2)
-    rows = rows.select("*", middle.alias("edit_start"), (middle + 16).alias("edit_stop"), F.lit("[edited] the middle").alias("edit_text"))
-    return token_counts.edited_counts(rows, tokenizer)
+    rows = token_counts.with_trees(read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text"), tokenizer)
+    n = F.char_length(F.coalesce("text", F.lit("")))
+
+    def edits(*each: tuple) -> Column:
+        return F.array(*[F.struct(a.cast("long").alias("start"), b.cast("long").alias("stop"), F.lit(new).alias("text")) for a, b, new in each])
+
+    middle = F.floor(n / 2)
+    first = edits((middle, middle + 16, "[edited] the middle"), (middle + 5, middle + 9, ""))
+    rows = rows.select("*", n.cast("long").alias("n_chars"), F.size("leaf_chars").alias("n_leaves"), F.col("n_tokens").alias("before"), first.alias("first"))
+    rows = token_counts.edited(rows, tokenizer, "first", "encoded_1")
+    second = edits((F.lit(0), F.lit(0), "A new start. "), (F.floor(n / 5), F.floor(2 * n / 5), " "))
+    rows = rows.select("*", n.cast("long").alias("chars_1"), F.col("n_tokens").alias("tokens_1"), second.alias("second"))
+    rows = token_counts.edited(rows, tokenizer, "second", "encoded_2")
+    return rows.select(
+        "doc_id", "n_chars", "n_leaves", F.col("before").alias("n_tokens"),
+        F.col("chars_1").alias("edited_chars"), F.col("tokens_1").alias("edited_tokens"), F.col("encoded_1").alias("chars_encoded"),
+        n.cast("long").alias("again_chars"), F.col("n_tokens").alias("again_tokens"), F.size("leaf_chars").alias("again_leaves"), F.col("encoded_2").alias("again_encoded"),
+    )
 
 
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,12 +19,11 @@ import re
 from collections.abc import Callable, Iterator
 from functools import cache
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import dense
+from .common import dense, fresh
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the public pre-token pattern of this vocabulary.
@@ -51,48 +50,125 @@ def leaves_of(text: str, size: int = LEAF_CHARS) -> list[str]:
     return out
 
 
+class Node:
+    """A leaf, or the sums over two subtrees. Nodes never change, so trees share what they have in common."""
+
+    __slots__ = ("left", "right", "leaves", "chars", "tokens")
+
+    def __init__(self, left: Node | None, right: Node | None, chars: int = 0, tokens: int = 0):
+        self.left, self.right = left, right
+        if left is None:
+            self.leaves, self.chars, self.tokens = 1, chars, tokens
+        else:
+            self.leaves, self.chars, self.tokens = left.leaves + right.leaves, left.chars + right.chars, left.tokens + right.tokens
+
+
+#: Fixed values of weight-balanced trees: no subtree has over 3 times its neighbour's leaves; a single
+#: rotation mends it where the inner grandchild has less than twice the outer one's.
+HEAVY, INNER = 3, 2
+
+
+def balanced(a: Node, b: Node) -> Node:
+    """a before b, where one may have grown or shrunk by a step."""
+    if b.leaves > HEAVY * a.leaves:
+        if b.left.leaves < INNER * b.right.leaves:
+            return Node(Node(a, b.left), b.right)
+        return Node(Node(a, b.left.left), Node(b.left.right, b.right))
+    if a.leaves > HEAVY * b.leaves:
+        if a.right.leaves < INNER * a.left.leaves:
+            return Node(a.left, Node(a.right, b))
+        return Node(Node(a.left, a.right.left), Node(a.right.right, b))
+    return Node(a, b)
+
+
+def joined(a: Node | None, b: Node | None) -> Node | None:
+    """The leaves of a, then those of b, in as many steps as their heights differ."""
+    if a is None or b is None:
+        return b if a is None else a
+    if a.leaves > HEAVY * b.leaves:
+        return balanced(a.left, joined(a.right, b))
+    if b.leaves > HEAVY * a.leaves:
+        return balanced(joined(a, b.left), b.right)
+    return Node(a, b)
+
+
+def parted(t: Node | None, k: int) -> tuple[Node | None, Node | None]:
+    """The first k leaves, and the others."""
+    if t is None or k <= 0:
+        return None, t
+    if k >= t.leaves:
+        return t, None
+    if k <= t.left.leaves:
+        a, b = parted(t.left, k)
+        return a, joined(b, t.right)
+    a, b = parted(t.right, k - t.left.leaves)
+    return joined(t.left, a), b
+
+
+def planted(chars, tokens) -> Node | None:
+    """A tree over leaves in order, level by level."""
+    level = [Node(None, None, int(c), int(n)) for c, n in zip(chars, tokens)]
+
+    def over(i: int, j: int) -> Node:
+        return level[i] if j - i == 1 else Node(over(i, (i + j) // 2), over((i + j) // 2, j))
+
+    return over(0, len(level)) if level else None
+
+
 class CountTree:
-    """Sums of characters and tokens over leaves; node i has the children 2 i and 2 i + 1."""
+    """Sums of characters and tokens over a text's leaves, as a tree that splits and joins in O(log n)."""
 
     def __init__(self, chars, tokens):
-        n = max(1, len(chars))
-        self.n, self.base = n, 1 << (n - 1).bit_length()
-        self.chars, self.tokens = (np.zeros(2 * self.base, np.int64) for _ in range(2))
-        for own, given in ((self.chars, chars), (self.tokens, tokens)):
-            own[self.base : self.base + len(given)] = given
-            level = self.base
-            while level > 1:
-                half = level // 2
-                own[half:level] = own[level : 2 * level : 2] + own[level + 1 : 2 * level : 2]
-                level = half
+        self.root = planted(chars, tokens) or Node(None, None)
 
     def locate(self, at: int) -> tuple[int, int]:
         """The leaf that holds character `at`, and where it starts; the last one beyond the end."""
-        if at >= self.chars[1]:
-            last = self.n - 1
-            return last, int(self.chars[1] - self.chars[self.base + last])
-        node, start = 1, 0
-        while node < self.base:
-            node *= 2
-            if at - start >= self.chars[node]:
-                start += int(self.chars[node])
-                node += 1
-        return node - self.base, start
-
-    def put(self, leaf: int, chars: int, tokens: int) -> None:
-        node = self.base + leaf
-        dc, dt = chars - self.chars[node], tokens - self.tokens[node]
-        while node:
-            self.chars[node] += dc
-            self.tokens[node] += dt
-            node //= 2
+        node, leaf, start = self.root, 0, 0
+        while node.left is not None:
+            if at - start < node.left.chars:
+                node = node.left
+            else:
+                leaf, start, node = leaf + node.left.leaves, start + node.left.chars, node.right
+        return leaf, start
+
+    def size_of(self, leaf: int) -> int:
+        """The characters of a leaf."""
+        node = self.root
+        while node.left is not None:
+            if leaf < node.left.leaves:
+                node = node.left
+            else:
+                leaf, node = leaf - node.left.leaves, node.right
+        return node.chars
+
+    def replace(self, first: int, last: int, chars, tokens) -> None:
+        """Other leaves in place of those from first to last."""
+        before, rest = parted(self.root, first)
+        _, after = parted(rest, last - first + 1)
+        self.root = joined(joined(before, planted(chars, tokens)), after)
 
     def leaves(self) -> tuple[list[int], list[int]]:
-        return tuple(x[self.base : self.base + self.n].tolist() for x in (self.chars, self.tokens))
+        chars, tokens, todo = [], [], [self.root]
+        while todo:
+            node = todo.pop()
+            if node.left is None:
+                chars.append(node.chars)
+                tokens.append(node.tokens)
+            else:
+                todo += [node.right, node.left]
+        return chars, tokens
+
+    @property
+    def n(self) -> int:
+        return self.root.leaves
+
+    @property
+    def chars(self) -> int:
+        return self.root.chars
 
     @property
     def total(self) -> int:
-        return int(self.tokens[1])
+        return self.root.tokens
 
 
 def build(text: str, count: Counter, size: int = LEAF_CHARS) -> CountTree:
@@ -101,27 +177,21 @@ def build(text: str, count: Counter, size: int = LEAF_CHARS) -> CountTree:
 
 
 def apply_edit(text: str, tree: CountTree, start: int, stop: int, new: str, count: Counter, size: int = LEAF_CHARS) -> tuple[str, int]:
-    """Replace [start, stop) by `new`: the edited text and how many characters were encoded again."""
+    """Replace [start, stop) by `new`: the edited text and how many characters were encoded again. What
+    is left of a leaf goes together with the next one when it is shorter than half a leaf."""
     start = min(max(start, 0), len(text))
     stop = min(max(stop, start), len(text))
     first, left = tree.locate(max(start - 2, 0))
     last, at = tree.locate(stop)
-    right = at + int(tree.chars[tree.base + last])
-    if stop >= len(text):
-        last, right = tree.n - 1, len(text)
-    region = text[left:start] + new + text[stop:right]
-    pieces = leaves_of(region, size)
-    room = last - first + 1
-    if len(pieces) > room:  # leaves have grown: the new ones take their place, the others keep their sums
-        chars, tokens = tree.leaves()
-        chars[first : last + 1] = map(len, pieces)
-        tokens[first : last + 1] = map(count, pieces)
-        tree.__init__(chars, tokens)
-        return text[:start] + new + text[stop:], len(region)
-    for k in range(room):
-        own = pieces[k : k + 1] if k < room - 1 else pieces[k:]
-        tree.put(first + k, sum(map(len, own)), sum(map(count, own)))
-    return text[:start] + new + text[stop:], len(region)
+    right = at + tree.size_of(last)
+    pieces = leaves_of(text[left:start] + new + text[stop:right], size)
+    while len(pieces[-1]) < size // 2 and last < tree.n - 1:
+        last += 1
+        more = tree.size_of(last)
+        pieces[-1:] = leaves_of(pieces[-1] + text[right : right + more], size)
+        right += more
+    tree.replace(first, last, [len(p) for p in pieces], [count(p) for p in pieces])
+    return text[:start] + new + text[stop:], sum(map(len, pieces))
 
 
 @cache
@@ -153,6 +223,8 @@ def with_trees(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     them) and `n_tokens`."""
     names = docs.columns
     at = names.index("text")
+    if taken := [c for c in ("leaf_chars", "leaf_tokens", "n_tokens") if fresh(docs, c) != c]:
+        raise ValueError(f"the table has columns of these names already: {', '.join(taken)}")
     schema = docs.selectExpr("*", "cast(null as array<int>) leaf_chars", "cast(null as array<int>) leaf_tokens", "cast(0 as long) n_tokens").schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,29 +241,37 @@ def with_trees(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     return dense(docs).mapInArrow(run, schema)
 
 
-EDITED = "doc_id long, n_chars long, n_leaves int, n_tokens long, edited_chars long, edited_tokens long, chars_encoded long"
+EDIT = "array<struct<start: long, stop: long, text: string>>"
 
 
-def edited_counts(rows: DataFrame, tokenizer: Tokenizer) -> DataFrame:
-    """Counts after one edit a document. rows: doc_id, text, leaf_chars, leaf_tokens and the edit's
-    edit_start, edit_stop, edit_text."""
+def edited(rows: DataFrame, tokenizer: Tokenizer, edits: str = "edits", encoded: str = "chars_encoded") -> DataFrame:
+    """Rows of `with_trees` after their edits: `edits` is a column of type EDIT, whose members apply one
+    after the other, each to what the one before left. `text`, `leaf_chars`, `leaf_tokens` and `n_tokens`
+    are those of the edited text, so that later edits go on from them; `encoded` is added."""
+    names = rows.columns
+    schema = rows.select("*", F.lit(0).cast("long").alias(encoded)).schema
+    place = {c: names.index(c) for c in ("text", "leaf_chars", "leaf_tokens", "n_tokens", edits)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = tokenizer.counter()
         for batch in batches:
-            out = []
-            for doc, text, chars, tokens, start, stop, new in zip(*(c.to_pylist() for c in batch.columns)):
-                text = text or ""
-                tree = CountTree(chars, tokens)
-                before, again = tree.total, 0
-                if start is not None and stop is not None:
-                    edited, again = apply_edit(text, tree, start, stop, new or "", count)
-                else:
-                    edited = text
-                out.append((doc, len(text), tree.n, before, len(edited), tree.total, again))
-            if out:
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=[x.split()[0] for x in EDITED.split(", ")])
-
-    cols = ("leaf_chars", "leaf_tokens", "edit_start", "edit_stop", "edit_text")
-    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *cols).mapInArrow(run, EDITED)
+            out = {c: batch.column(k).to_pylist() for c, k in place.items()}
+            again = []
+            for i, todo in enumerate(out[edits]):
+                again.append(0)
+                todo = [e for e in todo or [] if e and e["start"] is not None and e["stop"] is not None]
+                if not todo:
+                    continue
+                text, tree = out["text"][i] or "", CountTree(out["leaf_chars"][i], out["leaf_tokens"][i])
+                for e in todo:
+                    text, n = apply_edit(text, tree, e["start"], e["stop"], e["text"] or "", count)
+                    again[i] += n
+                out["text"][i], out["n_tokens"][i] = text, tree.total
+                out["leaf_chars"][i], out["leaf_tokens"][i] = tree.leaves()
+            columns = list(batch.columns)
+            for c, k in place.items():
+                if c != edits:
+                    columns[k] = pa.array(out[c], columns[k].type)
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(again, pa.int64())], names=[*names, encoded])
+
+    return rows.mapInArrow(run, schema)
