@@ -10,6 +10,7 @@ import argparse
 import json
 import sys
 import tempfile
+from itertools import accumulate
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,7 +95,8 @@ def main(args: list[str] | None = None) -> int:
     out = convert(messages, profile, settings)
     verdicts = [r.asDict() for r in out["gates"].orderBy("episode").collect()]
     good = [r for r in verdicts if r["status"] != "REJECT"]
-    index = spark.createDataFrame([(r["episode"], i, sum(x["frames"] for x in good[:i])) for i, r in enumerate(good)], "episode int, episode_index long, start long")
+    starts = accumulate((r["frames"] for r in good), initial=0)
+    index = spark.createDataFrame([(r["episode"], i, start) for i, (r, start) in enumerate(zip(good, starts))], "episode int, episode_index long, start long")
     frames = out["frames"].join(index, "episode").select(F.col("state").cast("array<float>").alias("observation.state"), F.col("action").cast("array<float>").alias("action"), "timestamp", "frame_index", "episode_index", (F.col("start") + F.col("frame_index")).alias("index"), F.lit(0).cast("long").alias("task_index"), F.lit(0).cast("long").alias("annotation.human.action.task_description"))
     temp = tempfile.mkdtemp(dir=Path(a.output).resolve().parent)
     episodes.write_frames(frames, temp)

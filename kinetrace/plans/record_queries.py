@@ -15,7 +15,7 @@ from ..functions import vectors as V
 from ..operators import audit, etl, processors, records, shards
 from ..operators.ordering import numbered
 from ..session import shared_dir, staged, table
-from ..sources import config, episodes, sides, video
+from ..sources import config, episodes, mp4, sides, video
 from ..streaming import live
 from . import legacy
 from .common import EVENTS, events, r6, registry, shard_lists, stream
@@ -589,6 +589,26 @@ def encoding_faults(spark, sf):
     return video.encoding_faults(probes, frames, 30.0)
 
 
+@query("""WITH l AS (SELECT l_orderkey AS video, row_number() OVER w - 1 AS sample, CAST(l_quantity AS BIGINT) AS size, l_returnflag = 'R' AS asked, l_linestatus = 'O' AS gap
+        FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice)),
+    s AS (SELECT *, sample // 4 * 4 AS grp, sum(size + CASE WHEN gap THEN 9 ELSE 0 END) OVER (PARTITION BY video ORDER BY sample) - size AS start FROM l),
+    n AS (SELECT s.* FROM s JOIN (SELECT video, grp, max(sample) AS last FROM s WHERE asked GROUP BY ALL) USING (video, grp) WHERE sample <= last),
+    i AS (SELECT *, start IS DISTINCT FROM lag(start + size) OVER (PARTITION BY video ORDER BY start, sample) AS fresh FROM n),
+    r AS (SELECT *, count(CASE WHEN fresh THEN 1 END) OVER (PARTITION BY video ORDER BY start, sample) AS k FROM i)
+    SELECT video, CAST(min(start) AS BIGINT) AS start, CAST(max(start + size) AS BIGINT) AS stop, count(*) AS n_samples FROM r GROUP BY video, k""")
+def video_byte_ranges(spark, sf):
+    """Orders as videos with their lines as samples, each fourth one a sync sample and some with other data
+    before them: the bytes to read for the frames of returned lines."""
+    w = W.partitionBy("video").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    rows = table(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "video").withColumn("sample", (F.row_number().over(w) - 1).cast("long"))
+    size = F.col("l_quantity").cast("long")
+    ahead = F.when(F.col("l_linestatus") == "O", 9).otherwise(0)
+    start = F.sum(size + ahead).over(W.partitionBy("video").orderBy("sample").rowsBetween(W.unboundedPreceding, 0)) - size
+    group = (F.floor(F.col("sample") / 4) * 4).cast("long")
+    samples = rows.select("video", "sample", F.col("sample").alias("frame_index"), group.alias("group"), start.alias("start"), size.alias("size"), (F.col("l_returnflag") == "R").alias("asked"))
+    return mp4.byte_ranges(mp4.needed(samples.drop("asked"), samples.where("asked")))
+
+
 @query("""WITH s AS (SELECT conv_id, turn FROM conversations), r AS (SELECT conv_id, turn, 2 AS k, 'episode_step' AS type, CAST(NULL AS VARCHAR) AS role FROM s UNION ALL
         SELECT conv_id, turn, 1, 'text', role FROM conversations UNION ALL SELECT DISTINCT conv_id, NULL, 0, 'start_of_episode', NULL FROM s UNION ALL SELECT DISTINCT conv_id, NULL, 3, 'end_of_episode', NULL FROM s)
     SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY k = 3, k <> 0, turn, k) - 1 AS position, type, role FROM r""")
@@ -644,3 +664,35 @@ def stream_bounded_hold(spark, sf):
     e = event_stream(spark, sf).where("stream in ('click', 'view')")
     rows = e.select("episode", "t", F.when(F.col("stream") == "view", "anchor").otherwise("command").alias("kind"), "value")
     return drained(live.running_hold(rows, 172_800_000_000), "append", "hold").select("episode", "t", "value", "age")
+
+
+#: The watermark after all events have been read, in microseconds: a day behind, cut to milliseconds.
+MARK = "(SELECT max(epoch_us(ts)) // 1000 * 1000 - 86400000000 FROM events)"
+
+
+def timed_events(spark, sf):
+    return event_stream(spark, sf).select("episode", "stream", F.timestamp_micros("t").alias("ts"), "t", "value")
+
+
+@query(f"""WITH w AS (SELECT epoch_us(ts) // {6 * 3_600_000_000} * {6 * 3_600_000_000} AS start, event_type AS stream, value FROM events)
+    SELECT start, stream, count(*) AS n, round(sum(value), 4) AS total FROM w WHERE start + {6 * 3_600_000_000} <= {MARK} GROUP BY start, stream""")
+def stream_windows(spark, sf):
+    """Counts of six-hour windows as a stream, each given out once the watermark has passed its end."""
+    rows = drained(live.windowed_counts(timed_events(spark, sf), "ts", ["stream"], "6 hours", late="1 day"), "append", "windows")
+    return rows.select(F.unix_micros("start").alias("start"), "stream", "n", F.round("total", 4).alias("total"))
+
+
+@query(f"""WITH s AS (SELECT user_id, epoch_us(ts) AS t, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER w < {12 * 3_600_000_000} THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+    k AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY t) AS session FROM s)
+    SELECT user_id AS episode, min(t) AS start, max(t) + {12 * 3_600_000_000} AS "end", count(*) AS n FROM k GROUP BY user_id, session HAVING max(t) + {12 * 3_600_000_000} <= {MARK}""")
+def stream_sessions(spark, sf):
+    """Sessions as a stream, each given out once no event can prolong it."""
+    rows = drained(live.session_counts(timed_events(spark, sf), "ts", ["episode"], "12 hours", "1 day"), "append", "sessions")
+    return rows.select("episode", F.unix_micros("start").alias("start"), F.unix_micros("end").alias("end"), "n")
+
+
+@query("SELECT DISTINCT user_id AS episode, event_type AS stream FROM events")
+def stream_distinct(spark, sf):
+    """The kinds of events of each user, each once, as a stream whose state goes with the watermark."""
+    rows = live.distinct_events(timed_events(spark, sf), "ts", ["episode", "stream"], "3650 days")
+    return drained(rows, "append", "distinct").select("episode", "stream")
