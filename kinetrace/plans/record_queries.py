@@ -696,3 +696,15 @@ def stream_distinct(spark, sf):
     """The kinds of events of each user, each once, as a stream whose state goes with the watermark."""
     rows = live.distinct_events(timed_events(spark, sf), "ts", ["episode", "stream"], "3650 days")
     return drained(rows, "append", "distinct").select("episode", "stream")
+
+
+@query(E + f""", s AS (SELECT user_id, t, event_type, max(CASE WHEN event_type = 'click' THEN (t, value) END) OVER (PARTITION BY user_id ORDER BY t, event_type ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS held FROM e WHERE event_type IN ('click', 'view'))
+    SELECT user_id AS episode, t, CASE WHEN t - held[1] <= 172800000000 THEN held[2] END AS value, t - held[1] AS age FROM s WHERE event_type = 'view'
+    AND t <= (SELECT max(t) // 1000 * 1000 - 86400000000 FROM e WHERE event_type IN ('click', 'view'))""")
+def stream_ordered_hold(spark, sf):
+    """Views with the last click at or before them, whatever order they come in within a day; those that
+    the watermark hasn't passed are still held back."""
+    e = event_stream(spark, sf).where("stream in ('click', 'view')")
+    rows = e.select("episode", "t", F.when(F.col("stream") == "view", "anchor").otherwise("command").alias("kind"), "value")
+    with live.rocksdb_state(spark):
+        return drained(live.ordered_hold(rows, 172_800_000_000, "1 day"), "append", "ordered").select("episode", "t", "value", "age")

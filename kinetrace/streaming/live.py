@@ -7,11 +7,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 AUDIT = "episode long, stream string, n long, first_t long, last_t long, n_zero long, n_duplicate long, n_backward long, n_large_gap long"
@@ -132,6 +134,91 @@ def running_hold(rows: DataFrame, max_age: int, wait: int = 0, idle_ms: int | No
     return rows.groupBy("episode").applyInPandasWithState(step, "episode long, t long, value double, age long", HOLD_STATE, "append", _timeout(idle_ms))
 
 
+def held_at(t: np.ndarray, anchor: np.ndarray, value: np.ndarray, held: tuple[int, float] | None) -> tuple[np.ndarray, np.ndarray, tuple[int, float] | None]:
+    """For each row in order the time and value of the last command up to it, and the last one of all; the
+    time is -1 where there is none. held is the last command before these rows."""
+    past = (-1, math.nan) if held is None else held
+    times, values = np.append(past[0], t), np.append(past[1], value)
+    at = np.maximum.accumulate(np.append(0, np.where(anchor, 0, np.arange(1, len(t) + 1))))
+    last = (int(times[at[-1]]), float(values[at[-1]]))
+    return times[at[1:]], values[at[1:]], None if last[0] < 0 else last
+
+
+class OrderedHold(StatefulProcessor):
+    """State of `ordered_hold`: the last command given out, and the rows that the watermark hasn't passed."""
+
+    def __init__(self, max_age: int, idle: int | None):
+        self.max_age, self.idle = max_age, idle
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getValueState("held", "t long, value double")
+        self.waiting = handle.getListState("waiting", "t long, anchor boolean, value double")
+
+    def wake(self, t: int) -> None:
+        """Call back once the watermark, in milliseconds, has passed t."""
+        self.handle.registerTimer(-(-t // 1000))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new = pd.concat(list(rows))
+        self.waiting.appendList([(int(t), bool(a), None if pd.isna(v) else float(v)) for t, a, v in zip(new["t"], new["anchor"], new["value"])])
+        self.wake(int(new["t"].min()))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        waiting = sorted((tuple(r) for r in self.waiting.get()), key=lambda r: (r[0], r[1])) if self.waiting.exists() else []
+        ready, rest = [r for r in waiting if r[0] <= passed], [r for r in waiting if r[0] > passed]
+        held = tuple(self.held.get()) if self.held.exists() else None
+        if ready:
+            t, anchor = np.array([r[0] for r in ready], np.int64), np.array([r[1] for r in ready], bool)
+            known, value, held = held_at(t, anchor, np.array([math.nan if r[2] is None else r[2] for r in ready]), held)
+            if held is not None:
+                self.held.update(held)
+            if rest:
+                self.waiting.put(rest)
+            else:
+                self.waiting.clear()
+        if rest:
+            self.wake(rest[0][0])
+        if held is not None and self.idle is not None:
+            if held[0] + self.idle < passed:
+                self.held.clear()
+            else:
+                self.wake(held[0] + self.idle + 1000)
+        if ready and anchor.any():
+            out = pd.DataFrame({"episode": key[0], "t": t, "value": pd.array(value, "Float64"), "age": pd.array(t - known, "Int64")})
+            gone = known < 0 if self.idle is None else (known < 0) | (t - known > self.idle)
+            out.loc[gone, ["value", "age"]] = pd.NA
+            out.loc[(t - known > self.max_age) | np.isnan(value), "value"] = pd.NA
+            yield out[anchor]
+
+    def close(self) -> None:
+        pass
+
+
+def ordered_hold(rows: DataFrame, max_age: int, delay: str, idle: int | None = None) -> DataFrame:
+    """Causal hold over one stream of anchors and commands (episode, t in microseconds from 0, kind, value),
+    which may come in any order within `delay`: an event-time timer gives each anchor out once the watermark
+    has passed it, with the last command at or before it, unless older than max_age. Rows behind the
+    watermark are dropped. With `idle`, a command counts no longer than that, and its state goes.
+    Output mode: append; needs `rocksdb_state`."""
+    timed = rows.select("episode", "t", (F.col("kind") == "anchor").alias("anchor"), F.col("value").cast("double").alias("value"), F.timestamp_micros("t").alias("ts"))
+    return timed.withWatermark("ts", delay).groupBy("episode").transformWithStateInPandas(OrderedHold(max_age, idle), "episode long, t long, value double, age long", "Append", "EventTime")
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started in here keep their state in RocksDB, which timers need."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def windowed_counts(events: DataFrame, ts: str, by: list[str], width: str, slide: str | None = None, late: str | None = None) -> DataFrame:
     """Counts and sums per tumbling or sliding window; events later than `late` are dropped."""
     df = events.withColumn(ts, F.col(ts).cast("timestamp"))

@@ -93,3 +93,37 @@ def test_distinct(spark, feed):
     schema = "ts timestamp, id long"
     out = run(spark, live.distinct_events(feed([[(at, 1), (at, 2)], [(at, 1), (at, 3)]], schema), "ts", ["id"], "1 hour"), "append", "ids")
     assert sorted(r.id for r in out) == [1, 2, 3]
+
+
+def test_shuffled_and_late_rows_give_the_batch_rows(spark, feed):
+    import random
+
+    ms = 1000
+    rng = random.Random(5)
+    rows = [(e, t * ms + e, rng.choice(["anchor", "command"]), float(t)) for e in (1, 2) for t in range(0, 4000, 37)]
+    rows.append((1, 2000 * ms + 1, "anchor", None))
+    near = sorted(rows, key=lambda r: r[1] + rng.randrange(900 * ms))  # at most 900 ms behind a later row
+    flush = [[(3, 10_000 * ms, "command", 0.0)], [(1, 5, "anchor", 0.0), (3, 20_000 * ms, "command", 0.0)], [(1, 21_000 * ms, "anchor", 0.0)], [(3, 40_000 * ms, "anchor", 0.0)]]
+    batches = [near[i : i + 40] for i in range(0, len(near), 40)] + flush
+    source = feed(batches, "episode long, t long, kind string, value double")
+    with live.rocksdb_state(spark):
+        out = run(spark, live.ordered_hold(source, 300 * ms, "1 second", idle=15_000 * ms), "append", "ordered")
+    want, held = {}, {}
+    for e, t, kind, v in sorted(rows, key=lambda r: (r[0], r[1], r[2] == "anchor")):
+        if kind == "command":
+            held[e] = (t, v)
+        else:
+            age = t - held[e][0] if e in held else None
+            want[e, t] = (held[e][1] if age is not None and age <= 300 * ms else None, age)
+    # The anchor behind the watermark is dropped; the one after a long pause finds no command any more.
+    want[1, 21_000 * ms] = (None, None)
+    assert {(r.episode, r.t): (r.value, r.age) for r in out} == want
+
+
+def test_held_at():
+    import numpy as np
+
+    t, v, last = live.held_at(np.array([1, 2, 3]), np.array([True, False, True]), np.array([0.0, 5.0, 0.0]), None)
+    assert t.tolist() == [-1, 2, 2] and v[1:].tolist() == [5.0, 5.0] and last == (2, 5.0)
+    assert live.held_at(np.array([4]), np.array([True]), np.array([0.0]), (3, 7.0))[2] == (3, 7.0)
+    assert live.held_at(np.array([4]), np.array([True]), np.array([0.0]), None)[2] is None
