@@ -110,26 +110,25 @@ def cross(a: ColumnLike, b: ColumnLike) -> Column:
 @bound
 def rot6d_matrix(r: ColumnLike) -> Column:
     """Gram-Schmidt on the two rows, and their cross product."""
-    a, b = part(doubles(r), 0, 3), part(doubles(r), 3, 6)
-    x = scaled(a, 1 / norm(a))
-    rest = minus(b, scaled(x, dot(x, b)))
-    y = scaled(rest, 1 / norm(rest))
-    return F.concat(x, y, cross(x, y))
+    x, b = quat_unit(part(doubles(r), 0, 3)), part(doubles(r), 3, 6)
+
+    def rows(x: Column, b: Column) -> Column:
+        y = quat_unit(minus(b, scaled(x, dot(x, b))))
+        return let(lambda y: F.concat(x, y, cross(x, y)), y)
+
+    return let(rows, x, b)
 
 
 @bound
 def quat_rotvec(q: ColumnLike) -> Column:
     """Axis times angle, the angle 2 atan2(|v|, w)."""
     v, w = part(doubles(q), 0, 3), F.get(doubles(q), F.lit(3))
-    n = norm(v)
-    return F.when(n < 1e-12, scaled(v, F.lit(2.0))).otherwise(scaled(v, 2 * F.atan2(n, w) / n))
+    return let(lambda v, n: scaled(v, F.when(n < 1e-12, F.lit(2.0)).otherwise(2 * F.atan2(n, w) / n)), v, norm(v))
 
 
 @bound
 def rotvec_quat(v: ColumnLike) -> Column:
-    a = norm(v)
-    s = F.when(a < 1e-12, F.lit(0.5)).otherwise(F.sin(a / 2) / a)
-    return F.concat(scaled(v, s), F.array(F.cos(a / 2)))
+    return let(lambda a: F.concat(scaled(v, F.when(a < 1e-12, F.lit(0.5)).otherwise(F.sin(a / 2) / a)), F.array(F.cos(a / 2))), norm(v))
 
 
 @bound

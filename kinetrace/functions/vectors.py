@@ -127,7 +127,8 @@ def plus(a: ColumnLike, b: ColumnLike) -> Column:
 
 
 def scaled(v: ColumnLike, s: Column) -> Column:
-    return F.transform(doubles(v), lambda x: x * s)
+    """v times s, which is computed once and not for each element."""
+    return let(lambda k: F.transform(doubles(v), lambda x: x * k), s)
 
 
 def lerp(a: ColumnLike, b: ColumnLike, f: Column) -> Column:

@@ -264,16 +264,16 @@ def test_secrets(spark, docs, none):
 
 
 def test_secrets_learn_from_every_candidate(spark, monkeypatch):
-    """More findings than any cap: each trains or calibrates, in several blocks."""
+    """More findings than any cap: each trains or calibrates, in several blocks. A text has two, the assignment and its digits."""
     rows = [(i, f"see token = {hashlib.sha256(str(i).encode()).hexdigest()[:30]} end") for i in range(1300)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    held = sum(brute.crc(str(i)) % 4 == 2 for i in range(1300))
+    held = 2 * sum(brute.crc(str(i)) % 4 == 2 for i in range(1300))
     seen, train, count = [], secrets.trained_round, secrets.score_counts
     monkeypatch.setattr(secrets, "BLOCK_ROWS", 500)
     monkeypatch.setattr(secrets, "trained_round", lambda rows, blocks, *more: seen.append((rows.count(), blocks)) or train(rows, blocks, *more))
     monkeypatch.setattr(secrets, "score_counts", lambda rows, net: seen.append(count(rows, net)) or seen[-1])
     net = secrets.fit(df)
-    assert seen[:-1] == [(1300 - held, -(-(1300 - held) // 500))] * secrets.ROUNDS and seen[-1][2].sum() == held
+    assert seen[:-1] == [(2600 - held, -(-(2600 - held) // 500))] * secrets.ROUNDS and seen[-1][2].sum() == held
     assert 0 < net.threshold < 1
 
 

@@ -85,6 +85,14 @@ def test_pose_formats(spark, kind):
     assert np.allclose(got.c0, [0.1, 0.2, 0.3, *matrix(q).ravel()[:6]])
 
 
+def test_pose_conversions_do_not_repeat_norms(spark):
+    """Repeated in the expression, a norm would be computed for each mention, in powers of the depth."""
+    df = spark.createDataFrame([([0.1] * 9,)], "p array<double>")
+    for kind, to, most in (("xyz_rot6d", "matrix", 4), ("xyz_rot6d", "xyz_rotvec", 8), ("xyz_rotvec", "xyz_rot6d", 2)):
+        plan = df.select(R.converted_pose("p", kind, to))._jdf.queryExecution().analyzed().toString()
+        assert 1 <= plan.upper().count("SQRT(") <= most
+
+
 def test_euler_orders(spark):
     def about(axis, t):
         c, s = math.cos(t), math.sin(t)
