@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -36,18 +37,22 @@ def butterworth(order: int, cutoff: float, rate: float) -> np.ndarray:
 BLOCK = 128
 
 
-def section_responses(section: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+@lru_cache(maxsize=16)
+def section_responses(section: tuple[float, ...], n: int) -> tuple[np.ndarray, np.ndarray]:
     """A section's outputs and states over n steps from an impulse, and from each of its two states:
-    (responses: 3 x n, states before each step and after the last: 3 x (n + 1) x 2)."""
+    (responses: 3 x n, states before each step and after the last: 3 x (n + 1) x 2). Plain numbers, as
+    arrays of three would take most of the time of a short series."""
     b0, b1, b2, _, a1, a2 = section
-    x = np.zeros((3, n))
-    x[0, 0] = 1
     y, z = np.zeros((3, n)), np.zeros((3, n + 1, 2))
-    z[1, 0, 0] = z[2, 0, 1] = 1
-    for i in range(n):
-        y[:, i] = b0 * x[:, i] + z[:, i, 0]
-        z[:, i + 1, 0] = b1 * x[:, i] - a1 * y[:, i] + z[:, i, 1]
-        z[:, i + 1, 1] = b2 * x[:, i] - a2 * y[:, i]
+    for k, (x, u, v) in enumerate(((1.0, 0.0, 0.0), (0.0, 1.0, 0.0), (0.0, 0.0, 1.0))):
+        out, states = [], [(u, v)]
+        for _ in range(n):
+            o = b0 * x + u
+            u, v = b1 * x - a1 * o + v, b2 * x - a2 * o
+            x = 0.0
+            out.append(o)
+            states.append((u, v))
+        y[k], z[k] = out, states
     return y, z
 
 
@@ -67,7 +72,7 @@ def run_sections(sections: np.ndarray, x: np.ndarray, steady: np.ndarray | None
             state[1] = (b2 - a2 * gain) * level
             state[0] = (b1 - a1 * gain) * level + state[1]
         n = min(BLOCK, len(y))
-        out, z = section_responses(section, n)
+        out, z = section_responses(tuple(section.tolist()), n)
         lags = np.arange(n)[:, None] - np.arange(n)
         toeplitz = np.where(lags >= 0, out[0][np.maximum(lags, 0)], 0.0)
         done = np.empty_like(y)

@@ -152,6 +152,13 @@ def test_aligned_checks(spark):
     assert got == {1: [], 2: ["frame_count_mismatch", "future_action_violation", "non_finite_payload", "output_timestamp_mismatch"]}
 
 
+def test_filter_computes_the_responses_of_a_section_once():
+    """Forwards and backwards share them."""
+    signal.section_responses.cache_clear()
+    signal.zero_phase(signal.butterworth(4, 5.0, 200.0), np.arange(40.0)[:, None])
+    assert signal.section_responses.cache_info()[:2] == (2, 2)
+
+
 def test_filter_keeps_low_and_drops_high():
     t = np.arange(0, 4, 1 / 200)
     x = np.sin(2 * np.pi * 5 * t) + np.sin(2 * np.pi * 30 * t)
