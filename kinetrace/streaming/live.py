@@ -41,8 +41,9 @@ def running_audit(messages: DataFrame, max_gap: int, idle_ms: int | None = None)
         if _gone(state):
             return
         n, first, last, prev, zero, dup, back, gap = state.get if state.exists else (0, None, None, None, 0, 0, 0, 0)
-        rows = pd.concat(list(batches)).sort_values("seq", kind="stable")
-        t = rows["t"].to_numpy(np.int64)
+        parts = [(b["seq"].to_numpy(), b["t"].to_numpy(np.int64)) for b in batches]
+        seq, t = parts[0] if len(parts) == 1 else (np.concatenate(c) for c in zip(*parts))
+        t = t[np.argsort(seq, kind="stable")]
         dt = np.diff(t if prev is None else np.concatenate([[prev], t]))
         n, zero = n + len(t), zero + int((t == 0).sum())
         dup, back, gap = dup + int((dt == 0).sum()), back + int((dt < 0).sum()), gap + int((dt > max_gap).sum())
