@@ -64,6 +64,11 @@ def dense(docs: DataFrame) -> DataFrame:
     return docs.coalesce(width_of(docs))
 
 
+#: Pages of few rows and small row groups: Parquet's writer else looks at the size of either after 100
+#: rows only, and both sides hold a page whole.
+LONG_ROWS = {"parquet.page.row.count.limit": "4", "parquet.block.size": str(16 << 20), "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "64"}
+
+
 class Scratch:
     """Intermediate tables of one operator run, and its result.
 
@@ -108,11 +113,11 @@ class Scratch:
             if table in self.kept:
                 self.kept.pop(table).unpersist()
 
-    def store(self, df: DataFrame, table: str, rows: int | None = None) -> DataFrame:
-        """df as a table in the shared folder."""
+    def store(self, df: DataFrame, table: str, rows: int | None = None, long_rows: bool = False) -> DataFrame:
+        """df as a table in the shared folder; `long_rows` says that a row may take some MB."""
         self.stored.add(table)
         with self.freeing():
-            self.pack(df, rows).write.mode("overwrite").option("compression", "zstd").parquet(f"{self.root}/{table}")
+            self.pack(df, rows).write.mode("overwrite").options(compression="zstd", **(LONG_ROWS if long_rows else {})).parquet(f"{self.root}/{table}")
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{table}").coalesce(self.width)
 
     def finish(self, df: DataFrame, table: str = "result") -> DataFrame:

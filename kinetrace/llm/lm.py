@@ -32,6 +32,9 @@ from .common import BASE, Scratch, dense, mix, utf8
 from .words import BLOCK, Block, blocks, classes, fingerprints
 
 KIND = classes(b" \t\n\x0b\x0c\r")
+#: Bytes of text in a block. Arrays of a block's tokens and n-grams are some times that long, in Python and,
+#: as rows, in the heap.
+LIMIT = BLOCK // 4
 #: Roles of documents: counts for the weights come from the first, the weights from the second; both are
 #: training documents. The role is a block id's last two bits.
 ESTIMATE, DELETED, TEST = 0, 1, 2
@@ -56,24 +59,37 @@ def role_column(options: Options):
     return F.when(held_out, TEST).when(apart, DELETED).otherwise(ESTIMATE).cast("int")
 
 
+#: Rows that are read from a stored table at a time; a block's row takes some MB.
+READ_ROWS = 4
+
+
 @contextmanager
 def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Python workers get so many rows at a time: few for blocks, more for the packs that meet them."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
+    """Python workers get so many rows at a time: few for blocks, more for the packs that meet them. Stored
+    rows are read few at a time: thousands of them, as Spark reads by default, would fill the heap."""
+    held = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.parquet.columnarReaderBatchSize": READ_ROWS}
+    before = {key: spark.conf.get(key) for key in held}
+    for key, value in held.items():
+        spark.conf.set(key, str(value))
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+#: Bytes before a packed value that tell its unpacked size.
+HEAD = np.dtype(np.int64).itemsize
 
 
 def planes(values: np.ndarray) -> bytes:
-    """Integers by byte planes, which compress well when most are small."""
-    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes()
+    """Integers by byte planes, compressed: most are small, and rows stay short wherever Spark holds them."""
+    raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes()
+    return len(raw).to_bytes(HEAD, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
-def unplaned(raw: bytes, kind: type) -> np.ndarray:
+def unplaned(packed: bytes, kind: type) -> np.ndarray:
+    raw = pa.decompress(memoryview(packed)[HEAD:], int.from_bytes(packed[:HEAD], "little"), "zstd")
     size = np.dtype(kind).itemsize
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
@@ -177,8 +193,8 @@ def gram_rows(stored: DataFrame, size: int, order: int, parts: int) -> DataFrame
                 by, part = parts_of(keys, parts)
                 keys, n = keys[by], n[by]
                 cuts = np.flatnonzero(np.diff(part, prepend=-1))
-                for first, last in zip(cuts.tolist(), [*cuts[1:].tolist(), len(part)]):
-                    yield pa.RecordBatch.from_arrays([pa.array([part[first]], pa.int32()), pa.array([row["block"]]), pa.array([keys[first:last].tobytes()]), pa.array([n[first:last].tobytes()])], names=["part", "block", "keys", "counts"])
+                runs = [slice(*x) for x in zip(cuts.tolist(), [*cuts[1:].tolist(), len(part)])]
+                yield pa.RecordBatch.from_arrays([pa.array(part[cuts], pa.int32()), pa.array([row["block"]] * len(runs), pa.int64()), pa.array([keys[x].tobytes() for x in runs], pa.binary()), pa.array([planes(n[x]) for x in runs], pa.binary())], names=["part", "block", "keys", "counts"])
 
     return stored.mapInArrow(run, "part int, block long, keys binary, counts binary")
 
@@ -192,7 +208,7 @@ def part_totals(packed: pa.Table) -> pa.Table:
     last two columns share out the numbers of distinct ones."""
     raw, at = utf8(packed.column("keys"))
     keys = raw.view(np.uint64)
-    n = utf8(packed.column("counts"))[0].view(np.int32).astype(np.int64)
+    n = np.concatenate([unplaned(raw, np.int32) for raw in packed.column("counts").to_pylist()]).astype(np.int64)
     blocks_, sizes = packed.column("block").to_numpy(), np.diff(at) // 8
     role = np.repeat(blocks_ & 3, sizes)
     by = np.argsort(keys, kind="stable")
@@ -299,13 +315,13 @@ def learn_weights(events: DataFrame, options: Options, even: float) -> np.ndarra
     return weights
 
 
-def scores(spark: SparkSession, docs: DataFrame, options: Options = Options(), limit: int = BLOCK // 2) -> DataFrame:
+def scores(spark: SparkSession, docs: DataFrame, options: Options = Options(), limit: int = LIMIT) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of docs; scores
     are logarithms to base 10."""
     order = options.order
     scratch = Scratch(spark, "lm", docs)
     rows = docs.select(F.monotonically_increasing_id().alias("doc"), role_column(options).alias("role"), "doc_id", "text")
-    stored = scratch.store(tokenised(rows, order, limit), "blocks")
+    stored = scratch.store(tokenised(rows, order, limit), "blocks", long_rows=True)
     role = F.col("block").bitwiseAND(F.lit(3))
     sums = stored.agg(*[F.coalesce(F.sum(F.when(test, F.col("tokens"))), F.lit(0)).alias(k) for k, test in (("all", F.lit(True)), ("learned", role != TEST), ("estimated", role == ESTIMATE))]).first()
     n_parts = max(scratch.width, sums["all"] // PART_GRAMS)
@@ -313,7 +329,7 @@ def scores(spark: SparkSession, docs: DataFrame, options: Options = Options(), l
     for size in range(1, order + 1):
         with batches_of(spark, 2):
             packed = gram_rows(stored, size, order, n_parts).groupBy("part").applyInArrow(part_totals, TOTALS).withColumn("size", F.lit(size))
-            answers.append(scratch.store(packed, f"answers{size}"))
+            answers.append(scratch.store(packed, f"answers{size}", long_rows=True))
     kinds = answers[0].agg(F.sum("n_learned").alias("learned"), F.sum("n_estimated").alias("estimated")).first()
     size_of = {k: (sums[k], max(0, kinds[k] - (order - 1)) if sums[k] else 0) for k in ("learned", "estimated")}
     asked = answers[0].drop("n_learned", "n_estimated")
@@ -333,7 +349,7 @@ def scores(spark: SparkSession, docs: DataFrame, options: Options = Options(), l
         return pa.Table.from_pylist(out, pa.schema([("group", pa.binary()), ("shares", pa.binary())]))
 
     with batches_of(spark, 256):
-        apart = scratch.store(meet(stored.where(role == DELETED), events, "group binary, shares binary"), "events")
+        apart = scratch.store(meet(stored.where(role == DELETED), events, "group binary, shares binary"), "events", long_rows=True)
         apart = apart.coalesce(max(1, min(scratch.width, apart.count())))
     with batches_of(spark, 1):
         weights = learn_weights(apart, options, 1 / (size_of["estimated"][1] + 1))

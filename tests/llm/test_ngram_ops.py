@@ -231,6 +231,36 @@ def test_lm_learns_weights_that_fit_held_out_text(spark):
     assert learned[0] > even[0] + 0.02 * learned[2] and learned[0] > learned[1] + 0.2 * learned[2]
 
 
+def test_lm_reads_few_rows_at_a_time(spark):
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(key)
+    with lm.batches_of(spark, 256):
+        assert int(spark.conf.get(key)) == lm.READ_ROWS
+    assert spark.conf.get(key) == before
+
+
+def test_long_rows_are_stored_in_small_row_groups(spark):
+    from pyarrow import parquet
+
+    from kinetrace.llm.common import Scratch
+
+    scratch = Scratch(spark, "long", spark.range(1))
+    made = lambda frames: (d.assign(b=[np.random.default_rng(i).bytes(1 << 20) for i in d["id"]]) for d in frames)
+    rows = spark.range(0, 60, 1, 1).mapInPandas(made, "id long, b binary")
+    stored = scratch.store(rows, "rows", long_rows=True)
+    files = [f.removeprefix("file://") for f in stored.inputFiles()]
+    groups = [parquet.ParquetFile(f).metadata.row_group(i).num_rows for f in files for i in range(parquet.ParquetFile(f).metadata.num_row_groups)]
+    assert sum(groups) == 60 and max(groups) <= 40
+    assert stored.agg(F.sum("id"), F.min(F.length("b"))).first()[:] == (1770, 1 << 20)
+
+
+def test_lm_packed_values(spark):
+    for kind in (np.int32, np.int64):
+        for values in ([7], [0] * 5000, [1, -1, np.iinfo(kind).max, np.iinfo(kind).min]):
+            assert lm.unplaned(lm.planes(np.array(values, kind)), kind).tolist() == values
+    assert len(lm.planes(np.ones(100_000, np.int64))) < 1000
+
+
 def test_lm_odd_rows(spark):
     rows = [(None, "a b"), (None, None), (1, "a b c"), (1, "a b c"), (2, ""), (3, " \n "), (4, "w" * 5000)]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 block", "2 role", "'x' score", "0 doc")
