@@ -95,25 +95,33 @@ def zero_phase(sections: np.ndarray, x: np.ndarray) -> np.ndarray:
     return y[n : n + len(x)] if n else y
 
 
-def low_pass(t: np.ndarray, v: np.ndarray, cutoff: float, order: int) -> np.ndarray:
-    """Regular grid at the median interval, zero-phase filter, back to the sample times."""
+def regular_grid(t: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """(median interval, times from the first one on, the grid at that interval)."""
     if len(t) < 4:
         raise ValueError("a filter needs four samples")
     dt = np.diff(t)
     if (dt <= 0).any():
         raise ValueError("times must increase")
     step = float(np.median(dt))
-    grid = np.arange(0, t[-1] - t[0] + dt.mean() / 2, step)
-    rel = t - t[0]
-    reg = np.stack([np.interp(grid, rel, c) for c in v.T], axis=1)
-    out = zero_phase(butterworth(order, cutoff, 1 / step), reg)
-    return np.stack([np.interp(rel, grid, c) for c in out.T], axis=1)
+    return step, t - t[0], np.arange(0, t[-1] - t[0] + dt.mean() / 2, step)
+
+
+def at_times(at: np.ndarray, t: np.ndarray, v: np.ndarray) -> np.ndarray:
+    return np.stack([np.interp(at, t, c) for c in v.T], axis=1)
+
+
+def low_pass(t: np.ndarray, v: np.ndarray, cutoff: float, order: int) -> np.ndarray:
+    """Regular grid at the median interval, zero-phase filter, back to the sample times."""
+    step, rel, grid = regular_grid(t)
+    out = zero_phase(butterworth(order, cutoff, 1 / step), at_times(grid, rel, v))
+    return at_times(rel, grid, out)
 
 
-def filtered(df: DataFrame, by: Sequence[str], t: str, value: str, per_second: float, cutoff: float = 10.0, order: int = 4) -> DataFrame:
+def filtered(df: DataFrame, by: Sequence[str], t: str, value: str, per_second: float, cutoff: float = 10.0, order: int = 4, into: str | None = None) -> DataFrame:
     """Rows (by, t, value) with the vector column filtered; series that can't be keep their values and
-    say why in `filter_error`."""
-    schema = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in (*by, t)), f"`{value}` array<double>", "filter_error string"])
+    say why in `filter_error`. With `into`, that column has the filtered values beside the given ones."""
+    kept = [*by, t, *([value] if into else [])]
+    schema = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept), f"`{into or value}` array<double>", "filter_error string"])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(t, kind="stable")
@@ -123,18 +131,20 @@ def filtered(df: DataFrame, by: Sequence[str], t: str, value: str, per_second: f
             v = low_pass(pdf[t].to_numpy(float) / per_second, v, cutoff, order)
         except ValueError as e:
             error = str(e)
-        return pdf[[*by, t]].assign(**{value: list(v), "filter_error": error})
+        return pdf[kept].assign(**{into or value: list(v), "filter_error": error})
 
     return df.select(*by, t, value).groupBy(*by).applyInPandas(run, schema)
 
 
-def welch(x: np.ndarray, rate: float, size: int = 256) -> tuple[np.ndarray, np.ndarray]:
-    """Power spectral density: Hann windows of half overlap, each without its mean, averaged."""
+def welch(x: np.ndarray, rate: float, size: int = 512) -> tuple[np.ndarray, np.ndarray]:
+    """Power spectral density: Hann windows of half overlap, each without its linear trend, averaged."""
     size = min(size, len(x))
     window = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(size) / size)
     step = max(1, size - size // 2)
+    k = np.arange(size) - (size - 1) / 2
     parts = [x[i : i + size] for i in range(0, len(x) - size + 1, step)]
-    power = np.mean([np.abs(np.fft.rfft((p - p.mean(axis=0)) * window[:, None], axis=0)) ** 2 for p in parts], axis=0) / (rate * (window**2).sum())
+    level = [p - p.mean(axis=0) - np.outer(k, k @ p / (k @ k)) for p in parts]
+    power = np.mean([np.abs(np.fft.rfft(p * window[:, None], axis=0)) ** 2 for p in level], axis=0) / (rate * (window**2).sum())
     power[1 : -1 if size % 2 == 0 else None] *= 2
     return np.fft.rfftfreq(size, 1 / rate), power
 
@@ -145,27 +155,33 @@ def band(f: np.ndarray, p: np.ndarray, lo: float, hi: float) -> float:
 
 
 def retention(t: np.ndarray, before: np.ndarray, after: np.ndarray, low=(0.5, 10.0), high: float = 15.0) -> tuple[float | None, float | None]:
-    """Share of the velocity's band power that filtering left, below and above."""
-    step = float(np.median(np.diff(t)))
-    a, b = (np.gradient(v, step, axis=0) for v in (before, after))
+    """Share of the velocity's band power that filtering left, below and above, on the regular grid."""
+    step, rel, grid = regular_grid(t)
+    a, b = (np.gradient(at_times(grid, rel, v), step, axis=0) for v in (before, after))
     f, pa = welch(a, 1 / step)
     _, pb = welch(b, 1 / step)
     out = []
-    for lo, hi in (low, (high, 0.5 / step)):
+    for lo, hi in (low, (high, np.inf)):
         whole = band(f, pa, lo, hi)
         out.append(band(f, pb, lo, hi) / whole if whole > 0 else None)
     return out[0], out[1]
 
 
-def filter_report(df: DataFrame, by: Sequence[str], t: str, before: str, after: str, per_second: float) -> DataFrame:
-    """(by, low_retention, high_retention) per series of at least eight samples."""
-    schema = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by), "low_retention double, high_retention double"])
+def filter_report(df: DataFrame, by: Sequence[str], t: str, before: str, after: str, per_second: float, cutoff: float = 10.0, high: float | None = None) -> DataFrame:
+    """(by, low_retention, high_retention, filter_error) per series of `filtered`. The bands follow the
+    cutoff: from a twentieth of it to it, and from `high` on, one and a half times the cutoff if not given.
+    Null: fewer than two of the spectrum's frequencies in the band, no power there, or no spectrum for the
+    reason in filter_error."""
+    schema = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by), "low_retention double, high_retention double, filter_error string"])
+    bands = {"low": (cutoff / 20, cutoff), "high": 1.5 * cutoff if high is None else high}
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(t, kind="stable")
-        low, high = None, None
-        if len(pdf) >= 8:
-            low, high = retention(pdf[t].to_numpy(float) / per_second, *(np.stack(pdf[c].to_numpy()).astype(float) for c in (before, after)))
-        return pd.DataFrame([{**{c: pdf[c].iloc[0] for c in by}, "low_retention": low, "high_retention": high}])
+        left, error = (None, None), pdf["filter_error"].iloc[0]
+        try:
+            left = retention(pdf[t].to_numpy(float) / per_second, *(np.stack(pdf[c].to_numpy()).astype(float) for c in (before, after)), **bands)
+        except ValueError as e:
+            error = error or str(e)
+        return pd.DataFrame([{**{c: pdf[c].iloc[0] for c in by}, "low_retention": left[0], "high_retention": left[1], "filter_error": error}])
 
-    return df.select(*by, t, before, after).groupBy(*by).applyInPandas(run, schema)
+    return df.select(*by, t, before, after, "filter_error").groupBy(*by).applyInPandas(run, schema)

@@ -184,6 +184,46 @@ def test_filter_reports_what_it_cannot_do(spark):
     assert got[2] is None and "four samples" in got[1]
 
 
+def plain_retention(t, before, after, low, high):
+    """By sums of cosines, window by window."""
+    step = np.median(np.diff(t))
+    grid = np.arange(0, t[-1] - t[0] + np.diff(t).mean() / 2, step)
+    size = min(512, len(grid))
+    k = np.arange(size)
+    f = np.arange(size // 2 + 1) / (size * step)
+    shares = []
+    for v in (before, after):
+        speed, total = np.gradient(np.interp(grid, t - t[0], v), step), 0
+        for i in range(0, len(grid) - size + 1, size - size // 2):
+            part = speed[i : i + size] - np.polyval(np.polyfit(k, speed[i : i + size], 1), k)
+            part = part * np.sin(np.pi * k / size) ** 2
+            total = total + np.array([abs((part * np.exp(-2j * np.pi * j * k / size)).sum()) ** 2 * (1 if 2 * j in (0, size) else 2) for j in range(len(f))])
+        shares.append([np.trapezoid(total[m], f[m]) for m in ((f >= low[0]) & (f <= low[1]), f >= high)])
+    return [b / a if a else None for a, b in zip(*shares)]
+
+
+def test_filter_report_follows_the_cutoff(spark):
+    """Series of days and of hundredths of a second, irregular, long and short, and some without a spectrum."""
+    rng = np.random.default_rng(3)
+    for unit, cutoff in ((100_000.0, 1e-6), (0.01, 10.0)):
+        times = {k: np.cumsum(rng.integers(500_000, 1_500_000, n)) for k, n in ((1, 60), (2, 7), (3, 1100), (4, 3), (7, 25))}
+        times |= {None: times[1], 5: np.array([0, 10, 10, 20, 30]), 6: 20 * times[1]}
+        rows = [(k, int(t), [float(x)]) for k, own in times.items() for t, x in zip(own, rng.normal(size=len(own)))]
+        both = signal.filtered(frame(spark, rows, "e int, t long, v array<double>"), ["e"], "t", "v", 1e6 / unit, cutoff, into="w")
+        own = {k: sorted((r.t, r.v[0], r.w[0]) for r in both.collect() if r.e == k) for k in times}
+        assert [(t, v) for t, v, _ in own[1]] == [(t, v[0]) for e, t, v in rows if e == 1]
+        got = {r.e: r for r in signal.filter_report(both, ["e"], "t", "v", "w", 1e6 / unit, cutoff).collect()}
+        assert set(got) == set(times)
+        for k in (1, 2, 3, 7, None):
+            t, v, w = np.array(own[k]).T
+            low, high = plain_retention(t * unit / 1e6, v, w, (cutoff / 20, cutoff), 1.5 * cutoff)
+            assert (got[k].low_retention, got[k].high_retention) == (low and pytest.approx(low), pytest.approx(high)) and got[k].filter_error is None
+            assert high < 0.1 and (low > 0.1 if k != 2 else low is None)  # 2 has no two frequencies up to the cutoff
+        assert (got[4].low_retention, got[4].high_retention) == (got[5].low_retention, got[5].high_retention) == (None, None)
+        assert "four samples" in got[4].filter_error and "increase" in got[5].filter_error
+        assert (got[6].low_retention, got[6].high_retention) == (1.0, None) and "cutoff" in got[6].filter_error
+
+
 def test_lag_is_recovered(spark):
     rng = np.random.default_rng(7)
     t = np.arange(0, 8, 1 / 200)

@@ -26,3 +26,15 @@ def test_normalize_instruction_unicode_keeps_all_documents(spark, tmp_path):
     want = {1: "pick up the cup", 2: "öffne die tür  schnell", 3: "把 红色_方块 放好", 4: "café no 5", 5: None, 6: "", 7: "дай мне ключ42"}
     spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     assert dict(map(tuple, catalog.QUERIES["normalize_instruction_unicode"](spark, str(tmp_path)).collect())) == want
+
+
+def test_power_retention_has_shares_of_every_series(spark, tmp_path):
+    """Views a day or so apart; the last user's are too rare for the filter."""
+    first = datetime.datetime(2024, 1, 1)
+    hours = {1: [20 * i + i * i % 7 for i in range(40)], 2: [0, 27, 54, 81, 108, 135, 189], None: [24 * i + i * i % 3 for i in range(20)], 3: [60 * i for i in range(12)]}
+    rows = [(i, first + datetime.timedelta(hours=h), u, "view", float(i * i % 13)) for u, own in hours.items() for i, h in enumerate(own)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double").write.parquet(f"{tmp_path}/events.parquet")
+    got = {r.user_id: r for r in catalog.QUERIES["power_retention"](spark, str(tmp_path)).collect()}
+    assert set(got) == set(hours)
+    assert all(0 < got[u].high_retention < got[u].low_retention < 1.2 and got[u].filter_error is None for u in (1, 2, None))
+    assert (got[3].low_retention, got[3].high_retention) == (1.0, None) and "cutoff" in got[3].filter_error
